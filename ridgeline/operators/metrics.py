@@ -52,11 +52,12 @@ def confusion_matrix(df: DataFrame, y: str, p: str, dense: bool = True) -> DataF
     rows = (
         both.groupBy("label", "prediction").agg(F.sum("n").alias("n"))
         .groupBy("label").agg(F.map_from_entries(F.collect_list(F.struct("prediction", "n"))).alias("m"))
+        .withColumn("prediction", classes)
     )
-    line = F.transform(
-        classes, lambda c: F.struct(c.alias("prediction"), F.coalesce(F.try_element_at("m", c), F.lit(0)).alias("n"))
+    line = rows.select("label", "m", F.explode("prediction").alias("prediction"))
+    return line.select(
+        "label", "prediction", F.coalesce(F.try_element_at("m", F.col("prediction")), F.lit(0)).alias("n")
     )
-    return rows.select("label", F.inline(line))
 
 
 def per_class_metrics(df: DataFrame, y: str, p: str) -> DataFrame:

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions.rows import inline_rows
 from ridgeline.functions.vectors import fuse_attention, fuse_concat, fuse_weighted, matrix_rows
+from ridgeline.runtime import materialize
 
-# Weights per block (32 MB of doubles): what one task function may carry.
-BLOCK_WEIGHTS = 4 << 20
+# Classes per block: with vectors of 1024 doubles a block is 32 MB, which is what
+# one task function may carry.
+BLOCK_CLASSES = 4096
 
 
 @dataclass(frozen=True)
@@ -37,15 +39,12 @@ class LinearScorer:
 
 def linear_scorer(
     weights: np.ndarray, bias: np.ndarray, labels: Sequence[int] | None = None,
-    block_weights: int = BLOCK_WEIGHTS,
+    block_classes: int = BLOCK_CLASSES,
 ) -> LinearScorer:
     w, b = np.asarray(weights, dtype=np.float64), np.asarray(bias, dtype=np.float64)
     names = np.arange(len(w)) if labels is None else np.asarray(labels)
-    per_block = max(1, block_weights // max(1, w.shape[1]))
-    return LinearScorer(tuple(
-        ScoreBlock(names[i:i + per_block], w[i:i + per_block], b[i:i + per_block])
-        for i in range(0, len(w), per_block)
-    ))
+    cuts = [slice(i, i + block_classes) for i in range(0, len(w), block_classes)]
+    return LinearScorer(tuple(ScoreBlock(names[c], w[c], b[c]) for c in cuts))
 
 
 def centroid_fit(df: DataFrame, vec: str, label: str = "label") -> DataFrame:
@@ -56,25 +55,24 @@ def centroid_fit(df: DataFrame, vec: str, label: str = "label") -> DataFrame:
     ).select("label", vector_to_array("m").alias("centroid"), "n")
 
 
-def centroid_scorer(centroids: DataFrame, block_weights: int = BLOCK_WEIGHTS) -> LinearScorer:
+def centroid_scorer(centroids: DataFrame, block_classes: int = BLOCK_CLASSES) -> LinearScorer:
     """Nearest centroid as a linear head: ``x . c - |c|^2 / 2`` is greatest for the nearest.
 
-    Reads the model, never the data: one vector per class, fetched block by
-    block so that each transfer is bounded whatever the number of classes.
+    Reads the model, never the data: one vector per class. Up to ``block_classes``
+    come in one transfer; a larger model is written down once and fetched by
+    label range, block by block.
     """
-    size = centroids.agg(F.count("*").alias("k"), F.max(F.size("centroid")).alias("d")).first()
-    if not size["k"]:
+    table = centroids.select("label", "centroid")
+    rows = table.limit(block_classes + 1).collect()
+    if not rows:
         raise ValueError("no centroids to score with")
-    per_block = max(1, block_weights // size["d"])
-    if size["k"] <= per_block:
-        return LinearScorer((_block(centroids.select("label", "centroid").collect()),))
-    bounds = centroids.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
-    blocks = []
-    for start in range(bounds["lo"], bounds["hi"] + 1, per_block):
-        rows = centroids.where(F.col("label").between(start, start + per_block - 1)).collect()
-        if rows:
-            blocks.append(_block(rows))
-    return LinearScorer(tuple(blocks))
+    if len(rows) <= block_classes:
+        return LinearScorer((_block(rows),))
+    fixed = materialize(table, "centroids")
+    ends = fixed.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
+    ranges = range(ends["lo"], ends["hi"] + 1, block_classes)
+    parts = (fixed.where(F.col("label").between(i, i + block_classes - 1)).collect() for i in ranges)
+    return LinearScorer(tuple(_block(part) for part in parts if part))
 
 
 def _block(rows: list) -> ScoreBlock:

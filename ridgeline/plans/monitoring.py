@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeline.operators.drift import (
+    PRIMARY_METRIC,
     ShareParams,
     column_share_drift,
     data_drift,
@@ -54,6 +55,7 @@ def run_monitoring(
     cur: DataFrame | None = None,
     baseline: DataFrame | None = None,
     current: DataFrame | None = None,
+    primary: str = PRIMARY_METRIC,
     column_share: bool = False,
     params: ShareParams = ShareParams(),
 ) -> DataFrame:
@@ -67,7 +69,7 @@ def run_monitoring(
     if ref is not None and cur is not None:
         data = column_share_drift(ref, cur, params) if column_share else data_drift(ks_test(ref, cur))
     if baseline is not None and current is not None:
-        model = model_drift(baseline, current)
+        model = model_drift(baseline, current, primary)
     if data is None and model is None:
         raise ValueError("nothing to monitor: give features or metrics of both sides")
     return health_status(data, model)
