@@ -17,8 +17,10 @@ def gray_from_bgr(pixels: np.ndarray, method: str = "luma") -> np.ndarray:
         return pixels.mean(axis=-1)
     if pixels.shape[-1] == 1:
         return pixels[..., 0]
-    b, g, r = (pixels[..., i].astype(np.uint32) for i in range(3))
-    return ((LUMA_R * r + LUMA_G * g + LUMA_B * b + LUMA_ROUND) >> LUMA_SHIFT).astype(np.uint8)
+    # Sums stay below 2**24, so float32 holds them exactly.
+    weights = np.array([LUMA_B, LUMA_G, LUMA_R], dtype=np.float32)
+    total = pixels[..., :3].astype(np.float32) @ weights + np.float32(LUMA_ROUND)
+    return (total * np.float32(0.5**LUMA_SHIFT)).astype(np.uint8)
 
 
 def to_gray(data: Column, channels: Column, method: str = "luma") -> Column:

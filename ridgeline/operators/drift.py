@@ -71,9 +71,17 @@ def _sides(ref: DataFrame, cur: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
+def _segments(df: DataFrame) -> int:
+    """Segments per column: a few per shuffle partition, so that they spread evenly."""
+    return max(32, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _profiles(sides: DataFrame, names: Sequence[str]) -> list[ColumnProfile]:
-    """Profiles from one aggregate; a few numbers per column come back."""
-    segments = max(2, int(sides.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Profiles from one aggregate; a few numbers per column come back.
+
+    The bounds are approximate: they decide how work spreads, never a result.
+    """
+    segments = _segments(sides)
     cuts = [i / segments for i in range(1, segments)]
     is_ref = F.col("_ref") == 1
     aggregates = []
@@ -83,7 +91,7 @@ def _profiles(sides: DataFrame, names: Sequence[str]) -> list[ColumnProfile]:
             F.count(F.when(is_ref, v)).alias(f"r{i}"),
             F.count(F.when(~is_ref, v)).alias(f"c{i}"),
             F.stddev_pop(F.when(is_ref, v)).alias(f"s{i}"),
-            F.percentile_approx(v, cuts, max(10_000, 4 * segments)).alias(f"b{i}"),
+            F.percentile_approx(v, cuts, 10 * segments).alias(f"b{i}"),
         ]
     row = sides.agg(*aggregates).first()
     return [

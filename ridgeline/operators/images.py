@@ -2,140 +2,147 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.functions.bitmaps import decode_bitmap
 from ridgeline.functions.pixels import gray_from_bgr
 
 DEFAULT_SIZE = (128, 128)
 
+Transform = Callable[[np.ndarray], np.ndarray]
+
 # 8-bit resampling works on integer weights with this many fraction bits.
 _PRECISION = 22
 
 
-def _weights(source: int, target: int) -> np.ndarray:
-    """[target, source] triangle-filter weights as whole numbers.
+def _taps(source: int, target: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per target pixel the source pixels it reads and their whole-number weights.
 
-    Downscaling widens the filter by the scale, so every source pixel counts.
+    A triangle filter. Downscaling widens it by the scale, so every source pixel
+    counts. Both arrays are [taps, target]; unused taps weigh 0.
     """
     scale = source / target
     reach = max(scale, 1.0)
     centre = (np.arange(target) + 0.5) * scale
-    low = np.maximum((centre - reach + 0.5).astype(int), 0)[:, None]
-    high = np.minimum((centre + reach + 0.5).astype(int), source)[:, None]
-    at = np.arange(source)[None, :]
-    tri = np.maximum(1.0 - np.abs((at + 0.5 - centre[:, None]) / reach), 0.0)
-    tri = np.where((at >= low) & (at < high), tri, 0.0)
-    return np.floor(tri / tri.sum(axis=1, keepdims=True) * (1 << _PRECISION) + 0.5)
+    low = np.maximum((centre - reach + 0.5).astype(int), 0)
+    high = np.minimum((centre + reach + 0.5).astype(int), source)
+    at = low + np.arange((high - low).max())[:, None]
+    tri = np.maximum(1.0 - np.abs((at + 0.5 - centre) / reach), 0.0)
+    tri = np.where(at < high, tri, 0.0)
+    weight = np.floor(tri / tri.sum(axis=0) * (1 << _PRECISION) + 0.5)
+    return np.minimum(at, source - 1), weight.astype(np.int32)
 
 
-def _round_pass(values: np.ndarray) -> np.ndarray:
-    return np.clip(np.floor(values / (1 << _PRECISION) + 0.5), 0, 255)
+def _rescale(pixels: np.ndarray, target: int) -> np.ndarray:
+    """Scales the rows of ``[source, other]``; sums of 30 bits fit int32."""
+    at, weight = _taps(len(pixels), target)
+    total = np.full((target, pixels.shape[1]), 1 << (_PRECISION - 1), dtype=np.int32)
+    for source, w in zip(at, weight):
+        total += pixels[source] * w[:, None]
+    return np.clip(total >> _PRECISION, 0, 255)
 
 
 def resize_bilinear(gray: np.ndarray, size: tuple[int, int]) -> np.ndarray:
-    """``[..., h, w]`` 8-bit gray to ``size`` = (height, width).
+    """``[h, w]`` 8-bit gray to ``size`` = (height, width).
 
-    Rows first, then columns, rounding to 8 bits after each; float64 holds every
-    intermediate integer exactly.
+    Across first, then down, rounding to 8 bits after each.
     """
-    h, w = gray.shape[-2:]
-    out = gray.astype(np.float64)
-    if w != size[1]:
-        out = _round_pass(out @ _weights(w, size[1]).T)
-    if h != size[0]:
-        out = _round_pass(_weights(h, size[0]) @ out)
+    out = gray.astype(np.int32)
+    if gray.shape[1] != size[1]:
+        out = _rescale(np.ascontiguousarray(out.T), size[1]).T
+    if gray.shape[0] != size[0]:
+        out = _rescale(np.ascontiguousarray(out), size[0])
     return out.astype(np.uint8)
 
 
-def default_transform(gray: np.ndarray, size: tuple[int, int], normalize: bool) -> np.ndarray:
-    """Resize and scale ``[n, h, w]`` gray images to float32."""
-    small = resize_bilinear(gray, size).astype(np.float32)
-    return small / np.float32(127.5) - np.float32(1.0) if normalize else small / np.float32(255.0)
+def default_transform(size: tuple[int, int], normalize: bool) -> Transform:
+    """Resize and scale one gray image to float32."""
 
+    def apply(gray: np.ndarray) -> np.ndarray:
+        small = resize_bilinear(gray, size).astype(np.float32)
+        return small / np.float32(127.5) - np.float32(1.0) if normalize else small / np.float32(255.0)
 
-def _shape_groups(heights, widths, channels, blobs) -> dict[tuple, list[int]]:
-    """Rows of a batch by image shape, leaving out those that did not decode."""
-    groups: dict[tuple, list[int]] = {}
-    for i, (h, w, c, blob) in enumerate(zip(heights, widths, channels, blobs)):
-        if h is not None and h > 0 and blob.is_valid and len(blob.as_buffer()) == h * w * c:
-            groups.setdefault((h, w, c), []).append(i)
-    return groups
+    return apply
 
 
-def _by_shape(batch: pa.StructArray, work: Callable[[np.ndarray], np.ndarray]) -> list:
-    """``work`` on the stacked gray images of each shape; None where not decoded."""
-    # Not StructArray.field: flatten also applies the validity of the struct.
-    columns = dict(zip([f.name for f in batch.type], batch.flatten()))
-    blobs = columns["data"]
-    groups = _shape_groups(
-        columns["height"].to_pylist(), columns["width"].to_pylist(),
-        columns["nChannels"].to_pylist(), blobs,
-    )
-    results: list = [None] * len(batch)
-    for (h, w, c), rows in groups.items():
-        stacked = np.stack([
-            np.frombuffer(blobs[i].as_buffer(), dtype=np.uint8).reshape(h, w, c) for i in rows
-        ])
-        for i, value in zip(rows, work(gray_from_bgr(stacked))):
-            results[i] = value
-    return results
+def _image_gray(row: dict) -> np.ndarray:
+    """Gray pixels of a Spark image struct; height -1 marks one that did not decode."""
+    h, w, c = row["height"], row["width"], row["nChannels"]
+    return gray_from_bgr(np.frombuffer(row["data"], dtype=np.uint8).reshape(h, w, c))
+
+
+def _features(rows: Iterable, gray: Callable, transform: Transform) -> pa.Array:
+    """One float32 list per row, None where decoding or the transform failed."""
+    lengths, parts = [], []
+    for row in rows:
+        try:
+            if row is None:
+                raise ValueError("no image")
+            part = np.asarray(transform(gray(row)), dtype=np.float32).ravel()
+        except Exception:  # noqa: BLE001 - a bad image is counted, not fatal
+            lengths.append(-1)
+            continue
+        lengths.append(part.size)
+        parts.append(part)
+    sizes = np.array(lengths, dtype=np.int64)
+    offsets = np.concatenate([[0], np.cumsum(np.maximum(sizes, 0))]).astype(np.int32)
+    flat = np.concatenate(parts) if parts else np.empty(0, np.float32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array(sizes < 0))
 
 
 def image_features(
-    image: Column,
+    source: Column,
     size: tuple[int, int] = DEFAULT_SIZE,
     normalize: bool = True,
-    transform: Callable[[np.ndarray], np.ndarray] | None = None,
+    transform: Transform | None = None,
+    encoded: bool = False,
 ) -> Column:
-    """Features of a Spark image struct as row-major array<float>.
+    """Features of an image as row-major array<float>.
 
+    ``source`` is a Spark image struct or, if ``encoded``, the bytes of a bitmap.
     ``transform`` replaces the default one; it gets one 8-bit gray image [h, w].
     NULL for an image that did not decode or whose transform failed.
     """
+    apply = transform or default_transform(size, normalize)
 
-    def custom(gray: np.ndarray) -> list:
-        out = []
-        for one in gray:
-            try:
-                out.append(np.asarray(transform(one), dtype=np.float32).ravel())
-            except Exception:  # noqa: BLE001 - a bad image is counted, not fatal
-                out.append(None)
-        return out
-
-    def standard(gray: np.ndarray) -> np.ndarray:
-        return default_transform(gray, size, normalize).reshape(len(gray), -1)
-
-    work = custom if transform else standard
-
-    @F.arrow_udf("array<float>")
-    def op(images: pa.Array) -> pa.Array:
-        return pa.array(_by_shape(images, work), type=pa.list_(pa.float32()))
+    if encoded:
+        @F.arrow_udf("array<float>")
+        def op(contents: pa.Array) -> pa.Array:
+            views = (c.as_buffer() if c.is_valid else None for c in contents)
+            return _features(views, decode_bitmap, apply)
+    else:
+        @F.arrow_udf("array<float>")
+        def op(images: pa.Array) -> pa.Array:
+            return _features((i.as_py() for i in images), _image_gray, apply)
 
-    return op(image)
+    return op(source)
 
 
 def preprocess_images(
     images: DataFrame,
     size: tuple[int, int] = DEFAULT_SIZE,
     normalize: bool = True,
-    transform: Callable[[np.ndarray], np.ndarray] | None = None,
+    transform: Transform | None = None,
 ) -> DataFrame:
     """Decode, gray, resize and normalise each image once, before any pairing.
 
-    Input: ``image`` (Spark image struct) and other columns, which are kept.
-    Adds ``features``, ``height``, ``width`` and ``ok``; a row that failed stays
-    with ``ok`` false so it can be counted. Size columns are NULL for a custom
-    transform, which may return any shape.
+    Input: ``content`` (bitmap bytes) or ``image`` (Spark image struct, for any
+    format Spark decodes) and other columns, which are kept. Adds ``features``,
+    ``height``, ``width`` and ``ok``; a row that failed stays with ``ok`` false so
+    it can be counted. Size columns are NULL for a custom transform, which may
+    return any shape.
     """
-    features = image_features(F.col("image"), size, normalize, transform)
+    encoded = "content" in images.columns
+    source = "content" if encoded else "image"
+    features = image_features(F.col(source), size, normalize, transform, encoded)
     known = transform is None
     return images.withColumn("features", features).select(
-        *[c for c in images.columns if c != "image"],
+        *[c for c in images.columns if c != source],
         "features",
         F.lit(size[0] if known else None).cast("int").alias("height"),
         F.lit(size[1] if known else None).cast("int").alias("width"),

@@ -14,7 +14,7 @@ from ridgeline.operators.images import (
 )
 from ridgeline.operators.pairing import pair_samples
 from ridgeline.runtime import scratch_path
-from ridgeline.sources.corpus import scan_corpus, split_modalities, with_subject
+from ridgeline.sources.corpus import read_corpus, split_modalities, with_subject
 from ridgeline.sources.tables import read_features, write_features
 
 
@@ -28,7 +28,7 @@ def image_feature_job(
     """
     path = path or scratch_path(spark, "image-features")
     started = time.perf_counter()
-    write_features(preprocess_images(with_subject(scan_corpus(spark, root)), size, normalize), path)
+    write_features(preprocess_images(with_subject(read_corpus(spark, root)), size, normalize), path)
     seconds = time.perf_counter() - started
     features = read_features(spark, path)
     return features, preprocess_stats(features.select("subject_id", "modality", "ok"), seconds)

@@ -50,6 +50,20 @@ def list_corpus(spark: SparkSession, root: str) -> DataFrame:
     ).where(_wanted())
 
 
+def read_corpus(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, modality, name, content)``: the bytes, for bitmaps decoded in tasks.
+
+    Several times faster than :func:`scan_corpus`, which builds each image pixel
+    by pixel but knows more formats.
+    """
+    files = _read(spark, root, "binaryFile")
+    if files is None:
+        return spark.createDataFrame([], "path string, modality string, name string, content binary")
+    return files.select(
+        "path", _modality(F.col("path")).alias("modality"), file_name("path").alias("name"), "content"
+    ).where(_wanted())
+
+
 def scan_corpus(spark: SparkSession, root: str) -> DataFrame:
     """``(path, modality, name, image)`` with images decoded by Spark.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.operators import versions as vs
 from ridgeline.workloads.adapters import LOG_SQL, version_log
-from ridgeline.workloads.registry import query, r6, table
+from ridgeline.workloads.registry import query, table
 
 # Later than every order.
 AT = datetime(2030, 1, 1)
@@ -68,25 +68,23 @@ def list_versions(spark, sf):
 @query(f"""WITH {LOG_SQL}, pairs AS (SELECT a.model, a.version AS version_a, b.version AS version_b,
   a.f1 AS value_a, b.f1 AS value_b FROM log a JOIN log b ON a.model = b.model AND b.version = a.version + 1)
 SELECT model, version_a, version_b, 'f1_macro' AS metric, value_a, value_b,
-  round(CASE WHEN value_a > 0 THEN (value_b - value_a) / value_a ELSE 0 END, 6) + 0.0::DOUBLE AS improvement,
+  CASE WHEN value_a > 0 THEN (value_b - value_a) / value_a ELSE 0 END AS improvement,
   CASE WHEN value_b > value_a THEN 'B' ELSE 'A' END AS winner FROM pairs""")
 def compare_versions(spark, sf):
     log = version_log(spark, sf)
     # Each version with the next one of its model.
     pairs = log.select("model", F.col("version").alias("version_a"), (F.col("version") + 1).alias("version_b"))
     return vs.compare_versions(log, pairs).select(
-        "model", "version_a", "version_b", "metric", "value_a", "value_b",
-        r6("improvement").alias("improvement"), "winner",
+        "model", "version_a", "version_b", "metric", "value_a", "value_b", "improvement", "winner",
     )
 
 
 @query(f"""WITH {DECISIONS_SQL} SELECT model, champion, challenger,
-  round(improvement, 6) + 0.0::DOUBLE AS improvement, promote,
+  improvement, promote,
   CASE WHEN challenger IS NULL THEN 'no challenger' WHEN champion IS NULL THEN 'no champion'
     WHEN promote THEN 'improved' ELSE 'not improved' END AS reason FROM decisions""")
 def should_promote(spark, sf):
-    df = vs.should_promote(version_log(spark, sf))
-    return df.withColumn("improvement", r6("improvement"))
+    return vs.should_promote(version_log(spark, sf))
 
 
 @query(f"""WITH {DECISIONS_SQL}
@@ -124,7 +122,7 @@ chall AS (SELECT model, f1 FROM holders WHERE alias = 'challenger')"""
 SELECT model, a AS champion_value, b AS challenger_value,
   CASE WHEN a IS NULL OR change > 0.01 THEN 'challenger' ELSE 'champion' END AS winner,
   a IS NULL OR change > 0.01 AS promoted, a IS NULL AS first_champion,
-  CASE WHEN a IS NOT NULL THEN round(change * 100, 6) + 0.0::DOUBLE END AS improvement FROM changes""")
+  CASE WHEN a IS NOT NULL THEN change * 100 END AS improvement FROM changes""")
 def retrain_decision(spark, sf):
     holders = vs.alias_holders(version_log(spark, sf)).withColumn("value", F.col("metrics.f1_macro"))
     df = vs.retrain_decision(
@@ -133,7 +131,7 @@ def retrain_decision(spark, sf):
     first = F.col("improvement") == float("inf")
     return df.select(
         "model", "champion_value", "challenger_value", "winner", "promoted",
-        first.alias("first_champion"), F.when(~first, r6("improvement")).alias("improvement"),
+        first.alias("first_champion"), F.when(~first, F.col("improvement")).alias("improvement"),
     )
 
 
