@@ -39,14 +39,14 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without the setting gets a folder of its own: there
     driver and executors are one process.
     """
-    named = spark.conf.get(CHECKPOINT_CONF, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
-    own = tempfile.mkdtemp(prefix="ridgeline-")
-    spark.conf.set(CHECKPOINT_CONF, own)
-    return own
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
+    if not named:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ridgeline-"))
+        named = context.getCheckpointDir()
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
