@@ -63,8 +63,14 @@ def early_stop(
 def history_pivot(
     h: DataFrame, run: str = "run_id", metrics: Sequence[str] = METRICS
 ) -> DataFrame:
-    """``(run, epoch, metric, value)`` to one column per metric; no second scan for names."""
-    return h.groupBy(run, "epoch").pivot("metric", list(metrics)).agg(F.first("value", ignorenulls=True))
+    """``(run, epoch, metric, value)`` to one column per metric.
+
+    One value per metric and epoch; conditional aggregates take one shuffle where
+    a pivot takes two.
+    """
+    return h.groupBy(run, "epoch").agg(
+        *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in metrics]
+    )
 
 
 def final_metrics(wide: DataFrame, best: DataFrame, run: str = "run_id") -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridgeline.functions.bitmaps import decode_bitmap
 from ridgeline.functions.pixels import gray_from_bgr
@@ -19,6 +20,9 @@ Transform = Callable[[np.ndarray], np.ndarray]
 # 8-bit resampling works on integer weights with this many fraction bits.
 _PRECISION = 22
 
+# Feature rows per Arrow batch handed back: 16 MB at the default size.
+_ROWS_OUT = 256
+
 
 def _taps(source: int, target: int) -> tuple[np.ndarray, np.ndarray]:
     """Per target pixel the source pixels it reads and their whole-number weights.
@@ -95,34 +99,6 @@ def _features(rows: Iterable, gray: Callable, transform: Transform) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array(sizes < 0))
 
 
-def image_features(
-    source: Column,
-    size: tuple[int, int] = DEFAULT_SIZE,
-    normalize: bool = True,
-    transform: Transform | None = None,
-    encoded: bool = False,
-) -> Column:
-    """Features of an image as row-major array<float>.
-
-    ``source`` is a Spark image struct or, if ``encoded``, the bytes of a bitmap.
-    ``transform`` replaces the default one; it gets one 8-bit gray image [h, w].
-    NULL for an image that did not decode or whose transform failed.
-    """
-    apply = transform or default_transform(size, normalize)
-
-    if encoded:
-        @F.arrow_udf("array<float>")
-        def op(contents: pa.Array) -> pa.Array:
-            views = (c.as_buffer() if c.is_valid else None for c in contents)
-            return _features(views, decode_bitmap, apply)
-    else:
-        @F.arrow_udf("array<float>")
-        def op(images: pa.Array) -> pa.Array:
-            return _features((i.as_py() for i in images), _image_gray, apply)
-
-    return op(source)
-
-
 def preprocess_images(
     images: DataFrame,
     size: tuple[int, int] = DEFAULT_SIZE,
@@ -132,17 +108,34 @@ def preprocess_images(
     """Decode, gray, resize and normalise each image once, before any pairing.
 
     Input: ``content`` (bitmap bytes) or ``image`` (Spark image struct, for any
-    format Spark decodes) and other columns, which are kept. Adds ``features``,
-    ``height``, ``width`` and ``ok``; a row that failed stays with ``ok`` false so
-    it can be counted. Size columns are NULL for a custom transform, which may
-    return any shape.
+    format Spark decodes) and other columns, which are kept. Adds ``features``
+    (row-major array<float>), ``height``, ``width`` and ``ok``; a row that failed
+    stays with ``ok`` false so it can be counted.
+
+    ``transform`` replaces the default one; it gets one 8-bit gray image [h, w]
+    and may return any shape, so the size columns are NULL then.
     """
     encoded = "content" in images.columns
     source = "content" if encoded else "image"
-    features = image_features(F.col(source), size, normalize, transform, encoded)
+    kept = [c for c in images.columns if c != source]
+    apply = transform or default_transform(size, normalize)
+    schema = T.StructType([*[images.schema[c] for c in kept], T.StructField("features", T.ArrayType(T.FloatType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Features can be larger than files: answer in small batches.
+            for start in range(0, batch.num_rows, _ROWS_OUT):
+                part = batch.slice(start, _ROWS_OUT)
+                rows = part.column(source)
+                if encoded:
+                    features = _features((r.as_buffer() if r.is_valid else None for r in rows), decode_bitmap, apply)
+                else:
+                    features = _features((r.as_py() for r in rows), _image_gray, apply)
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], features], names=schema.names)
+
     known = transform is None
-    return images.withColumn("features", features).select(
-        *[c for c in images.columns if c != source],
+    return images.mapInArrow(run, schema).select(
+        *kept,
         "features",
         F.lit(size[0] if known else None).cast("int").alias("height"),
         F.lit(size[1] if known else None).cast("int").alias("width"),

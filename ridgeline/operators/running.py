@@ -35,11 +35,16 @@ def running(
     """Adds one running aggregate per entry ``name -> (sum|min|max, column)``.
 
     Rows of a key run by ``(segment, order)``. With ``before`` the row itself is
-    left out (NULL on the first row of a key). Sums must be over non-null values.
+    left out (NULL on the first row of a key). Sums must be over non-null values;
+    a NULL key or segment is an error, for the join below compares with ``=``: so
+    it meets the partitioning and order of the window, and rows shuffle once.
     """
     seg, tag = "_segment", "_before_"
+    for k in keys:
+        segment = F.when(F.col(k).isNotNull(), segment)
+    known = F.coalesce(segment, F.raise_error(F.lit("running: a key or segment is NULL")))
     work = df.withColumns(
-        {seg: segment, **{f"_in_{n}": col for n, (_, col) in aggregates.items()}}
+        {seg: known, **{f"_in_{n}": col for n, (_, col) in aggregates.items()}}
     )
     part = [*keys, seg]
     frame = W.partitionBy(*part).orderBy(*order).rowsBetween(
@@ -57,7 +62,7 @@ def running(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(part)],
         *[_MERGE[how](f"_in_{n}").over(earlier).alias(tag + n) for n, (how, _) in aggregates.items()],
     )
-    same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(part)]
+    same = [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(part)]
     joined = local.join(offsets, same, "left")
 
     def merged(name: str, how: str) -> Column:

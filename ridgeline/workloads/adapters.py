@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeline.operators.running import numbered
+from ridgeline.runtime import materialize
 from ridgeline.workloads.registry import table
 
 # ---------------------------------------------------------------- corpus
@@ -265,6 +266,11 @@ finalists AS (
 )"""
 
 
+def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The version log as a written table, for jobs that read it several times."""
+    return materialize(version_log(spark, sf_dir), "version-log")
+
+
 def version_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A customer's orders in time are the versions of a model."""
     status = F.col("o_orderstatus")

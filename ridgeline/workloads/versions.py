@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ridgeline.operators import versions as vs
-from ridgeline.workloads.adapters import LOG_SQL, version_log
+from ridgeline.workloads.adapters import LOG_SQL, stored_log, version_log
 from ridgeline.workloads.registry import query, table
 
 # Later than every order.
@@ -71,7 +71,7 @@ SELECT model, version_a, version_b, 'f1_macro' AS metric, value_a, value_b,
   CASE WHEN value_a > 0 THEN (value_b - value_a) / value_a ELSE 0 END AS improvement,
   CASE WHEN value_b > value_a THEN 'B' ELSE 'A' END AS winner FROM pairs""")
 def compare_versions(spark, sf):
-    log = version_log(spark, sf)
+    log = stored_log(spark, sf)
     # Each version with the next one of its model.
     pairs = log.select("model", F.col("version").alias("version_a"), (F.col("version") + 1).alias("version_b"))
     return vs.compare_versions(log, pairs).select(
@@ -93,7 +93,7 @@ SELECT model, version, CASE WHEN promote AND version = champion THEN 'archived'
   CASE WHEN promote AND version = challenger THEN 'challenger' END AS previous_alias
 FROM log LEFT JOIN decisions USING (model)""")
 def promote_state(spark, sf):
-    log = version_log(spark, sf)
+    log = stored_log(spark, sf)
     after = vs.promote(log, vs.should_promote(log), AT)
     return vs.current_versions(after).select(
         "model", "version", "alias", F.col("tags")["previous_alias"].alias("previous_alias")
@@ -107,7 +107,7 @@ SELECT model, log.version, CASE WHEN log.version = target THEN 'champion'
 FROM log LEFT JOIN goals USING (model)
 LEFT JOIN (SELECT model, version FROM holders WHERE alias = 'champion') holders USING (model)""")
 def rollback_state(spark, sf):
-    after = vs.rollback(version_log(spark, sf), AT)
+    after = vs.rollback(stored_log(spark, sf), AT)
     return vs.current_versions(after).select("model", "version", "alias")
 
 
@@ -124,7 +124,7 @@ SELECT model, a AS champion_value, b AS challenger_value,
   a IS NULL OR change > 0.01 AS promoted, a IS NULL AS first_champion,
   CASE WHEN a IS NOT NULL THEN change * 100 END AS improvement FROM changes""")
 def retrain_decision(spark, sf):
-    holders = vs.alias_holders(version_log(spark, sf)).withColumn("value", F.col("metrics.f1_macro"))
+    holders = vs.alias_holders(stored_log(spark, sf)).withColumn("value", F.col("metrics.f1_macro"))
     df = vs.retrain_decision(
         holders.where("alias = 'champion'"), holders.where("alias = 'challenger'")
     )

@@ -58,18 +58,23 @@ def test_five_subjects_two_files_make_twenty_pairs(spark, tmp_path):
     assert [tuple(r) for r in labels] == [(f"{i:03d}", i) for i in range(5)]
 
 
-def test_salted_pairs_equal_plain_join(df):
-    # One subject holds most of each side.
+@pytest.mark.parametrize("hot", [4, 20, 35, 1000])
+def test_salted_pairs_equal_plain_join(df, hot):
+    # One subject holds most of each side, another only of the fingerprints.
     iris = df([("a", f"i{k}") for k in range(40)] + [("b", "ib"), ("c", "ic")], "subject_id string, path string")
-    finger = df([("a", f"f{k}") for k in range(30)] + [("b", "fb"), ("d", "fd")], "subject_id string, path string")
-    salted = pr.pair_samples(iris, finger, min_hot_rows=4)
-    hot = pr._hot_subjects(iris, 4).collect()
-    assert [(r.subject_id, r._salts) for r in hot] == [("a", 10)]
-    got = sorted(tuple(r) for r in salted.collect())
-    want = [("a", f"i{i}", f"f{j}") for i in range(40) for j in range(30)] + [("b", "ib", "fb")]
+    finger = df([("a", f"f{k}") for k in range(30)] + [("b", f"fb{k}") for k in range(25)] + [("d", "fd")],
+                "subject_id string, path string")
+    got = sorted(tuple(r) for r in pr.pair_samples(iris, finger, min_hot_rows=hot).collect())
+    want = [("a", f"i{i}", f"f{j}") for i in range(40) for j in range(30)]
+    want += [("b", "ib", f"fb{k}") for k in range(25)]
     assert got == sorted(want)
 
 
+def test_hot_subjects_and_their_salts(df):
+    rows = df([("a", f"i{k}") for k in range(40)] + [("b", "ib")], "subject_id string, path string")
+    assert [tuple(r) for r in pr._hot_subjects(rows, 4).collect()] == [("a", 10)]
+
+
 def test_label_rank_is_global(spark):
     ids = spark.range(5000).select(F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("subject_id"))
     labels = lb.build_label_index(ids.union(ids), "subject_id")

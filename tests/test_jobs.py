@@ -49,7 +49,7 @@ def test_shared_folder_is_the_named_one():
 def test_materialize_keeps_rows_and_types(spark):
     rows = spark.range(5).withColumn("t", F.lit("2024-01-01").cast("timestamp_ntz"))
     kept = runtime.materialize(rows, "t")
-    assert kept.schema == rows.schema and kept.exceptAll(rows).count() == 0
+    assert kept.dtypes == rows.dtypes and kept.exceptAll(rows).count() == 0
     assert runtime.shared_dir(spark).split(":")[-1].rstrip("/") in kept.inputFiles()[0]
 
 

@@ -89,3 +89,9 @@ def test_running_equals_one_window(spark, before):
 def test_numbered_without_keys(spark):
     out = numbered(spark.range(1000), [], F.floor(F.col("id") / 77), ["id"], "n")
     assert out.where("n != id + 1").count() == 0
+
+
+def test_null_keys_are_refused(df):
+    rows = df([(None, 1), ("a", 2)], "k string, t int")
+    with pytest.raises(Exception, match="key or segment is NULL"):
+        numbered(rows, ["k"], F.lit(0), ["t"], "n").collect()
