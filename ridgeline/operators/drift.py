@@ -34,6 +34,9 @@ ADVICE_NONE = "No significant drift detected. Model is healthy."
 
 _SERIES_TERMS = 10
 
+# Segment bounds are read off one in so many hash classes of values.
+_BOUND_CLASSES = 16
+
 
 # ------------------------------------------------------------- alignment
 
@@ -79,7 +82,9 @@ def _segments(df: DataFrame) -> int:
 def _profiles(sides: DataFrame, names: Sequence[str]) -> list[ColumnProfile]:
     """Profiles from one aggregate; a few numbers per column come back.
 
-    The bounds are approximate: they decide how work spreads, never a result.
+    Counts and deviation are exact. The bounds only decide how work spreads, never
+    a result, so they come from the distinct values of one hash class: what is to
+    be balanced are distinct values, and columns of few values need no bounds.
     """
     segments = _segments(sides)
     cuts = [i / segments for i in range(1, segments)]
@@ -87,15 +92,16 @@ def _profiles(sides: DataFrame, names: Sequence[str]) -> list[ColumnProfile]:
     aggregates = []
     for i, c in enumerate(names):
         v = F.col(f"`{c}`")
+        picked = F.when(F.pmod(F.xxhash64(v), F.lit(_BOUND_CLASSES)) == 0, v)
         aggregates += [
             F.count(F.when(is_ref, v)).alias(f"r{i}"),
             F.count(F.when(~is_ref, v)).alias(f"c{i}"),
             F.stddev_pop(F.when(is_ref, v)).alias(f"s{i}"),
-            F.percentile_approx(v, cuts, 10 * segments).alias(f"b{i}"),
+            F.percentile_approx(picked, cuts, 10 * segments).alias(f"b{i}"),
         ]
     row = sides.agg(*aggregates).first()
     return [
-        ColumnProfile(c, row[f"r{i}"], row[f"c{i}"], row[f"s{i}"], tuple(sorted(set(row[f"b{i}"]))))
+        ColumnProfile(c, row[f"r{i}"], row[f"c{i}"], row[f"s{i}"], tuple(sorted(set(row[f"b{i}"] or ()))))
         for i, c in enumerate(names)
         if row[f"r{i}"]
     ]
@@ -121,29 +127,32 @@ def per_feature(values: Sequence, kind: str) -> Column:
 
 
 def long_values(df: DataFrame, profiles: Sequence[ColumnProfile], keep: Sequence[str]) -> DataFrame:
-    """``(*keep, feature_no, segment, value)``: one row per non-null value.
-
-    The segment is the value's place among the column's bounds, a plain function
-    of the value.
-    """
-    names = [p.name for p in profiles]
-    bucketed = Bucketizer(
-        splitsArray=[[-math.inf, *p.bounds, math.inf] for p in profiles],
-        inputCols=names,
-        outputCols=[f"_seg{i}" for i in range(len(names))],
+    """``(*keep, feature_no, value)``: one row per non-null value of the profiled columns."""
+    numbered = df.select(*keep, *[F.col(f"`{p.name}`").alias(str(i)) for i, p in enumerate(profiles)])
+    long = numbered.unpivot(list(keep), [str(i) for i in range(len(profiles))], "feature_no", "value")
+    return long.where("value is not null").withColumn("feature_no", F.col("feature_no").cast("int"))
+
+
+def with_segment(df: DataFrame, profiles: Sequence[ColumnProfile]) -> DataFrame:
+    """Adds the value's place among the bounds of its column, a plain function of the value."""
+    places = [f"_place{i}" for i in range(len(profiles))]
+    found = Bucketizer(
+        splitsArray=[[-math.inf, *(p.bounds or (0.0,)), math.inf] for p in profiles],
+        inputCols=["value"] * len(profiles),
+        outputCols=places,
         handleInvalid="keep",
     ).transform(df)
-    return bucketed.select(*keep, inline_rows(["feature_no", "segment", "value"], *[
-        [F.lit(i), F.col(f"_seg{i}").cast("int"), F.col(f"`{c}`")] for i, c in enumerate(names)
-    ])).where("value is not null")
+    chosen = F.coalesce(*[F.when(F.col("feature_no") == i, F.col(c)) for i, c in enumerate(places)])
+    return found.withColumn("segment", chosen.cast("int")).drop(*places)
 
 
 def value_counts(ref: DataFrame, cur: DataFrame, profiles: Sequence[ColumnProfile]) -> DataFrame:
-    """``(feature_no, segment, value, n_ref, n_cur)``: one row per distinct value."""
+    """``(feature_no, value, n_ref, n_cur, segment)``: one row per distinct value."""
     sides = _sides(ref, cur, [p.name for p in profiles])
-    return long_values(sides, profiles, ["_ref"]).groupBy("feature_no", "segment", "value").agg(
+    counts = long_values(sides, profiles, ["_ref"]).groupBy("feature_no", "value").agg(
         F.sum(F.col("_ref")).alias("n_ref"), F.sum(1 - F.col("_ref")).alias("n_cur")
     )
+    return with_segment(counts, profiles)
 
 
 def _local_gaps(counts: DataFrame, profiles: Sequence[ColumnProfile]) -> DataFrame:

@@ -22,6 +22,7 @@ from ridgeline.operators.drift import (
     numeric_value,
     per_feature,
     profile_reference,
+    with_segment,
 )
 from ridgeline.operators.running import running
 from ridgeline.runtime import materialize
@@ -30,9 +31,9 @@ _WINDOW = "window_start"
 
 
 def reference_counts(ref: DataFrame, profiles: Sequence[ColumnProfile]) -> DataFrame:
-    """``(feature_no, segment, value, n_ref)`` of the reference."""
+    """``(feature_no, value, n_ref)`` of the reference."""
     values = ref.select(*[numeric_value(p.name).alias(p.name) for p in profiles])
-    return long_values(values, profiles, []).groupBy("feature_no", "segment", "value").agg(
+    return long_values(values, profiles, []).groupBy("feature_no", "value").agg(
         F.count("*").alias("n_ref")
     )
 
@@ -40,7 +41,7 @@ def reference_counts(ref: DataFrame, profiles: Sequence[ColumnProfile]) -> DataF
 def window_counts(
     df: DataFrame, profiles: Sequence[ColumnProfile], ts: str, width: str, delay: str | None = None
 ) -> DataFrame:
-    """``(window_start, feature_no, segment, value, n)``; with ``delay`` also on a stream.
+    """``(window_start, feature_no, value, n)``; with ``delay`` also on a stream.
 
     On a stream these counts are the state: one row per distinct value of the
     windows still open.
@@ -51,9 +52,9 @@ def window_counts(
         rows = rows.withWatermark("_ts", delay)
     return (
         long_values(rows, profiles, ["_ts"])
-        .groupBy(F.window("_ts", width).alias("w"), "feature_no", "segment", "value")
+        .groupBy(F.window("_ts", width).alias("w"), "feature_no", "value")
         .agg(F.count("*").alias("n"))
-        .select(F.col("w.start").alias(_WINDOW), "feature_no", "segment", "value", "n")
+        .select(F.col("w.start").alias(_WINDOW), "feature_no", "value", "n")
     )
 
 
@@ -62,19 +63,20 @@ def windowed_ks(
     threshold: float = P_THRESHOLD,
 ) -> DataFrame:
     """KS test of every window and column against the reference counts."""
-    asked = counts.select("feature_no", "segment", "value").distinct().withColumn(
-        "n_ref", F.lit(0).cast("long")
-    )
-    merged = reference.unionByName(asked).groupBy("feature_no", "segment", "value").agg(
-        F.sum("n_ref").alias("n_ref")
-    )
-    heights = running(merged, ["feature_no"], F.col("segment"), ["value"], {"upto_ref": ("sum", F.col("n_ref"))})
+    asked = counts.select("feature_no", "value").distinct().withColumn("n_ref", F.lit(0).cast("long"))
+    merged = reference.unionByName(asked).groupBy("feature_no", "value").agg(F.sum("n_ref").alias("n_ref"))
+    segment = F.col("segment")
+    heights = running(
+        with_segment(merged, profiles), ["feature_no"], segment, ["value"],
+        {"upto_ref": ("sum", F.col("n_ref"))},
+    ).drop("segment")
     own = running(
-        counts, [_WINDOW, "feature_no"], F.col("segment"), ["value"], {"upto": ("sum", F.col("n"))}
-    )
+        with_segment(counts, profiles), [_WINDOW, "feature_no"], segment, ["value"],
+        {"upto": ("sum", F.col("n"))},
+    ).drop("segment")
     totals = counts.groupBy(_WINDOW, "feature_no").agg(F.sum("n").alias("n_cur"))
     n_ref = per_feature([p.n_ref for p in profiles], "long")
-    rows = own.join(heights, ["feature_no", "segment", "value"]).join(totals, [_WINDOW, "feature_no"])
+    rows = own.join(heights, ["feature_no", "value"]).join(totals, [_WINDOW, "feature_no"])
     gap = F.greatest(
         F.abs(F.col("upto_ref") / n_ref - F.col("upto") / F.col("n_cur")),
         F.abs((F.col("upto_ref") - F.col("n_ref")) / n_ref - (F.col("upto") - F.col("n")) / F.col("n_cur")),

@@ -70,9 +70,10 @@ def test_salted_pairs_equal_plain_join(df, hot):
     assert got == sorted(want)
 
 
-def test_hot_subjects_and_their_salts(df):
-    rows = df([("a", f"i{k}") for k in range(40)] + [("b", "ib")], "subject_id string, path string")
-    assert [tuple(r) for r in pr._hot_subjects(rows, 4).collect()] == [("a", 10)]
+def test_hot_subjects_get_a_grid(df):
+    iris = df([("a", f"i{k}") for k in range(40)] + [("b", "ib")], "subject_id string, path string")
+    finger = df([("a", f"f{k}") for k in range(9)] + [("c", f"c{k}") for k in range(5)], "subject_id string, path string")
+    assert sorted(tuple(r) for r in pr._grid(iris, finger, 4).collect()) == [("a", 10, 3), ("c", 1, 2)]
 
 
 def test_label_rank_is_global(spark):
