@@ -143,25 +143,6 @@ def preprocess_images(
     )
 
 
-def pair_features_table(features: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The feature table: pairs with the features of both images.
-
-    ``features`` holds one row per image (``path``, ``features``, ``ok``); a pair
-    with a failed image drops out.
-    """
-    good = features.where("ok")
-    iris = good.where("modality = 'iris'").select(
-        F.col("path").alias("iris_path"), F.col("features").alias("iris_features"), "height", "width"
-    )
-    finger = good.where("modality = 'fingerprint'").select(
-        F.col("path").alias("fingerprint_path"), F.col("features").alias("fingerprint_features")
-    )
-    return pairs.join(iris, "iris_path").join(finger, "fingerprint_path").select(
-        "subject_id", "iris_features", "fingerprint_features",
-        "iris_path", "fingerprint_path", "height", "width",
-    )
-
-
 def preprocess_stats(features: DataFrame, seconds: float = 0.0) -> DataFrame:
     """Samples in all, processed and failed, and the rate (0 without a time).
 

@@ -5,13 +5,9 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ridgeline.operators.images import (
-    DEFAULT_SIZE,
-    pair_features_table,
-    preprocess_images,
-    preprocess_stats,
-)
+from ridgeline.operators.images import DEFAULT_SIZE, preprocess_images, preprocess_stats
 from ridgeline.operators.pairing import pair_samples
 from ridgeline.runtime import scratch_path
 from ridgeline.sources.corpus import read_corpus, split_modalities, with_subject
@@ -37,7 +33,12 @@ def image_feature_job(
 def pair_table(features: DataFrame) -> DataFrame:
     """The feature table of all pairs, from one feature row per image.
 
-    Pairs are built from paths only; the wide feature columns join last.
+    ``subject_id``, features and path of both images, height and width; a pair
+    with a failed image drops out.
     """
-    iris, finger = split_modalities(features.where("ok").select("subject_id", "path", "modality"))
-    return pair_features_table(features, pair_samples(iris, finger))
+    iris, finger = split_modalities(features.where("ok"))
+    pairs = pair_samples(iris, finger, ("features", "path", "height", "width"))
+    return pairs.select(
+        "subject_id", "iris_features", "fingerprint_features", "iris_path", "fingerprint_path",
+        F.col("iris_height").alias("height"), F.col("iris_width").alias("width"),
+    )

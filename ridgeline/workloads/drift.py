@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ridgeline.operators import drift as dr
 from ridgeline.operators import stats as st
 from ridgeline.plans import monitoring as mon
+from ridgeline.runtime import scratch_path
 from ridgeline.streaming import drift as sd
 from ridgeline.workloads.adapters import (
     CATEGORIES,
@@ -288,7 +289,7 @@ def monitoring_report(spark, sf):
     )
 
 
-@query(f"""WITH ref AS (SELECT value FROM events WHERE ts < TIMESTAMP '2024-01-16'),
+WINDOWS_SQL = f"""WITH ref AS (SELECT value FROM events WHERE ts < TIMESTAMP '2024-01-16'),
 cur AS (SELECT date_trunc('day', ts) AS w, value FROM events WHERE ts >= TIMESTAMP '2024-01-16'),
 days AS (SELECT DISTINCT w FROM cur),
 tagged AS (SELECT w, value, 1 AS r, 0 AS c FROM days CROSS JOIN ref UNION ALL SELECT w, value, 0, 1 FROM cur),
@@ -299,12 +300,38 @@ gaps AS (SELECT w, n, m, abs(sum(r) OVER (PARTITION BY w ORDER BY value) / n
 ks AS (SELECT w, any_value(n) AS n, any_value(m) AS m, max(gap) AS d FROM gaps GROUP BY w)
 SELECT strftime(w, '%Y-%m-%d') AS day, 'value' AS feature, round(d, 6) AS ks_statistic,
   CAST(n AS BIGINT) AS n_ref, CAST(m AS BIGINT) AS n_cur, round({KS_FINITE_SQL}, 6) AS p_value,
-  {KS_FINITE_SQL} < 0.1 AS drifted FROM ks""")
-def windowed_drift(spark, sf):
+  {KS_FINITE_SQL} < 0.1 AS drifted FROM ks"""
+
+
+def _event_sides(spark, sf):
+    """The first 15 days and the rest."""
     ev = table(spark, sf, "events")
     early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
-    df = sd.windowed_drift(ev.where(early), ev.where(~early), "ts", "1 day", ["value"])
+    return ev.where(early), ~early
+
+
+def _windows(df):
     return df.select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"), "feature",
         r6("ks_statistic").alias("ks_statistic"), "n_ref", "n_cur", r6("p_value").alias("p_value"), "drifted",
     )
+
+
+@query(WINDOWS_SQL)
+def windowed_drift(spark, sf):
+    ref, late = _event_sides(spark, sf)
+    cur = table(spark, sf, "events").where(late)
+    return _windows(sd.windowed_drift(ref, cur, "ts", "1 day", ["value"]))
+
+
+# A window is tested once the watermark, an hour behind the last event, has passed it.
+@query(f"{WINDOWS_SQL} WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)")
+def stream_windowed_drift(spark, sf):
+    ref, late = _event_sides(spark, sf)
+    schema = table(spark, sf, "events").schema
+    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    sink, checkpoint = scratch_path(spark, "stream-drift"), scratch_path(spark, "stream-checkpoint")
+    sd.stream_windowed_drift(
+        ref, arriving.where(late), sink, checkpoint, "ts", "1 day", "1 hour", ["value"]
+    ).awaitTermination()
+    return _windows(spark.read.parquet(sink))

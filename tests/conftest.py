@@ -12,7 +12,7 @@ from ridgeline.runtime import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[*]", **{
-        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.shuffle.partitions": "4",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",

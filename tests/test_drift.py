@@ -46,7 +46,7 @@ def test_distances_equal_brute_force(df, a, b):
     assert dr.wasserstein(ref, cur).first().distance == pytest.approx(wasserstein_brute(a, b), abs=1e-12)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     st.lists(st.integers(-5, 5), min_size=1, max_size=40), st.lists(st.integers(-5, 5), min_size=1, max_size=40),
 )
