@@ -13,20 +13,29 @@ from ridgeline.operators.running import running
 PATIENCE, MIN_DELTA = 10, 0.001
 METRICS = ("train_loss", "train_acc", "val_loss", "val_acc")
 
-# Epochs per segment of a run; an ordinary run is one segment.
-SEGMENT_EPOCHS = 10_000
+# Blocks of epochs per segment of a run; an ordinary run is one segment.
+SEGMENT_BLOCKS = 10_000
 
 
-def _records(h: DataFrame, run: str) -> DataFrame:
-    """Epochs whose loss is a new strict minimum of the run.
+def _until_stopped(h: DataFrame, patience: int, min_delta: float, run: str) -> DataFrame:
+    """The epochs of a run up to a point where it must have stopped.
 
-    The best loss so far is never more than ``min_delta`` above the running
-    minimum, so only such an epoch can improve on it. A long run shrinks to its
-    few records here, before it is gathered.
+    While training goes on, ``2 * patience`` epochs hold two improvements of more
+    than ``min_delta`` each, and the best loss is at most ``min_delta`` above the
+    least one seen; so the least loss falls by more than ``min_delta``. The first
+    block of that length where it falls by half of that or less ends the run for
+    certain. What is left has at most ``2 * patience`` epochs per ``min_delta / 2``
+    of loss, however long the run.
     """
-    segment = F.floor(F.col("epoch") / SEGMENT_EPOCHS)
-    seen = running(h, [run], segment, ["epoch"], {"_least": ("min", F.col("loss"))}, before=True)
-    return seen.where("_least is null or loss < _least").select(run, "epoch", "loss")
+    span = 2 * patience
+    blocks = h.groupBy(run, F.floor((F.col("epoch") - 1) / span).alias("block")).agg(F.min("loss").alias("least"))
+    seen = running(
+        blocks, [run], F.floor(F.col("block") / SEGMENT_BLOCKS), ["block"],
+        {"earlier": ("min", F.col("least"))}, before=True,
+    )
+    fell = F.col("earlier") - F.least("earlier", "least")
+    ends = seen.where(fell <= min_delta / 2).groupBy(run).agg(F.min((F.col("block") + 1) * span).alias("_end"))
+    return h.join(ends, run, "left").where("_end is null or epoch <= _end").drop("_end")
 
 
 def early_stop(
@@ -38,8 +47,10 @@ def early_stop(
     best only if it beats the best loss by more than ``min_delta``; after
     ``patience`` epochs without one, training stops and the rest is not seen.
     """
+    if patience < 1:
+        raise ValueError("patience must be at least 1")
     lengths = h.groupBy(run).agg(F.max("epoch").alias("epochs"))
-    records = _records(h, run).groupBy(run).agg(
+    records = _until_stopped(h, patience, min_delta, run).groupBy(run).agg(
         F.array_sort(F.collect_list(F.struct("epoch", "loss"))).alias("records")
     )
     start = F.struct(F.lit(0).cast("long").alias("epoch"), F.lit(float("inf")).alias("loss"))

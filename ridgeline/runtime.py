@@ -54,13 +54,14 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/ridgeline/{kind}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, kind: str) -> DataFrame:
+def materialize(df: DataFrame, kind: str, session: SparkSession | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and freezes values
-    that depend on the physical layout (partition ids, sampled ranges).
+    that depend on the physical layout (partition ids, sampled ranges). ``session``
+    reads it back elsewhere: a micro-batch's own session plans without AQE.
     """
-    spark = df.sparkSession
+    spark = session or df.sparkSession
     path = scratch_path(spark, kind)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -147,13 +147,20 @@ def test_early_stop_equals_the_loop(df):
 
 
 def test_long_runs_cross_segments(spark, monkeypatch):
-    monkeypatch.setattr(hs, "SEGMENT_EPOCHS", 7)
+    monkeypatch.setattr(hs, "SEGMENT_BLOCKS", 2)
     losses = [1 / (1 + i % 50 + i / 100) for i in range(200)]
     rows = spark.createDataFrame([(1, e, v) for e, v in enumerate(losses, 1)], "run_id int, epoch long, loss double")
     got = hs.early_stop(rows, 25).first()
     assert tuple(got)[1:] == stop_brute(losses, 25, hs.MIN_DELTA)
 
 
+def test_long_flat_run_is_cut_before_it_is_gathered(spark):
+    rows = spark.range(1, 5001).select(F.lit(1).alias("run_id"), F.col("id").alias("epoch"), (1 - F.col("id") / 1e6).alias("loss"))
+    kept = hs._until_stopped(rows, 10, 0.001, "run_id")
+    assert kept.agg(F.max("epoch")).first()[0] == 40
+    assert tuple(hs.early_stop(rows).first())[1:] == stop_brute([1 - i / 1e6 for i in range(1, 5001)], 10, 0.001)
+
+
 def test_history_and_final_metrics(df):
     rows = df([("r", e, m, v) for e, m, v in [
         (1, "val_loss", 0.9), (1, "val_acc", 0.5), (1, "train_loss", 1.0), (1, "train_acc", 0.4), (1, "lr", 0.1),
