@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -74,12 +74,19 @@ def split_cutoffs(
     )
 
 
-def _with_split(df: DataFrame, cutoffs: DataFrame, key: Sequence[str], seed: int) -> DataFrame:
-    cut = cutoffs.select(F.struct("train", "val")).scalar()
+def split_at(df: DataFrame, key: Sequence[str], cutoffs: Row, seed: int = 42) -> DataFrame:
+    """Adds ``split`` by two known cutoffs: a comparison per row, nothing else.
+
+    The cutoffs of :func:`split_cutoffs` can be kept, to split later rows alike.
+    """
     h = order_hash(seed, *key)
+
+    def upto(cut: str | None) -> Column:
+        return F.lit(False) if cut is None else h <= cut
+
+    train, val, test = SPLITS
     return df.withColumn(
-        "split",
-        F.when(h <= cut["train"], SPLITS[0]).when(h <= cut["val"], SPLITS[1]).otherwise(SPLITS[2]),
+        "split", F.when(upto(cutoffs["train"]), train).when(upto(cutoffs["val"]), val).otherwise(test)
     )
 
 
@@ -88,19 +95,20 @@ def exact_split(
 ) -> DataFrame:
     """Adds ``split``: exactly ``int(r0*n)`` train, ``int(r1*n)`` val, the rest test.
 
-    ``key`` must be unique per row. Rows are not moved: each one compares its
-    hash with the two cutoffs.
+    ``key`` must be unique per row. The two cutoffs are found at once and become
+    constants of the plan, so later jobs on the result do not look for them again;
+    rows are not moved.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    return _with_split(df, split_cutoffs(df, keys, ratios, seed), keys, seed)
+    return split_at(df, keys, split_cutoffs(df, keys, ratios, seed).first(), seed)
 
 
 def grouped_split(
     df: DataFrame, group: str, ratios: Sequence[float] = RATIOS, seed: int = 42
 ) -> DataFrame:
     """Splits whole groups, so no subject is in two splits; sizes count groups."""
-    groups = df.select(group).distinct()
-    return _with_split(df, split_cutoffs(groups, [group], ratios, seed), [group], seed)
+    cutoffs = split_cutoffs(df.select(group).distinct(), [group], ratios, seed).first()
+    return split_at(df, [group], cutoffs, seed)
 
 
 def split_sizes(df: DataFrame) -> DataFrame:

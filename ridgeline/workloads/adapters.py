@@ -228,14 +228,19 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered(ev, ["run_id"], segment, ["event_id"], "epoch").drop("event_id")
 
 
-def long_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(run_id, epoch, metric, value)`` with four metrics per epoch."""
+def stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs as a written table, for jobs that read them several times."""
+    return materialize(runs(spark, sf_dir), "runs")
+
+
+def long_history(history: DataFrame) -> DataFrame:
+    """``(run_id, epoch, metric, value)`` with four metrics per epoch of ``runs``."""
     loss = F.col("loss")
     rows = [
         ("train_loss", loss * 0.9), ("train_acc", 1 / (1 + loss * 0.9)),
         ("val_loss", loss), ("val_acc", 1 / (1 + loss)),
     ]
-    return runs(spark, sf_dir).select("run_id", "epoch", F.inline(F.array(*[
+    return history.select("run_id", "epoch", F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in rows
     ])))
 

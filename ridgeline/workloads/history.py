@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ridgeline.operators import history as hs
-from ridgeline.workloads.adapters import HISTORY_SQL, long_history, runs
+from ridgeline.workloads.adapters import HISTORY_SQL, long_history, runs, stored_runs
 from ridgeline.workloads.registry import query, r6
 
 # The fold over epochs, row by row.
@@ -32,13 +32,13 @@ wide AS (SELECT run_id, epoch, loss * 0.9::DOUBLE AS train_loss, 1 / (1 + loss *
 
 @query(f"{STOP_SQL} SELECT run_id, best_epoch, best_loss, last_epoch, stopped_early FROM ends")
 def early_stop(spark, sf):
-    return hs.early_stop(runs(spark, sf))
+    return hs.early_stop(stored_runs(spark, sf))
 
 
 @query(f"WITH {HISTORY_SQL}, {WIDE_SQL} SELECT run_id, epoch, "
        + ", ".join(f"round({m}, 6) AS {m}" for m in hs.METRICS) + " FROM wide")
 def history_pivot(spark, sf):
-    return hs.history_pivot(long_history(spark, sf)).select(
+    return hs.history_pivot(long_history(runs(spark, sf))).select(
         "run_id", "epoch", *[r6(m).alias(m) for m in hs.METRICS]
     )
 
@@ -47,6 +47,6 @@ def history_pivot(spark, sf):
 SELECT ends.run_id, best_epoch, round(best_loss, 6) AS val_loss, round(val_acc, 6) AS val_acc,
   round(train_loss, 6) AS train_loss FROM ends JOIN wide ON wide.run_id = ends.run_id AND epoch = best_epoch""")
 def final_metrics(spark, sf):
-    best = hs.early_stop(runs(spark, sf))
-    df = hs.final_metrics(hs.history_pivot(long_history(spark, sf)), best)
+    history = stored_runs(spark, sf)
+    df = hs.final_metrics(hs.history_pivot(long_history(history)), hs.early_stop(history))
     return df.select("run_id", "best_epoch", *[r6(c).alias(c) for c in ("val_loss", "val_acc", "train_loss")])

@@ -9,7 +9,7 @@ from ridgeline.operators import classifier as cl
 from ridgeline.operators import metrics as mt
 from ridgeline.operators import scoring as sc
 from ridgeline.plans.evaluation import centroid_experiment
-from ridgeline.runtime import scratch_path
+from ridgeline.runtime import materialize, scratch_path
 from ridgeline.sources import corpus as cp
 from ridgeline.sources import tables as tb
 from ridgeline.streaming.scoring import stream_score as run_stream_score
@@ -90,7 +90,8 @@ UNION ALL SELECT 'unknown_label', count(*) FILTER (WHERE prediction >= 100) FROM
 UNION ALL SELECT 'duplicate_key', count(*) - count(DISTINCT vec_id) FROM bad""")
 def validate_predictions(spark, sf):
     df = _vectors(spark, sf)
-    good = sc.score_table(df, _centroids(df))
+    # Checks run on a written prediction table.
+    good = materialize(sc.score_table(df, _centroids(df)), "predictions")
     label = F.col("label")
     broken = good.withColumns({
         "prediction": F.when(label != 3, F.col("prediction")),
