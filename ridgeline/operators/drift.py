@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 
 from ridgeline.functions.rows import inline_rows
 
-# Thresholds of the monitoring rules.
+# Thresholds, states and texts of the monitoring rules.
 P_THRESHOLD = 0.1
 SHARE_THRESHOLD = 0.2
 DEGRADATION_THRESHOLD = 0.05
@@ -241,16 +242,20 @@ def ks_test(
     )
 
 
-def data_drift(tests: DataFrame, share: float = SHARE_THRESHOLD) -> DataFrame:
-    """Dataset verdict: more than ``share`` of the tested columns drifted."""
+def _verdict(share: float) -> list[Column]:
     drifted = F.count_if("drifted")
     ratio = F.coalesce(F.try_divide(drifted, F.count("*")), F.lit(0.0))
-    return tests.agg(
+    return [
         (ratio > share).alias("drift_detected"),
         ratio.alias("drift_score"),
         F.count("*").alias("total_features"),
         drifted.alias("drifted_features"),
-    )
+    ]
+
+
+def data_drift(tests: DataFrame, share: float = SHARE_THRESHOLD) -> DataFrame:
+    """Dataset verdict: more than ``share`` of the tested columns drifted."""
+    return tests.agg(*_verdict(share))
 
 
 def drift_details(tests: DataFrame) -> DataFrame:
@@ -262,6 +267,32 @@ def drift_details(tests: DataFrame) -> DataFrame:
     )
 
 
+def _record(kind: str, threshold: float, at: datetime, measures: Sequence[str], details: Sequence[Column]) -> Column:
+    """A drift result in one struct: verdict, measures by name, and details."""
+    named = [F.struct(F.lit(m).alias("key"), F.col(m).cast("double").alias("value")) for m in measures]
+    return F.struct(
+        "drift_detected",
+        "drift_score",
+        F.lit(kind).alias("drift_type"),
+        F.map_from_entries(F.array(*named)).alias("metrics"),
+        F.lit(threshold).alias("threshold"),
+        F.lit(at.isoformat()).alias("timestamp"),
+        F.struct(*details).alias("details"),
+    )
+
+
+def data_drift_record(
+    tests: DataFrame, at: datetime, share: float = SHARE_THRESHOLD, threshold: float = P_THRESHOLD
+) -> DataFrame:
+    """Verdict and details of the tests as one struct ``record``."""
+    details = drift_details(tests)
+    return data_drift(tests, share).select(_record(
+        "data", threshold, at, ("total_features", "drifted_features"),
+        [details.select(F.struct("*")).scalar()["feature_scores"].alias("feature_scores"),
+         details.select(F.struct("*")).scalar()["drifted_features"].alias("drifted_features")],
+    ).alias("record"))
+
+
 # --------------------------------------------------------- column distances
 
 def wasserstein(
@@ -484,6 +515,21 @@ def model_drift(
     )
 
 
+def model_drift_record(
+    baseline: DataFrame, current: DataFrame, at: datetime, primary: str = PRIMARY_METRIC,
+    threshold: float = DEGRADATION_THRESHOLD,
+) -> DataFrame:
+    """Verdict on the model and the change of every metric as one struct ``record``."""
+    change = F.struct("baseline", "current", "change_pct")
+    changes = metric_change(baseline, current).agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", change))).alias("metric_changes")
+    )
+    return model_drift(baseline, current, primary, threshold).select(_record(
+        "model", threshold, at, ("baseline", "current", "degradation_pct"),
+        [F.col("primary_metric"), changes.scalar().alias("metric_changes")],
+    ).alias("record"))
+
+
 def health_status(data: DataFrame | None = None, model: DataFrame | None = None) -> DataFrame:
     """Status and recommendations from either verdict or both.
 

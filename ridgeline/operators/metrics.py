@@ -7,6 +7,7 @@ few cells. Rates over nothing are 0. Classes are all true or predicted values.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -121,6 +122,17 @@ def evaluate(df: DataFrame, y: str, p: str) -> DataFrame:
     return _record(per_class_metrics(df, y, p))
 
 
+def with_run(
+    record: DataFrame, at: datetime, inference_time_ms: float = 0.0, model_path: str | None = None
+) -> DataFrame:
+    """The evaluation record as it is stored: with latency, time and model."""
+    return record.withColumns({
+        "inference_time_ms": F.lit(float(inference_time_ms)),
+        "timestamp": F.lit(at.isoformat()),
+        "model_path": F.lit(model_path).cast("string"),
+    })
+
+
 def classification_report(
     df: DataFrame, y: str, p: str, names: DataFrame | None = None
 ) -> DataFrame:

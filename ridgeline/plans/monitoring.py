@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +12,14 @@ from ridgeline.operators.drift import (
     ShareParams,
     column_share_drift,
     data_drift,
+    data_drift_record,
     health_status,
     ks_test,
     model_drift,
+    model_drift_record,
 )
 from ridgeline.operators.stats import pair_features
+from ridgeline.runtime import materialize
 from ridgeline.sources.tables import read_reference, write_reference, write_report
 
 # Metrics of a baseline made before any evaluation.
@@ -73,3 +78,35 @@ def run_monitoring(
     if data is None and model is None:
         raise ValueError("nothing to monitor: give features or metrics of both sides")
     return health_status(data, model)
+
+
+def monitoring_record(
+    at: datetime,
+    ref: DataFrame | None = None,
+    cur: DataFrame | None = None,
+    baseline: DataFrame | None = None,
+    current: DataFrame | None = None,
+    primary: str = PRIMARY_METRIC,
+) -> DataFrame:
+    """The full report in one nested row, as it is stored.
+
+    Both drift results with their details (absent without inputs), the status,
+    the recommendations and the time.
+    """
+    parts = {}
+    if ref is not None and cur is not None:
+        # Tested once, read by the verdict and by the details.
+        tests = materialize(ks_test(ref, cur), "drift-tests")
+        parts["data_drift"] = data_drift_record(tests, at)
+    if baseline is not None and current is not None:
+        parts["model_drift"] = model_drift_record(baseline, current, at, primary)
+    if not parts:
+        raise ValueError("nothing to monitor: give features or metrics of both sides")
+    verdicts = {name: part.select("record.*") for name, part in parts.items()}
+    status = health_status(verdicts.get("data_drift"), verdicts.get("model_drift"))
+    return status.select(
+        *[part.scalar().alias(name) for name, part in parts.items()],
+        "overall_status",
+        "recommendations",
+        F.lit(at.isoformat()).alias("timestamp"),
+    )

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
+from ridgeline.functions.rows import inline_rows
 from ridgeline.operators import drift as dr
 from ridgeline.operators import stats as st
 from ridgeline.plans import monitoring as mon
 from ridgeline.runtime import scratch_path
+from ridgeline.sources.tables import read_report, write_report
 from ridgeline.streaming import drift as sd
 from ridgeline.workloads.adapters import (
     CATEGORIES,
@@ -289,6 +293,39 @@ def monitoring_report(spark, sf):
     )
 
 
+@query(f"""WITH {DATA_DRIFT_SQL}, {MODEL_SQL}
+SELECT 'data' AS part, feature AS name, round(d, 6) AS first, round(p, 6) AS second FROM tests
+UNION ALL SELECT 'model', metric, round(baseline, 6), round(current, 6) FROM changes
+UNION ALL SELECT 'verdict', 'data', round(k / n, 6), k::DOUBLE FROM verdict
+UNION ALL SELECT 'verdict', 'model', round(score, 6) + 0.0::DOUBLE, round(score * 100, 6) + 0.0::DOUBLE FROM lost""")
+def monitoring_record(spark, sf):
+    """The stored report, read back from JSON and laid out flat."""
+    report = mon.monitoring_record(
+        datetime(2024, 2, 1), *drift_sides(spark, sf), *metric_sides(spark, sf), primary=PRIMARY
+    )
+    path = scratch_path(spark, "monitoring")
+    write_report(report, path)
+    back = read_report(spark, path, report.schema)
+    data, model = F.col("data_drift"), F.col("model_drift")
+
+    def row(part, name, first, second):
+        return [F.lit(part), F.lit(name) if isinstance(name, str) else name, r6(first), r6(second)]
+
+    names = ["part", "name", "first", "second"]
+    verdicts = back.select(inline_rows(
+        names,
+        row("verdict", "data", data["drift_score"], data["metrics"]["drifted_features"]),
+        row("verdict", "model", model["drift_score"], model["metrics"]["degradation_pct"]),
+    ))
+    scores = back.select(F.explode("data_drift.details.feature_scores").alias("name", "s")).select(
+        *[c.alias(n) for n, c in zip(names, row("data", F.col("name"), F.col("s.ks_statistic"), F.col("s.p_value")))]
+    )
+    changes = back.select(F.explode("model_drift.details.metric_changes").alias("name", "s")).select(
+        *[c.alias(n) for n, c in zip(names, row("model", F.col("name"), F.col("s.baseline"), F.col("s.current")))]
+    )
+    return verdicts.unionByName(scores).unionByName(changes)
+
+
 WINDOWS_SQL = f"""WITH ref AS (SELECT value FROM events WHERE ts < TIMESTAMP '2024-01-16'),
 cur AS (SELECT date_trunc('day', ts) AS w, value FROM events WHERE ts >= TIMESTAMP '2024-01-16'),
 days AS (SELECT DISTINCT w FROM cur),

@@ -1,4 +1,5 @@
 import math
+from datetime import datetime
 
 import numpy as np
 import pytest
@@ -177,3 +178,17 @@ def test_windows_equal_brute_force(spark, df):
     rows = rows.withColumn("ts", F.to_timestamp("t"))
     got = {r.window_start.day: r.ks_statistic for r in sd.windowed_drift(column(df, ref), rows, "ts").collect()}
     assert got == pytest.approx({d: ks_brute(ref, cur[days == d]) for d in set(days.tolist())})
+
+
+def test_stored_report_has_only_the_given_parts(spark, df):
+    at = datetime(2024, 1, 1)
+    base, cur = metrics(df, f1_macro=0.8), metrics(df, f1_macro=0.4)
+    report = mon.monitoring_record(at, baseline=base, current=cur)
+    assert report.columns == ["model_drift", "overall_status", "recommendations", "timestamp"]
+    row = report.first()
+    assert row.overall_status == "critical" and row.timestamp == at.isoformat()
+    assert (row.model_drift.drift_type, row.model_drift.threshold) == ("model", 0.05)
+    assert row.model_drift.details.metric_changes["f1_macro"].change_pct == pytest.approx(-50.0)
+    both = mon.monitoring_record(at, column(df, range(9)), column(df, range(9)), base, base).first()
+    assert both.overall_status == "healthy" and both.data_drift.metrics["total_features"] == 1.0
+    assert set(both.data_drift.details.feature_scores) == {"x"}

@@ -1,4 +1,5 @@
 import os
+from datetime import datetime
 
 import pytest
 from pyspark.errors import PySparkException
@@ -78,12 +79,14 @@ def test_export(spark, df, tmp_path, fmt):
 
 
 def test_report_round_trip(spark, df, tmp_path):
-    record = mt.evaluate(df([(1, 1), (0, 1)], "y int, p int"), "y", "p").withColumn("model_path", F.lit(None).cast("string"))
+    record = mt.evaluate(df([(1, 1), (0, 1)], "y int, p int"), "y", "p")
+    record = mt.with_run(record, datetime(2024, 1, 2), 1.5)
     path = str(tmp_path / "r")
     tb.write_report(record, path)
     assert tb.read_report(spark, path, record.schema).collect() == record.collect()
     rows = {r.metric: r.value for r in tb.metric_rows(record).collect()}
     assert rows["accuracy"] == 0.5 and rows["num_samples"] == 2.0 and "model_path" not in rows
+    assert rows["inference_time_ms"] == 1.5
 
 
 def test_tables_schema_is_explicit():
