@@ -342,7 +342,8 @@ def _category_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) ->
         .groupBy("feature", "category").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
     )
     totals = counts.groupBy("feature").agg(F.sum("n_ref").alias("all_ref"), F.sum("n_cur").alias("all_cur"))
-    return counts.join(totals, "feature").where("all_ref > 0 and all_cur > 0")
+    # One row per column compared.
+    return counts.join(F.broadcast(totals), "feature").where("all_ref > 0 and all_cur > 0")
 
 
 def js_distance(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:

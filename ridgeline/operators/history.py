@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.operators.running import running
+from ridgeline.operators.skew import lookup
 
 # Early-stopping defaults and the metrics a history keeps.
 PATIENCE, MIN_DELTA = 10, 0.001
@@ -35,7 +36,7 @@ def _until_stopped(h: DataFrame, patience: int, min_delta: float, run: str) -> D
     )
     fell = F.col("earlier") - F.least("earlier", "least")
     ends = seen.where(fell <= min_delta / 2).groupBy(run).agg(F.min((F.col("block") + 1) * span).alias("_end"))
-    return h.join(ends, run, "left").where("_end is null or epoch <= _end").drop("_end")
+    return lookup(h, ends, run, ["epoch"], "left").where("_end is null or epoch <= _end").drop("_end")
 
 
 def early_stop(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ridgeline.operators.skew import lookup
 from ridgeline.runtime import materialize
 
 # monotonically_increasing_id keeps the partition in the upper bits.
@@ -54,11 +55,15 @@ def num_classes(labels: DataFrame) -> DataFrame:
     return labels.agg(F.count("*").alias("num_classes"))
 
 
-def attach_label(df: DataFrame, labels: DataFrame, id_col: str = "subject_id") -> DataFrame:
+def attach_label(
+    df: DataFrame, labels: DataFrame, id_col: str = "subject_id", spread: Sequence[str] | None = None
+) -> DataFrame:
     """Adds ``label``; rows of unknown ids keep NULL.
 
-    No broadcast hint: the dictionary grows with the subjects, so Spark decides
-    by its measured size, and beyond that AQE splits the hot ids of the sort
-    merge join (the dictionary side has one row per id).
+    The dictionary grows with the subjects, so it is not broadcast by hint: Spark
+    decides by its measured size. ``spread`` names columns that differ within an
+    id; with it hot ids are spread over tasks.
     """
+    if spread:
+        return lookup(df, labels, id_col, spread, "left")
     return df.join(labels, id_col, "left")

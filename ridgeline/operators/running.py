@@ -31,6 +31,7 @@ def running(
     order: Sequence[str],
     aggregates: dict[str, tuple[str, Column]],
     before: bool = False,
+    totals: bool = False,
 ) -> DataFrame:
     """Adds one running aggregate per entry ``name -> (sum|min|max, column)``.
 
@@ -38,6 +39,7 @@ def running(
     left out (NULL on the first row of a key). Sums must be over non-null values;
     a NULL key or segment is an error, for the join below compares with ``=``: so
     it meets the partitioning and order of the window, and rows shuffle once.
+    With ``totals`` a column ``<name>_total`` tells the aggregate of the whole key.
     """
     seg, tag = "_segment", "_before_"
     for k in keys:
@@ -54,13 +56,15 @@ def running(
         {n: _MERGE[how](f"_in_{n}").over(frame) for n, (how, _) in aggregates.items()}
     )
 
-    totals = work.groupBy(*part).agg(
+    by_segment = work.groupBy(*part).agg(
         *[_MERGE[how](f"_in_{n}").alias(f"_in_{n}") for n, (how, _) in aggregates.items()]
     )
     earlier = W.partitionBy(*keys).orderBy(seg).rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.select(
+    whole = W.partitionBy(*keys)
+    offsets = by_segment.select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(part)],
         *[_MERGE[how](f"_in_{n}").over(earlier).alias(tag + n) for n, (how, _) in aggregates.items()],
+        *[_MERGE[how](f"_in_{n}").over(whole).alias(f"{n}_total") for n, (how, _) in aggregates.items() if totals],
     )
     same = [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(part)]
     joined = local.join(offsets, same, "left")
@@ -75,7 +79,9 @@ def running(
         return _combine(how, F.col(tag + name), F.col(name))
 
     return joined.select(
-        *df.columns, *[merged(n, how).alias(n) for n, (how, _) in aggregates.items()]
+        *df.columns,
+        *[merged(n, how).alias(n) for n, (how, _) in aggregates.items()],
+        *[f"{n}_total" for n in aggregates if totals],
     )
 
 

@@ -133,16 +133,11 @@ def assign_batches(
     salt = str(seed) if epoch is None else f"{seed}:{epoch}"
     hashed = df.withColumn("_h", order_hash(salt, *keys))
     placed = running(
-        hashed, list(within), F.substring("_h", 1, 4), ["_h"], {"_pos": ("sum", F.lit(1).cast("long"))}
+        hashed, list(within), F.substring("_h", 1, 4), ["_h"],
+        {"_pos": ("sum", F.lit(1).cast("long"))}, totals=drop_last,
     ).withColumn("batch_id", F.floor((F.col("_pos") - 1) / size))
     if drop_last:
-        if within:
-            sizes = df.groupBy(*within).agg(F.count("*").alias("_n"))
-            placed = placed.join(sizes, list(within))
-            total = F.col("_n")
-        else:
-            total = df.agg(F.count("*").alias("n")).scalar()
-        placed = placed.where(F.col("batch_id") < F.floor(total / size))
+        placed = placed.where(F.col("batch_id") < F.floor(F.col("_pos_total") / size))
     return placed.select(*df.columns, "batch_id")
 
 

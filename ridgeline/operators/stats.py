@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.operators.skew import lookup
+
 STATISTICS = ("mean", "std", "min", "max", "median", "q25", "q75", "skewness", "kurtosis")
 _TYPE = pa.struct([(name, pa.float64()) for name in STATISTICS])
 
@@ -71,4 +73,4 @@ def pair_features(iris: DataFrame, fingerprint: DataFrame) -> DataFrame:
     right = first.select(
         "subject_id", *[F.col(f"s.{name}").alias(f"fingerprint_{name}") for name in STATISTICS]
     )
-    return left.join(right, "subject_id")
+    return lookup(left, right, "subject_id", ["path"])

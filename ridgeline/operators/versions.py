@@ -18,6 +18,7 @@ from ridgeline.functions.change import relative_change, winner
 from ridgeline.functions.rows import row_array
 from ridgeline.operators.drift import PRIMARY_METRIC
 from ridgeline.operators.running import numbered
+from ridgeline.operators.skew import lookup
 
 # The aliases a version can hold.
 CHAMPION, CHALLENGER, ARCHIVED = "champion", "challenger", "archived"
@@ -49,9 +50,8 @@ def register(
     the given ones, then ``metric_<name>`` with the value rounded to 4 digits.
     """
     highest = log.groupBy("model").agg(F.max("version").alias("_highest"))
-    placed = numbered(new_versions, ["model"], _day(), ["event_ts"], "_nth").join(
-        highest, "model", "left"
-    )
+    nth = numbered(new_versions, ["model"], _day(), ["event_ts"], "_nth")
+    placed = lookup(nth, highest, "model", ["_nth"], "left")
     defaults = F.create_map(
         F.lit("alias"), F.lit(alias),
         F.lit("registered_at"), F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss"),

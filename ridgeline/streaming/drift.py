@@ -72,11 +72,10 @@ def windowed_ks(
     ).drop("segment")
     own = running(
         with_segment(counts, profiles), [_WINDOW, "feature_no"], segment, ["value"],
-        {"upto": ("sum", F.col("n"))},
-    ).drop("segment")
-    totals = counts.groupBy(_WINDOW, "feature_no").agg(F.sum("n").alias("n_cur"))
+        {"upto": ("sum", F.col("n"))}, totals=True,
+    ).drop("segment").withColumnRenamed("upto_total", "n_cur")
     n_ref = per_feature([p.n_ref for p in profiles], "long")
-    rows = own.join(heights, ["feature_no", "value"]).join(totals, [_WINDOW, "feature_no"])
+    rows = own.join(heights, ["feature_no", "value"])
     gap = F.greatest(
         F.abs(F.col("upto_ref") / n_ref - F.col("upto") / F.col("n_cur")),
         F.abs((F.col("upto_ref") - F.col("n_ref")) / n_ref - (F.col("upto") - F.col("n")) / F.col("n_cur")),

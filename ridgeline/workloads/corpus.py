@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ridgeline.functions.names import (
     MAX_STRICT_SUBJECTS,
     name_attributes,
     subject_id_prefix,
-    subject_id_strict,
 )
 from ridgeline.operators import labels as lb
 from ridgeline.operators import pairing as pr
@@ -104,7 +102,7 @@ SELECT event_id, subject_id, label FROM files JOIN dict ON substr(name, 1, 3) =
 def label_index(spark, sf):
     named = with_subject(files(spark, sf)).select("event_id", "subject_id")
     dictionary = lb.build_label_index(named, "subject_id", MAX_STRICT_SUBJECTS)
-    return lb.attach_label(named, dictionary).select("event_id", "subject_id", "label")
+    return lb.attach_label(named, dictionary, spread=["event_id"]).select("event_id", "subject_id", "label")
 
 
 @query(f"""WITH {FILES_SQL}, ids AS (SELECT DISTINCT split_part(name, '_', 1) AS subject_id FROM files)

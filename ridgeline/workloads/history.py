@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ridgeline.operators import history as hs
 from ridgeline.workloads.adapters import HISTORY_SQL, long_history, runs, stored_runs
 from ridgeline.workloads.registry import query, r6

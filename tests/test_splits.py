@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.operators import splits as sp
 from ridgeline.operators.running import numbered, running
+from ridgeline.operators.skew import lookup
 
 
 @pytest.mark.parametrize("n,ratios,sizes", [
@@ -95,3 +96,19 @@ def test_null_keys_are_refused(df):
     rows = df([(None, 1), ("a", 2)], "k string, t int")
     with pytest.raises(Exception, match="key or segment is NULL"):
         numbered(rows, ["k"], F.lit(0), ["t"], "n").collect()
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_lookup_equals_plain_join(df, how):
+    rows = df([("hot", i) for i in range(60)] + [("a", 1), ("b", 2), (None, 3)], "k string, i int")
+    names = df([("hot", "H"), ("a", "A"), ("z", "Z")], "k string, name string")
+    got = lookup(rows, names, "k", ["i"], how, min_hot_rows=7)
+    want = rows.join(names, "k", how)
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_running_totals(df):
+    rows = df([("a", i) for i in range(10)] + [("b", 1)], "k string, t int")
+    out = running(rows, ["k"], F.floor(F.col("t") / 3), ["t"], {"n": ("sum", F.lit(1))}, totals=True)
+    assert {(r.k, r.n_total) for r in out.collect()} == {("a", 10), ("b", 1)}
