@@ -23,6 +23,8 @@ def build_session(app: str = "ridgeline", master: str | None = None, **conf: str
         "spark.sql.session.timeZone": "UTC",
         # Image rows are large: bound an Arrow batch by bytes, not only by rows.
         "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+        # Corpora are many small files: pack hundreds into a task, not thirty.
+        "spark.sql.files.openCostInBytes": str(512 << 10),
         **conf,
     }
     builder = SparkSession.builder.appName(app)
