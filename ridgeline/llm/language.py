@@ -158,10 +158,15 @@ def train(
     the model knows no language; with one it always answers that.
     """
     named = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
+    place = F.xxhash64("id")
+    rank = F.row_number().over(W.partitionBy("lang").orderBy(place, "id"))
     usable = named.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull() & ~held_out("id"))
-    # Ranks are cut before the shuffle too, so no task gets a whole language; ids and texts of the few meet after.
-    chosen = usable.select("id", "lang").withColumn("rank", rank).where(F.col("rank") <= per_language).select(F.col("id").alias("one"), F.col("lang").alias("of"))
+    # Only hashes low enough for twice the wanted rows are ranked, so a large language is no larger than a
+    # small one; ids and texts of the few meet after.
+    sizes = usable.groupBy("lang").agg((F.lit(2.0 * per_language) / F.count("*")).alias("share")).withColumnRenamed("lang", "sized")
+    low = (place / F.lit(2.0**64) + 0.5) < F.col("share")
+    near = usable.select("id", "lang").join(F.broadcast(sizes), F.col("lang") == F.col("sized")).where(low).select("id", "lang")
+    chosen = near.withColumn("rank", rank).where(F.col("rank") <= per_language).select(F.col("id").alias("one"), F.col("lang").alias("of"))
     few = materialize(chosen.distinct(), "language-ids")
     picked = usable.join(F.broadcast(few), (F.col("id") == F.col("one")) & (F.col("lang") == F.col("of")))
     # An id that many rows repeat counts once.

@@ -62,13 +62,16 @@ class ChunkTable:
     def __init__(self, model: str):
         self.processor = _processor(model)
         self.known: dict[str, tuple[bytes, str]] = {}
+        # A marker with nothing behind it cannot be asked for alone: the library would add its own.
+        lone = self.processor.encode("a ")[len(self.processor.encode("a")) :]
+        self.lone = np.array(lone, "<u4").tobytes(), " "
 
     def _segment(self, chunks: list[str]) -> list[tuple[bytes, str]]:
         # The library puts one marker before each text it is given: leave out ours.
         ids = self.processor.encode([c[1:] for c in chunks], num_threads=1)
         texts = self.processor.decode(ids, num_threads=1)
         # Decoding takes the first marker off again, which inside a text is a space.
-        return [(np.array(i, "<u4").tobytes(), " " + t if i else " ") for i, t in zip(ids, texts)]
+        return [(np.array(i, "<u4").tobytes(), " " + t) if i else self.lone for i, t in zip(ids, texts)]
 
     def encode(self, text: str) -> tuple[bytes, str]:
         if not text:

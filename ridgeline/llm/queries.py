@@ -8,7 +8,8 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import decontaminate, language, pieces, simhash, substrings
+from ridgeline.llm import decontaminate, language, licences, maintext, pieces, simhash, substrings, syncmers, urls, warc
+from ridgeline.runtime import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,12 +38,53 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+# Five hex digits of a digest are four base32 digits.
+_BASE32 = "array_to_string(list_transform(range(0, 8), lambda g: " + " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(sha, CAST(5 * g + 1 AS BIGINT), 5) AS BIGINT) >> {s}) & 31) + 1, 1)"
+    for s in (15, 10, 5, 0)
+) + "), '')"
+
+
+@query(f"""
+WITH given AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS sha FROM pages
+), known AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, sha, max(page_id) OVER (PARTITION BY payload) AS last_id FROM given
+)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = last_id THEN NULL ELSE last_id END AS refers_to
+FROM known
+""")
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.plan_records(table(spark, sf_dir, "pages"))
+    files = warc.write_archives(records, scratch_path(spark, "warc"))
+    made = warc.read_archives(spark, files, payloads=False)
+    return made.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query()
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL, keep=False)
     return made.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query()
+def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    made = licences.scan(docs, licences.train(docs))
+    return made.select(
+        "row.doc_id", F.size("notices").cast("long").alias("n_notices"),
+        F.size(F.filter("notices", lambda n: n["confirmed"])).cast("long").alias("n_confirmed"),
+        F.array_join("families", ",").alias("families"),
+    )
+
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"regexp_extract_all(" + _LOWER + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -111,3 +153,86 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = language.predict(docs, language.train(docs))
     named = made.select("row.doc_id", "lang_pred", "score")
     return named.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(host, bad)`` for pages whose url names a labelled document: bad if of low quality or toxic."""
+    url = F.col("url")
+    named = table(spark, sf_dir, "pages").select(
+        urls.host_of(url).alias("host"), F.regexp_extract(urls.path_of(url), r"^/[^/]*/(\d{1,18})", 1).alias("number")
+    ).where("number <> ''").select("host", F.col("number").cast("long").alias("doc_id"))
+    marks = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max(((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")).alias("bad"))
+    return named.join(marks, "doc_id").select("host", "bad")
+
+
+_HOST = _LOWER.format("regexp_extract(coalesce({url}, ''), '(?s)^.*?://([^/?#]*)', 1)")
+_PATH = "regexp_extract(coalesce({url}, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+_TWO = ", ".join(f"'{s}'" for s in urls.TWO_PART_SUFFIXES)
+_BARE = r"regexp_replace(host, ':\d*$', '')"
+_NAMES = f"string_split({_BARE}, '.')"
+
+
+def _rule_cases(pick: int) -> str:
+    rules = sorted(urls.RULES, key=lambda r: -len(r[0]))
+    cases = []
+    for rule in rules:
+        name, slash, rest = rule[0].partition("/")
+        cases.append(f"WHEN (host = '{name}' OR ends_with(host, '.{name}')) AND starts_with(path, '{slash}{rest}') THEN '{rule[pick]}'")
+    return f"CASE {' '.join(cases)} END"
+
+
+@query(rf"""
+WITH given AS (
+  SELECT page_id, {_HOST.format(url='url')} AS host, {_PATH.format(url='url')} AS path FROM pages
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id
+), outcomes AS (
+  SELECT host, bad FROM given JOIN marks ON marks.doc_id = TRY_CAST(nullif(regexp_extract(path, '^/[^/]*/(\d{{1,18}})', 1), '') AS BIGINT)
+), counts AS (
+  SELECT host, count(*) AS n, sum(bad) AS bad, {_NAMES} AS names FROM outcomes GROUP BY host
+), two AS (
+  SELECT *, array_to_string(names[-2:], '.') AS last_two FROM counts
+), hosts AS (
+  SELECT host, CAST(n AS DOUBLE) AS n, CAST(bad AS DOUBLE) AS bad,
+    CASE WHEN last_two IN ({_TWO}) THEN array_to_string(names[-3:], '.') ELSE last_two END AS domain,
+    CASE WHEN last_two IN ({_TWO}) THEN last_two ELSE names[-1] END AS suffix
+  FROM two
+), whole AS (
+  SELECT coalesce(sum(n), 0) AS n, coalesce(sum(bad), 0) AS bad, coalesce(sum(n * n), 0) AS squares, CAST(count(*) AS DOUBLE) AS hosts,
+    CAST(coalesce(sum(CAST(round(bad * bad / n, 9) AS DECIMAL(28, 9))), 0) AS DOUBLE) AS spread
+  FROM hosts
+), moments AS (
+  SELECT *, (bad + 1) / (n + 2) AS mean FROM whole
+), excess AS (
+  SELECT mean, spread - 2 * mean * bad + mean * mean * n - mean * (1 - mean) * (hosts - 1) AS excess,
+    mean * (1 - mean) * (n - squares / greatest(n, 1.0) - (hosts - 1)) AS room
+  FROM moments
+), prior AS (
+  SELECT mean, least(greatest(CASE WHEN excess > 0 AND room > 0 THEN room / excess - 1 ELSE {urls.MAX_STRENGTH} END, {urls.MIN_STRENGTH}), {urls.MAX_STRENGTH}) AS s
+  FROM excess
+), suffixes AS (
+  SELECT suffix, (s * mean + sum(bad)) / (s + sum(n)) AS rate FROM hosts, prior GROUP BY suffix, s, mean
+), domains AS (
+  SELECT h.domain, h.suffix, (s * x.rate + sum(h.bad)) / (s + sum(h.n)) AS rate
+  FROM hosts h JOIN suffixes x ON x.suffix = h.suffix, prior GROUP BY h.domain, h.suffix, s, x.rate
+), rates AS (
+  SELECT h.host, h.n, h.bad, s, (s * d.rate + h.bad) / (s + h.n) AS rate
+  FROM hosts h JOIN domains d ON d.domain = h.domain AND d.suffix = h.suffix, prior
+), known AS (
+  SELECT host, n, bad, rate - {urls.BOUND_Z} * sqrt(rate * (1 - rate) / (s + n + 1)) AS low FROM rates
+)
+SELECT page_id, g.host, path, {_rule_cases(0).replace('host', 'g.host')} AS rule,
+  coalesce({_rule_cases(1).replace('host', 'g.host')}, CASE WHEN low > {urls.MAX_BAD} THEN 'block' ELSE 'allow' END) AS verdict,
+  CAST(coalesce(n, 0) AS BIGINT) AS n_labelled, CAST(coalesce(bad, 0) AS BIGINT) AS n_bad
+FROM given g LEFT JOIN known k ON k.host = g.host
+""")
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = urls.judge(table(spark, sf_dir, "pages"), page_outcomes(spark, sf_dir))
+    return made.select("row.page_id", "host", "path", "rule", "verdict", "n_labelled", "n_bad")
+
+
+@query()
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    made = maintext.extract(pages, maintext.train(pages))
+    return made.select("row.page_id", "row.url", "text", "n_chars")
