@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import struct
 
+from collections.abc import Callable
+
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 from ridgeline.functions.pixels import gray_from_bgr
 
@@ -36,3 +41,25 @@ def decode_bitmap(content: memoryview | bytes) -> np.ndarray:
     table = np.zeros(256, np.uint8)
     table[:used] = gray_from_bgr(colors[:, :3])
     return table[lines[:, :w]]
+
+
+def raw_pixels(content: str, decode: Callable[[memoryview], np.ndarray] = decode_bitmap) -> Column:
+    """The gray pixels of a file as ``array<double>``, row by row; NULL if it does not decode."""
+
+    @F.arrow_udf("array<double>")
+    def op(blobs: pa.Array) -> pa.Array:
+        lengths, parts = [], []
+        for blob in blobs:
+            try:
+                part = decode(blob.as_buffer() if blob.is_valid else b"").astype(np.float64).ravel()
+            except ValueError:
+                lengths.append(-1)
+                continue
+            lengths.append(part.size)
+            parts.append(part)
+        sizes = np.array(lengths, np.int64)
+        limits = np.concatenate(([0], np.cumsum(np.maximum(sizes, 0)))).astype(np.int32)
+        flat = np.concatenate(parts) if parts else np.empty(0)
+        return pa.ListArray.from_arrays(pa.array(limits), pa.array(flat), mask=pa.array(sizes < 0))
+
+    return op(F.col(content))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,14 +34,19 @@ def to_gray(data: Column, channels: Column, method: str = "luma") -> Column:
 
     @F.arrow_udf("array<double>")
     def op(blobs: pa.Array, counts: pa.Array) -> pa.Array:
-        rows = []
-        for blob, n in zip(blobs, counts):
-            if not blob.is_valid or not n.is_valid:
-                rows.append(None)
-                continue
-            pixels = np.frombuffer(blob.as_buffer(), dtype=np.uint8).reshape(-1, n.as_py())
-            rows.append(gray_from_bgr(pixels, method).astype(np.float64))
-        return pa.array(rows, type=pa.list_(pa.float64()))
+        known = pc.and_(blobs.is_valid(), counts.is_valid()).to_numpy(zero_copy_only=False)
+        channels = np.where(known, counts.fill_null(0).to_numpy(zero_copy_only=False), 0)
+        sizes = np.where(known, pc.binary_length(blobs).fill_null(0).to_numpy(zero_copy_only=False), 0)
+        lengths = sizes // np.maximum(channels, 1)
+        limits = np.concatenate(([0], np.cumsum(lengths)))
+        gray = np.empty(limits[-1], np.float64)
+        # Images of one kind are one matrix.
+        for n in np.unique(channels[known]).tolist():
+            at = np.flatnonzero(known & (channels == n))
+            pixels = np.frombuffer(b"".join(blobs.take(pa.array(at)).to_pylist()), np.uint8).reshape(-1, n)
+            begin = np.repeat(limits[at] - np.concatenate(([0], np.cumsum(lengths[at])[:-1])), lengths[at])
+            gray[begin + np.arange(len(begin))] = gray_from_bgr(pixels, method)
+        return pa.ListArray.from_arrays(pa.array(limits.astype(np.int32)), pa.array(gray), mask=pa.array(~known))
 
     return op(data, channels)
 
@@ -69,22 +75,28 @@ def tensor_encode(values: Column) -> Column:
 
     @F.arrow_udf("binary")
     def op(rows: pa.Array) -> pa.Array:
-        return pa.array(
-            [np.asarray(r.values, dtype="<f4").tobytes() if r.is_valid else None for r in rows],
-            type=pa.binary(),
-        )
+        # The values already lie back to back: their limits in bytes make the rows.
+        limits = rows.offsets.to_numpy()
+        flat = pc.fill_null(rows.values, float("nan")).to_numpy(zero_copy_only=False).astype("<f4", copy=False)
+        data = flat[limits[0] : limits[-1]].tobytes()
+        ends = pa.py_buffer(((limits - limits[0]) * 4).astype(np.int32))
+        out = pa.Array.from_buffers(pa.binary(), len(rows), [None, ends, pa.py_buffer(data)])
+        return pc.if_else(rows.is_valid(), out, pa.scalar(None, pa.binary()))
 
     return op(values.cast("array<float>"))
 
 
 def tensor_decode(blob: Column) -> Column:
-    """The inverse of :func:`tensor_encode`."""
+    """The inverse of :func:`tensor_encode`; bytes that are no whole floats are an error."""
 
     @F.arrow_udf("array<float>")
     def op(rows: pa.Array) -> pa.Array:
-        return pa.array(
-            [np.frombuffer(r.as_buffer(), dtype="<f4") if r.is_valid else None for r in rows],
-            type=pa.list_(pa.float32()),
-        )
+        full = rows.fill_null(b"")
+        limits = np.frombuffer(full.buffers()[1], np.int32)[full.offset : full.offset + len(full) + 1]
+        if (np.diff(limits) % 4).any():
+            raise ValueError("tensor bytes are no whole floats")
+        data = np.frombuffer(full.buffers()[2] or b"", np.uint8)[limits[0] : limits[-1]]
+        flat = pa.array(data.copy().view("<f4"))
+        return pa.ListArray.from_arrays(pa.array((limits - limits[0]) // 4), flat, mask=rows.is_null())
 
     return op(blob)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,16 +25,22 @@ def train_classifier(
     reg: float = 1e-4,
     max_iter: int = 50,
     hidden: int = 256,
+    start: PipelineModel | None = None,
 ) -> PipelineModel:
     """Fits a cross-entropy classifier on fused vectors.
 
     ``logistic`` is the linear head with L2 decay ``reg``; ``perceptron`` adds a
     hidden layer. Gradients are summed over the cluster, the data stays put.
+    ``start`` resumes a perceptron from its stored weights; the logistic optimum
+    does not depend on where one starts, so there it is an error.
     """
     rows = _vectors(df.select(vec, F.col(label).cast("double").alias("label")), vec)
+    if start is not None and kind != "perceptron":
+        raise ValueError("only a perceptron resumes from a model")
     if kind == "logistic":
         stage = LogisticRegression(
-            featuresCol=_VECTOR, labelCol="label", family="multinomial", regParam=reg, maxIter=max_iter
+            featuresCol=_VECTOR, labelCol="label", family="multinomial", regParam=reg, maxIter=max_iter,
+            standardization=False,
         )
     elif kind == "perceptron":
         shape = rows.agg(
@@ -43,6 +50,8 @@ def train_classifier(
             featuresCol=_VECTOR, labelCol="label", layers=[shape["d"], hidden, shape["k"]],
             seed=seed, maxIter=max_iter,
         )
+        if start is not None:
+            stage.setInitialWeights(start.stages[-1].weights)
     else:
         raise ValueError(f"unknown classifier: {kind}")
     return Pipeline(stages=[stage]).fit(rows)
@@ -59,6 +68,38 @@ def model_scores(df: DataFrame, model: PipelineModel, vec: str = "embedding") ->
     )
 
 
+def gradient_norm(
+    df: DataFrame, model: PipelineModel, vec: str = "embedding", label: str = "label", reg: float = 1e-4
+) -> DataFrame:
+    """One row: ``rows``, ``classes`` and ``norm``, the largest part of the loss gradient of a logistic model.
+
+    At the optimum the gradient is zero: with class shares p, the mean of
+    ``(p - y) x + reg w``, and of ``p - y`` for the intercepts. It is summed per class
+    and place over the cluster.
+    """
+    fitted = model.stages[-1]
+    weights = fitted.coefficientMatrix.toArray()
+    scored = model.transform(_vectors(df.where(F.col(label).isNotNull()), vec)).select(
+        F.col(label).cast("int").alias("y"), vector_to_array("probability").alias("p"), F.col(vec).cast("array<double>").alias("x")
+    )
+    residual = scored.select("x", "y", F.posexplode("p").alias("class", "share")).select(
+        "class", (F.col("share") - (F.col("y") == F.col("class")).cast("double")).alias("r"), "x"
+    )
+    parts = residual.select("class", array_to_vector(F.concat(F.array("r"), F.transform("x", lambda v: v * F.col("r")))).alias("g"))
+    sums = parts.groupBy("class").agg(Summarizer.mean(F.col("g")).alias("g")).select("class", F.posexplode(vector_to_array("g")).alias("place", "g"))
+    decay = F.array(*[F.array(F.lit(0.0), *[F.lit(float(reg * v)) for v in row]) for row in weights])
+    largest = F.max(F.abs(F.col("g") + decay[F.col("class")][F.col("place")]))
+    facts = df.where(F.col(label).isNotNull()).agg(F.count("*").alias("rows"), F.count_distinct(label).alias("classes"))
+    return facts.withColumn("norm", sums.agg(largest).scalar())
+
+
+def cross_entropy_of(df: DataFrame, model: PipelineModel, vec: str = "embedding", label: str = "label") -> DataFrame:
+    """One row: the mean loss of a fitted classifier over labelled rows."""
+    scored = model.transform(_vectors(df.where(F.col(label).isNotNull()), vec))
+    own = F.get(vector_to_array("probability"), F.col(label).cast("int"))
+    return scored.agg(F.avg(-F.log(F.greatest(own, F.lit(1e-300)))).alias("loss"))
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

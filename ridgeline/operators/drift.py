@@ -2,9 +2,9 @@
 
 Distribution distances work on *distinct values with their counts*, combined
 before the shuffle, so a value that fills a third of the table is one row. The
-values of a column are cut into segments at approximate quantiles: each segment
-is summed up on its own, and a few totals per segment put the pieces together.
-No task ever holds a whole column.
+counts are dealt by ranges of the values and written once; every distance and
+test reads them there. Each range is summed up on its own, and a few totals per
+range put the pieces together. No task ever holds a whole column.
 """
 
 from __future__ import annotations
@@ -14,13 +14,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ridgeline.functions.rows import inline_rows
+from ridgeline.runtime import materialize
 
 # Thresholds, states and texts of the monitoring rules.
 P_THRESHOLD = 0.1
@@ -34,9 +34,7 @@ ADVICE_MODEL = "Model performance degraded by %.1f%%! Trigger retraining pipelin
 ADVICE_NONE = "No significant drift detected. Model is healthy."
 
 _SERIES_TERMS = 10
-
-# Segment bounds are read off one in so many hash classes of values.
-_BOUND_CLASSES = 16
+_TAIL_TERMS = 60
 
 
 # ------------------------------------------------------------- alignment
@@ -53,13 +51,26 @@ def align_features(ref: DataFrame, cur: DataFrame, columns: Sequence[str] | None
 
 @dataclass(frozen=True)
 class ColumnProfile:
-    """What one pass over both sides tells about a numeric column."""
+    """Sizes of both sides of a numeric column, and the deviation of the reference."""
 
     name: str
     n_ref: int
     n_cur: int
     std_ref: float
-    bounds: tuple[float, ...]
+
+
+@dataclass(frozen=True)
+class ValueCounts:
+    """``counts``: written rows ``(feature_no, value, n_ref, n_cur, segment)``, one per distinct
+    value; ``segment`` grows with the value. ``profiles`` are in the order of ``feature_no``,
+    with None for columns that lack values on a side."""
+
+    counts: DataFrame
+    profiles: tuple[ColumnProfile | None, ...]
+
+    @property
+    def known(self) -> list[ColumnProfile]:
+        return [p for p in self.profiles if p]
 
 
 def numeric_value(name: str) -> Column:
@@ -75,94 +86,69 @@ def _sides(ref: DataFrame, cur: DataFrame, names: Sequence[str]) -> DataFrame:
     )
 
 
-def _segments(df: DataFrame) -> int:
-    """Segments per column: a few per shuffle partition, so that they spread evenly."""
-    return max(32, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def per_feature(values: Sequence, kind: str) -> Column:
+    """The entry of ``feature_no`` in a literal list."""
+    return F.array(*[F.lit(v).cast(kind) for v in values])[F.col("feature_no")]
 
 
-def _profiles(sides: DataFrame, names: Sequence[str]) -> list[ColumnProfile]:
-    """Profiles from one aggregate; a few numbers per column come back.
+def long_values(df: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``(*keep, feature_no, value)``: one row per non-null value of the named columns."""
+    numbered = df.select(*keep, *[F.col(f"`{n}`").alias(str(i)) for i, n in enumerate(names)])
+    long = numbered.unpivot(list(keep), [str(i) for i in range(len(names))], "feature_no", "value")
+    return long.where("value is not null").withColumn("feature_no", F.col("feature_no").cast("int"))
 
-    Counts and deviation are exact. The bounds only decide how work spreads, never
-    a result, so they come from the distinct values of one hash class: what is to
-    be balanced are distinct values, and columns of few values need no bounds.
-    """
-    segments = _segments(sides)
-    cuts = [i / segments for i in range(1, segments)]
-    is_ref = F.col("_ref") == 1
-    aggregates = []
-    for i, c in enumerate(names):
-        v = F.col(f"`{c}`")
-        picked = F.when(F.pmod(F.xxhash64(v), F.lit(_BOUND_CLASSES)) == 0, v)
-        aggregates += [
-            F.count(F.when(is_ref, v)).alias(f"r{i}"),
-            F.count(F.when(~is_ref, v)).alias(f"c{i}"),
-            F.stddev_pop(F.when(is_ref, v)).alias(f"s{i}"),
-            F.percentile_approx(picked, cuts, 10 * segments).alias(f"b{i}"),
-        ]
-    row = sides.agg(*aggregates).first()
-    return [
-        ColumnProfile(c, row[f"r{i}"], row[f"c{i}"], row[f"s{i}"], tuple(sorted(set(row[f"b{i}"] or ()))))
-        for i, c in enumerate(names)
-        if row[f"r{i}"]
-    ]
 
+def value_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str] | None = None) -> ValueCounts | None:
+    """Reads both sides once; None if no column is to be compared.
 
-def profile(ref: DataFrame, cur: DataFrame, columns: Sequence[str] | None = None) -> list[ColumnProfile]:
-    """Counts, deviation and segment bounds of each column with values on both sides."""
+    Ranges are drawn over distinct values, so a hot value weighs as much as any.
+    """
     names = align_features(ref, cur, columns)
     if not names:
-        return []
-    return [p for p in _profiles(_sides(ref, cur, names), names) if p.n_cur]
-
-
-def profile_reference(ref: DataFrame, columns: Sequence[str] | None = None) -> list[ColumnProfile]:
-    """The same of the reference alone, for data still to come."""
-    names = align_features(ref, ref, columns)
-    return _profiles(ref.select(*[numeric_value(c).alias(c) for c in names], F.lit(1).alias("_ref")), names)
-
-
-def per_feature(values: Sequence, kind: str) -> Column:
-    """The entry of ``feature_no`` in a literal list."""
-    return F.array(*[F.lit(v).cast(kind) for v in values])[F.col("feature_no")]
+        return None
+    counted = long_values(_sides(ref, cur, names), names, ["_ref"]).groupBy("feature_no", "value").agg(
+        F.sum(F.col("_ref")).alias("n_ref"), F.sum(1 - F.col("_ref")).alias("n_cur")
+    )
+    dealt = counted.repartitionByRange("feature_no", "value").withColumn("segment", F.spark_partition_id())
+    counts = materialize(dealt, "value-counts")
+    mean = counts.groupBy("feature_no").agg(
+        F.sum("n_ref").alias("n"), F.sum("n_cur").alias("m"),
+        F.try_divide(F.sum(F.col("n_ref") * F.col("value")), F.sum("n_ref")).alias("mean"),
+    )
+    # One row per column.
+    off = F.col("value") - F.col("mean")
+    facts = counts.join(F.broadcast(mean), "feature_no").groupBy("feature_no").agg(
+        F.first("n").alias("n"), F.first("m").alias("m"), F.sum(F.col("n_ref") * off * off).alias("squares")
+    )
+    known = {r.feature_no: r for r in facts.collect()}
 
+    def profile(i: int, name: str) -> ColumnProfile | None:
+        r = known.get(i)
+        return ColumnProfile(name, r.n, r.m, math.sqrt(r.squares / r.n)) if r and r.n and r.m else None
 
-def long_values(df: DataFrame, profiles: Sequence[ColumnProfile], keep: Sequence[str]) -> DataFrame:
-    """``(*keep, feature_no, value)``: one row per non-null value of the profiled columns."""
-    numbered = df.select(*keep, *[F.col(f"`{p.name}`").alias(str(i)) for i, p in enumerate(profiles)])
-    long = numbered.unpivot(list(keep), [str(i) for i in range(len(profiles))], "feature_no", "value")
-    return long.where("value is not null").withColumn("feature_no", F.col("feature_no").cast("int"))
+    return ValueCounts(counts, tuple(profile(i, n) for i, n in enumerate(names)))
 
 
-def with_segment(df: DataFrame, profiles: Sequence[ColumnProfile]) -> DataFrame:
-    """Adds the value's place among the bounds of its column, a plain function of the value."""
-    places = [f"_place{i}" for i in range(len(profiles))]
-    found = Bucketizer(
-        splitsArray=[[-math.inf, *(p.bounds or (0.0,)), math.inf] for p in profiles],
-        inputCols=["value"] * len(profiles),
-        outputCols=places,
-        handleInvalid="keep",
-    ).transform(df)
-    chosen = F.coalesce(*[F.when(F.col("feature_no") == i, F.col(c)) for i, c in enumerate(places)])
-    return found.withColumn("segment", chosen.cast("int")).drop(*places)
+def reference_profiles(ref: DataFrame, columns: Sequence[str] | None = None) -> list[ColumnProfile]:
+    """Sizes of the reference alone, for data still to come."""
+    names = align_features(ref, ref, columns)
+    if not names:
+        return []
+    row = ref.agg(*[F.count(numeric_value(c)).alias(f"r{i}") for i, c in enumerate(names)]).first()
+    return [ColumnProfile(c, row[f"r{i}"], 0, 0.0) for i, c in enumerate(names) if row[f"r{i}"]]
 
 
-def value_counts(ref: DataFrame, cur: DataFrame, profiles: Sequence[ColumnProfile]) -> DataFrame:
-    """``(feature_no, value, n_ref, n_cur, segment)``: one row per distinct value."""
-    sides = _sides(ref, cur, [p.name for p in profiles])
-    counts = long_values(sides, profiles, ["_ref"]).groupBy("feature_no", "value").agg(
-        F.sum(F.col("_ref")).alias("n_ref"), F.sum(1 - F.col("_ref")).alias("n_cur")
-    )
-    return with_segment(counts, profiles)
+def _numbers(values: ValueCounts, attribute: str, kind: str) -> Column:
+    return per_feature([getattr(p, attribute) if p else None for p in values.profiles], kind)
 
 
-def _local_gaps(counts: DataFrame, profiles: Sequence[ColumnProfile]) -> DataFrame:
+def _local_gaps(values: ValueCounts) -> DataFrame:
     """Adds ``gap``: difference of both distribution functions within the segment."""
     upto = W.partitionBy("feature_no", "segment").orderBy("value").rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
-    n, m = (per_feature([getattr(p, a) for p in profiles], "double") for a in ("n_ref", "n_cur"))
-    return counts.withColumn(
+    n, m = _numbers(values, "n_ref", "double"), _numbers(values, "n_cur", "double")
+    return values.counts.where(n.isNotNull()).withColumn(
         "gap", F.sum("n_ref").over(upto) / n - F.sum("n_cur").over(upto) / m
     ).withColumns({"n": n, "m": m})
 
@@ -173,14 +159,13 @@ def _segment_offsets(segments: DataFrame) -> Column:
     return F.coalesce(F.sum("total").over(before), F.lit(0.0))
 
 
-def ks_statistic(ref: DataFrame, cur: DataFrame, profiles: Sequence[ColumnProfile]) -> DataFrame:
+def ks_statistic(values: ValueCounts) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov statistic of each column.
 
     Inside a segment the gap is the local one plus a constant, so its largest
     size needs only the local extremes: segments send one row each.
     """
-    gaps = _local_gaps(value_counts(ref, cur, profiles), profiles)
-    segments = gaps.groupBy("feature_no", "segment").agg(
+    segments = _local_gaps(values).groupBy("feature_no", "segment").agg(
         F.max("gap").alias("high"),
         F.min("gap").alias("low"),
         (F.sum("n_ref") / F.first("n") - F.sum("n_cur") / F.first("m")).alias("total"),
@@ -188,23 +173,20 @@ def ks_statistic(ref: DataFrame, cur: DataFrame, profiles: Sequence[ColumnProfil
     at = segments.withColumn("before", _segment_offsets(segments))
     largest = F.greatest(F.abs(F.col("before") + F.col("high")), F.abs(F.col("before") + F.col("low")))
     return at.groupBy("feature_no").agg(F.max(largest).alias("ks_statistic")).select(
-        per_feature([p.name for p in profiles], "string").alias("feature"),
+        _numbers(values, "name", "string").alias("feature"),
         "ks_statistic",
-        per_feature([p.n_ref for p in profiles], "long").alias("n_ref"),
-        per_feature([p.n_cur for p in profiles], "long").alias("n_cur"),
+        _numbers(values, "n_ref", "long").alias("n_ref"),
+        _numbers(values, "n_cur", "long").alias("n_cur"),
     )
 
 
-def ks_pvalue(d: Column, n: Column, m: Column, finite: bool = True) -> Column:
-    """Two-sided p-value of a KS statistic.
+def ks_pvalue(d: Column, n: Column, m: Column) -> Column:
+    """Two-sided p-value of a KS statistic: the limiting distribution at ``D * sqrt(nm / (n + m))``.
 
-    The limiting distribution at ``D * sqrt(nm / (n + m))``; ``finite`` applies
-    the usual correction ``sqrt(e) + 0.12 + 0.11 / sqrt(e)`` for finite samples.
     Below 1 the alternating series converges badly, so its theta-function twin
     is summed there.
     """
-    root = F.sqrt(n * m / (n + m))
-    x = d * (root + 0.12 + 0.11 / root) if finite else d * root
+    x = d * F.sqrt(n * m / (n + m))
     tail = sum(
         (F.lit(2.0 * (-1) ** (k - 1)) * F.exp(-2.0 * k * k * x * x) for k in range(1, _SERIES_TERMS + 1)),
         F.lit(0.0),
@@ -230,14 +212,14 @@ def ks_test(
     cur: DataFrame,
     columns: Sequence[str] | None = None,
     threshold: float = P_THRESHOLD,
-    finite: bool = True,
+    values: ValueCounts | None = None,
 ) -> DataFrame:
     """KS statistic, p-value and verdict (p below ``threshold``) of each column."""
-    profiles = profile(ref, cur, columns)
-    if not profiles:
+    values = value_counts(ref, cur, columns) if values is None else values
+    if values is None or not values.known:
         return ref.sparkSession.createDataFrame([], _KS_SCHEMA)
-    p = ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"), finite)
-    return ks_statistic(ref, cur, profiles).withColumn("p_value", p).withColumn(
+    p = ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"))
+    return ks_statistic(values).withColumn("p_value", p).withColumn(
         "drifted", F.col("p_value") < threshold
     )
 
@@ -296,18 +278,17 @@ def data_drift_record(
 # --------------------------------------------------------- column distances
 
 def wasserstein(
-    ref: DataFrame, cur: DataFrame, columns: Sequence[str] | None = None,
-    profiles: Sequence[ColumnProfile] | None = None,
+    ref: DataFrame, cur: DataFrame, columns: Sequence[str] | None = None, values: ValueCounts | None = None,
 ) -> DataFrame:
     """Wasserstein distance of each column over the reference deviation.
 
     The area between both distribution functions. A segment needs the gap before
     it and the first value after it; both come from the segment totals.
     """
-    profiles = profile(ref, cur, columns) if profiles is None else profiles
-    if not profiles:
+    values = value_counts(ref, cur, columns) if values is None else values
+    if values is None or not values.known:
         return ref.sparkSession.createDataFrame([], "feature string, distance double")
-    gaps = _local_gaps(value_counts(ref, cur, profiles), profiles)
+    gaps = _local_gaps(values)
     segments = gaps.groupBy("feature_no", "segment").agg(
         F.min("value").alias("first_value"),
         (F.sum("n_ref") / F.first("n") - F.sum("n_cur") / F.first("m")).alias("total"),
@@ -322,9 +303,9 @@ def wasserstein(
     steps = gaps.withColumn("next", F.lead("value").over(inner)).join(around, ["feature_no", "segment"])
     width = F.coalesce("next", "after") - F.col("value")
     area = F.sum(F.abs(F.col("before") + F.col("gap")) * width)
-    norm = per_feature([max(p.std_ref, 0.001) for p in profiles], "double")
+    norm = F.greatest(_numbers(values, "std_ref", "double"), F.lit(0.001))
     return steps.groupBy("feature_no").agg(F.coalesce(area, F.lit(0.0)).alias("area")).select(
-        per_feature([p.name for p in profiles], "string").alias("feature"),
+        _numbers(values, "name", "string").alias("feature"),
         (F.col("area") / norm).alias("distance"),
     )
 
@@ -360,100 +341,114 @@ def js_distance(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataF
     )
 
 
-def normal_tail(z: Column) -> Column:
-    """Upper tail of the standard normal, by the usual rational approximation."""
-    a = F.abs(z) / math.sqrt(2)
-    t = 1.0 / (1.0 + 0.3275911 * a)
-    poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
-    half = poly * F.exp(-a * a) / 2
-    return F.when(z >= 0, half).otherwise(1.0 - half)
+def chi_square_tail(statistic: Column, df: Column) -> Column:
+    """Probability of a chi-square variable with ``df`` degrees of freedom above ``statistic``.
+
+    Finite sums: a Poisson sum for even degrees; for odd ones the tail of one degree,
+    which is ``erfc``, and a like sum. Terms are kept as logarithms, so none underflows.
+    """
+    t = statistic / 2
+    odd = df % 2 == 1
+    # erfc(sqrt(t)): the series of its complement where that is small, else a continued fraction from its end.
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(_TAIL_TERMS)), F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total")),
+        lambda a, n: F.struct((a["term"] * t / (n + 0.5)).alias("term"), (a["total"] + a["term"] * t / (n + 0.5)).alias("total")),
+    )["total"]
+    below = 2 * F.sqrt(t / math.pi) * F.exp(-t) * series
+    # e**-t / sqrt(pi) / (z + (1/2) / (z + 1 / (z + (3/2) / ...))) with z = sqrt(t), from far enough out for any t above two.
+    z = F.sqrt(t)
+    fraction = F.aggregate(F.sequence(F.lit(2 * _TAIL_TERMS), F.lit(1), F.lit(-1)), z, lambda a, n: z + n / 2 / a)
+    above = F.exp(-t) / math.sqrt(math.pi) / fraction
+    one = F.when(t <= 2, 1.0 - below).otherwise(above)
+    count = F.floor(F.when(odd, df - 1).otherwise(df) / 2).cast("int")
+    # Terms t**(j + shift) / Gamma(j + shift + 1): whole steps from 0, or from one half.
+    shift = F.when(odd, 0.5).otherwise(0.0)
+    first = F.when(odd, 0.5 * F.log(t) - math.log(math.sqrt(math.pi) / 2)).otherwise(0.0) - t
+    rest = F.aggregate(
+        F.sequence(F.lit(1), F.greatest(count, F.lit(1))),
+        F.struct(first.alias("log"), F.lit(0.0).alias("total")),
+        lambda a, j: F.struct((a["log"] + F.log(t) - F.log(j + shift)).alias("log"), (a["total"] + F.exp(a["log"])).alias("total")),
+    )["total"]
+    p = F.when(odd, one).otherwise(0.0) + F.when(count > 0, rest).otherwise(0.0)
+    return F.when(df <= 0, 1.0).when(statistic == math.inf, 0.0).when(statistic <= 0, 1.0).otherwise(F.least(p, F.lit(1.0)))
 
 
 def chi_square(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Chi-square test of current counts against the reference shares.
 
-    The p-value is the Wilson-Hilferty approximation. A category the reference
-    lacks makes the statistic infinite.
+    A category the reference lacks makes the statistic infinite.
     """
     expected = F.col("n_ref") / F.col("all_ref") * F.col("all_cur")
     off = F.col("n_cur") - expected
     term = F.when(expected > 0, off * off / expected).otherwise(math.inf)
-    k = F.col("df")
-    cube = F.pow(F.try_divide(F.col("statistic"), k), F.lit(1 / 3))
-    spread = F.try_divide(F.lit(2.0), 9 * k)
-    p = (
-        F.when(k == 0, 1.0)
-        .when(F.col("statistic") == math.inf, 0.0)
-        .otherwise(normal_tail(F.try_divide(cube - (1 - spread), F.sqrt(spread))))
-    )
     return _category_counts(ref, cur, columns).groupBy("feature").agg(
         F.sum(term).alias("statistic"), (F.count("*") - 1).alias("df")
-    ).withColumn("p_value", p)
+    ).withColumn("p_value", chi_square_tail(F.col("statistic"), F.col("df")))
+
+
+def proportion_test(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Two-sided test that both sides share one proportion, for columns of two categories.
+
+    The proportion is pooled over both samples. Columns of more categories have no row; one
+    of a single category has the p-value 1.
+    """
+    counts = _category_counts(ref, cur, columns).groupBy("feature").agg(
+        F.count("*").alias("categories"), F.max_by("n_ref", "category").alias("r"), F.max_by("n_cur", "category").alias("c"),
+        F.first("all_ref").alias("n"), F.first("all_cur").alias("m"),
+    ).where("categories <= 2")
+    n, m = F.col("n"), F.col("m")
+    pooled = (F.col("r") + F.col("c")) / (n + m)
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / m))
+    z = F.coalesce(F.try_divide(F.col("r") / n - F.col("c") / m, spread), F.lit(0.0))
+    return counts.select("feature", z.alias("statistic")).withColumn(
+        "p_value", chi_square_tail(F.col("statistic") * F.col("statistic"), F.lit(1))
+    )
 
 
 @dataclass(frozen=True)
 class ShareParams:
-    """Rules of :func:`column_share_drift`."""
+    """Thresholds of :func:`column_share_drift`."""
 
-    small_reference: int = 1000
-    few_values: int = 5
     p_threshold: float = 0.05
     distance_threshold: float = 0.1
     dataset_share: float = 0.5
 
 
 def column_drift(
-    ref: DataFrame, cur: DataFrame, params: ShareParams = ShareParams(),
-    columns: Sequence[str] | None = None,
+    ref: DataFrame, cur: DataFrame, method: str = "distances", categorical: Sequence[str] = (),
+    params: ShareParams = ShareParams(), columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One drift score per column, by a test chosen from its type and the size.
+    """One drift score per column, by its type and the method the caller chooses.
 
-    A small reference gets tests (KS, chi-square: drifted below the p threshold),
-    a large one distances (Wasserstein, Jensen-Shannon: drifted from the distance
-    threshold on). Numeric columns of few distinct values count as categories.
+    ``tests``: KS for numbers, the proportion test for two categories, chi-square for
+    more (drifted below the p threshold). ``distances``: Wasserstein and
+    Jensen-Shannon (drifted from the distance threshold on). Numeric columns named in
+    ``categorical`` count as categories, like all that are not numeric.
     """
-    spark = ref.sparkSession
+    if method not in ("tests", "distances"):
+        raise ValueError(f"unknown method: {method}")
     names = align_features(ref, cur, columns if columns is not None else ref.columns)
-    numeric = [c for c in names if c in numeric_columns(ref)]
-    facts = ref.agg(
-        F.count("*").alias("rows"),
-        *[F.approx_count_distinct(numeric_value(c)).alias(f"d{i}") for i, c in enumerate(numeric)],
-    ).first()
-    # The estimate only has to tell "a handful" from "many"; doubtful ones are counted.
-    doubtful = [c for i, c in enumerate(numeric) if facts[f"d{i}"] <= 4 * params.few_values]
-    exact = (
-        ref.agg(*[F.size(F.collect_set(numeric_value(c))).alias(f"n{i}") for i, c in enumerate(doubtful)]).first()
-        if doubtful else []
-    )
-    few = {c for c, n in zip(doubtful, exact) if n <= params.few_values}
-    spread = [c for c in numeric if c not in few]
-    groups = [c for c in names if c not in spread]
-    small = facts["rows"] <= params.small_reference
+    numeric = set(numeric_columns(ref)) - set(categorical)
+    spread, groups = [c for c in names if c in numeric], [c for c in names if c not in numeric]
 
+    def scored(df: DataFrame, how: str, score: str, drifted: Column) -> DataFrame:
+        return df.select("feature", F.lit(how).alias("method"), F.col(score).alias("score"), drifted.alias("drifted"))
+
+    low = F.col("p_value") < params.p_threshold
+    far = F.col("distance") >= params.distance_threshold
     parts = []
-    if spread and small:
-        tests = ks_test(ref, cur, spread, params.p_threshold)
-        parts.append(tests.select("feature", F.lit("ks").alias("method"), F.col("p_value").alias("score"), "drifted"))
+    if spread and method == "tests":
+        parts.append(scored(ks_test(ref, cur, spread, params.p_threshold), "ks", "p_value", low))
     elif spread:
-        far = wasserstein(ref, cur, spread)
-        parts.append(far.select(
-            "feature", F.lit("wasserstein").alias("method"), F.col("distance").alias("score"),
-            (F.col("distance") >= params.distance_threshold).alias("drifted"),
-        ))
-    if groups and small:
-        tests = chi_square(ref, cur, groups)
-        parts.append(tests.select(
-            "feature", F.lit("chi_square").alias("method"), F.col("p_value").alias("score"),
-            (F.col("p_value") < params.p_threshold).alias("drifted"),
-        ))
+        parts.append(scored(wasserstein(ref, cur, spread), "wasserstein", "distance", far))
+    if groups and method == "tests":
+        two = scored(proportion_test(ref, cur, groups), "proportion", "p_value", low)
+        more = scored(chi_square(ref, cur, groups).where("df > 1"), "chi_square", "p_value", low)
+        parts += [two, more]
     elif groups:
-        far = js_distance(ref, cur, groups)
-        parts.append(far.select(
-            "feature", F.lit("jensen_shannon").alias("method"), F.col("distance").alias("score"),
-            (F.col("distance") >= params.distance_threshold).alias("drifted"),
-        ))
+        parts.append(scored(js_distance(ref, cur, groups), "jensen_shannon", "distance", far))
     if not parts:
-        return spark.createDataFrame([], "feature string, method string, score double, drifted boolean")
+        return ref.sparkSession.createDataFrame([], "feature string, method string, score double, drifted boolean")
     out = parts[0]
     for more in parts[1:]:
         out = out.unionByName(more)
@@ -461,13 +456,13 @@ def column_drift(
 
 
 def column_share_drift(
-    ref: DataFrame, cur: DataFrame, params: ShareParams = ShareParams(),
-    columns: Sequence[str] | None = None,
+    ref: DataFrame, cur: DataFrame, method: str = "distances", categorical: Sequence[str] = (),
+    params: ShareParams = ShareParams(), columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Dataset verdict: at least ``dataset_share`` of the columns drifted."""
     drifted = F.count_if("drifted")
     share = F.coalesce(F.try_divide(drifted, F.count("*")), F.lit(0.0))
-    return column_drift(ref, cur, params, columns).agg(
+    return column_drift(ref, cur, method, categorical, params, columns).agg(
         (share >= params.dataset_share).alias("drift_detected"),
         share.alias("drift_score"),
         F.count("*").alias("number_of_columns"),

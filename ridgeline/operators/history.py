@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ridgeline.operators.running import running
 from ridgeline.operators.skew import lookup
@@ -51,24 +54,59 @@ def early_stop(
     if patience < 1:
         raise ValueError("patience must be at least 1")
     lengths = h.groupBy(run).agg(F.max("epoch").alias("epochs"))
-    records = _until_stopped(h, patience, min_delta, run).groupBy(run).agg(
-        F.array_sort(F.collect_list(F.struct("epoch", "loss"))).alias("records")
+    seen = _until_stopped(h.select(run, "epoch", "loss"), patience, min_delta, run)
+    ordered = seen.select(run, F.col("epoch").cast("long"), F.col("loss").cast("double")).repartition(run).sortWithinPartitions(run, "epoch")
+    fields = T.StructType([
+        h.schema[run], T.StructField("best_epoch", T.LongType()), T.StructField("best_loss", T.DoubleType()),
+    ])
+    best = ordered.mapInArrow(_best_of_runs(run, patience, min_delta), fields)
+    out_of_patience = F.col("epochs") - F.col("best_epoch") >= patience
+    return best.join(lengths, run).select(
+        run,
+        "best_epoch",
+        "best_loss",
+        F.when(out_of_patience, F.col("best_epoch") + patience).otherwise(F.col("epochs")).alias("last_epoch"),
+        out_of_patience.alias("stopped_early"),
     )
-    start = F.struct(F.lit(0).cast("long").alias("epoch"), F.lit(float("inf")).alias("loss"))
 
-    def step(best: Column, r: Column) -> Column:
-        stopped = r["epoch"] - best["epoch"] > patience
-        better = r["loss"] < best["loss"] - min_delta
-        return F.when(~stopped & better, F.struct(r["epoch"].cast("long").alias("epoch"), r["loss"].alias("loss"))).otherwise(best)
 
-    best = F.aggregate("records", start, step)
-    out_of_patience = F.col("epochs") - F.col("best.epoch") >= patience
-    return records.withColumn("best", best).join(lengths, run).select(
-        run,
-        F.col("best.epoch").alias("best_epoch"),
-        F.col("best.loss").alias("best_loss"),
-        F.when(out_of_patience, F.col("best.epoch") + patience).otherwise(F.col("epochs")).alias("last_epoch"),
-        out_of_patience.alias("stopped_early"),
+def _best_of_runs(run: str, patience: int, min_delta: float):
+    """Folds sorted epochs batch by batch; of a run only its best so far is kept."""
+
+    def fold(batches):
+        current, best_epoch, best_loss, stopped, begun = None, 0, float("inf"), False, False
+        for batch in batches:
+            names = batch.column(0)
+            epochs, losses = batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
+            ids = names.to_pylist()
+            limits = [0, *[i for i in range(1, len(ids)) if ids[i] != ids[i - 1]], len(ids)] if ids else []
+            done = []
+            for a, b in zip(limits, limits[1:]):
+                if not begun or ids[a] != current:
+                    if begun:
+                        done.append((current, best_epoch, best_loss))
+                    current, best_epoch, best_loss, stopped, begun = ids[a], 0, float("inf"), False, True
+                part = losses[a:b]
+                # Only epochs below all before them in the batch can be the next best.
+                below = np.fmin.accumulate(part)
+                records = np.flatnonzero(np.concatenate(([True], below[1:] < below[:-1])))
+                for i in records.tolist():
+                    stopped = stopped or epochs[a + i] - best_epoch > patience
+                    if stopped:
+                        break
+                    if part[i] < best_loss - min_delta:
+                        best_epoch, best_loss = int(epochs[a + i]), float(part[i])
+            yield _best_rows(done, names.type, run)
+        if begun:
+            yield _best_rows([(current, best_epoch, best_loss)], names.type, run)
+
+    return fold
+
+
+def _best_rows(rows: list[tuple], kind: pa.DataType, run: str) -> pa.RecordBatch:
+    ids, epochs, losses = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids, kind), pa.array(epochs, pa.int64()), pa.array(losses, pa.float64())], names=[run, "best_epoch", "best_loss"]
     )
 
 

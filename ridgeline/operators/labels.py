@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ridgeline.operators.skew import lookup
+from ridgeline.operators.skew import MIN_HOT_ROWS, lookup
 from ridgeline.runtime import materialize
 
 # monotonically_increasing_id keeps the partition in the upper bits.
@@ -37,33 +37,41 @@ def ordered_rank(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     )
 
 
-def build_label_index(df: DataFrame, id_col: str, max_ids: int | None = None) -> DataFrame:
+def build_label_index(df: DataFrame, id_col: str) -> DataFrame:
     """``(id_col, label)`` with labels 0..k-1 in id order; nulls get none.
 
-    ``max_ids`` is a bound the id format itself proves (strict subject ids: three
-    digits). Under it the few distinct ids are numbered in one small window;
-    without a bound they are ranked by range partitions.
+    Distinct ids are ranked by range partitions, so their number has no bound.
     """
     ids = df.select(id_col).where(F.col(id_col).isNotNull()).distinct()
-    if max_ids is not None and max_ids <= 100_000:
-        position = F.row_number().over(W.orderBy(id_col)) - 1
-        return ids.select(id_col, position.cast("int").alias("label"))
     return ordered_rank(ids, [id_col], "label").select(id_col, F.col("label").cast("int"))
 
 
+def save_labels(labels: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Stores a dictionary, so that scoring later uses that of training."""
+    labels.write.mode(mode).parquet(path)
+
+
+def load_labels(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def num_classes(labels: DataFrame) -> DataFrame:
     return labels.agg(F.count("*").alias("num_classes"))
 
 
 def attach_label(
-    df: DataFrame, labels: DataFrame, id_col: str = "subject_id", spread: Sequence[str] | None = None
+    df: DataFrame, labels: DataFrame, id_col: str = "subject_id", spread: Sequence[str] | None = None,
+    max_ids: int | None = None, min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Adds ``label``; rows of unknown ids keep NULL.
 
-    The dictionary grows with the subjects, so it is not broadcast by hint: Spark
-    decides by its measured size. ``spread`` names columns that differ within an
+    ``max_ids`` is a bound the id format itself proves (strict subject ids: three
+    digits), under which the dictionary is broadcast. Otherwise it grows with the
+    subjects and carries no hint. ``spread`` then names columns that differ within an
     id; with it hot ids are spread over tasks.
     """
+    if max_ids is not None:
+        return df.join(F.broadcast(labels), id_col, "left")
     if spread:
-        return lookup(df, labels, id_col, spread, "left")
+        return lookup(df, labels, id_col, spread, "left", min_hot_rows)
     return df.join(labels, id_col, "left")

@@ -2,6 +2,10 @@
 
 Rows are counted once per (label, prediction); everything else works on those
 few cells. Rates over nothing are 0. Classes are all true or predicted values.
+
+One rule for missing values: a row without a label is left out of everything; a row
+without a prediction is a sample that was missed. It lowers accuracy and the recall of
+its class, and NULL is no class.
 """
 
 from __future__ import annotations
@@ -15,6 +19,7 @@ from pyspark.sql import functions as F
 from ridgeline.functions.rows import inline_rows
 from ridgeline.functions.vectors import argmax, log_sum_exp
 from ridgeline.operators.running import running
+from ridgeline.runtime import materialize
 
 _RATES = ("precision", "recall", "f1")
 
@@ -24,41 +29,31 @@ def _rate(part: Column, whole: Column) -> Column:
 
 
 def accuracy(df: DataFrame, y: str, p: str) -> DataFrame:
-    hits = (F.col(p) == F.col(y)).cast("double")
-    return df.agg(F.avg(hits).alias("accuracy"), F.count("*").alias("num_samples"))
+    hits = F.coalesce(F.col(p) == F.col(y), F.lit(False)).cast("double")
+    return df.where(F.col(y).isNotNull()).agg(F.avg(hits).alias("accuracy"), F.count("*").alias("num_samples"))
 
 
 def confusion_cells(df: DataFrame, y: str, p: str) -> DataFrame:
-    """Counts of the (label, prediction) combinations that occur."""
-    return df.groupBy(F.col(y).alias("label"), F.col(p).alias("prediction")).agg(
+    """Counts of the (label, prediction) combinations that occur; a missing prediction is NULL."""
+    return df.where(F.col(y).isNotNull()).groupBy(F.col(y).alias("label"), F.col(p).alias("prediction")).agg(
         F.count("*").alias("n")
     )
 
 
-def confusion_matrix(df: DataFrame, y: str, p: str, dense: bool = True) -> DataFrame:
-    """``(label, prediction, n)``; ``dense`` also lists the zero cells.
+def confusion_matrix(df: DataFrame, y: str, p: str, dense: bool = False) -> DataFrame:
+    """``(label, prediction, n)``: the cells that occur; ``dense`` also lists the zeros.
 
-    Each class lays its counts out along the sorted class list, so the zeros
-    cost no join.
+    The dense form pairs every class with every class, as its result does; missing
+    predictions keep their cells in both.
     """
     cells = confusion_cells(df, y, p)
     if not dense:
         return cells
-    both = cells.select("label", "prediction", "n").unionByName(
-        cells.select(F.col("prediction").alias("label"), "prediction", F.lit(0).cast("long").alias("n"))
-    )
-    classes = cells.select(F.explode(F.array("label", "prediction")).alias("c")).agg(
-        F.array_sort(F.collect_set("c")).alias("classes")
-    ).scalar()
-    rows = (
-        both.groupBy("label", "prediction").agg(F.sum("n").alias("n"))
-        .groupBy("label").agg(F.map_from_entries(F.collect_list(F.struct("prediction", "n"))).alias("m"))
-        .withColumn("prediction", classes)
-    )
-    line = rows.select("label", "m", F.explode("prediction").alias("prediction"))
-    return line.select(
-        "label", "prediction", F.coalesce(F.try_element_at("m", F.col("prediction")), F.lit(0)).alias("n")
-    )
+    cells = materialize(cells, "confusion")
+    classes = cells.select(F.explode(F.array("label", "prediction")).alias("label")).where("label is not null").distinct()
+    every = classes.crossJoin(classes.select(F.col("label").alias("prediction")))
+    filled = every.join(cells, ["label", "prediction"], "left").select("label", "prediction", F.coalesce("n", F.lit(0)).alias("n"))
+    return filled.unionByName(cells.where("prediction is null"))
 
 
 def per_class_metrics(df: DataFrame, y: str, p: str) -> DataFrame:
@@ -75,7 +70,7 @@ def class_metrics_from_cells(cells: DataFrame) -> DataFrame:
         [F.col("label"), F.col("n"), none, hit],
         [F.col("prediction"), none, F.col("n"), none],
     )
-    counts = cells.select(roles).groupBy("class").agg(
+    counts = cells.select(roles).where(F.col("class").isNotNull()).groupBy("class").agg(
         F.sum("support").alias("support"), F.sum("predicted").alias("predicted"), F.sum("tp").alias("tp")
     )
     return counts.select(
@@ -168,12 +163,15 @@ def cross_entropy(df: DataFrame, z: str, y: str, by: Sequence[str] = ()) -> Data
     """Mean of ``logsumexp(z) - z[y]`` and accuracy.
 
     Batch means weighted by batch size are the mean over rows, so batches need
-    not be formed.
+    not be formed. Rows without scores or label are left out of all three; a label
+    outside the scores is an error.
     """
-    loss = log_sum_exp(F.col(z)) - F.get(F.col(z), F.col(y))
-    return df.groupBy(*by).agg(
-        F.avg(loss).alias("loss"),
-        F.avg((argmax(F.col(z)) == F.col(y)).cast("double")).alias("accuracy"),
+    place = F.col(y)
+    outside = F.format_string("label %d has no score", place.cast("long"))
+    own = F.when((place < 0) | (place >= F.size(z)), F.raise_error(outside).cast("double")).otherwise(F.get(F.col(z), place))
+    return df.where(F.col(z).isNotNull() & place.isNotNull()).groupBy(*by).agg(
+        F.avg(log_sum_exp(F.col(z)) - own).alias("loss"),
+        F.avg((argmax(F.col(z)) == place).cast("double")).alias("accuracy"),
         F.count("*").alias("n"),
     )
 

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ridgeline.runtime import materialize
+
 _MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -90,3 +92,24 @@ def numbered(
 ) -> DataFrame:
     """Adds the 1-based position of a row within its key."""
     return running(df, keys, segment, order, {name: ("sum", F.lit(1).cast("long"))})
+
+
+def running_by_range(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], aggregates: dict[str, tuple[str, Column]],
+    totals: bool = False,
+) -> DataFrame:
+    """:func:`running` where no segment is known: rows are dealt by ranges of ``(keys, order)``.
+
+    A key of any size, also with all rows at one time, is cut at its order. The
+    ranges are written, so a repeated task cannot draw others. ``order`` must part the
+    rows of a key.
+    """
+    dealt = materialize(df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()), "ranges", df.sparkSession)
+    return running(dealt, keys, F.col("_range"), order, aggregates, totals=totals).drop("_range")
+
+
+def numbered_by_range(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, totals: bool = False
+) -> DataFrame:
+    """The 1-based position of a row within its key; with ``totals`` also ``<name>_total``, the key's rows."""
+    return running_by_range(df, keys, order, {name: ("sum", F.lit(1).cast("long"))}, totals)

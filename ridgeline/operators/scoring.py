@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import dataset
+from pyarrow.fs import FileSystem
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeline.functions.rows import inline_rows
-from ridgeline.functions.vectors import fuse_attention, fuse_concat, fuse_weighted, matrix_rows
-from ridgeline.runtime import materialize
+from ridgeline.functions.vectors import (
+    argmax,
+    confidence,
+    fuse_attention,
+    fuse_concat,
+    fuse_weighted,
+    head_scores,
+    matrix_rows,
+)
+from ridgeline.operators.classifier import model_scores
+from ridgeline.operators.running import numbered_by_range
+from ridgeline.runtime import scratch_path
 
 # Classes per block: with vectors of 1024 doubles a block is 32 MB, which is what
-# one task function may carry.
+# a task holds of a model.
 BLOCK_CLASSES = 4096
 
 
@@ -36,6 +50,40 @@ class LinearScorer:
 
     blocks: tuple[ScoreBlock, ...]
 
+    def each(self) -> Iterator[ScoreBlock]:
+        return iter(self.blocks)
+
+
+@dataclass(frozen=True)
+class StoredScorer:
+    """The same with its blocks in a folder that every task can read.
+
+    The driver holds no class. A task reads one block at a time, in label order;
+    a model of one block is read once per process.
+    """
+
+    path: str
+    blocks: int
+
+    def each(self) -> Iterator[ScoreBlock]:
+        if self.blocks == 1:
+            yield _only_block(self.path)
+        else:
+            yield from (_read_block(self.path, i) for i in range(self.blocks))
+
+
+def _read_block(path: str, number: int) -> ScoreBlock:
+    store, root = FileSystem.from_uri(path)
+    table = dataset.dataset(f"{root}/block={number}", filesystem=store, format="parquet").to_table(columns=["label", "centroid"])
+    order = np.argsort(table["label"].to_numpy(), kind="stable")
+    w = np.asarray(table["centroid"].combine_chunks().flatten(), np.float64).reshape(len(order), -1)[order]
+    return ScoreBlock(table["label"].to_numpy()[order], w, -(w**2).sum(axis=1) / 2)
+
+
+@lru_cache(maxsize=2)
+def _only_block(path: str) -> ScoreBlock:
+    return _read_block(path, 0)
+
 
 def linear_scorer(
     weights: np.ndarray, bias: np.ndarray, labels: Sequence[int] | None = None,
@@ -55,86 +103,104 @@ def centroid_fit(df: DataFrame, vec: str, label: str = "label") -> DataFrame:
     ).select("label", vector_to_array("m").alias("centroid"), "n")
 
 
-def centroid_scorer(centroids: DataFrame, block_classes: int = BLOCK_CLASSES) -> LinearScorer:
+def centroid_scorer(centroids: DataFrame, block_classes: int = BLOCK_CLASSES) -> StoredScorer:
     """Nearest centroid as a linear head: ``x . c - |c|^2 / 2`` is greatest for the nearest.
 
-    Reads the model, never the data: one vector per class. Up to ``block_classes``
-    come in one transfer; a larger model is written down once and fetched by
-    label range, block by block.
+    Classes are numbered in label order and written in blocks of ``block_classes``, one
+    road for a model of any size and for labels however far apart.
     """
-    table = centroids.select("label", "centroid")
-    rows = table.limit(block_classes + 1).collect()
-    if not rows:
+    table = centroids.select(F.col("label").cast("long"), "centroid").where("label is not null")
+    placed = numbered_by_range(table.withColumn("_all", F.lit(0)), ["_all"], ["label"], "_nth")
+    blocked = placed.select("label", "centroid", F.floor((F.col("_nth") - 1) / block_classes).alias("block"))
+    path = scratch_path(centroids.sparkSession, "centroids")
+    blocked.repartition("block").write.partitionBy("block").parquet(path)
+    if blocked.isEmpty():
         raise ValueError("no centroids to score with")
-    if len(rows) <= block_classes:
-        return LinearScorer((_block(rows),))
-    fixed = materialize(table, "centroids")
-    ends = fixed.agg(F.min("label").alias("lo"), F.max("label").alias("hi")).first()
-    ranges = range(ends["lo"], ends["hi"] + 1, block_classes)
-    parts = (fixed.where(F.col("label").between(i, i + block_classes - 1)).collect() for i in ranges)
-    return LinearScorer(tuple(_block(part) for part in parts if part))
+    return load_scorer(centroids.sparkSession, path)
+
 
+def load_scorer(spark: SparkSession, path: str) -> StoredScorer:
+    """The scorer that :func:`centroid_scorer` wrote there."""
+    blocks = spark.read.parquet(path).select(F.max("block")).first()[0]
+    if blocks is None:
+        raise ValueError(f"no centroids in {path}")
+    return StoredScorer(path, blocks + 1)
 
-def _block(rows: list) -> ScoreBlock:
-    rows = sorted(rows, key=lambda r: r["label"])
-    w = np.array([r["centroid"] for r in rows], dtype=np.float64)
-    return ScoreBlock(np.array([r["label"] for r in rows]), w, -(w**2).sum(axis=1) / 2)
 
+def _best_of(scorer: LinearScorer | StoredScorer, vec: Column) -> Column:
+    """First label of the best score and its softmax share, block after block.
 
-def _best_of(block: ScoreBlock, vec: Column) -> Column:
-    """Best score of a block, its first label, and the softmax mass relative to it."""
-    labels, w, b = block.labels.astype(np.int32), block.w, block.b
+    What a block leaves behind is merged exactly: the better of two bests (the earlier,
+    smaller label on ties) and the sum of both masses, relative to it.
+    """
 
-    @F.arrow_udf("struct<top:double,label:int,mass:double>")
+    @F.arrow_udf("struct<label:bigint,confidence:double>")
     def op(vectors: pa.Array) -> pa.Array:
         x, present = matrix_rows(vectors)
-        top, at, mass = np.zeros(len(vectors)), np.zeros(len(vectors), np.int32), np.zeros(len(vectors))
+        label, share = np.zeros(len(vectors), np.int64), np.zeros(len(vectors))
         if len(x):
-            z = x @ w.T + b
-            best = z.argmax(axis=1)
-            peak = z[np.arange(len(z)), best]
-            top[present], at[present] = peak, labels[best]
-            mass[present] = np.exp(z - peak[:, None]).sum(axis=1)
+            top, at, mass = np.full(len(x), -np.inf), np.zeros(len(x), np.int64), np.zeros(len(x))
+            for block in scorer.each():
+                z = x @ block.w.T + block.b
+                best = z.argmax(axis=1)
+                peak = np.maximum(top, z[np.arange(len(z)), best])
+                at = np.where(z[np.arange(len(z)), best] > top, block.labels[best], at)
+                mass = mass * np.exp(top - peak) + np.exp(z - peak[:, None]).sum(axis=1)
+                top = peak
+            label[present], share[present] = at, 1.0 / mass
         return pa.StructArray.from_arrays(
-            [pa.array(top), pa.array(at), pa.array(mass)], names=["top", "label", "mass"],
-            mask=pa.array(~present),
+            [pa.array(label), pa.array(share)], names=["label", "confidence"], mask=pa.array(~present),
         )
 
     return op(vec)
 
 
-def score(df: DataFrame, scorer: LinearScorer, vec: str) -> DataFrame:
+def score(df: DataFrame, scorer: LinearScorer | StoredScorer, vec: str, label_type: str = "int") -> DataFrame:
     """Adds ``prediction`` and ``confidence`` in one pass; no row is shuffled.
 
-    Ties go to the smallest label. Several blocks are merged per row: the best of
-    the bests, and the sum of their softmax masses.
+    Ties go to the smallest label. ``label_type`` is that of the labels the model was fitted on.
     """
-    names = [f"_b{i}" for i in range(len(scorer.blocks))]
-    parts = df.withColumns({n: _best_of(b, F.col(vec)) for n, b in zip(names, scorer.blocks)})
-    top = F.greatest(*[F.col(f"{n}.top") for n in names]) if len(names) > 1 else F.col("_b0.top")
-    # Blocks ascend by label, so the first one at the top has the smallest.
-    prediction = F.coalesce(*[F.when(F.col(f"{n}.top") == top, F.col(f"{n}.label")) for n in names])
-    mass = sum((F.col(f"{n}.mass") * F.exp(F.col(f"{n}.top") - top) for n in names), F.lit(0.0))
-    return parts.select(
-        *df.columns, prediction.alias("prediction"), (1.0 / mass).alias("confidence")
+    return df.withColumn("_best", _best_of(scorer, F.col(vec))).select(
+        *df.columns, F.col("_best.label").cast(label_type).alias("prediction"), F.col("_best.confidence").alias("confidence")
+    )
+
+
+def score_head(df: DataFrame, vec: str, params: dict) -> DataFrame:
+    """The same from a trained head (:func:`head_scores`): first best logit and its softmax share."""
+    z = F.col("_z")
+    return df.withColumn("_z", head_scores(F.col(vec), params)).select(
+        *df.columns, argmax(z).alias("prediction"), confidence(z).alias("confidence")
     )
 
 
+Model = LinearScorer | StoredScorer | PipelineModel | dict
+
+
+def scored_by(df: DataFrame, model: Model, vec: str) -> DataFrame:
+    """``prediction`` and ``confidence`` of any model: centroids, a linear scorer, head parameters, or a fitted classifier."""
+    if isinstance(model, (LinearScorer, StoredScorer)):
+        return score(df, model, vec)
+    if isinstance(model, dict):
+        return score_head(df, vec, model)
+    return model_scores(df, model, vec)
+
+
 def score_table(
-    df: DataFrame, scorer: LinearScorer, vec: str = "embedding",
-    labels: DataFrame | None = None, with_embeddings: bool = False,
+    df: DataFrame, model: Model, vec: str = "embedding",
+    labels: DataFrame | None = None, with_embeddings: bool = False, keep: Sequence[str] = (),
 ) -> DataFrame:
-    """The prediction table: subject, prediction, label, confidence, correct.
+    """The prediction table: subject, prediction, label, confidence, correct; and the columns to ``keep``.
 
     ``labels`` (subject_id, label) is the dictionary of training; without it the
-    rows bring their own ``label``.
+    rows bring their own ``label``. A subject the dictionary lacks has a NULL label.
     """
     known = df if labels is None else df.drop("label").join(labels, "subject_id", "left")
-    scored = score(known, scorer, vec)
+    scored = scored_by(known, model, vec)
     return scored.select(
         "subject_id", "prediction", F.col("label").cast("int").alias("label"), "confidence",
         (F.col("prediction") == F.col("label")).alias("correct"),
         *([F.col(vec).alias("embedding")] if with_embeddings else []),
+        *keep,
     )
 
 

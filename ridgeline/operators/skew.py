@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.runtime import materialize
+
 # A key is hot when it holds more than 1/HOT_SHARE of the rows. No more than
 # HOT_SHARE keys can, which bounds every table of hot keys that is broadcast.
 HOT_SHARE = 1000
@@ -19,9 +21,8 @@ HOT_SHARE = 1000
 MIN_HOT_ROWS = 100_000
 
 
-def ordinary_rows(df: DataFrame, min_rows: int) -> Column:
+def ordinary_rows(total: Column, min_rows: int) -> Column:
     """The largest number of rows a key may hold without being hot."""
-    total = df.agg(F.count("*").alias("n")).scalar()
     return F.greatest(F.lit(min_rows), F.ceil(total / HOT_SHARE))
 
 
@@ -37,10 +38,13 @@ def lookup(
     """Joins ``rows`` with a table of one row per ``key``, ``inner`` or ``left``.
 
     ``spread`` names columns that differ within a key; their hash picks the salt,
-    so a repeated task picks the same one.
+    so a repeated task picks the same one. ``rows`` are read twice: counts per key
+    are written first, one row each.
     """
-    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    sized = counts.withColumn("_ordinary", ordinary_rows(rows, min_hot_rows))
+    counts = materialize(
+        rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")), "key-counts"
+    )
+    sized = counts.withColumn("_ordinary", ordinary_rows(counts.agg(F.sum("_n")).scalar(), min_hot_rows))
     hot = F.broadcast(
         sized.where("_n > _ordinary").select(key, cuts(F.col("_n"), F.col("_ordinary")).alias("_salts"))
     )

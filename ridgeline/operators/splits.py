@@ -6,6 +6,7 @@ their leading hex digits make balanced segments whatever the keys look like.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row
@@ -21,8 +22,10 @@ _DIGITS = 3  # 4096 buckets per level
 
 
 def order_hash(seed: int | str, *keys: Column | str) -> Column:
+    """Hash of the seed and the keys; no two different lists of keys are written alike."""
     parts = [F.col(k) if isinstance(k, str) else k for k in keys]
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[p.cast("string") for p in parts]))
+    plain = [F.replace(F.replace(p.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:")) for p in parts]
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(p, F.lit("\\N")) for p in plain]))
 
 
 def split_cutoffs(
@@ -95,12 +98,21 @@ def exact_split(
 ) -> DataFrame:
     """Adds ``split``: exactly ``int(r0*n)`` train, ``int(r1*n)`` val, the rest test.
 
-    ``key`` must be unique per row. The two cutoffs are found at once and become
-    constants of the plan, so later jobs on the result do not look for them again;
-    rows are not moved.
+    ``key`` must be unique per row; where repeats make the sizes come out wrong, this
+    raises. The two cutoffs are found at once and become constants of the plan, so
+    later jobs on the result do not look for them again; rows are not moved. The keys
+    are read four times and never shuffled whole: that is what no sort costs.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    return split_at(df, keys, split_cutoffs(df, keys, ratios, seed).first(), seed)
+    cutoffs = split_cutoffs(df, keys, ratios, seed).first()
+    h = order_hash(seed, *keys)
+    upto = [F.count_if(h <= cutoffs[c]).alias(c) if cutoffs[c] is not None else F.lit(0).alias(c) for c in ("train", "val")]
+    got = df.agg(F.count("*").alias("n"), *upto).first()
+    train, val = (math.floor(got["n"] * float(r)) for r in ratios[:2])
+    # A cutoff that is NULL stands for a split that is empty from the start.
+    if (cutoffs["train"] is not None and got["train"] != train) or (cutoffs["val"] is not None and got["val"] != train + val):
+        raise ValueError(f"keys {keys} repeat: no exact split")
+    return split_at(df, keys, cutoffs, seed)
 
 
 def grouped_split(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.operators.skew import lookup
+from ridgeline.runtime import materialize
 
 STATISTICS = ("mean", "std", "min", "max", "median", "q25", "q75", "skewness", "kurtosis")
 _TYPE = pa.struct([(name, pa.float64()) for name in STATISTICS])
@@ -65,11 +66,13 @@ def pair_features(iris: DataFrame, fingerprint: DataFrame) -> DataFrame:
     """Statistics of each iris image and of the first fingerprint of its subject.
 
     Inputs: ``subject_id``, ``path``, ``pixels``. Statistics are taken per image
-    before anything is joined or grouped, so pixels never shuffle.
+    before anything is joined or grouped, so pixels never shuffle; a fingerprint
+    without pixels does not count. Statistics read twice are written first, so each
+    image is worked on once.
     """
-    left = image_stats(iris.select("subject_id", "path", "pixels"), "pixels", "iris_")
+    left = materialize(image_stats(iris.select("subject_id", "path", "pixels"), "pixels", "iris_"), "image-stats")
     nine = fingerprint.select("subject_id", "path", pixel_stats(F.col("pixels")).alias("s"))
-    first = nine.groupBy("subject_id").agg(F.min_by("s", "path").alias("s"))
+    first = nine.groupBy("subject_id").agg(F.min_by("s", F.when(F.col("s").isNotNull(), F.col("path"))).alias("s"))
     right = first.select(
         "subject_id", *[F.col(f"s.{name}").alias(f"fingerprint_{name}") for name in STATISTICS]
     )

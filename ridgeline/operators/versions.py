@@ -1,9 +1,11 @@
 """Model versions as an append-only log of events.
 
 A log row says what a version is from ``event_ts`` on:
-``(model, version, event_ts, alias, tags, metrics)``. Lifecycle steps append
-rows; state is always the latest event. All operators work over any number of
-models at once, and reduce by aggregates that combine before the shuffle.
+``(model, version, event_ts, seq, alias, tags, metrics)``; ``seq`` orders events of
+one time. Lifecycle steps append rows; state is always the latest event. An alias
+belongs to the version that was given it last, and to nobody once that version
+has another. All operators work over any number of models at once, and reduce by
+aggregates that combine before the shuffle.
 """
 
 from __future__ import annotations
@@ -17,40 +19,36 @@ from pyspark.sql import functions as F
 from ridgeline.functions.change import relative_change, winner
 from ridgeline.functions.rows import row_array
 from ridgeline.operators.drift import PRIMARY_METRIC
-from ridgeline.operators.running import numbered
+from ridgeline.operators.running import numbered_by_range
 from ridgeline.operators.skew import lookup
 
 # The aliases a version can hold.
 CHAMPION, CHALLENGER, ARCHIVED = "champion", "challenger", "archived"
 
-LOG_COLUMNS = ("model", "version", "event_ts", "alias", "tags", "metrics")
+LOG_COLUMNS = ("model", "version", "event_ts", "seq", "alias", "tags", "metrics")
 PROMOTION_THRESHOLD = 0.01
-MAX_LISTED = 100
-
-
-def _day(ts: str = "event_ts") -> Column:
-    """Segment of a model's history, so one busy model spreads over tasks."""
-    return F.unix_date(F.to_date(ts))
 
 
 def current_versions(log: DataFrame) -> DataFrame:
     """The latest event of every version."""
-    state = F.max_by(F.struct("alias", "tags", "metrics"), F.col("event_ts"))
+    state = F.max_by(F.struct("alias", "tags", "metrics"), F.struct("event_ts", "seq"))
     return log.groupBy("model", "version").agg(
-        F.max("event_ts").alias("event_ts"), state.alias("s")
-    ).select("model", "version", "event_ts", "s.alias", "s.tags", "s.metrics")
+        F.max(F.struct("event_ts", "seq")).alias("t"), state.alias("s")
+    ).select("model", "version", "t.event_ts", "t.seq", "s.alias", "s.tags", "s.metrics")
 
 
 def register(
-    log: DataFrame, new_versions: DataFrame, alias: str = CHALLENGER, framework: str = "spark-ml"
+    log: DataFrame, new_versions: DataFrame, tie_break: str, alias: str = CHALLENGER, framework: str = "spark-ml"
 ) -> DataFrame:
     """Log rows for new versions, numbered on from each model's highest version.
 
-    ``new_versions``: model, event_ts, tags, metrics. Tags are the defaults, then
-    the given ones, then ``metric_<name>`` with the value rounded to 4 digits.
+    ``new_versions``: model, event_ts, tags, metrics, and a column ``tie_break`` that
+    parts versions of a model registered at one time. Tags are the defaults, then
+    the given ones, then ``metric_<name>`` with the value rounded to 4 digits. Of several
+    new versions of a model the last holds the alias, the others have passed it on.
     """
     highest = log.groupBy("model").agg(F.max("version").alias("_highest"))
-    nth = numbered(new_versions, ["model"], _day(), ["event_ts"], "_nth")
+    nth = numbered_by_range(new_versions, ["model"], ["event_ts", tie_break], "_nth", totals=True)
     placed = lookup(nth, highest, "model", ["_nth"], "left")
     defaults = F.create_map(
         F.lit("alias"), F.lit(alias),
@@ -71,18 +69,40 @@ def register(
         "model",
         (F.coalesce("_highest", F.lit(0)) + F.col("_nth")).cast("int").alias("version"),
         "event_ts",
-        F.lit(alias).alias("alias"),
+        F.lit(0).cast("long").alias("seq"),
+        F.when(F.col("_nth") == F.col("_nth_total"), F.lit(alias)).alias("alias"),
         merged.alias("tags"),
         "metrics",
     )
 
 
+def registered(
+    log: DataFrame, new_versions: DataFrame, tie_break: str, alias: str = CHALLENGER, framework: str = "spark-ml"
+) -> DataFrame:
+    """The log with new versions appended; who held their alias before ends without one."""
+    fresh = register(log, new_versions, tie_break, alias, framework)
+    since = fresh.where(F.col("alias").isNotNull()).select("model", F.col("event_ts").alias("since"))
+    held = alias_holders(log).where(F.col("alias") == alias).select("model", "version").join(since, "model")
+    ended = held.join(current_versions(log), ["model", "version"]).select(
+        "model", "version", F.greatest("since", "event_ts").alias("event_ts"),
+        F.when(F.col("since") > F.col("event_ts"), 0).otherwise(F.col("seq") + 1).cast("long").alias("seq"),
+        F.lit(None).cast("string").alias("alias"), "tags", "metrics",
+    )
+    return log.select(*LOG_COLUMNS).unionByName(fresh).unionByName(ended)
+
+
 def alias_holders(log: DataFrame) -> DataFrame:
-    """The one holder of each alias: the version that got it last and still has it."""
-    latest = F.struct("event_ts", "version")
-    return current_versions(log).where("alias is not null").groupBy("model", "alias").agg(
-        F.max(latest).alias("t"), F.max_by("metrics", latest).alias("metrics")
-    ).select("model", "alias", "t.version", "t.event_ts", "metrics")
+    """The one holder of each alias: the version that was given it last, if it still has it.
+
+    An alias whose last holder moved on has none; no earlier version takes its place.
+    """
+    given = F.struct("event_ts", "seq", "version")
+    last = log.where("alias is not null").groupBy("model", "alias").agg(F.max(given).alias("t")).select(
+        "model", "alias", "t.version"
+    )
+    return last.join(current_versions(log), ["model", "version", "alias"]).select(
+        "model", "alias", "version", "event_ts", "metrics"
+    )
 
 
 def by_tag(log: DataFrame, key: str, value: str) -> DataFrame:
@@ -93,15 +113,18 @@ def by_tag(log: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def list_versions(log: DataFrame, include_archived: bool = False, limit: int = MAX_LISTED) -> DataFrame:
-    """Versions of each model, newest first, at most ``limit`` per model.
+def list_versions(log: DataFrame, include_archived: bool = False, limit: int | None = None) -> DataFrame:
+    """Versions of each model with their place, newest first; all of them, or the first ``limit``.
 
-    Spark applies the rank limit before the shuffle too, so a model of many
-    versions sends few rows.
+    With a limit Spark applies it before the shuffle too, so a model of many versions
+    sends few rows; without one, versions are numbered by range, so that it spreads.
     """
     versions = current_versions(log)
     if not include_archived:
         versions = versions.where(~F.col("alias").eqNullSafe(ARCHIVED))
+    if limit is None:
+        ranked = numbered_by_range(versions.withColumn("_down", -F.col("version")), ["model"], ["_down"], "position")
+        return ranked.drop("_down").withColumn("position", F.col("position").cast("int"))
     position = F.row_number().over(W.partitionBy("model").orderBy(F.desc("version")))
     return versions.withColumn("position", position).where(F.col("position") <= limit)
 
@@ -161,13 +184,17 @@ def should_promote(
 
 
 def _events(moves: DataFrame, log: DataFrame, at: datetime) -> DataFrame:
-    """Log rows for ``moves`` (model, version, alias, extra tags): state carried on."""
+    """Log rows for ``moves`` (model, version, alias, extra tags): state carried on.
+
+    They come after all events of the model, also after those of the same time.
+    """
+    last = log.groupBy("model").agg((F.max("seq") + 1).alias("seq"))
     state = current_versions(log).select("model", "version", "tags", "metrics")
     tags = F.coalesce("tags", F.create_map().cast("map<string,string>"))
     set_now = F.map_concat(F.create_map(F.lit("alias"), F.col("alias")), F.col("extra"))
     kept = F.map_filter(tags, lambda k, _: ~F.map_contains_key(set_now, k))
-    return moves.join(state, ["model", "version"]).select(
-        "model", "version", F.lit(at).cast("timestamp").alias("event_ts"), "alias",
+    return moves.join(last, "model").join(state, ["model", "version"]).select(
+        "model", "version", F.lit(at).cast("timestamp").alias("event_ts"), "seq", "alias",
         F.map_concat(kept, set_now).alias("tags"), "metrics",
     )
 
@@ -195,18 +222,26 @@ def promote(log: DataFrame, decisions: DataFrame, at: datetime) -> DataFrame:
     return log.select(*LOG_COLUMNS).unionByName(_events(moves, log, at))
 
 
+def rollback_outcome(log: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """``(model, version, done)``: per model the version a rollback goes to, and whether it can."""
+    versions = current_versions(log)
+    if targets is None:
+        return versions.where(F.col("alias") == ARCHIVED).groupBy("model").agg(
+            F.max("version").alias("version"), F.lit(True).alias("done")
+        )
+    known = versions.select("model", "version", F.lit(True).alias("done"))
+    return targets.select("model", "version").distinct().join(known, ["model", "version"], "left").fillna(False, ["done"])
+
+
 def rollback(log: DataFrame, at: datetime, targets: DataFrame | None = None) -> DataFrame:
     """The log with rollbacks appended.
 
     ``targets`` (model, version) names versions; without it each model goes back
     to its highest archived version, and models without one stay as they are.
-    The present champion is archived first.
+    The present champion is archived first. A target that is no version of its
+    model changes nothing; :func:`rollback_outcome` tells which those are.
     """
-    versions = current_versions(log)
-    if targets is None:
-        targets = versions.where(F.col("alias") == ARCHIVED).groupBy("model").agg(
-            F.max("version").alias("version")
-        )
+    targets = rollback_outcome(log, targets).where("done")
     champion = alias_holders(log).where(F.col("alias") == CHAMPION).select(
         "model", F.col("version").alias("champion")
     )
@@ -270,10 +305,8 @@ def pick_model(log: DataFrame, alias: str | None = None, version: int | None = N
     """The version to load per model: by alias or number, else champion, else latest."""
     if alias is not None:
         return alias_holders(log).where(F.col("alias") == alias).select("model", "version")
-    versions = current_versions(log)
     if version is not None:
-        return versions.where(F.col("version") == version).select("model", "version")
-    holds = F.when(F.col("alias") == CHAMPION, F.struct("event_ts", "version"))
-    return versions.groupBy("model").agg(
-        F.coalesce(F.max(holds)["version"], F.max("version")).alias("version")
-    )
+        return current_versions(log).where(F.col("version") == version).select("model", "version")
+    champions = alias_holders(log).where(F.col("alias") == CHAMPION).select("model", F.col("version").alias("champion"))
+    latest = log.groupBy("model").agg(F.max("version").alias("version"))
+    return latest.join(champions, "model", "left").select("model", F.coalesce("champion", "version").alias("version"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,18 +62,19 @@ def run_monitoring(
     baseline: DataFrame | None = None,
     current: DataFrame | None = None,
     primary: str = PRIMARY_METRIC,
-    column_share: bool = False,
+    column_share: str | None = None,
+    categorical: Sequence[str] = (),
     params: ShareParams = ShareParams(),
 ) -> DataFrame:
     """The monitoring report: one row with both verdicts, status and advice.
 
     Data drift needs ``ref`` and ``cur``, model drift ``baseline`` and
-    ``current``; a part without its inputs is left out. ``column_share`` decides
-    by per-column tests chosen by type and size instead of KS on all columns.
+    ``current``; a part without its inputs is left out. ``column_share`` names a method
+    of :func:`column_share_drift`, which then decides instead of KS on all columns.
     """
     data = model = None
     if ref is not None and cur is not None:
-        data = column_share_drift(ref, cur, params) if column_share else data_drift(ks_test(ref, cur))
+        data = column_share_drift(ref, cur, column_share, categorical, params) if column_share else data_drift(ks_test(ref, cur))
     if baseline is not None and current is not None:
         model = model_drift(baseline, current, primary)
     if data is None and model is None:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +59,10 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/ridgeline/{kind}-{uuid.uuid4().hex}"
 
 
+# Folders written since :func:`discarding` began, if it did.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def materialize(df: DataFrame, kind: str, session: SparkSession | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -66,4 +73,25 @@ def materialize(df: DataFrame, kind: str, session: SparkSession | None = None) -
     spark = session or df.sparkSession
     path = scratch_path(spark, kind)
     df.write.parquet(path)
+    if (written := _written.get()) is not None:
+        written.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def discarding(spark: SparkSession) -> Iterator[None]:
+    """Removes at its end what :func:`materialize` wrote inside.
+
+    For jobs that finish there, such as a micro-batch: nothing lazy may be left
+    that still reads those tables.
+    """
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        paths = _written.get()
+        _written.reset(token)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)

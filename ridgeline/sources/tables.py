@@ -35,9 +35,9 @@ def read_features(
     return df.select(*columns) if columns else df
 
 
-def feature_labels(features: DataFrame, max_ids: int | None = None) -> DataFrame:
+def feature_labels(features: DataFrame) -> DataFrame:
     """Label dictionary of a feature table; reads the id column alone."""
-    return build_label_index(features, "subject_id", max_ids)
+    return build_label_index(features, "subject_id")
 
 
 def export_predictions(

@@ -21,11 +21,10 @@ from ridgeline.operators.drift import (
     long_values,
     numeric_value,
     per_feature,
-    profile_reference,
-    with_segment,
+    reference_profiles,
 )
-from ridgeline.operators.running import running
-from ridgeline.runtime import materialize
+from ridgeline.operators.running import running_by_range
+from ridgeline.runtime import discarding, materialize
 
 _WINDOW = "window_start"
 
@@ -33,7 +32,7 @@ _WINDOW = "window_start"
 def reference_counts(ref: DataFrame, profiles: Sequence[ColumnProfile]) -> DataFrame:
     """``(feature_no, value, n_ref)`` of the reference."""
     values = ref.select(*[numeric_value(p.name).alias(p.name) for p in profiles])
-    return long_values(values, profiles, []).groupBy("feature_no", "value").agg(
+    return long_values(values, [p.name for p in profiles], []).groupBy("feature_no", "value").agg(
         F.count("*").alias("n_ref")
     )
 
@@ -51,7 +50,7 @@ def window_counts(
     if delay is not None:
         rows = rows.withWatermark("_ts", delay)
     return (
-        long_values(rows, profiles, ["_ts"])
+        long_values(rows, [p.name for p in profiles], ["_ts"])
         .groupBy(F.window("_ts", width).alias("w"), "feature_no", "value")
         .agg(F.count("*").alias("n"))
         .select(F.col("w.start").alias(_WINDOW), "feature_no", "value", "n")
@@ -62,18 +61,17 @@ def windowed_ks(
     reference: DataFrame, counts: DataFrame, profiles: Sequence[ColumnProfile],
     threshold: float = P_THRESHOLD,
 ) -> DataFrame:
-    """KS test of every window and column against the reference counts."""
+    """KS test of every window and column against the reference counts.
+
+    Both sides are summed up along ranges drawn from their own values, so values that
+    have drifted out of the reference spread like any others.
+    """
     asked = counts.select("feature_no", "value").distinct().withColumn("n_ref", F.lit(0).cast("long"))
     merged = reference.unionByName(asked).groupBy("feature_no", "value").agg(F.sum("n_ref").alias("n_ref"))
-    segment = F.col("segment")
-    heights = running(
-        with_segment(merged, profiles), ["feature_no"], segment, ["value"],
-        {"upto_ref": ("sum", F.col("n_ref"))},
-    ).drop("segment")
-    own = running(
-        with_segment(counts, profiles), [_WINDOW, "feature_no"], segment, ["value"],
-        {"upto": ("sum", F.col("n"))}, totals=True,
-    ).drop("segment").withColumnRenamed("upto_total", "n_cur")
+    heights = running_by_range(merged, ["feature_no"], ["value"], {"upto_ref": ("sum", F.col("n_ref"))})
+    own = running_by_range(
+        counts, [_WINDOW, "feature_no"], ["value"], {"upto": ("sum", F.col("n"))}, totals=True,
+    ).withColumnRenamed("upto_total", "n_cur")
     n_ref = per_feature([p.n_ref for p in profiles], "long")
     rows = own.join(heights, ["feature_no", "value"])
     gap = F.greatest(
@@ -98,7 +96,7 @@ def windowed_drift(
     columns: Sequence[str] | None = None, threshold: float = P_THRESHOLD,
 ) -> DataFrame:
     """The batch form: every window of ``cur``."""
-    profiles = profile_reference(ref, columns)
+    profiles = reference_profiles(ref, columns)
     return windowed_ks(
         reference_counts(ref, profiles), window_counts(cur, profiles, ts, width), profiles, threshold
     )
@@ -115,16 +113,16 @@ def stream_windowed_drift(
     micro-batch writes its own folder, so a repeated batch replaces itself. A
     window still open at the end stays in the state for the next run.
     """
-    profiles = profile_reference(ref, columns)
+    profiles = reference_profiles(ref, columns)
     reference = materialize(reference_counts(ref, profiles), "reference-counts")
 
     def test_closed(closed: DataFrame, batch_id: int) -> None:
         # The closed windows' counts feed three branches below: fix them first.
-        fixed = materialize(closed, f"windows-{batch_id}", ref.sparkSession)
-        if fixed.isEmpty():
-            return
-        out = windowed_ks(reference, fixed, profiles, threshold)
-        out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        with discarding(ref.sparkSession):
+            fixed = materialize(closed, f"windows-{batch_id}", ref.sparkSession)
+            if not fixed.isEmpty():
+                out = windowed_ks(reference, fixed, profiles, threshold)
+                out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
     return (
         window_counts(stream, profiles, ts, width, delay).writeStream.outputMode("append")

@@ -8,30 +8,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.operators.running import numbered
+from ridgeline.operators.running import numbered, numbered_by_range
 from ridgeline.runtime import materialize
 from ridgeline.workloads.registry import table
 
 # ---------------------------------------------------------------- corpus
-# Clicks are iris files, views fingerprint files. A name starts with three
-# digits of the user; its prefix is one user on one day.
+# Every event is a file: of two modalities for most users, of one for some. A name
+# starts with three digits of the user, which are the subject; its prefix is the user.
 
 FILES_SQL = """
 files AS (
-  SELECT event_id,
-    CASE event_type WHEN 'click' THEN 'iris' ELSE 'fingerprint' END AS modality,
-    lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0') || 'u' || user_id || 'd' || strftime(ts, '%Y%m%d')
+  SELECT event_id, modality,
+    lpad(CAST(user_id % 1000 AS VARCHAR), 3, '0') || 'u' || user_id
       || '_' || CASE WHEN event_id % 2 = 0 THEN 'L' ELSE 'R' END
-      || CASE WHEN event_type = 'view'
+      || CASE WHEN modality = 'fingerprint'
          THEN '_' || CASE event_id % 5 WHEN 0 THEN 'thumb' WHEN 1 THEN 'index' WHEN 2 THEN 'middle'
               WHEN 3 THEN 'ring' ELSE 'little' END ELSE '' END
       || '_' || lpad(CAST(event_id AS VARCHAR), 12, '0') || '.bmp' AS name
-  FROM events WHERE event_type IN ('click', 'view')
+  FROM (SELECT *, CASE WHEN user_id % 7 = 0 THEN 'iris' WHEN user_id % 5 = 0 THEN 'fingerprint'
+    WHEN event_type IN ('view', 'error') THEN 'fingerprint' ELSE 'iris' END AS modality FROM events)
 )"""
 
-PREFIX_SQL = FILES_SQL + """,
+SIDES_SQL = FILES_SQL + """,
 sided AS (
-  SELECT modality, modality || '/' || name AS path, split_part(name, '_', 1) AS subject_id FROM files
+  SELECT modality, modality || '/' || name AS path, substr(name, 1, 3) AS subject_id FROM files
 ),
 iris AS (SELECT subject_id, path FROM sided WHERE modality = 'iris'),
 fingerprint AS (SELECT subject_id, path FROM sided WHERE modality = 'fingerprint')"""
@@ -40,18 +40,19 @@ fingerprint AS (SELECT subject_id, path FROM sided WHERE modality = 'fingerprint
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(event_id, modality, name, path)``."""
     e, user = F.col("event_id"), F.col("user_id")
-    view = F.col("event_type") == "view"
+    modality = (
+        F.when(user % 7 == 0, "iris").when(user % 5 == 0, "fingerprint")
+        .when(F.col("event_type").isin("view", "error"), "fingerprint").otherwise("iris")
+    )
     fingers = F.array(*[F.lit(x) for x in ("thumb", "index", "middle", "ring", "little")])
     name = F.concat(
-        F.lpad((user % 1000).cast("string"), 3, "0"), F.lit("u"), user, F.lit("d"),
-        F.date_format("ts", "yyyyMMdd"),
+        F.lpad((user % 1000).cast("string"), 3, "0"), F.lit("u"), user,
         F.lit("_"), F.when(e % 2 == 0, "L").otherwise("R"),
-        F.when(view, F.concat(F.lit("_"), fingers[(e % 5).cast("int")])).otherwise(""),
+        F.when(modality == "fingerprint", F.concat(F.lit("_"), fingers[(e % 5).cast("int")])).otherwise(""),
         F.lit("_"), F.lpad(e.cast("string"), 12, "0"), F.lit(".bmp"),
     )
-    modality = F.when(view, "fingerprint").otherwise("iris")
     return (
-        table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
+        table(spark, sf_dir, "events")
         .select("event_id", modality.alias("modality"), name.alias("name"))
         .withColumn("path", F.concat_ws("/", "modality", "name"))
     )
@@ -170,8 +171,14 @@ def ks_p_sql(x: str) -> str:
 
 
 _ROOT = "sqrt(n * m / (n + m))"
-KS_FINITE_SQL = ks_p_sql(f"(d * ({_ROOT} + 0.12 + 0.11 / {_ROOT}))")
-KS_LIMIT_SQL = ks_p_sql(f"(d * {_ROOT})")
+KS_SQL = ks_p_sql(f"(d * {_ROOT})")
+
+
+def chi_tail_sql(statistic: str, df: str) -> str:
+    """Upper tail of chi-square: one minus the series of the incomplete gamma function."""
+    t, a = f"(({statistic}) / 2)", f"(({df}) / 2.0::DOUBLE)"
+    series = f"list_sum([exp(({a} + k) * ln({t}) - {t} - lgamma({a} + k + 1)) for k in range(0, 1500)])"
+    return f"CASE WHEN ({df}) = 0 OR ({statistic}) <= 0 THEN 1.0 WHEN {t} > 500 THEN 0.0 ELSE greatest(1 - {series}, 0.0) END"
 
 
 def drift_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -288,10 +295,10 @@ def version_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.create_map(F.lit("alias"), alias, F.lit("priority"), F.col("o_orderpriority")).alias("tags"),
         F.create_map(F.lit("f1_macro"), F.floor(F.col("o_totalprice") / 60) / 10000).alias("metrics"),
     )
-    day = F.unix_date(F.to_date("event_ts"))
-    log = numbered(rows, ["model"], day, ["event_ts", "o_orderkey"], "version")
+    log = numbered_by_range(rows, ["model"], ["event_ts", "o_orderkey"], "version")
     return log.select(
-        "model", F.col("version").cast("int").alias("version"), "event_ts", "alias", "tags", "metrics"
+        "model", F.col("version").cast("int").alias("version"), "event_ts",
+        F.lit(0).cast("long").alias("seq"), "alias", "tags", "metrics",
     )
 
 

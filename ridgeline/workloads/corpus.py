@@ -12,13 +12,13 @@ from ridgeline.functions.names import (
 from ridgeline.operators import labels as lb
 from ridgeline.operators import pairing as pr
 from ridgeline.sources.corpus import split_modalities, verify_corpus, with_subject
-from ridgeline.workloads.adapters import FILES_SQL, PREFIX_SQL, files
+from ridgeline.workloads.adapters import FILES_SQL, SIDES_SQL, files
 from ridgeline.workloads.registry import query
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Iris and fingerprint files with their prefix subject: one user on one day."""
-    return split_modalities(files(spark, sf_dir).withColumn("subject_id", subject_id_prefix("name")))
+    """Iris and fingerprint files with their subject."""
+    return split_modalities(with_subject(files(spark, sf_dir)))
 
 
 @query(f"WITH {FILES_SQL} SELECT event_id, regexp_extract(name, '^[0-9]{{3}}') AS subject_id FROM files "
@@ -57,29 +57,35 @@ def subject_counts(spark, sf):
     return pr.subject_counts(with_subject(files(spark, sf)))
 
 
-@query(f"""WITH {FILES_SQL}, per AS (SELECT split_part(name, '_', 1) AS s,
+@query(f"""WITH {FILES_SQL}, per AS (SELECT substr(name, 1, 3) AS s,
   count(*) FILTER (WHERE modality = 'iris') AS i, count(*) FILTER (WHERE modality = 'fingerprint') AS f
   FROM files GROUP BY 1)
 SELECT CAST(sum(i) AS BIGINT) AS iris_files, CAST(sum(f) AS BIGINT) AS fingerprint_files,
   count(*) AS subjects, count(*) FILTER (WHERE i > 0 AND f > 0) AS num_classes,
   CAST(sum(i * f) AS BIGINT) AS pairs FROM per""")
 def corpus_counts(spark, sf):
-    named = files(spark, sf).withColumn("subject_id", subject_id_prefix("name"))
-    return pr.corpus_counts(named)
+    return pr.corpus_counts(with_subject(files(spark, sf)))
 
 
-@query(f"""WITH {PREFIX_SQL} SELECT subject_id, iris.path AS iris_path, fingerprint.path AS fingerprint_path
+@query(f"""WITH {SIDES_SQL} SELECT subject_id, iris.path AS iris_path, fingerprint.path AS fingerprint_path
 FROM iris JOIN fingerprint USING (subject_id)""")
 def pair_samples(spark, sf):
     return pr.pair_samples(*_sides(spark, sf))
 
 
-@query(f"""WITH {PREFIX_SQL} SELECT subject_id FROM iris INTERSECT SELECT subject_id FROM fingerprint""")
+@query(f"""WITH {SIDES_SQL} SELECT subject_id, iris.path AS iris_path, fingerprint.path AS fingerprint_path
+FROM iris JOIN fingerprint USING (subject_id)""")
+def pair_samples_grid(spark, sf):
+    """The same with subjects of more than a thousandth of a side, or two rows, cut into a grid."""
+    return pr.pair_samples(*_sides(spark, sf), min_hot_rows=2)
+
+
+@query(f"""WITH {SIDES_SQL} SELECT subject_id FROM iris INTERSECT SELECT subject_id FROM fingerprint""")
 def common_subjects(spark, sf):
     return pr.common_subjects(*_sides(spark, sf))
 
 
-@query(f"""WITH {PREFIX_SQL}
+@query(f"""WITH {SIDES_SQL}
 SELECT subject_id, 'iris' AS side, count(*) AS files FROM iris
 WHERE subject_id NOT IN (SELECT subject_id FROM fingerprint) GROUP BY subject_id
 UNION ALL
@@ -89,7 +95,7 @@ def unpaired_subjects(spark, sf):
     return pr.unpaired_subjects(*_sides(spark, sf))
 
 
-@query(f"""WITH {PREFIX_SQL}, first AS (SELECT subject_id, min(path) AS fingerprint_path FROM fingerprint
+@query(f"""WITH {SIDES_SQL}, first AS (SELECT subject_id, min(path) AS fingerprint_path FROM fingerprint
   GROUP BY subject_id)
 SELECT subject_id, path AS iris_path, fingerprint_path FROM iris JOIN first USING (subject_id)""")
 def first_match_pair(spark, sf):
@@ -101,8 +107,18 @@ dict AS (SELECT subject_id, CAST(row_number() OVER (ORDER BY subject_id) - 1 AS
 SELECT event_id, subject_id, label FROM files JOIN dict ON substr(name, 1, 3) = subject_id""")
 def label_index(spark, sf):
     named = with_subject(files(spark, sf)).select("event_id", "subject_id")
-    dictionary = lb.build_label_index(named, "subject_id", MAX_STRICT_SUBJECTS)
-    return lb.attach_label(named, dictionary, spread=["event_id"]).select("event_id", "subject_id", "label")
+    dictionary = lb.build_label_index(named, "subject_id")
+    return lb.attach_label(named, dictionary, max_ids=MAX_STRICT_SUBJECTS).select("event_id", "subject_id", "label")
+
+
+@query(f"""WITH {FILES_SQL}, ids AS (SELECT DISTINCT substr(name, 1, 3) AS subject_id FROM files),
+dict AS (SELECT subject_id, CAST(row_number() OVER (ORDER BY subject_id) - 1 AS INTEGER) AS label FROM ids)
+SELECT event_id, subject_id, label FROM files JOIN dict ON substr(name, 1, 3) = subject_id""")
+def label_index_salted(spark, sf):
+    """The same with no bound on the ids: subjects of more than a thousandth of the rows are spread over salts."""
+    named = with_subject(files(spark, sf)).select("event_id", "subject_id")
+    dictionary = lb.build_label_index(named, "subject_id")
+    return lb.attach_label(named, dictionary, spread=["event_id"], min_hot_rows=5).select("event_id", "subject_id", "label")
 
 
 @query(f"""WITH {FILES_SQL}, ids AS (SELECT DISTINCT split_part(name, '_', 1) AS subject_id FROM files)
@@ -115,4 +131,4 @@ def label_index_unbounded(spark, sf):
 @query(f"WITH {FILES_SQL} SELECT count(DISTINCT substr(name, 1, 3)) AS num_classes FROM files")
 def class_count(spark, sf):
     named = with_subject(files(spark, sf))
-    return lb.num_classes(lb.build_label_index(named, "subject_id", MAX_STRICT_SUBJECTS))
+    return lb.num_classes(lb.build_label_index(named, "subject_id"))

@@ -16,10 +16,10 @@ from ridgeline.streaming import drift as sd
 from ridgeline.workloads.adapters import (
     CATEGORIES,
     DRIFT_SQL,
-    KS_FINITE_SQL,
-    KS_LIMIT_SQL,
+    KS_SQL,
     METRICS_SQL,
     PIXELS_SQL,
+    chi_tail_sql,
     decoded_images,
     drift_sides,
     metric_sides,
@@ -80,23 +80,17 @@ def pair_features(spark, sf):
 
 @query(f"WITH {DRIFT_SQL} SELECT feature, round(d, 6) AS ks_statistic FROM ks")
 def ks_statistic(spark, sf):
-    ref, cur = drift_sides(spark, sf)
-    df = dr.ks_statistic(ref, cur, dr.profile(ref, cur))
+    df = dr.ks_statistic(dr.value_counts(*drift_sides(spark, sf)))
     return df.select("feature", r6("ks_statistic").alias("ks_statistic"))
 
 
-@query(f"""WITH {DRIFT_SQL} SELECT feature, round({KS_FINITE_SQL}, 6) AS p_value,
-  round({KS_LIMIT_SQL}, 6) AS p_limit, {KS_FINITE_SQL} < 0.1 AS drifted FROM ks""")
+@query(f"""WITH {DRIFT_SQL} SELECT feature, round({KS_SQL}, 6) AS p_value, {KS_SQL} < 0.1 AS drifted FROM ks""")
 def ks_pvalue(spark, sf):
-    ref, cur = drift_sides(spark, sf)
-    limit = dr.ks_pvalue(F.col("ks_statistic"), F.col("n_ref"), F.col("n_cur"), finite=False)
-    return dr.ks_test(ref, cur).select(
-        "feature", r6("p_value").alias("p_value"), r6(limit).alias("p_limit"), "drifted"
-    )
+    return dr.ks_test(*drift_sides(spark, sf)).select("feature", r6("p_value").alias("p_value"), "drifted")
 
 
 DATA_DRIFT_SQL = f"""{DRIFT_SQL},
-tests AS (SELECT feature, d, {KS_FINITE_SQL} AS p FROM ks),
+tests AS (SELECT feature, d, {KS_SQL} AS p FROM ks),
 verdict AS (SELECT count(*) FILTER (WHERE p < 0.1) AS k, count(*) AS n FROM tests)"""
 
 
@@ -157,20 +151,19 @@ chi AS (
   SELECT feature, sum((c - p * m) * (c - p * m) / (p * m)) AS statistic, count(*) - 1 AS df
   FROM shares GROUP BY feature
 ),
-chi_z AS (
-  SELECT feature, statistic, df,
-    (pow(statistic / df, 1.0::DOUBLE / 3) - (1 - 2.0::DOUBLE / (9 * df))) / sqrt(2.0::DOUBLE / (9 * df)) AS z FROM chi
+two AS (
+  SELECT feature, count(*) AS categories, arg_max(r, category)::DOUBLE AS r, arg_max(c, category)::DOUBLE AS c,
+    sum(r)::DOUBLE AS n, sum(c)::DOUBLE AS m FROM cat_counts GROUP BY feature
 ),
-chi_t AS (SELECT *, 1 / (1 + 0.3275911::DOUBLE * abs(z) / sqrt(2)) AS t FROM chi_z),
-chi_p AS (
-  SELECT *, t * (0.254829592::DOUBLE + t * (-0.284496736::DOUBLE + t * (1.421413741::DOUBLE
-    + t * (-1.453152027::DOUBLE + t * 1.061405429::DOUBLE)))) * exp(-z * z / 2) / 2 AS half FROM chi_t
+proportions AS (
+  SELECT feature, (r / n - c / m) / sqrt((r + c) / (n + m) * (1 - (r + c) / (n + m)) * (1 / n + 1 / m)) AS z
+  FROM two WHERE categories = 2
 )"""
 
 
 @query(f"""WITH {DRIFT_SQL}, {CATEGORY_SQL}
 SELECT feature, round(js.distance, 6) + 0.0::DOUBLE AS distance, round(statistic, 4) AS statistic, df,
-  round(CASE WHEN z >= 0 THEN half ELSE 1 - half END, 6) + 0.0::DOUBLE AS p_value FROM js JOIN chi_p USING (feature)""")
+  round({chi_tail_sql('statistic', 'df')}, 6) + 0.0::DOUBLE AS p_value FROM js JOIN chi USING (feature)""")
 def categorical_drift(spark, sf):
     ref, cur = drift_sides(spark, sf)
     js, chi = dr.js_distance(ref, cur, CATEGORIES), dr.chi_square(ref, cur, CATEGORIES)
@@ -194,6 +187,37 @@ def column_drift(spark, sf):
     )
 
 
+@query(f"""WITH {DRIFT_SQL}, {CATEGORY_SQL}
+SELECT feature, round(z, 6) + 0.0::DOUBLE AS statistic, round({chi_tail_sql('z * z', '1')}, 6) + 0.0::DOUBLE AS p_value FROM proportions""")
+def proportion_drift(spark, sf):
+    df = dr.proportion_test(*drift_sides(spark, sf), CATEGORIES)
+    return df.select("feature", r6("statistic").alias("statistic"), r6("p_value").alias("p_value"))
+
+
+TESTS_SQL = f"""{DRIFT_SQL}, {CATEGORY_SQL},
+columns AS (
+  SELECT feature, 'ks' AS method, {KS_SQL} AS score FROM ks
+  UNION ALL SELECT feature, 'proportion', {chi_tail_sql('z * z', '1')} FROM proportions
+  UNION ALL SELECT feature, 'chi_square', {chi_tail_sql('statistic', 'df')} FROM chi WHERE df > 1
+)"""
+
+
+@query(f"WITH {TESTS_SQL} SELECT feature, method, round(score, 6) + 0.0::DOUBLE AS score, score < 0.05 AS drifted FROM columns")
+def column_drift_tests(spark, sf):
+    return dr.column_drift(*drift_sides(spark, sf), "tests").select(
+        "feature", "method", r6("score").alias("score"), "drifted"
+    )
+
+
+@query(f"""WITH {TESTS_SQL}, share AS (SELECT count(*) FILTER (WHERE score < 0.05) / count(*) AS s FROM columns)
+SELECT s >= 0.5 AS data_drift, round(s, 6) AS data_score, CASE WHEN s >= 0.5 THEN 'warning' ELSE 'healthy' END AS overall_status
+FROM share""")
+def monitoring_share(spark, sf):
+    """The monitoring report with the verdict by shares of columns."""
+    report = mon.run_monitoring(*drift_sides(spark, sf), column_share="tests")
+    return report.select("data_drift", r6("data_score").alias("data_score"), "overall_status")
+
+
 @query(f"""WITH {COLUMN_DRIFT_SQL} SELECT count(*) FILTER (WHERE drifted) / count(*) >= 0.5 AS drift_detected,
   round(count(*) FILTER (WHERE drifted) / count(*), 6) AS drift_score, count(*) AS number_of_columns,
   count(*) FILTER (WHERE drifted) AS number_of_drifted_columns FROM columns""")
@@ -336,8 +360,8 @@ gaps AS (SELECT w, n, m, abs(sum(r) OVER (PARTITION BY w ORDER BY value) / n
   - sum(c) OVER (PARTITION BY w ORDER BY value) / m) AS gap FROM cells JOIN sizes USING (w)),
 ks AS (SELECT w, any_value(n) AS n, any_value(m) AS m, max(gap) AS d FROM gaps GROUP BY w)
 SELECT strftime(w, '%Y-%m-%d') AS day, 'value' AS feature, round(d, 6) AS ks_statistic,
-  CAST(n AS BIGINT) AS n_ref, CAST(m AS BIGINT) AS n_cur, round({KS_FINITE_SQL}, 6) AS p_value,
-  {KS_FINITE_SQL} < 0.1 AS drifted FROM ks"""
+  CAST(n AS BIGINT) AS n_ref, CAST(m AS BIGINT) AS n_cur, round({KS_SQL}, 6) AS p_value,
+  {KS_SQL} < 0.1 AS drifted FROM ks"""
 
 
 def _event_sides(spark, sf):

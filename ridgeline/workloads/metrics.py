@@ -56,9 +56,40 @@ cells AS (SELECT y, p, count(*) AS n FROM scored GROUP BY y, p)
 SELECT a.c AS label, b.c AS prediction, coalesce(n, 0) AS n FROM classes a CROSS JOIN classes b
 LEFT JOIN cells ON y = a.c AND p = b.c""")
 def confusion_matrix(spark, sf):
+    return mt.confusion_matrix(true_pred(spark, sf), "y", "p", dense=True)
+
+
+@query(f"WITH {TRUE_PRED_SQL} SELECT y AS label, p AS prediction, count(*) AS n FROM scored GROUP BY y, p")
+def confusion_cells(spark, sf):
     return mt.confusion_matrix(true_pred(spark, sf), "y", "p")
 
 
+# Every fifth line has no prediction: a sample that was missed, and no class of its own.
+MISSED_SQL = """
+missed AS (
+  SELECT l_returnflag AS y, CASE WHEN l_linenumber % 5 = 0 THEN NULL WHEN l_linestatus = 'O' THEN 'R' ELSE l_returnflag END AS p
+  FROM lineitem
+)"""
+
+
+@query(f"""WITH {PER_CLASS_SQL.replace(TRUE_PRED_SQL, MISSED_SQL).replace('scored', 'missed')
+    .replace('SELECT p FROM missed', 'SELECT p FROM missed WHERE p IS NOT NULL')}
+SELECT {RECORD_SQL}, (SELECT count(*) FROM missed WHERE p IS NULL) AS missed FROM record""")
+def missing_predictions(spark, sf):
+    line = F.col("l_linenumber")
+    rows = table(spark, sf, "lineitem").select(
+        F.col("l_returnflag").alias("y"),
+        F.when(line % 5 == 0, None).when(F.col("l_linestatus") == "O", "R").otherwise(F.col("l_returnflag")).alias("p"),
+    )
+    cells = mt.confusion_matrix(rows, "y", "p").where("prediction is null").agg(F.sum("n").alias("missed"))
+    plain = mt.accuracy(rows, "y", "p").select(r6("accuracy").alias("plain"), F.col("num_samples").alias("samples"))
+    record = rounded_record(mt.evaluate(rows, "y", "p"))
+    # Both ways to accuracy agree.
+    return record.join(plain, (record.accuracy == plain.plain) & (record.num_samples == plain.samples)).select(
+        *record.columns, cells.scalar().alias("missed")
+    )
+
+
 @query(f"""WITH {PER_CLASS_SQL} SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall,
   round(f1, 6) AS f1, support FROM per_class""")
 def per_class_metrics(spark, sf):

@@ -2,18 +2,32 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from ridgeline.functions.pixels import to_gray
 from ridgeline.operators import classifier as cl
+from ridgeline.operators import labels as lb
 from ridgeline.operators import metrics as mt
 from ridgeline.operators import scoring as sc
+from ridgeline.operators import versions as vs
+from ridgeline.operators.splits import exact_split
+from ridgeline.plans import corpus_jobs as jobs
+from ridgeline.plans import retraining as rt
 from ridgeline.plans.evaluation import centroid_experiment
 from ridgeline.runtime import materialize, scratch_path
 from ridgeline.sources import corpus as cp
 from ridgeline.sources import tables as tb
 from ridgeline.streaming.scoring import stream_score as run_stream_score
-from ridgeline.workloads.adapters import CENTROID_SQL, TRUE_PRED_SQL, decoded_images, split_sql, true_pred
+from ridgeline.workloads.adapters import (
+    CENTROID_SQL,
+    TRUE_PRED_SQL,
+    decoded_images,
+    pixel_array,
+    split_sql,
+    true_pred,
+)
 from ridgeline.workloads.bitmaps import write_bitmaps
 from ridgeline.workloads.drift import PAIR_FEATURES_SQL, _NAMES, _pair_features
 from ridgeline.workloads.metrics import PER_CLASS_SQL, RECORD_SQL, rounded_record
@@ -104,19 +118,46 @@ def validate_predictions(spark, sf):
 
 # -------------------------------------------------------------- Spark ML
 
-@query()
+# A fit is certified, not compared: the gradient at its optimum is zero, and a second one predicts the same.
+@query("""SELECT count(*) AS rows, count(DISTINCT label) AS classes, true AS at_optimum, CAST(0 AS BIGINT) AS changed,
+  true AS confident FROM embeddings WHERE label IS NOT NULL""")
 def train_classifier(spark, sf):
     df = _vectors(spark, sf)
-    model = cl.train_classifier(df)
-    scored = cl.model_scores(df, model)
-    return scored.select("subject_id", "prediction", "label", "confidence")
+    model, again = (cl.train_classifier(df, max_iter=200) for _ in range(2))
+    first = cl.model_scores(df, model).select("subject_id", "prediction", F.col("confidence").alias("first"))
+    both = cl.model_scores(df, again).select("subject_id", F.col("prediction").alias("second"), "confidence").join(first, "subject_id")
+    seen = both.agg(
+        F.count_if(F.col("prediction") != F.col("second")).alias("changed"),
+        F.bool_and(F.col("confidence").between(0.0, 1.0)).alias("confident"),
+    )
+    return cl.gradient_norm(df, model).select("rows", "classes", (F.col("norm") < 1e-3).alias("at_optimum")).crossJoin(seen)
 
 
-@query()
+# Fewer steps than to an optimum: the loss must be below that of guessing, and a seeded repeat the same.
+@query("SELECT count(*) AS rows, true AS learned, CAST(0 AS BIGINT) AS changed FROM embeddings")
 def train_perceptron(spark, sf):
     df = _vectors(spark, sf)
-    model = cl.train_classifier(df, kind="perceptron", hidden=32, max_iter=20)
-    return cl.model_scores(df, model).select("subject_id", "prediction", "label", "confidence")
+    model, again = (cl.train_classifier(df, kind="perceptron", hidden=32, max_iter=20) for _ in range(2))
+    first = cl.model_scores(df, model).select("subject_id", "prediction")
+    both = cl.model_scores(df, again).select("subject_id", F.col("prediction").alias("second")).join(first, "subject_id")
+    guess = F.log(df.agg(F.count_distinct("label").cast("double")).scalar())
+    seen = both.agg(F.count("*").alias("rows"), F.count_if(F.col("prediction") != F.col("second")).alias("changed"))
+    return cl.cross_entropy_of(df, model).select((F.col("loss") < guess).alias("learned")).crossJoin(seen)
+
+
+@query("SELECT true AS goes_on, true AS same_start FROM (SELECT count(*) FROM embeddings)")
+def model_resume(spark, sf):
+    """Training resumed from a stored model: no step starts where it ended, more steps end lower."""
+    df = _vectors(spark, sf)
+    path = scratch_path(spark, "model")
+    cl.save_model(cl.train_classifier(df, kind="perceptron", hidden=16, max_iter=5), path)
+    stored = cl.load_model(path)
+    more = cl.train_classifier(df, kind="perceptron", hidden=16, max_iter=15, start=stored)
+    loss = [cl.cross_entropy_of(df, m).select(F.col("loss").alias(n)) for m, n in ((stored, "before"), (more, "after"))]
+    fresh = cl.train_classifier(df, kind="perceptron", hidden=16, max_iter=1).stages[-1].weights
+    one = cl.train_classifier(df, kind="perceptron", hidden=16, max_iter=1, start=stored).stages[-1].weights
+    near = float(one.squared_distance(stored.stages[-1].weights)) < float(one.squared_distance(fresh))
+    return loss[0].crossJoin(loss[1]).select((F.col("after") < F.col("before")).alias("goes_on"), F.lit(near).alias("same_start"))
 
 
 # A stored model must predict as before.
@@ -153,17 +194,19 @@ def prediction_export_parquet(spark, sf):
     return spark.read.parquet(path).withColumn("confidence", r6("confidence"))
 
 
-@query("""SELECT CAST(label AS VARCHAR) AS subject_id,
-  'iris/' || lpad(CAST(vec_id AS VARCHAR), 12, '0') || '.bmp' AS iris_path, 64 AS n FROM embeddings""")
+@query("""SELECT CAST(label AS VARCHAR) AS subject_id, m.modality,
+  m.modality || '/' || lpad(CAST(vec_id AS VARCHAR), 12, '0') || '.bmp' AS path,
+  array_to_string(CASE m.modality WHEN 'iris' THEN px ELSE list_reverse(px) END, ' ') AS pixels
+FROM (SELECT *, [CAST(floor((CAST(x AS DOUBLE) + 1) * 127.5) AS INTEGER) for x in embedding] AS px FROM embeddings),
+  (SELECT unnest(['iris', 'fingerprint']) AS modality) m""")
 def feature_roundtrip(spark, sf):
-    rows = decoded_images(spark, sf).where("modality = 'iris'")
-    features = rows.select(
-        "subject_id", F.col("px").cast("array<float>").alias("iris_features"), F.col("path").alias("iris_path")
-    )
+    """Every value of both modalities, written and read."""
+    rows = decoded_images(spark, sf)
+    features = rows.select("subject_id", "modality", F.col("px").cast("array<float>").alias("features"), "path")
     path = scratch_path(spark, "features")
     tb.write_features(features, path)
-    return tb.read_features(spark, path, ["subject_id", "iris_path", "iris_features"]).select(
-        "subject_id", "iris_path", F.size("iris_features").alias("n")
+    return tb.read_features(spark, path, ["subject_id", "modality", "path", "features"]).select(
+        "subject_id", "modality", "path", F.array_join(F.col("features").cast("array<int>"), " ").alias("pixels")
     )
 
 
@@ -221,6 +264,147 @@ def corpus_scan_verify(spark, sf):
     return cp.verify_corpus(cp.list_corpus(spark, _bitmaps(spark, sf)))
 
 
+# ------------------------------------------------------------ corpus jobs
+
+def _subject_bitmaps(spark, sf) -> str:
+    """The same with names that begin with the subject: three digits of its label."""
+    root = scratch_path(spark, "corpus")
+    subject = F.lpad(F.col("subject_id"), 3, "0")
+    name = F.concat("modality", F.lit("/"), subject, F.lit("_L_"), F.lpad(F.col("vec_id").cast("string"), 12, "0"), F.lit(".bmp"))
+    write_bitmaps(decoded_images(spark, sf).select(name.alias("path"), "image"), root)
+    return root
+
+
+_FILE_NAME = "lpad(CAST(label AS VARCHAR), 3, '0') || '_L_' || lpad(CAST(vec_id AS VARCHAR), 12, '0') || '.bmp'"
+
+
+@query(f"""WITH {PAIR_FEATURES_SQL} SELECT {_FILE_NAME} AS name, lpad(CAST(label AS VARCHAR), 3, '0') AS subject_id, {', '.join(_NAMES)}
+FROM iris_stats JOIN finger_stats USING (label)""")
+def corpus_features(spark, sf):
+    made = jobs.corpus_features(spark, _subject_bitmaps(spark, sf))
+    return made.select(F.substring_index("path", "/", -1).alias("name"), "subject_id", *[r6(c).alias(c) for c in _NAMES])
+
+
+@query(f"""WITH {PAIR_FEATURES_SQL} SELECT {_FILE_NAME} AS name, lpad(CAST(label AS VARCHAR), 3, '0') AS subject_id, {', '.join(_NAMES)}
+FROM iris_stats JOIN finger_stats USING (label)""")
+def corpus_manifest(spark, sf):
+    """The same from a table of paths, without a listing."""
+    root = _subject_bitmaps(spark, sf)
+    paths = cp.list_corpus(spark, root).select("path")
+    made = jobs.corpus_features(spark, materialize(paths, "manifest"))
+    return made.select(F.substring_index("path", "/", -1).alias("name"), "subject_id", *[r6(c).alias(c) for c in _NAMES])
+
+
+# A corpus against itself has no drift; the model lost a fifth.
+@query("""SELECT false AS data_drift, 0.0::DOUBLE AS data_score, true AS model_drift, 'critical' AS overall_status
+FROM (SELECT count(*) AS n FROM embeddings) WHERE n > 0""")
+def monitor_corpus(spark, sf):
+    root = _subject_bitmaps(spark, sf)
+    path = scratch_path(spark, "reference")
+    tb.write_reference(jobs.corpus_features(spark, root), path)
+    metrics = [spark.createDataFrame([("f1_macro", v)], "metric string, value double") for v in (0.8, 0.64)]
+    report = jobs.monitor_corpus(spark, root, tb.read_reference(spark, path), *metrics)
+    return report.select("data_drift", "data_score", "model_drift", "overall_status")
+
+
+# The features of an image are its 64 pixels over 255; both images of a vector are fused by their mean, that is
+# (px + reversed px) / 510, and the nearest centroid of the first fingerprint's pairs is asked for.
+SCORE_CORPUS_SQL = f"""WITH px AS (
+  SELECT vec_id, label, [CAST(floor((CAST(x AS DOUBLE) + 1) * 127.5) AS INTEGER) for x in embedding] AS px FROM embeddings
+),
+firsts AS (SELECT label, min(vec_id) AS vec_id FROM px GROUP BY label),
+fingers AS (SELECT firsts.label, list_reverse(px) AS fx FROM firsts JOIN px USING (vec_id)),
+pairs AS (SELECT vec_id, px.label, px, fx FROM px JOIN fingers ON fingers.label = px.label),
+fused AS (
+  SELECT vec_id, label, unnest(range(0, 128)) AS pos, unnest(list_concat(px, fx)) / 255.0::DOUBLE AS x FROM pairs
+),
+centroids AS (SELECT label AS class, pos, avg(x) AS c FROM fused GROUP BY label, pos),
+bias AS (SELECT class, sum(c * c) / 2 AS half FROM centroids GROUP BY class),
+z AS (
+  SELECT vec_id, label, class, sum(x * c) - any_value(half) AS score FROM fused JOIN centroids USING (pos) JOIN bias USING (class)
+  GROUP BY vec_id, label, class
+),
+best AS (SELECT vec_id, label, class, score AS top FROM z QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, class) = 1)
+SELECT {_FILE_NAME} AS name, lpad(CAST(label AS VARCHAR), 3, '0') AS subject_id, prediction, label,
+  round(confidence, 4) AS confidence, prediction = label AS correct
+FROM (SELECT best.vec_id, any_value(best.label) AS label, any_value(best.class) AS prediction, 1 / sum(exp(score - top)) AS confidence
+  FROM best JOIN z USING (vec_id) GROUP BY best.vec_id)"""
+
+
+@query(SCORE_CORPUS_SQL)
+def score_corpus(spark, sf):
+    """Folder to exported prediction table: decode, pair, fuse, score by a stored model and dictionary."""
+    root = _subject_bitmaps(spark, sf)
+    pairs = spark.read.parquet(f"{sf}/embeddings.parquet")
+    px = F.transform(pixel_array(), lambda v: v / F.lit(255.0))
+    rows = pairs.select("vec_id", "label", px.alias("iris"))
+    first = rows.groupBy("label").agg(F.min_by(F.reverse("iris"), "vec_id").alias("finger"))
+    fused = rows.join(first, "label").select("label", F.concat("iris", "finger").alias("fused"))
+    model = sc.centroid_scorer(sc.centroid_fit(fused, "fused"))
+    labels = scratch_path(spark, "labels")
+    named = pairs.select(F.lpad(F.col("label").cast("string"), 3, "0").alias("subject_id"), "label").distinct()
+    lb.save_labels(named, labels)
+    out = scratch_path(spark, "predictions")
+    made = jobs.score_corpus(
+        spark, root, model, lb.load_labels(spark, labels), size=(8, 8), normalize=False, export=out, keep=["iris_path"]
+    )
+    exported = spark.read.parquet(out).groupBy("subject_id", "prediction").agg(F.count("*").alias("n"))
+    same = made.groupBy("subject_id", "prediction").agg(F.count("*").alias("m")).join(exported, ["subject_id", "prediction"]).where("n = m")
+    return made.join(same.select("subject_id", "prediction"), ["subject_id", "prediction"]).select(
+        F.substring_index("iris_path", "/", -1).alias("name"), "subject_id", "prediction", "label",
+        F.round("confidence", 4).alias("confidence"), "correct",
+    )
+
+
+# ------------------------------------------------------------- retraining
+
+def _half_sql(rows: str) -> str:
+    scored = f"{split_sql('embeddings', 'vec_id')}, {CENTROID_SQL.format(fit='vec_id IN (' + rows + ')', use=_TEST)}, scored AS (SELECT label AS y, prediction AS p FROM predictions)"
+    return f"WITH {PER_CLASS_SQL.replace(TRUE_PRED_SQL, scored)}"
+
+
+_TEST = "vec_id IN (SELECT vec_id FROM parts WHERE split = 'test')"
+_TRAIN = "SELECT vec_id FROM parts WHERE split = 'train'"
+_FEW = f"{_TRAIN} AND vec_id % 10 = 0"
+AT = datetime(2030, 1, 1)
+
+
+def _logged_champion(spark, sf):
+    """Vectors, and a log whose champion was fitted on a tenth of the training rows."""
+    df = _vectors(spark, sf)
+    few = exact_split(df, "vec_id").where("split = 'train' and vec_id % 10 = 0")
+    model = sc.centroid_scorer(sc.centroid_fit(few, "embedding"))
+    log = spark.createDataFrame(
+        [("m", 1, datetime(2029, 1, 1), 0, "archived", {}, {}), ("m", 2, datetime(2029, 1, 2), 0, "champion", {"model_path": model.path}, {})],
+        "model string, version int, event_ts timestamp, seq long, alias string, tags map<string,string>, metrics map<string,double>",
+    )
+    return df, log
+
+
+@query(f"""SELECT *, CASE WHEN promoted THEN 3 ELSE 2 END AS holder, CASE WHEN promoted THEN 0 ELSE 1 END AS challengers FROM (
+  SELECT round(a, 6) AS champion_value, round(b, 6) AS challenger_value,
+    CASE WHEN a > 0 THEN (b - a) / a ELSE 'inf'::DOUBLE END > 0.01 AS promoted, 'f1_macro' AS metric
+  FROM (SELECT ({_half_sql(_FEW)} SELECT f1_macro FROM record) AS a, ({_half_sql(_TRAIN)} SELECT f1_macro FROM record) AS b))""")
+def retrain_pipeline(spark, sf):
+    df, log = _logged_champion(spark, sf)
+    done = rt.retrain_pipeline(df, log, "m", "vec_id", "embedding", AT)
+    holders = materialize(vs.alias_holders(done.log), "holders")
+    holder = holders.where("alias = 'champion'").select("version").scalar()
+    challengers = holders.where("alias = 'challenger'").agg(F.count("*").cast("int")).scalar()
+    return done.comparison.select(
+        r6("champion_value").alias("champion_value"), r6("challenger_value").alias("challenger_value"), "promoted", "metric",
+        holder.alias("holder"), challengers.alias("challengers"),
+    )
+
+
+@query(f"SELECT *, 2 AS version, true AS stored FROM ({_half_sql(_FEW)} SELECT {RECORD_SQL} FROM record)")
+def evaluate_from_log(spark, sf):
+    df, log = _logged_champion(spark, sf)
+    record = rt.evaluate_from_log(df, log, "m", "vec_id", "embedding", AT)
+    extra = record.select("version", F.col("model_path").isNotNull().alias("stored"))
+    return rounded_record(record).crossJoin(extra)
+
+
 # ---------------------------------------------------------------- streams
 
 @query(f"""WITH {ALL_SQL} SELECT CAST(vec_id AS VARCHAR) AS subject_id, prediction, label, {_ROWS} FROM predictions""")

@@ -33,11 +33,11 @@ SELECT fresh.model, CAST(coalesce(h, 0) + 1 AS INTEGER) AS version, 'challenger'
 def register_versions(spark, sf):
     fresh = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("model"),
-        F.lit(AT).cast("timestamp").alias("event_ts"),
+        F.lit(AT).cast("timestamp").alias("event_ts"), F.col("c_custkey").alias("run"),
         F.create_map(F.lit("owner"), F.col("c_mktsegment")).alias("tags"),
         F.create_map(F.lit("f1_macro"), F.floor("c_acctbal") / 123456).alias("metrics"),
     )
-    return vs.register(version_log(spark, sf), fresh).select(
+    return vs.register(version_log(spark, sf), fresh, "run").select(
         "model", "version", "alias", F.col("tags.owner").alias("owner"),
         F.col("tags.alias").alias("tag_alias"), F.col("tags.framework").alias("framework"),
         F.round(F.col("tags.metric_f1_macro").cast("double"), 4).alias("metric_f1_macro"),
@@ -58,7 +58,7 @@ def tag_lookup(spark, sf):
 
 @query(f"""WITH {LOG_SQL}, kept AS (SELECT model, version, alias, f1,
   row_number() OVER (PARTITION BY model ORDER BY version DESC) AS position FROM log WHERE alias <> 'archived')
-SELECT model, version, alias, f1, CAST(position AS INTEGER) AS position FROM kept WHERE position <= 100""")
+SELECT model, version, alias, f1, CAST(position AS INTEGER) AS position FROM kept""")
 def list_versions(spark, sf):
     return vs.list_versions(version_log(spark, sf)).select(
         "model", "version", "alias", F.col("metrics.f1_macro").alias("f1"), "position"
@@ -100,6 +100,58 @@ def promote_state(spark, sf):
     )
 
 
+@query(f"""WITH {DECISIONS_SQL}
+SELECT model, 'champion' AS alias, CASE WHEN promote THEN challenger ELSE champion END AS version FROM decisions
+WHERE promote OR champion IS NOT NULL
+UNION ALL SELECT model, 'challenger', challenger FROM decisions WHERE NOT promote AND challenger IS NOT NULL""")
+def promote_holders(spark, sf):
+    """Who holds the two aliases after promotion: a promoted challenger leaves none behind."""
+    log = stored_log(spark, sf)
+    after = vs.promote(log, vs.should_promote(log), AT)
+    return vs.alias_holders(after).where("alias <> 'archived'").select("model", "alias", "version")
+
+
+@query(f"""WITH {LOG_SQL}, goals AS (SELECT model, max(version) AS target FROM log WHERE alias = 'archived' GROUP BY model)
+SELECT model, 'champion' AS alias, coalesce(target, champion) AS version FROM finalists LEFT JOIN goals USING (model)
+WHERE coalesce(target, champion) IS NOT NULL
+UNION ALL SELECT model, 'challenger', challenger FROM finalists WHERE challenger IS NOT NULL""")
+def rollback_holders(spark, sf):
+    after = vs.rollback(stored_log(spark, sf), AT)
+    return vs.alias_holders(after).where("alias <> 'archived'").select("model", "alias", "version")
+
+
+# Every third order names its own version, the others one that does not exist.
+@query(f"""WITH {LOG_SQL}, goals AS (SELECT model, CASE WHEN model % 3 = 0 THEN 1 ELSE 1000000 END AS target FROM log GROUP BY model)
+SELECT model, 'champion' AS alias, CASE WHEN target = 1 THEN 1 ELSE champion END AS version, target = 1 AS done
+FROM finalists JOIN goals USING (model) WHERE target = 1 OR champion IS NOT NULL""")
+def rollback_targets(spark, sf):
+    """Going back to versions that may not exist: those models keep their champion."""
+    log = stored_log(spark, sf)
+    targets = log.select("model").distinct().withColumn("version", F.when(F.col("model") % 3 == 0, 1).otherwise(1000000))
+    holders = vs.alias_holders(vs.rollback(log, AT, targets)).where("alias = 'champion'")
+    done = vs.rollback_outcome(log, targets).select("model", "done")
+    return holders.join(done, "model").select("model", "alias", "version", "done")
+
+
+@query(f"""WITH {LOG_SQL}, highest AS (SELECT model, max(version) AS h FROM log GROUP BY model),
+fresh AS (SELECT o_custkey AS model, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS nth,
+  count(*) OVER (PARTITION BY o_custkey) AS all_new FROM orders),
+placed AS (SELECT model, h + nth AS version, nth = all_new AS is_last, o_orderkey FROM fresh JOIN highest USING (model))
+SELECT model, CAST(version AS INTEGER) AS version, CASE WHEN is_last THEN 'challenger' END AS alias, CAST(o_orderkey AS VARCHAR) AS run
+FROM placed
+UNION ALL SELECT model, challenger, NULL, NULL FROM finalists WHERE challenger IS NOT NULL""")
+def register_many(spark, sf):
+    """Many versions of a model at one time: numbered by their run; the last one holds the alias, its old holder none."""
+    log = stored_log(spark, sf)
+    fresh = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("model"), F.lit(AT).cast("timestamp").alias("event_ts"), "o_orderkey",
+        F.create_map(F.lit("run"), F.col("o_orderkey").cast("string")).alias("tags"),
+        F.create_map(F.lit("f1_macro"), F.lit(0.5)).alias("metrics"),
+    )
+    after = vs.registered(log, fresh, "o_orderkey")
+    return after.where(F.col("event_ts") >= F.lit(AT)).select("model", "version", "alias", F.col("tags")["run"].alias("run"))
+
+
 @query(f"""WITH {LOG_SQL}, goals AS (SELECT model, max(version) AS target FROM log WHERE alias = 'archived'
   GROUP BY model)
 SELECT model, log.version, CASE WHEN log.version = target THEN 'champion'

@@ -54,7 +54,7 @@ def test_five_subjects_two_files_make_twenty_pairs(spark, tmp_path):
     assert pairs.count() == 20
     counts = pr.corpus_counts(files).first()
     assert (counts.pairs, counts.num_classes) == (20, 5)
-    labels = lb.build_label_index(pairs, "subject_id", 1000).orderBy("label").collect()
+    labels = lb.build_label_index(pairs, "subject_id").orderBy("label").collect()
     assert [tuple(r) for r in labels] == [(f"{i:03d}", i) for i in range(5)]
 
 

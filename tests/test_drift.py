@@ -42,8 +42,7 @@ def column(df, values, name="x"):
 ])
 def test_distances_equal_brute_force(df, a, b):
     ref, cur = column(df, a), column(df, b)
-    profiles = dr.profile(ref, cur)
-    assert dr.ks_statistic(ref, cur, profiles).first().ks_statistic == pytest.approx(ks_brute(a, b))
+    assert dr.ks_statistic(dr.value_counts(ref, cur)).first().ks_statistic == pytest.approx(ks_brute(a, b))
     assert dr.wasserstein(ref, cur).first().distance == pytest.approx(wasserstein_brute(a, b), abs=1e-12)
 
 
@@ -53,7 +52,7 @@ def test_distances_equal_brute_force(df, a, b):
 )
 def test_ks_on_any_ties(df, a, b):
     ref, cur = column(df, a), column(df, b)
-    got = dr.ks_statistic(ref, cur, dr.profile(ref, cur)).first().ks_statistic
+    got = dr.ks_statistic(dr.value_counts(ref, cur)).first().ks_statistic
     assert got == pytest.approx(ks_brute(np.array(a, float), np.array(b, float)))
 
 
@@ -61,13 +60,13 @@ def test_p_value_at_known_points(df):
     # Limiting distribution: P(K > 1.3581) = 0.05, P(K > 1.2238) = 0.1, P(K > 0.8276) = 0.5.
     rows = df([(1.3581,), (1.2238,), (0.8276,), (0.2,), (0.0,), (9.0,)], "d double")
     one = F.lit(2.0)  # n = m = 2 makes the root 1
-    got = [r[0] for r in rows.select(dr.ks_pvalue(F.col("d"), one, one, finite=False)).collect()]
+    got = [r[0] for r in rows.select(dr.ks_pvalue(F.col("d"), one, one)).collect()]
     assert got == pytest.approx([0.05, 0.1, 0.5, 1.0, 1.0, 0.0], abs=1e-4)
 
 
 def test_both_series_meet(df):
     rows = df([(1.0 - 1e-12,), (1.0,)], "d double")
-    low, high = [r[0] for r in rows.select(dr.ks_pvalue(F.col("d"), F.lit(2.0), F.lit(2.0), finite=False)).collect()]
+    low, high = [r[0] for r in rows.select(dr.ks_pvalue(F.col("d"), F.lit(2.0), F.lit(2.0))).collect()]
     assert low == pytest.approx(high, abs=1e-9)
 
 
@@ -107,20 +106,96 @@ def test_categories(df):
     # chi-square 3.841 with one degree of freedom is the 5 % point.
     skew = df([("a",)] * 50 + [("b",)] * 50, "c string")
     got = dr.chi_square(ref, skew, ["c"]).first()
-    assert got.statistic == pytest.approx(10**2 / 60 + 10**2 / 40) and 0.02 < got.p_value < 0.06
-
-
-def test_small_reference_uses_tests_and_large_distances(df):
+    assert got.statistic == pytest.approx(10**2 / 60 + 10**2 / 40) and got.p_value == pytest.approx(math.erfc(math.sqrt(got.statistic / 2)))
+
+
+# Tabulated upper tails: (statistic, degrees of freedom, probability).
+TAILS = [
+    (3.841459, 1, 0.05), (6.634897, 1, 0.01), (0.015791, 1, 0.9), (5.991465, 2, 0.05), (7.814728, 3, 0.05), (11.344867, 3, 0.01),
+    (18.307038, 10, 0.05), (24.995790, 15, 0.05), (43.772972, 30, 0.05), (124.342113, 100, 0.05), (149.448528, 100, 0.001),
+]
+
+
+def test_chi_square_tails_to_six_digits(df):
+    rows = df([(float(x), int(k), float(p)) for x, k, p in TAILS], "x double, k int, p double")
+    got = [(r.p, r.q) for r in rows.select("p", dr.chi_square_tail(F.col("x"), F.col("k")).alias("q")).collect()]
+    assert [q for _, q in got] == pytest.approx([p for p, _ in got], abs=1e-6)
+    one = df([(x / 7,) for x in range(1, 400)], "x double")
+    for r in one.select("x", dr.chi_square_tail(F.col("x"), F.lit(1)).alias("q")).collect():
+        assert r.q == pytest.approx(math.erfc(math.sqrt(r.x / 2)), rel=1e-9)
+    # 0.0528 at one degree, where an approximation gave 0.0499.
+    x = 3.75
+    assert df([(x,)], "x double").select(dr.chi_square_tail(F.col("x"), F.lit(1))).first()[0] == pytest.approx(0.052808, abs=1e-6)
+
+
+def test_plain_p_value_gives_the_exact_verdict_for_equal_sizes(df):
+    """Exact two-sided probability by reflection: 2 * sum (-1)^(k-1) C(2n, n - k h) / C(2n, n), h = n D."""
+    rows, exact = [], {}
+    for n in (5, 10, 20, 50, 100, 150, 200):
+        whole = math.comb(2 * n, n)
+        for h in range(1, n + 1):
+            p = 2 * sum((-1) ** (k - 1) * math.comb(2 * n, n - k * h) for k in range(1, n // h + 1)) / whole
+            exact[n, h] = p
+            rows.append((n, h, h / n))
+    table = df(rows, "n int, h int, d double")
+    got = {(r.n, r.h): r.p for r in table.select("n", "h", dr.ks_pvalue(F.col("d"), F.col("n"), F.col("n")).alias("p")).collect()}
+    assert [k for k in got if (got[k] < dr.P_THRESHOLD) != (exact[k] < dr.P_THRESHOLD)] == []
+
+
+def test_proportions_are_pooled(df):
+    ref, cur = df([("a",)] * 60 + [("b",)] * 40, "c string"), df([("a",)] * 50 + [("b",)] * 50, "c string")
+    got = dr.proportion_test(ref, cur, ["c"]).first()
+    z = (0.4 - 0.5) / math.sqrt(0.45 * 0.55 * (1 / 100 + 1 / 100))
+    assert got.statistic == pytest.approx(z) and got.p_value == pytest.approx(math.erfc(abs(z) / math.sqrt(2)))
+    alone = df([("a",)] * 5, "c string")
+    assert dr.proportion_test(alone, alone, ["c"]).first().p_value == 1.0
+    three = df([("a",), ("b",), ("z",)], "c string")
+    assert dr.proportion_test(three, three, ["c"]).count() == 0
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """Ranges as a large table has them: small ones are not merged."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_hot_values_leave_the_ranges_even(spark, small_ranges):
+    """99 of 100 rows have one value: the ranges are drawn over distinct values all the same."""
+    rows = spark.range(200_000).select(F.when(F.col("id") % 100 > 0, 7.0).otherwise(F.col("id").cast("double")).alias("x"))
+    sizes = [r["count"] for r in dr.value_counts(rows, rows).counts.groupBy("segment").count().collect()]
+    assert len(sizes) > 2 and sum(sizes) == 2001 and max(sizes) < 3 * 2001 / len(sizes)
+
+
+def test_drifted_windows_spread_over_ranges(spark, small_ranges, monkeypatch):
+    from ridgeline.operators import running as rn
+
+    seen = []
+    kept = rn.materialize
+    monkeypatch.setattr(rn, "materialize", lambda df, kind, session=None: seen.append(kept(df, kind, session)) or seen[-1])
+    ref = spark.range(1000).select((F.col("id") / 1000).alias("x"))
+    cur = spark.range(20_000).select((F.col("id") + 100.0).alias("x"), F.lit("2024-01-01 05:00:00").cast("timestamp").alias("ts"))
+    assert sd.windowed_drift(ref, cur, "ts").first().ks_statistic == 1.0
+    for part in seen:
+        sizes = [r["count"] for r in part.groupBy("_range").count().collect()]
+        assert max(sizes) < 0.6 * sum(sizes)
+
+
+def test_the_caller_chooses_tests_or_distances(df):
     rng = np.random.default_rng(7)
-    small = df([(float(v), int(v > 0), "a" if v > 1 else "b") for v in rng.normal(size=200)], "x double, flag int, c string")
-    got = {r.feature: (r.method, r.drifted) for r in dr.column_drift(small, small).collect()}
-    assert got == {"x": ("ks", False), "flag": ("chi_square", False), "c": ("chi_square", False)}
-    params = dr.ShareParams(small_reference=100)
+    rows = [(float(v), int(v > 0), "a" if v > 1 else "b", "xyz"[i % 3]) for i, v in enumerate(rng.normal(size=200))]
+    small = df(rows, "x double, flag int, c string, d string")
+    got = {r.feature: (r.method, r.drifted) for r in dr.column_drift(small, small, "tests", ["flag"]).collect()}
+    assert got == {"x": ("ks", False), "flag": ("proportion", False), "c": ("proportion", False), "d": ("chi_square", False)}
     moved = small.withColumn("x", F.col("x") + 1).withColumn("c", F.lit("b"))
-    got = {r.feature: (r.method, r.drifted) for r in dr.column_drift(small, moved, params).collect()}
-    assert got == {"x": ("wasserstein", True), "flag": ("jensen_shannon", False), "c": ("jensen_shannon", True)}
-    verdict = dr.column_share_drift(small, moved, params).first()
-    assert (verdict.drift_detected, verdict.number_of_columns, verdict.number_of_drifted_columns) == (True, 3, 2)
+    got = {r.feature: (r.method, r.drifted) for r in dr.column_drift(small, moved, "distances", ["flag"]).collect()}
+    assert got == {"x": ("wasserstein", True), "flag": ("jensen_shannon", False), "c": ("jensen_shannon", True), "d": ("jensen_shannon", False)}
+    assert {r.method for r in dr.column_drift(small, moved, columns=["flag"]).collect()} == {"wasserstein"}
+    verdict = dr.column_share_drift(small, moved, "distances", ["flag"]).first()
+    assert (verdict.drift_detected, verdict.number_of_columns, verdict.number_of_drifted_columns) == (True, 4, 2)
+    with pytest.raises(ValueError):
+        dr.column_drift(small, small, "size")
 
 
 def metrics(df, **values):

@@ -44,10 +44,23 @@ def test_class_metrics_with_empty_classes(df):
 
 def test_confusion_matrix_is_dense(df):
     rows = df(PAIRS, "y int, p int")
-    cells = {(r.label, r.prediction): r.n for r in mt.confusion_matrix(rows, "y", "p").collect()}
+    cells = {(r.label, r.prediction): r.n for r in mt.confusion_matrix(rows, "y", "p", dense=True).collect()}
     assert len(cells) == 25 and sum(cells.values()) == 8
     assert cells[1, 1] == 2 and cells[4, 4] == 0
-    assert mt.confusion_matrix(rows, "y", "p", dense=False).count() == 7
+    assert mt.confusion_matrix(rows, "y", "p").count() == 7
+
+
+def test_missing_predictions_are_missed_samples(df):
+    rows = df([(1, 1), (1, None), (0, None), (0, 0), (None, 1)], "y int, p int")
+    assert tuple(mt.accuracy(rows, "y", "p").first()) == (0.5, 4)
+    record = mt.evaluate(rows, "y", "p").first()
+    assert (record.accuracy, record.num_classes, record.num_samples) == (0.5, 2, 4)
+    assert record.precision_macro == 1.0 and record.recall_macro == 0.5
+    sparse = {(r.label, r.prediction): r.n for r in mt.confusion_matrix(rows, "y", "p").collect()}
+    assert sparse == {(1, 1): 1, (1, None): 1, (0, None): 1, (0, 0): 1}
+    dense = {(r.label, r.prediction): r.n for r in mt.confusion_matrix(rows, "y", "p", dense=True).collect()}
+    assert dense == {**sparse, (0, 1): 0, (1, 0): 0}
+    assert {r.row: r.support for r in mt.classification_report(rows, "y", "p").collect()}["accuracy"] == 4
 
 
 def test_report_names_and_summary(df):
@@ -61,7 +74,7 @@ def test_report_names_and_summary(df):
 def test_evaluation_of_nothing(df):
     empty = df([], "y int, p int")
     assert mt.evaluate(empty, "y", "p").first().accuracy == 0.0
-    assert mt.confusion_matrix(empty, "y", "p").count() == 0
+    assert mt.confusion_matrix(empty, "y", "p", dense=True).count() == 0
 
 
 def test_meter(df):
@@ -81,6 +94,11 @@ def test_cross_entropy(df):
     want = [math.log(sum(math.exp(v - max(r)) for v in r)) + max(r) - r[y] for r, y in zip(z, (0, 2, 0))]
     assert got.loss == pytest.approx(sum(want) / 3)
     assert got.accuracy == pytest.approx(2 / 3)
+    some = df([(z[0], 0), (z[1], None), (None, 1)], "z array<double>, y int")
+    assert mt.cross_entropy(some, "z", "y").first()["n"] == 1
+    for bad in (3, -1):
+        with pytest.raises(Exception, match="has no score"):
+            mt.cross_entropy(df([(z[0], 0), (z[1], bad)], "z array<double>, y int"), "z", "y").collect()
 
 
 def test_latency(df):
@@ -199,9 +217,53 @@ def test_centroids_in_blocks(df):
         sc.centroid_scorer(centroids.where("label > 99"))
 
 
+def test_sparse_long_labels_and_hot_ties(df):
+    """Labels all over the long range: blocks follow their order, not their values."""
+    labels = [-(2**62), -5, 0, 7, 2**40, 2**62]
+    centroids = df([(l, [float(i // 2), 0.0], 1) for i, l in enumerate(labels)], "label long, centroid array<double>, n long")
+    rows = df([(i, [float(i), 0.0]) for i in range(3)] + [(9, None)], "id int, v array<double>")
+    for size in (1, 2, 4, 100):
+        scorer = sc.centroid_scorer(centroids, block_classes=size)
+        assert scorer.blocks == -(-6 // size)
+        got = {r.id: r.prediction for r in sc.score(rows, scorer, "v", "long").collect()}
+        assert got == {0: labels[0], 1: labels[2], 2: labels[4], 9: None}
+    assert sc.load_scorer(rows.sparkSession, scorer.path) == scorer
+
+
+def test_head_parameters_score_like_the_head(df):
+    rows = df([("a", [1.0, 2.0], 0), ("b", [3.0, 0.5], 1)], "subject_id string, v array<double>, label int")
+    params = {"w": [[0.5, -1.0], [1.0, 0.0], [0.0, 0.2]], "b": [0.0, 0.1, 0.0]}
+    got = sc.score_table(rows, params, "v").orderBy("subject_id").collect()
+    for r, v in zip(got, ([1.0, 2.0], [3.0, 0.5])):
+        z = np.array(params["w"]) @ v + params["b"]
+        assert r.prediction == z.argmax() and r.confidence == pytest.approx((np.exp(z) / np.exp(z).sum()).max())
+
+
 def test_validation(df):
     rows = df([("a", 0, 0.5), ("a", 1, 1.5), (None, 0, 0.1), ("b", 9, None), ("c", None, -0.1)],
               "subject_id string, prediction int, confidence double")
     labels = df([(0,), (1,)], "label int")
     got = {r.rule: r.violations for r in sc.validate_predictions(rows, labels).collect()}
     assert got == {"null_value": 3, "confidence_range": 2, "unknown_label": 1, "duplicate_key": 1}
+
+
+def test_tensor_bytes_keep_nulls_and_slices(df):
+    rows = df([([1.0, -2.5],), (None,), ([],), ([3.0, None],), ([float(i) for i in range(100)],)], "x array<float>").coalesce(1)
+    got = rows.select("x", tensor_encode(F.col("x")).alias("b")).select("x", "b", tensor_decode(F.col("b")).alias("y")).collect()
+    assert [None if r.b is None else len(r.b) for r in got] == [8, None, 0, 8, 400]
+    assert got[0].y == [1.0, -2.5] and got[1].y is None and got[2].y == [] and math.isnan(got[3].y[1]) and got[4].y == got[4].x
+    assert got[0].b == np.array([1.0, -2.5], "<f4").tobytes()
+    with pytest.raises(Exception, match="no whole floats"):
+        df([(b"abc",)], "b binary").select(tensor_decode(F.col("b"))).collect()
+
+
+def test_gray_of_mixed_channels(df):
+    from ridgeline.functions.pixels import gray_from_bgr, to_gray
+
+    images = [(bytes(range(12)), 3), (None, 3), (bytes(range(4)), 1), (bytes(range(8)), 4), (b"", 3), (bytes(range(3)), None)]
+    rows = df(images, "data binary, n int").coalesce(1)
+    for method in ("luma", "mean"):
+        got = [r[0] for r in rows.select(to_gray(F.col("data"), F.col("n"), method)).collect()]
+        for (data, n), g in zip(images, got):
+            want = None if data is None or n is None else gray_from_bgr(np.frombuffer(data, np.uint8).reshape(-1, n), method).astype(float).tolist()
+            assert g == want

@@ -20,6 +20,19 @@ def test_split_sizes_are_exact(spark, n, ratios, sizes):
     assert tuple(got[s] for s in sp.SPLITS) == sizes
 
 
+def test_repeated_keys_have_no_exact_split(spark):
+    rows = spark.range(100).select((F.col("id") % 5).alias("k"))
+    with pytest.raises(ValueError, match="repeat"):
+        sp.exact_split(rows, "k")
+
+
+def test_keys_are_never_written_alike(df):
+    rows = df([("a:b", "c"), ("a", "b:c"), ("a\\", ":b:c"), ("a", None), ("a", "\\N"), (None, "a"), ("a", "")], "x string, y string")
+    hashes = [r[0] for r in rows.select(sp.order_hash(1, "x", "y")).collect()]
+    assert len(set(hashes)) == len(hashes)
+    assert sp.exact_split(rows, ["x", "y"]).count() == 7
+
+
 def test_same_seed_same_split(spark):
     rows = spark.range(300)
     first = sp.exact_split(rows, "id", seed=7).where("split = 'train'")

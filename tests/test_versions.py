@@ -8,14 +8,14 @@ from ridgeline.operators import versions as vs
 
 START = datetime(2024, 1, 1)
 AT = datetime(2025, 1, 1)
-SCHEMA = "model string, version int, event_ts timestamp, alias string, tags map<string,string>, metrics map<string,double>"
+SCHEMA = "model string, version int, event_ts timestamp, seq long, alias string, tags map<string,string>, metrics map<string,double>"
 
 
 @pytest.fixture
 def log(df):
     def make(*events):
         rows = [
-            (m, v, START + timedelta(hours=i), alias, {"alias": alias or "none"}, {} if f1 is None else {"f1_macro": f1})
+            (m, v, START + timedelta(hours=i), 0, alias, {"alias": alias or "none"}, {} if f1 is None else {"f1_macro": f1})
             for i, (m, v, alias, f1) in enumerate(events)
         ]
         return df(rows, SCHEMA)
@@ -28,22 +28,59 @@ def state(events):
 
 def test_register_numbers_on_and_merges_tags(df, log):
     old = log(("m", 4, "champion", 0.5))
-    new = df([("m", START, {"team": "x", "alias": "mine"}, {"f1": 0.123456}), ("m", AT, None, {"acc": 1.0}),
-              ("n", START, None, {})],
-             "model string, event_ts timestamp, tags map<string,string>, metrics map<string,double>")
-    got = {(r.model, r.version): r for r in vs.register(old, new).collect()}
+    new = df([("m", START, 1, {"team": "x", "alias": "mine"}, {"f1": 0.123456}), ("m", AT, 1, None, {"acc": 1.0}),
+              ("n", START, 1, None, {})],
+             "model string, event_ts timestamp, run int, tags map<string,string>, metrics map<string,double>")
+    got = {(r.model, r.version): r for r in vs.register(old, new, "run").collect()}
     assert set(got) == {("m", 5), ("m", 6), ("n", 1)}
     assert got["m", 5].tags["metric_f1"] == "0.1235" and got["m", 5].tags["alias"] == "mine"
     assert got["m", 5].tags["team"] == "x" and got["m", 6].tags["alias"] == "challenger"
     assert got["n", 1].alias == "challenger"
-    assert {(r.model, r.alias): r.version for r in vs.alias_holders(old.unionByName(vs.register(old, new))).collect()} == {
+    assert {(r.model, r.alias): r.version for r in vs.alias_holders(vs.registered(old, new, "run")).collect()} == {
         ("m", "champion"): 4, ("m", "challenger"): 6, ("n", "challenger"): 1}
 
 
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_registration_at_one_time_follows_the_tie_break(df, log, parts):
+    rows = [("m", START, i, {"n": str(i)}, {}) for i in range(40, 0, -1)]
+    new = df(rows, "model string, event_ts timestamp, run int, tags map<string,string>, metrics map<string,double>").repartition(parts)
+    after = vs.registered(log(("m", 2, "challenger", 0.5)), new, "run")
+    got = {r.version: (r.tags.get("n"), r.alias) for r in vs.current_versions(after).collect()}
+    assert got == {2: (None, None), **{i + 2: (str(i), "challenger" if i == 40 else None) for i in range(1, 41)}}
+    assert {r.alias: r.version for r in vs.alias_holders(after).collect()} == {"challenger": 42}
+
+
+def test_promotion_leaves_no_challenger(df, log):
+    events = log(("m", 1, "champion", 0.5), ("m", 2, "challenger", 0.6), ("m", 3, "challenger", 0.7))
+    once = vs.promote(events, vs.should_promote(events), AT)
+    assert {r.alias: r.version for r in vs.alias_holders(once).where("alias <> 'archived'").collect()} == {"champion": 3}
+    again = vs.should_promote(once)
+    assert [(r.promote, r.reason) for r in again.collect()] == [(False, "no challenger")]
+    twice = vs.promote(once, again.withColumn("promote", F.lit(True)), AT)
+    assert vs.alias_holders(twice).where("alias = 'challenger'").count() == 0
+
+
+def test_steps_at_one_time_follow_each_other(log):
+    events = log(("m", 1, "archived", 0.4), ("m", 2, "champion", 0.5), ("m", 3, "challenger", 0.7))
+    after = vs.rollback(vs.promote(events, vs.should_promote(events), AT), AT)
+    # Promotion archived version 2, which going back takes up again.
+    assert state(after) == {("m", 1): "archived", ("m", 2): "champion", ("m", 3): "archived"}
+
+
+def test_unknown_rollback_target_changes_nothing(df, log):
+    events = log(("a", 1, "archived", 0.4), ("a", 2, "champion", 0.5), ("b", 1, "champion", 0.1))
+    targets = df([("a", 9), ("b", 1), ("c", 1)], "model string, version int")
+    assert state(vs.rollback(events, AT, targets)) == state(events)
+    assert {r.model: r.done for r in vs.rollback_outcome(events, targets).collect()} == {"a": False, "b": True, "c": False}
+
+
 def test_alias_moves_to_the_latest(log):
     events = log(("m", 1, "champion", 0.5), ("m", 2, "champion", 0.6), ("m", 1, "archived", 0.5))
     holders = {r.alias: r.version for r in vs.alias_holders(events).collect()}
     assert holders == {"champion": 2, "archived": 1}
+    # The last one given the alias moved on: nobody falls back into it.
+    gone = log(("m", 1, "champion", 0.5), ("m", 2, "champion", 0.6), ("m", 2, "archived", 0.6))
+    assert {r.alias: r.version for r in vs.alias_holders(gone).collect()} == {"archived": 2}
     assert [r.version for r in vs.by_tag(events, "alias", "champion").collect()] == [2]
 
 
@@ -51,6 +88,8 @@ def test_listing(log):
     events = log(*[("m", v, "archived" if v == 2 else None, 0.1) for v in range(1, 6)])
     assert [r.version for r in vs.list_versions(events).orderBy("position").collect()] == [5, 4, 3, 1]
     assert [r.version for r in vs.list_versions(events, True, 2).orderBy("position").collect()] == [5, 4]
+    many = log(*[("m", v, None, 0.1) for v in range(1, 251)])
+    assert [(r.version, r.position) for r in vs.list_versions(many).orderBy("position").collect()] == [(251 - i, i) for i in range(1, 251)]
 
 
 def test_compare(df, log):
@@ -114,6 +153,7 @@ def test_archives_and_picks(df, log):
     assert vs.choose_archive(archives.limit(0)).count() == 0
     events = log(("m", 1, "champion", 0.5), ("m", 2, "challenger", 0.6), ("n", 1, None, 0.1), ("n", 2, None, 0.1))
     assert {r.model: r.version for r in vs.pick_model(events).collect()} == {"m": 1, "n": 2}
+    assert vs.current_versions(events).columns == list(vs.LOG_COLUMNS)
     assert {r.model: r.version for r in vs.pick_model(events, alias="challenger").collect()} == {"m": 2}
     assert {r.model: r.version for r in vs.pick_model(events, version=2).collect()} == {"m": 2, "n": 2}
 
@@ -161,6 +201,14 @@ def test_long_flat_run_is_cut_before_it_is_gathered(spark):
     assert tuple(hs.early_stop(rows).first())[1:] == stop_brute([1 - i / 1e6 for i in range(1, 5001)], 10, 0.001)
 
 
+def test_slowly_falling_run_is_folded_in_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    rows = spark.range(1, 200_001).select(F.lit(1).alias("run_id"), F.col("id").alias("epoch"), (300 - F.col("id") * 0.0011).alias("loss"))
+    got = hs.early_stop(rows).first()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert tuple(got)[1:] == stop_brute([300 - i * 0.0011 for i in range(1, 200_001)], 10, 0.001)
+
+
 def test_history_and_final_metrics(df):
     rows = df([("r", e, m, v) for e, m, v in [
         (1, "val_loss", 0.9), (1, "val_acc", 0.5), (1, "train_loss", 1.0), (1, "train_acc", 0.4), (1, "lr", 0.1),
