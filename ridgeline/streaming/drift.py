@@ -102,6 +102,13 @@ def windowed_drift(
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Values a run left out because their window was closed already."""
+    return sum(
+        state["numRowsDroppedByWatermark"] for step in query.recentProgress for state in step["stateOperators"]
+    )
+
+
 def stream_windowed_drift(
     ref: DataFrame, stream: DataFrame, sink: str, checkpoint: str, ts: str,
     width: str = "1 day", delay: str = "1 hour",
@@ -110,8 +117,10 @@ def stream_windowed_drift(
     """Tests each window once, when the watermark closes it.
 
     The reference counts are written once before the stream starts. Each
-    micro-batch writes its own folder, so a repeated batch replaces itself. A
-    window still open at the end stays in the state for the next run.
+    micro-batch writes its own folder, so a repeated batch replaces itself, and
+    removes its scratch tables. A window still open at the end stays in the state for
+    the next run; what arrives for a closed one is left out, and :func:`late_rows`
+    counts it.
     """
     profiles = reference_profiles(ref, columns)
     reference = materialize(reference_counts(ref, profiles), "reference-counts")

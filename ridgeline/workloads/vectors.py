@@ -140,6 +140,31 @@ def preprocess_stats(spark, sf):
     return stats.select(total.alias("total"), "total_samples", "processed_samples", "failed_samples")
 
 
+# Every seventh iris and every fifth fingerprint has no image: pairs with one of them fail.
+@query("""SELECT CAST(sum(n * n) AS BIGINT) AS total_samples, CAST(sum(i * f) AS BIGINT) AS processed_samples,
+  CAST(sum(n * n) - sum(i * f) AS BIGINT) AS failed_samples
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE vec_id % 7 <> 0) AS i, count(*) FILTER (WHERE vec_id % 5 <> 0) AS f
+  FROM embeddings GROUP BY label)""")
+def preprocess_failures(spark, sf):
+    gone = F.when(F.col("modality") == "iris", F.col("vec_id") % 7 == 0).otherwise(F.col("vec_id") % 5 == 0)
+    images = decoded_images(spark, sf).select("subject_id", "modality", F.when(~gone, F.col("image")).alias("image"))
+    stats = im.preprocess_stats(im.preprocess_images(images, (4, 4)))
+    return stats.select("total_samples", "processed_samples", "failed_samples")
+
+
+# Every value of both modalities; the fingerprint is the iris in reverse, and so is its small form.
+@query(f"""WITH {resize_sql(4)}, m AS (
+  SELECT vec_id, 'iris' AS modality, y, x, v FROM down
+  UNION ALL SELECT vec_id, 'fingerprint', 3 - y, 3 - x, v FROM down)
+SELECT vec_id, modality, CAST(y * 4 + x AS INTEGER) AS pos, round(v / 127.5::DOUBLE - 1, 5) + 0.0::DOUBLE AS value FROM m""")
+def preprocess_values(spark, sf):
+    images = decoded_images(spark, sf).select("vec_id", "modality", "image")
+    features = im.preprocess_images(images, (4, 4)).where("ok")
+    return features.select("vec_id", "modality", F.posexplode("features").alias("pos", "value")).select(
+        "vec_id", "modality", "pos", (F.round(F.col("value").cast("double"), 5) + F.lit(0.0)).alias("value")
+    )
+
+
 @query(flat_sql("a", "ab", D))
 def tensor_roundtrip(spark, sf):
     e = table(spark, sf, "embeddings").withColumn("bytes", px.tensor_encode(F.col("embedding")))

@@ -11,7 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from oracle import connect, differences  # noqa: E402
 
 from ridgeline.runtime import build_session  # noqa: E402
-from ridgeline.workloads import ORACLES, QUERIES  # noqa: E402
+import __spark_entry__ as driver  # noqa: E402
+
+QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
 
 
 def main() -> int:

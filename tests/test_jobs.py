@@ -120,10 +120,17 @@ def test_closed_windows_equal_batch(spark, tmp_path):
     # With a long delay nothing closes; a second source of later rows closes it all.
     later = cur.limit(1).withColumn("ts", F.lit("2030-01-01").cast("timestamp_ntz"))
     later.write.mode("append").parquet(str(tmp_path / "in"))
-    sd.stream_windowed_drift(ref, source, sink, str(tmp_path / "cp"), "ts", delay="30 days", columns=["value"]).awaitTermination()
+    last = sd.stream_windowed_drift(ref, source, sink, str(tmp_path / "cp"), "ts", delay="30 days", columns=["value"])
+    last.awaitTermination()
+    assert sd.late_rows(last) == 0
     batch = sd.windowed_drift(ref, cur, "ts", columns=["value"])
     got = {r.window_start: (r.ks_statistic, r.n_cur, r.drifted) for r in spark.read.parquet(sink).collect()}
     assert got == {r.window_start: (r.ks_statistic, r.n_cur, r.drifted) for r in batch.collect()}
+    # Rows of a window long closed change nothing, but are counted.
+    cur.limit(1).write.mode("append").parquet(str(tmp_path / "in"))
+    late = sd.stream_windowed_drift(ref, source, sink, str(tmp_path / "cp"), "ts", delay="30 days", columns=["value"])
+    late.awaitTermination()
+    assert sd.late_rows(late) == 1
 
 
 @pytest.mark.parametrize("kind", ["logistic", "perceptron"])
@@ -153,3 +160,11 @@ def test_unknown_split_means_test(df):
     record = evaluate_split(rows, lambda r: r, "holdout").first()
     assert (record.num_samples, record.accuracy) == (1, 1.0)
     assert evaluate_split(rows, lambda r: r, "val").first().accuracy == 0.0
+
+
+def test_discarded_tables_are_gone(spark):
+    with runtime.discarding(spark):
+        kept = runtime.materialize(spark.range(3), "t")
+        place = kept.inputFiles()[0].removeprefix("file://").removeprefix("file:")
+        assert kept.count() == 3 and os.path.exists(place)
+    assert not os.path.exists(place)
