@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 
 from ridgeline.llm.texts import Texts, map_texts
 
-TABLE_CHUNKS = 400_000
+TABLE_CHUNKS = 150_000
 TABLE_BYTES = 200
 # Chunks are segmented by the library in lists of this many.
 _LIST = 20_000

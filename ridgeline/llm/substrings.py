@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.texts import Texts, map_texts, mix, range_hash, sums, word_bounds, word_hashes
+from ridgeline.llm.texts import Texts, map_texts, mix, range_hash, small_batches, sums, word_bounds, word_hashes
 
 WINDOW = 20
 MAX_BITS = 29
@@ -197,7 +197,7 @@ def repeated_words(
     gives no rows.
     """
     carry = carry or [id_col]
-    given = df.select(
+    given = small_batches(df).select(
         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
         F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID)).alias("id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),

@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Bytes of text a task works on at a time; one longer row is taken alone.
+# Bytes and rows of text a task works on at a time; one longer row is taken alone.
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 2000
+# Rows of an Arrow batch: texts are long, and a batch lies in the JVM and in Python at once.
+BATCH_ROWS = 1000
 
 _U = np.uint64
 # An odd multiplier and its inverse modulo 2**64, for hashes of byte ranges.
@@ -53,11 +56,19 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
     at = 0
     while at < len(ends):
         before = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, before + limit, "right")))
+        to = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(ends, before + limit, "right"))))
         yield at, to
         at = to
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session hands texts to Python in batches of at most ``BATCH_ROWS`` rows from here on."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def map_texts(
     df: DataFrame, text: str, carry: Sequence[str], fields: str,
     start: Callable[[], Callable[[Texts, pa.StructArray], Sequence[pa.Array]]],
@@ -67,7 +78,7 @@ def map_texts(
     ``start`` runs once per task and returns the function applied to each slice.
     Carried columns stay in a struct, so they can have any names.
     """
-    given = df.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
+    given = small_batches(df).select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
     schema = T.StructType([given.schema["row"], *T._parse_datatype_string(fields).fields])
     arrow = to_arrow_schema(schema)
 
