@@ -117,14 +117,15 @@ class Paragraphs:
         shift = _U(64 - FEATURES.bit_length() + 1)
         return (self.words >> shift).astype(np.int64), (self.pairs >> shift).astype(np.int64)
 
-    def scores(self, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-        """Class scores of each window: mean weight of its words and pairs, times ten, and the bias."""
+    def scores(self, weights: np.ndarray, bias: np.ndarray, begin: np.ndarray | None = None, stop: np.ndarray | None = None) -> np.ndarray:
+        """Class scores of each window, or of word ranges: mean weight of words and pairs, times ten, and the bias."""
+        begin, stop = (self.begin, self.stop) if begin is None else (begin, stop)
         words, pairs = self.cells()
         each = weights[words] + np.where(self.inner[:, None], weights[pairs], 0)
         total = np.concatenate((np.zeros((1, weights.shape[1])), np.cumsum(each, axis=0, dtype=np.float64)))
         # The pair that leaves the window does not count.
-        cut = np.where(self.inner[self.stop - 1][:, None], weights[pairs[self.stop - 1]], 0) if len(self.stop) else 0
-        return 10 * (total[self.stop] - total[self.begin] - cut) / (2 * (self.stop - self.begin) - 1)[:, None] + bias
+        cut = np.where(self.inner[stop - 1][:, None], weights[pairs[stop - 1]], 0) if len(stop) else 0
+        return 10 * (total[stop] - total[begin] - cut) / (2 * (stop - begin) - 1)[:, None] + bias
 
     def vectors(self, window: int) -> dict[int, float]:
         """The same window as a sparse feature vector."""
@@ -157,44 +158,184 @@ class LicenceModel:
     def __init__(self, weights: np.ndarray, bias: np.ndarray, temperature: float):
         self.names = [*TEMPLATES, UNKNOWN]
         self.weights, self.bias, self.temperature = weights.astype(np.float32), bias, temperature
-        self.templates = {f: [template_pairs(t) for t in texts] for f, texts in TEMPLATES.items()}
-
-    def probabilities(self, paragraphs: Paragraphs) -> np.ndarray:
-        scores = paragraphs.scores(self.weights, self.bias) / self.temperature
+        self.templates = [[set(template_pairs(t)) for t in texts] for texts in TEMPLATES.values()]
+        # Of each pair the templates that hold it, as family and place in it.
+        self.holders: dict[int, list[tuple[int, int]]] = {}
+        for f, some in enumerate(self.templates):
+            for t, pairs in enumerate(some):
+                for pair in pairs:
+                    self.holders.setdefault(pair, []).append((f, t))
+        # The pairs of all templates, and which of them each template holds.
+        self.known = np.array(sorted(self.holders), _U)
+        self.members = [(np.array([int(p) in t for p in self.known]), len(t)) for some in self.templates for t in some]
+        # No range that holds a template is longer.
+        self.margin = _reach(max(len(t) for some in self.templates for t in some))
+
+    def probabilities(self, paragraphs: Paragraphs, begin: np.ndarray | None = None, stop: np.ndarray | None = None) -> np.ndarray:
+        scores = paragraphs.scores(self.weights, self.bias, begin, stop) / self.temperature
         scores = np.exp(scores - scores.max(axis=1, keepdims=True)) if len(scores) else scores
         return scores / scores.sum(axis=1, keepdims=True) if len(scores) else scores
 
     def notices(self, texts: Texts) -> list[list[dict]]:
-        """For each text its notices in order: family, probability, share of the template, and byte range."""
+        """For each text its notices in order: family, probability, share of the template, and byte range.
+
+        A place that holds most of a template is a notice if the classifier takes its words, or a
+        window it lies in, for a licence. Other windows taken for one are unconfirmed notices, one for each
+        run of them that touch.
+        """
         paragraphs = Paragraphs(texts)
         out: list[list[dict]] = [[] for _ in range(len(texts))]
         if not len(paragraphs.begin):
             return out
-        shares = self.probabilities(paragraphs)
+        places = self.places(paragraphs)
+        begin, stop = (np.array([p[i] for p in places], np.int64) for i in (0, 1))
+        shares = self.probabilities(paragraphs, np.append(paragraphs.begin, begin), np.append(paragraphs.stop, stop))
         sure = shares[:, :-1].sum(axis=1)
         named = shares[:, :-1].argmax(axis=1)
-        # For each paragraph the families its windows name, each with its surest window.
-        found: dict[int, dict[int, float]] = {}
-        for window in np.flatnonzero(sure >= MIN_PROBABILITY).tolist():
-            families = found.setdefault(int(paragraphs.of[window]), {})
-            family = int(named[window])
-            families[family] = max(families.get(family, 0.0), float(sure[window]))
-        for of, families in sorted(found.items()):
-            a, b = int(paragraphs.first[of]), int(paragraphs.last[of])
-            here = set(paragraphs.pairs[a : b - 1].tolist()) | set(paragraphs.words[a:b].tolist())
-            held = {f: max(sum(p in here for p in pairs) / len(pairs) for pairs in self.templates[self.names[f]]) for f in families}
+        windows = len(paragraphs.begin)
+        # For each paragraph the places, and the windows that claim a licence.
+        found: dict[int, tuple[list, list]] = {}
+        for (a, b, family, share), of, own in zip(places, (np.searchsorted(paragraphs.first, begin, "right") - 1).tolist(), sure[windows:].tolist()):
+            found.setdefault(of, ([], []))[0].append((a, b, family, share, own))
+        for w in np.flatnonzero(sure[:windows] >= MIN_PROBABILITY).tolist():
+            claim = int(paragraphs.begin[w]), int(paragraphs.stop[w]), int(named[w]), float(sure[w])
+            found.setdefault(int(paragraphs.of[w]), ([], []))[1].append(claim)
+        for of, (here, claims) in sorted(found.items()):
+            doc = int(paragraphs.doc[paragraphs.first[of]])
+            origin = int(texts.offsets[doc])
+            for a, b, family, probability, share in self._told(paragraphs.pairs, here, sorted(claims)):
+                out[doc].append({
+                    "family": self.names[family], "probability": probability, "template": share, "confirmed": share >= MIN_TEMPLATE,
+                    "start": int(paragraphs.starts[a]) - origin, "end": int(paragraphs.ends[b - 1]) - origin,
+                })
+        return out
+
+    def _told(self, pairs: np.ndarray, places: list[tuple], windows: list[tuple]) -> list[tuple[int, int, int, float, float]]:
+        """The notices of a paragraph as word range, family, probability and share of the template."""
+        out, at, free = [], 0, [True] * len(windows)
+        for begin, stop, family, share, own in sorted(places):
+            while at < len(windows) and windows[at][1] <= begin:
+                at += 1
+            claims = [own]
+            for i in range(at, len(windows)):
+                if windows[i][0] >= stop:
+                    break
+                if windows[i][1] > begin:
+                    claims.append(windows[i][3])
+                    free[i] = False
+            if max(claims) >= MIN_PROBABILITY:
+                out.append((begin, stop, family, max(claims), share))
+        rest = [w for w, f in zip(windows, free) if f]
+        for begin, stop, members in _runs([w[:2] for w in rest]):
+            families: dict[int, float] = {}
+            for i in members:
+                families[rest[i][2]] = max(families.get(rest[i][2], 0.0), rest[i][3])
+            here = set(pairs[begin : stop - 1].tolist())
+            held = {f: max(len(here & t) / len(t) for t in self.templates[f]) for f in families}
             # The templates decide between families; the classifier where they cannot.
             best = max(families, key=lambda f: (held[f], families[f], -f))
-            family, probability, share = self.names[best], families[best], held[best]
-            doc = int(paragraphs.doc[a])
-            origin = int(texts.offsets[doc])
-            out[doc].append({
-                "family": family, "probability": probability, "template": float(share),
-                "confirmed": share >= MIN_TEMPLATE, "start": int(paragraphs.starts[a]) - origin, "end": int(paragraphs.ends[b - 1]) - origin,
-            })
+            out.append((begin, stop, best, families[best], float(held[best])))
+        return sorted(out)
+
+    def places(self, paragraphs: Paragraphs) -> list[tuple[int, int, int, float]]:
+        """All word ranges that hold most of a template, with family and share, in order."""
+        at = np.searchsorted(self.known, paragraphs.pairs)
+        hits = np.flatnonzero((self.known[np.minimum(at, len(self.known) - 1)] == paragraphs.pairs) & paragraphs.inner)
+        seeds = []
+        for held, size in self.members:
+            mine = hits[held[at[hits]]]
+            need = int(np.ceil(MIN_TEMPLATE * size - 1e-9))
+            if len(mine) >= need:
+                # Enough of its pairs close together, repeats included: worth a closer look.
+                close = mine[np.flatnonzero(mine[need - 1 :] - mine[: len(mine) - need + 1] < _reach(size))]
+                seeds += close.tolist()
+        seeds = np.unique(np.array(seeds, np.int64))
+        of = np.searchsorted(paragraphs.first, seeds, "right") - 1
+        # A template that begins before a seed may reach into it.
+        begin = np.maximum(paragraphs.first[of], seeds - self.margin).tolist()
+        stop = np.minimum(paragraphs.last[of], seeds + self.margin).tolist()
+        areas = _runs(list(zip(begin, stop)), 1)
+        return sorted(p for a, b, _ in areas for p in self._places(paragraphs.pairs[a : b - 1].tolist(), a))
+
+    def _places(self, pairs: list[int], origin: int) -> list[tuple[int, int, int, float]]:
+        """Word ranges holding most of a template, with family and share; no pair serves two of them."""
+        met: dict[tuple[int, int], list[int]] = {}
+        for place, pair in enumerate(pairs):
+            for key in self.holders.get(pair, ()):
+                met.setdefault(key, []).append(place)
+        dense: dict[int, list[tuple[int, int]]] = {}
+        for (f, t), at in met.items():
+            dense.setdefault(f, []).extend(_dense(at, [pairs[i] for i in at], len(self.templates[f][t])))
+        used = [False] * len(pairs)
+
+        def held(f: int, begin: int, stop: int) -> tuple[float, int, list[int]]:
+            """Share and number of the pairs of a template that no other place has, and where they stand."""
+            here = {pairs[i] for i in range(begin, stop - 1) if not used[i]}
+            share, n, t = max((len(here & t) / len(t), len(here & t), k) for k, t in enumerate(self.templates[f]))
+            return share, n, [i for i in range(begin, stop - 1) if not used[i] and any(pairs[i] in t for t in self.templates[f])]
+
+        # Templates of one family that overlap tell of one notice.
+        offers = [(f, begin, stop) for f, some in dense.items() for begin, stop, _ in _runs(sorted(some), 1)]
+        out = []
+        for f, begin, stop in sorted(offers, key=lambda o: ([-x for x in held(*o)[:2]], o)):
+            share, _, at = held(f, begin, stop)
+            if share >= MIN_TEMPLATE:
+                out.append((at[0] + origin, at[-1] + 2 + origin, f, float(share)))
+                for i in at:
+                    used[i] = True
         return out
 
 
+def _runs(ranges: list[tuple[int, int]], overlap: int = 0) -> list[tuple[int, int, list[int]]]:
+    """Sorted ranges joined where one begins at least ``overlap`` before the end of those before it, and which they are."""
+    out: list[tuple[int, int, list[int]]] = []
+    for i, (begin, stop) in enumerate(ranges):
+        if out and begin + overlap <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], stop), [*out[-1][2], i])
+        else:
+            out.append((begin, stop, [i]))
+    return out
+
+
+def _reach(size: int) -> int:
+    return 2 * size + 16
+
+
+def _dense(places: list[int], which: list[int], size: int) -> list[tuple[int, int]]:
+    """Word ranges with most of a template's ``size`` pairs, from where its pairs stand and which they are.
+
+    A range is at most twice as long as the template, and sixteen words. Ranges share no pair.
+    """
+    reach, out, start = _reach(size), [], 0
+    while start < len(places):
+        counts: dict[int, int] = {}
+        left, best = start, None
+        for right in range(start, len(places)):
+            counts[which[right]] = counts.get(which[right], 0) + 1
+            while places[right] - places[left] >= reach:
+                counts[which[left]] -= 1
+                if not counts[which[left]]:
+                    del counts[which[left]]
+                left += 1
+            if len(counts) / size >= MIN_TEMPLATE and (best is None or len(counts) > best[0]):
+                best = (len(counts), left, right)
+                if len(counts) == size:
+                    break
+            elif best is not None and places[right] - places[best[2]] >= reach:
+                break
+        if best is None:
+            break
+        _, left, right = best
+        later: set[int] = set()
+        for i in range(right, left - 1, -1):
+            if which[i] not in later:
+                later.add(which[i])
+                first = i
+        out.append((places[first], places[right] + 2))
+        start = right + 1
+    return out
+
+
 def _training_rows(sample: list[str]) -> list[tuple[str, int]]:
     """Paragraphs and their class: altered templates, and the sample as unknown; the same in every run."""
     draw = random.Random(7)

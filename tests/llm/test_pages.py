@@ -297,3 +297,19 @@ def test_window_scores_match_vectors(licence_model):
         v = one.vectors(i)
         want = sum(licence_model.weights[c].astype(float) * x for c, x in v.items()) + licence_model.bias
         assert np.allclose(scores[i], want, atol=1e-3)
+
+
+def test_every_notice_of_a_line(df, licence_model):
+    filler = "plain words of an ordinary sentence about the river and the town " * 30
+    texts = {
+        1: filler + "Released under the MIT License. " + filler + "Licensed under CC BY 4.0. " + filler,
+        2: "Released under the MIT License. Licensed under CC BY 4.0.",
+        3: filler + "Licensed under CC BY 4.0. " + filler + "Licensed under CC BY 4.0. " + filler,
+        4: "Licensed under CC BY-NC 4.0. " + "Released under the MIT License. " * 500,
+    }
+    want = {1: ["mit", "cc-by"], 2: ["mit", "cc-by"], 3: ["cc-by", "cc-by"], 4: ["cc-by-nc"] + ["mit"] * 500}
+    held = {"mit": "Released under the MIT License", "cc-by": "Licensed under CC BY 4.0", "cc-by-nc": "Licensed under CC BY-NC 4.0"}
+    for r in licences.scan(df(list(texts.items()), "doc_id long, text string"), licence_model).collect():
+        sure = [n for n in r.notices if n.confirmed]
+        assert [n.family for n in sure] == want[r.row.doc_id] and list(r.families) == sorted(set(want[r.row.doc_id]))
+        assert all(texts[r.row.doc_id].encode()[n.start : n.end].decode() == held[n.family] and n.template == 1 for n in sure)
