@@ -1,7 +1,8 @@
 """Licence notices in texts: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line; a long one is seen through windows of 32 words. Hashed
-counts of its words and word pairs feed a multinomial logistic regression over
+A paragraph is a run of lines up to one without words. It is seen whole and line by line,
+what is long through windows of 32 words. Hashed
+counts of their words and word pairs feed a multinomial logistic regression over
 licence families and one class for everything else. The model is fitted by Spark on
 template notices (whole, cut short and with words of the corpus mixed in) and on a
 bounded sample of the corpus's own paragraphs, which stand for the unknown class. Its
@@ -96,21 +97,27 @@ class Paragraphs:
         folded = _folded(texts)
         self.words = word_hashes(folded, self.starts, self.ends)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(limits))
-        line = np.concatenate(([0], np.cumsum(lines)))[self.starts] + self.doc
+        breaks = np.concatenate(([0], np.cumsum(lines)))[self.starts]
         n = len(self.words)
-        self.first = np.flatnonzero(np.concatenate(([True], np.diff(line) != 0))) if n else np.zeros(0, np.int64)
-        self.last = np.append(self.first[1:], n) if n else self.first
+        other = np.diff(self.doc) != 0
+        # A line without a word ends a paragraph.
+        self.first, self.last = _groups(other | (np.diff(breaks) > 1), n)
+        line_first, line_last = _groups(other | (np.diff(breaks) > 0), n)
         # A pair joins a word with the next of its paragraph.
         self.pairs = np.zeros(n, _U)
         if n:
             self.pairs[:-1] = mix(self.words[:-1] * _U(3) + self.words[1:])
         self.inner = np.ones(n, bool)
         self.inner[self.last - 1] = False
-        longer = np.maximum(0, -(-(self.last - self.first - WINDOW) // STRIDE))
-        self.of = np.repeat(np.arange(len(self.first)), longer + 1)
-        step = np.arange(len(self.of)) - np.repeat(np.cumsum(longer + 1) - longer - 1, longer + 1)
-        self.begin = self.first[self.of] + step * STRIDE
-        self.stop = np.minimum(self.begin + WINDOW, self.last[self.of])
+        # Lines, and paragraphs of more than one line, each seen through windows.
+        wrapped = np.searchsorted(line_first, self.last) - np.searchsorted(line_first, self.first) > 1
+        first, last = np.append(line_first, self.first[wrapped]), np.append(line_last, self.last[wrapped])
+        longer = np.maximum(0, -(-(last - first - WINDOW) // STRIDE))
+        unit = np.repeat(np.arange(len(first)), longer + 1)
+        step = np.arange(len(unit)) - np.repeat(np.cumsum(longer + 1) - longer - 1, longer + 1)
+        self.begin = first[unit] + step * STRIDE
+        self.stop = np.minimum(self.begin + WINDOW, last[unit])
+        self.of = np.searchsorted(self.first, self.begin, "right") - 1
 
     def cells(self) -> tuple[np.ndarray, np.ndarray]:
         """Feature of each word, and of each pair."""
@@ -137,6 +144,14 @@ class Paragraphs:
         return out
 
 
+def _groups(breaks: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and end of each group of ``n`` words, by whether a group begins with each word but the first."""
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    first = np.flatnonzero(np.append(True, breaks))
+    return first, np.append(first[1:], n)
+
+
 class _Folded:
     def __init__(self, data: np.ndarray):
         self.data = data

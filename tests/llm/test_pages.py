@@ -313,3 +313,15 @@ def test_every_notice_of_a_line(df, licence_model):
         sure = [n for n in r.notices if n.confirmed]
         assert [n.family for n in sure] == want[r.row.doc_id] and list(r.families) == sorted(set(want[r.row.doc_id]))
         assert all(texts[r.row.doc_id].encode()[n.start : n.end].decode() == held[n.family] and n.template == 1 for n in sure)
+
+
+def test_wrapped_notices(df, licence_model):
+    texts = {
+        "bsd": "/*\n * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions\n * are met:\n */",
+        "gpl": "prose before it\nThis program is free software: you can redistribute it and/or modify\r\nit under the terms of the GNU General Public License as published by\r\n",
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a\ncopy of this software and associated\ndocumentation files (the \"Software\"), to deal",
+        "": "All rights\n\nreserved.",
+    }
+    made = licences.scan(df([(i, t) for i, t in enumerate(texts.values())], "doc_id long, text string"), licence_model)
+    assert {r.row.doc_id: ",".join(r.families) for r in made.collect()} == dict(enumerate(texts))
+    assert all(sum(n.confirmed for n in r.notices) == (r.families != []) for r in made.collect())
