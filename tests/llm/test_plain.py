@@ -195,6 +195,39 @@ def test_syncmers_query(spark, documents):
     assert 0.4 < sum(long) / len(long) < 0.7
 
 
+def test_syncmers_of_long_texts(df):
+    import random
+
+    draw = random.Random(3)
+
+    def some(n):
+        return [f"w{draw.randrange(10**6)}" for _ in range(n)]
+
+    shared, tail = some(100), some(3000)
+    # Two long texts with a passage in common; the same text with 40 words less at its beginning; short ones.
+    texts = {9: some(4000) + shared + some(4000), 8: some(2500) + shared + some(5000), 7: some(40) + tail, 6: tail, 5: ["a", "b"], 4: []}
+    texts = {d: " ".join(w) for d, w in texts.items()}
+    made = {r.doc_id: r for r in anchors.edited_fingerprints(df(list(texts.items()), "doc_id long, text string")).collect()}
+
+    def all_of(text):
+        found = syncmers(text, sample=None)
+        return [int(found[i : i + 16], 16) for i in range(0, len(found), 16)]
+
+    def overlap(a, b):
+        a, b = {x >> 24 for x in a}, {x >> 24 for x in b}
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    order, changed = sorted(texts, reverse=True), edited(texts)
+    for d, after in zip(order, order[1:] + order[:1]):
+        own, new = all_of(texts[d]), all_of(changed[d])
+        assert made[d].anchors == own and made[d].edited_anchors == new
+        assert made[d].near_edited == overlap(own, new) and made[d].near_next == overlap(own, all_of(texts[after]))
+    assert 0 < made[9].near_next < 0.02 and made[7].near_next > 0.9 and len(made[9].anchors) > 2000
+    assert made[9].edited_shift == 0 and made[4].edited_shift is None and made[4].near_edited == 1.0
+    given = df([(made[7].anchors, made[6].anchors), (made[9].anchors, made[8].anchors)], "a array<long>, b array<long>")
+    assert [r.moved for r in anchors.with_overlap(given, "a", "b", "near", "moved").orderBy("near").collect()] == [-1500, -40]
+
+
 def test_syncmers_null_and_repeated_ids(df):
     rows = [(5, "abc def"), (5, "zzz"), (None, "third text"), (9, None)]
     made = anchors.edited_fingerprints(df(rows, "doc_id long, text string")).collect()
