@@ -43,7 +43,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents holding benchmark passages go."""
-    made = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), carry=COLUMNS)
+    made = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), carry=COLUMNS, unnamed=True)
     return made.where(~F.col("contaminated")).select(*[f"row.{c}" for c in COLUMNS])
 
 

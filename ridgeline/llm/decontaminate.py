@@ -30,18 +30,24 @@ _IS_WORD = byte_table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0
 _NORMAL = bytes(_LOWER[b] if _IS_WORD[_LOWER[b]] else 0x20 for b in range(256))
 
 
-def patterns(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
+def patterns(
+    benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW, unnamed: bool = False,
+) -> DataFrame:
     """``(pattern, items)``: the distinct windows of a benchmark, and whose they are.
 
-    Null and wordless items have none. Items sharing an id are one item.
+    Null and wordless texts have none. Items sharing an id are one item; with ``unnamed``
+    those without an id are one too, null among ``items``, and else they are left out.
     """
     lower = F.translate(F.col(f"`{text_col}`").cast("string"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = F.regexp_extract_all(lower, F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"), F.lit(1))
-    items = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("item"), words.alias("w")).where("size(w) > 0 and item is not null")
+    items = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("item"), words.alias("w")).where("size(w) > 0")
+    if not unnamed:
+        items = items.where("item is not null")
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - window + 1))
     return (
         items.select("item", F.explode(F.transform(starts, lambda i: F.array_join(F.slice("w", i, F.lit(window)), " "))).alias("pattern"))
-        .groupBy("pattern").agg(F.array_sort(F.collect_set("item")).alias("items"))
+        # A set of structs keeps a null, which a set of names would lose.
+        .groupBy("pattern").agg(F.array_sort(F.transform(F.collect_set(F.struct("item")), lambda x: x["item"])).alias("items"))
     )
 
 
@@ -50,7 +56,7 @@ def _groups(found: DataFrame, limit: int):
     held, size = [], 0
     for r in found.toLocalIterator():
         held.append((r.pattern, tuple(r["items"])))
-        size += len(r.pattern) + sum(map(len, r["items"]))
+        size += len(r.pattern) + sum(len(i or "") for i in r["items"])
         if size >= limit:
             yield held
             held, size = [], 0
@@ -94,7 +100,7 @@ def _restore(broadcast, number):
     return out
 
 
-def hits(tree, text: bytes) -> tuple[int, list[tuple[int, int]], set[str]]:
+def hits(tree, text: bytes) -> tuple[int, list[tuple[int, int]], set[str | None]]:
     """Words of a text, word ranges hit (sorted, not overlapping), and the items found."""
     words = text.translate(_NORMAL).split()
     ranges, items = [], set()
@@ -122,11 +128,14 @@ def _merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def scan(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", carry: list[str] | None = None,
-    window: int = WINDOW, max_pattern_bytes: int = MAX_PATTERN_BYTES,
+    window: int = WINDOW, max_pattern_bytes: int = MAX_PATTERN_BYTES, unnamed: bool = False,
 ) -> DataFrame:
     """Per row: carried columns in a struct ``row``, ``n_words``, ``n_hit``, ``n_items``,
     ``items`` (sorted), ``spans`` (byte ranges of the original text) and ``contaminated``.
 
+    With ``unnamed``, benchmark rows without an id count as one item, null and last in ``items``;
+    without it they are left out.
+
     The automaton is broadcast; its patterns are bounded by ``max_pattern_bytes``,
     and a benchmark beyond that is scanned with one automaton after the other,
     each adding to what the rows hold. A null, empty or wordless text has
@@ -135,7 +144,7 @@ def scan(
     """
     context = docs.sparkSession.sparkContext
     carry = carry or ["doc_id"]
-    shared = [_Shared(context.broadcast(g)) for g in _groups(patterns(benchmark, window=window), max_pattern_bytes)]
+    shared = [_Shared(context.broadcast(g)) for g in _groups(patterns(benchmark, window=window, unnamed=unnamed), max_pattern_bytes)]
 
     def step(tree_of, df, names):
         def start():
@@ -157,7 +166,7 @@ def scan(
                         for a, b in ranges
                     ]
                     spans.append(_joined(old + new))
-                    items.append(sorted(whose.union(before[1][i])))
+                    items.append(sorted(whose.union(before[1][i]), key=lambda x: (x is None, x or "")))
                 hit = [sum(s["last"] - s["first"] for s in x) for x in spans]
                 n = [f[0] for f in found]
                 return [

@@ -117,7 +117,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """)
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    made = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), unnamed=True)
     return made.select(
         "row.doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",

@@ -153,6 +153,28 @@ def test_decontaminate_odd(spark, odd, df):
     assert clean.scan(odd, bench.limit(0)).where("n_hit > 0 or contaminated").count() == 0
 
 
+def test_decontaminate_items_without_an_id(spark, df, odd, tmp_path):
+    import os
+
+    for name in os.listdir(SF):
+        if name not in ("documents.parquet", "benchmark.parquet"):
+            os.symlink(f"{SF}/{name}", tmp_path / name)
+    items = [(1, "alpha beta gamma"), (None, "alpha"), (None, "seven eight nine"), (None, None), (2, "...")]
+    odd.select("doc_id", "text").where(r"text is null or not contains(text, chr(0))").write.parquet(str(tmp_path / "d"))
+    df(items, "item_id long, text string").write.parquet(str(tmp_path / "b"))
+    for name in ("documents", "benchmark"):
+        os.symlink(tmp_path / name[0], tmp_path / f"{name}.parquet")
+    con = connect(SF)
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name[0]}/*.parquet')")
+    assert differences(QUERIES["op6_decontaminate"](spark, str(tmp_path)), con, ORACLES["op6_decontaminate"]) == []
+    bench = df(items, "item_id long, text string")
+    for limit in (64 << 20, 1):
+        made = {r.row.doc_id: r for r in clean.scan(odd, bench, max_pattern_bytes=limit, unnamed=True).collect()}
+        assert made[1]["items"] == ["1", None] and made[1].n_items == 2 and made[1].contaminated
+        assert made[5]["items"] == [None] and made[5].n_hit == 3 and made[12]["items"] == []
+
+
 def test_pieces(spark, odd, documents, processor):
     made = tokens.encode(odd, PIECE_MODEL).collect()
     got = {r.row.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in made}
