@@ -207,7 +207,7 @@ def features(nodes: list[Node], odds: dict[str, float]) -> np.ndarray:
             chars[i], links[i] = len(node.text), node.links
             words[i] = node.text.count(" ") + 1
             stops[i] = len(_SENTENCE.findall(node.text))
-            capitals[i] = sum(map(str.isupper, node.text[:200]))
+            capitals[i] = sum(map(str.isupper, node.text))
             leaves[i] = 1
             seen += chars[i]
     for i in range(n - 1, 0, -1):
@@ -236,7 +236,7 @@ def features(nodes: list[Node], odds: dict[str, float]) -> np.ndarray:
             node.depth, np.log1p(chars[i]), links[i] / max(1, chars[i]), np.log1p(words[i]), stops[i] / max(1, words[i]) * 10,
             np.log1p(count[i]), chars[i] / (count[i] + 1), chars[i] / whole, begin[i] / whole, np.log1p(around), 0.0,
             np.log1p(max(0, rest_chars) / others), rest_links / max(1, rest_chars),
-            own[i], total[i], worst[i], best[i], 0.0, np.log1p(chars[i] / max(1, leaves[i])), capitals[i] / max(1, min(200, chars[i])),
+            own[i], total[i], worst[i], best[i], 0.0, np.log1p(chars[i] / max(1, leaves[i])), capitals[i] / max(1, chars[i]),
         )
     for i, node in enumerate(nodes):
         if node.children:

@@ -226,6 +226,13 @@ def test_decoding_never_contradicts_ancestors():
         assert maintext.decode(nodes, np.array(p)) == [i for i, n in enumerate(nodes) if n.text and best[i] == "c"]
 
 
+def test_capitals_are_counted_over_whole_texts():
+    at = maintext.FIELDS.index("capitals")
+    nodes = maintext.parse(f"<div><p>{'a' * 200}{'B' * 600}</p><p>{'c' * 200}</p></div>")
+    got = {n.tag + n.text[:1]: x[at] for n, x in zip(nodes, maintext.features(nodes, {}))}
+    assert got == {"html": 0.6, "div": 0.6, "p": 0.0, "#texta": 0.75, "#textc": 0.0}
+
+
 def test_odd_pages(df, page_model):
     given = df([(1, None, None, "clash"), (2, "u", "", "clash"), (3, "u", "<<<>>> < a > </div></p>", "clash"), (4, "u", "<p" * 3000, "x"),
                 (5, "u", "<div>" * 3000 + "deep", "x"), (6, "u", '<a title="never ended', "x")], "page_id long, url string, html string, text string")
