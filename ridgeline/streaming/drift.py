@@ -9,6 +9,7 @@ repeated per window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from threading import Event
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -102,11 +103,17 @@ def windowed_drift(
     )
 
 
+def _note_late(query: StreamingQuery, late: dict[int, int]) -> dict[int, int]:
+    """Adds to ``late``, the values left out by batch, what the query still remembers."""
+    for step in query.recentProgress:
+        n = sum(state["numRowsDroppedByWatermark"] for state in step["stateOperators"])
+        late[step["batchId"]] = max(n, late.get(step["batchId"], 0))
+    return late
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Values a run left out because their window was closed already."""
-    return sum(
-        state["numRowsDroppedByWatermark"] for step in query.recentProgress for state in step["stateOperators"]
-    )
+    """Values a run of :func:`stream_windowed_drift` left out because their window was closed already."""
+    return sum(_note_late(query, query.late_by_batch).values())
 
 
 def stream_windowed_drift(
@@ -120,12 +127,17 @@ def stream_windowed_drift(
     micro-batch writes its own folder, so a repeated batch replaces itself, and
     removes its scratch tables. A window still open at the end stays in the state for
     the next run; what arrives for a closed one is left out, and :func:`late_rows`
-    counts it.
+    counts it over all batches of the run.
     """
     profiles = reference_profiles(ref, columns)
     reference = materialize(reference_counts(ref, profiles), "reference-counts")
 
+    started, running, late = Event(), [], {}
+
     def test_closed(closed: DataFrame, batch_id: int) -> None:
+        # A query remembers its last batches only (100, unless set): each batch notes those before it.
+        if started.wait(60):
+            _note_late(running[0], late)
         # The closed windows' counts feed three branches below: fix them first.
         with discarding(ref.sparkSession):
             fixed = materialize(closed, f"windows-{batch_id}", ref.sparkSession)
@@ -133,8 +145,12 @@ def stream_windowed_drift(
                 out = windowed_ks(reference, fixed, profiles, threshold)
                 out.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
-    return (
+    query = (
         window_counts(stream, profiles, ts, width, delay).writeStream.outputMode("append")
         .foreachBatch(test_closed).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
+    query.late_by_batch = late
+    running.append(query)
+    started.set()
+    return query

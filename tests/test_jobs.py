@@ -133,6 +133,29 @@ def test_closed_windows_equal_batch(spark, tmp_path):
     assert sd.late_rows(late) == 1
 
 
+def test_late_rows_of_batches_no_longer_remembered(spark, tmp_path):
+    import os
+
+    ref = spark.range(50).selectExpr("cast(id as double) as value", "timestamp_ntz'2024-01-01 00:00:00' as ts")
+    for i, day in enumerate(["2024-01-01", "2030-01-01", "2030-01-02", "2024-01-02", "2030-01-03", "2024-01-03", "2030-01-04", "2030-01-05"]):
+        part = spark.range(i + 1).coalesce(1).selectExpr("cast(id as double) as value", f"timestamp_ntz'{day} 00:00:00' as ts")
+        part.write.parquet(str(tmp_path / f"in{i}"))
+        for file in (tmp_path / f"in{i}").glob("part-*"):
+            os.utime(file, (1_700_000_000 + 10 * i,) * 2)
+    source = spark.readStream.schema("value double, ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in*"))
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    # Spark keeps one less than that.
+    spark.conf.set(name, "2")
+    try:
+        query = sd.stream_windowed_drift(ref, source, str(tmp_path / "out"), str(tmp_path / "cp"), "ts", columns=["value"])
+        query.awaitTermination()
+        # The fourth and the sixth file came late, with four and six values.
+        assert len(query.recentProgress) == 1
+        assert sd.late_rows(query) == sd.late_rows(query) == 4 + 6, query.late_by_batch
+    finally:
+        spark.conf.unset(name)
+
+
 @pytest.mark.parametrize("kind", ["logistic", "perceptron"])
 def test_model_round_trip(vectors, tmp_path, kind):
     model = cl.train_classifier(vectors, kind=kind, max_iter=5, hidden=8)
