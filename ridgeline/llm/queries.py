@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import PATTERN
 from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.llm import decontaminate, language, licences, maintext, pieces, simhash, substrings, syncmers, urls, warc
+from ridgeline.llm import (
+    bytepairs, decontaminate, language, licences, maintext, phrases, pieces, simhash, substrings, syncmers, urls, warc,
+)
 from ridgeline.runtime import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +20,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 PIECE_MODEL = tokenizer_path("piece_bpe_32k.model")
+BYTE_RANKS = tokenizer_path("byte_bpe_multi_50k.tiktoken")
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -236,3 +240,49 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     made = maintext.extract(pages, maintext.train(pages))
     return made.select("row.page_id", "row.url", "text", "n_chars")
+
+
+@query()
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = bytepairs.encode(table(spark, sf_dir, "documents"), BYTE_RANKS, PATTERN, keep=False)
+    return made.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query(rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, {_LOWER.format("coalesce(text, '')")} AS text FROM documents
+), pieces AS (
+  SELECT lang, regexp_extract_all(unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM docs
+), words AS (
+  SELECT lang, unnest(list_zip(w, w[2:], w[3:])) AS z FROM pieces
+), three AS (
+  SELECT lang, z[1] AS x, z[2] AS y, z[3] AS z FROM words
+), grams AS (
+  SELECT lang, 1 AS k, x AS phrase FROM three WHERE x IS NOT NULL
+  UNION ALL SELECT lang, 2, x || ' ' || y FROM three WHERE y IS NOT NULL
+  UNION ALL SELECT lang, 3, x || ' ' || y || ' ' || z FROM three WHERE z IS NOT NULL
+), counts AS (
+  SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang
+), long AS (
+  SELECT lang, k, phrase, f, i, array_to_string(w[1:i], ' ') AS head, array_to_string(w[i + 1:k], ' ') AS tail
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS i FROM counts WHERE k > 1 AND f >= {phrases.MIN_COUNT})
+), cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.f AS a, l.f AS l, r.f AS r, i, {phrases.SCALE} * c.f * c.f // (l.f * r.f) AS score
+  FROM long c JOIN counts l ON l.lang = c.lang AND l.phrase = c.head JOIN counts r ON r.lang = c.lang AND r.phrase = c.tail
+), candidates AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1
+), longer AS (
+  SELECT lang, array_to_string(string_split(phrase, ' ')[s:s + 1], ' ') AS phrase, max(a) AS beyond
+  FROM candidates, (VALUES (1), (2)) AS sides(s) WHERE k = 3 GROUP BY ALL
+), kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN longer b ON c.k = 2 AND b.lang = c.lang AND b.phrase = c.phrase
+  WHERE beyond IS NULL OR 100 * beyond < {phrases.COVER_PERCENT} * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= {phrases.TOP}
+""")
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
