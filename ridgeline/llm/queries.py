@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeline.llm import (
-    bytepairs, decontaminate, language, licences, maintext, phrases, pieces, simhash, substrings, syncmers, urls, warc,
+    bytepairs, decontaminate, language, licences, maintext, phrases, pieces, prefixes, simhash, substrings, syncmers, urls,
+    warc,
 )
 from ridgeline.runtime import scratch_path
 
@@ -242,6 +243,50 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("row.page_id", "row.url", "text", "n_chars")
 
 
+# CRC-32 of a decimal number, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST({} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))))"""
+
+
+@query(f"""
+WITH given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), turns AS (
+  SELECT conv_id, id, size, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, id) - 1 AS pos
+  FROM (SELECT *, md5(strlen(role) || ':' || role || text) AS id, strlen(text) AS size FROM given)
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % {prefixes.GROUP} AS first, {_CRC32.format('conv_id')} % {prefixes.HEADS} AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), made AS (
+  SELECT c.conv_id, 0 AS part, pos, id, size FROM convs c JOIN turns t ON t.conv_id = c.first AND pos < h
+  UNION ALL SELECT c.conv_id, 1, pos, id, size FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND pos >= h
+), paths AS (
+  SELECT conv_id, coalesce(ids, []) AS ids, sizes
+  FROM convs LEFT JOIN (
+    SELECT conv_id, list(id ORDER BY part, pos) AS ids, list(size ORDER BY part, pos) AS sizes FROM made GROUP BY conv_id
+  ) USING (conv_id)
+), prefixes AS (
+  SELECT conv_id, d, ids[1:d] AS path, coalesce(sizes[d], 0) AS size, len(ids) = d AS ends FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM paths)
+), nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+    string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ends, bool_and(ends) AS leaf
+  FROM prefixes GROUP BY path, d
+), subtrees AS (
+  SELECT path[1:a] AS path, sum(CASE WHEN leaf THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM nodes) GROUP BY path[1:a]
+), children AS (
+  SELECT path[1:d - 1] AS path, count(*) AS n FROM nodes WHERE d > 0 GROUP BY path[1:d - 1]
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+  CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN subtrees s ON s.path = n.path LEFT JOIN children c ON c.path = n.path
+LEFT JOIN nodes p ON n.d > 0 AND p.path = n.path[1:n.d - 1]
+""")
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 @query()
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = bytepairs.encode(table(spark, sf_dir, "documents"), BYTE_RANKS, PATTERN, keep=False)
