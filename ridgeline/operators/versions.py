@@ -1,11 +1,14 @@
 """Model versions as an append-only log of events.
 
-A log row says what a version is from ``event_ts`` on:
-``(model, version, event_ts, seq, alias, tags, metrics)``; ``seq`` orders events of
-one time. Lifecycle steps append rows; state is always the latest event. An alias
-belongs to the version that was given it last, and to nobody once that version
-has another. All operators work over any number of models at once, and reduce by
-aggregates that combine before the shuffle.
+A log has two times. ``seq`` is when a row was appended and decides the state: each step
+appends rows behind all rows of its model. ``event_ts`` is when the step is said to have
+happened; it is shown, and orders only rows of one ``seq``, such as a log that came without
+numbers. So a promotion entered late, or dated back, acts like any other.
+
+A row ``(model, version, event_ts, seq, alias, tags, metrics)`` says what a version is from
+then on; state is always the last row. An alias belongs to the version that was given it
+last, and to nobody once that version has another. All operators work over any number of
+models at once, and reduce by aggregates that combine before the shuffle.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from ridgeline.functions.rows import row_array
 from ridgeline.operators.drift import PRIMARY_METRIC
 from ridgeline.operators.running import numbered_by_range
 from ridgeline.operators.skew import lookup
+from ridgeline.runtime import materialize
 
 # The aliases a version can hold.
 CHAMPION, CHALLENGER, ARCHIVED = "champion", "challenger", "archived"
@@ -29,14 +33,33 @@ LOG_COLUMNS = ("model", "version", "event_ts", "seq", "alias", "tags", "metrics"
 PROMOTION_THRESHOLD = 0.01
 
 
+# What orders the rows of a model.
+_ORDER = ("seq", "event_ts")
+
+
+def as_of(log: DataFrame, seq: int) -> DataFrame:
+    """The log as it stood once the row number ``seq`` of each model was in."""
+    return log.where(F.col("seq") <= seq)
+
+
 def current_versions(log: DataFrame) -> DataFrame:
-    """The latest event of every version."""
-    state = F.max_by(F.struct("alias", "tags", "metrics"), F.struct("event_ts", "seq"))
+    """The last row of every version."""
+    state = F.max_by(F.struct("alias", "tags", "metrics"), F.struct(*_ORDER))
     return log.groupBy("model", "version").agg(
-        F.max(F.struct("event_ts", "seq")).alias("t"), state.alias("s")
+        F.max(F.struct(*_ORDER)).alias("t"), state.alias("s")
     ).select("model", "version", "t.event_ts", "t.seq", "s.alias", "s.tags", "s.metrics")
 
 
+def snapshot(log: DataFrame) -> DataFrame:
+    """:func:`current_versions` with ``holds``: the version holds its alias. Written, since steps read it several times."""
+    given = F.struct(*_ORDER, "version")
+    last = log.where("alias is not null").groupBy("model", "alias").agg(F.max(given).alias("t")).select(
+        "model", "alias", "t.version", F.lit(True).alias("holds")
+    )
+    joined = current_versions(log).join(last, ["model", "version", "alias"], "left")
+    return materialize(joined.select(*LOG_COLUMNS, F.coalesce("holds", F.lit(False)).alias("holds")), "versions", log.sparkSession)
+
+
 def register(
     log: DataFrame, new_versions: DataFrame, tie_break: str, alias: str = CHALLENGER, framework: str = "spark-ml"
 ) -> DataFrame:
@@ -47,7 +70,7 @@ def register(
     the given ones, then ``metric_<name>`` with the value rounded to 4 digits. Of several
     new versions of a model the last holds the alias, the others have passed it on.
     """
-    highest = log.groupBy("model").agg(F.max("version").alias("_highest"))
+    highest = log.groupBy("model").agg(F.max("version").alias("_highest"), F.max("seq").alias("_last"))
     nth = numbered_by_range(new_versions, ["model"], ["event_ts", tie_break], "_nth", totals=True)
     placed = lookup(nth, highest, "model", ["_nth"], "left")
     defaults = F.create_map(
@@ -69,7 +92,7 @@ def register(
         "model",
         (F.coalesce("_highest", F.lit(0)) + F.col("_nth")).cast("int").alias("version"),
         "event_ts",
-        F.lit(0).cast("long").alias("seq"),
+        (F.coalesce("_last", F.lit(-1)) + F.col("_nth")).cast("long").alias("seq"),
         F.when(F.col("_nth") == F.col("_nth_total"), F.lit(alias)).alias("alias"),
         merged.alias("tags"),
         "metrics",
@@ -81,11 +104,10 @@ def registered(
 ) -> DataFrame:
     """The log with new versions appended; who held their alias before ends without one."""
     fresh = register(log, new_versions, tie_break, alias, framework)
-    since = fresh.where(F.col("alias").isNotNull()).select("model", F.col("event_ts").alias("since"))
+    since = fresh.where(F.col("alias").isNotNull()).select("model", F.col("event_ts").alias("since"), F.col("seq").alias("after"))
     held = alias_holders(log).where(F.col("alias") == alias).select("model", "version").join(since, "model")
     ended = held.join(current_versions(log), ["model", "version"]).select(
-        "model", "version", F.greatest("since", "event_ts").alias("event_ts"),
-        F.when(F.col("since") > F.col("event_ts"), 0).otherwise(F.col("seq") + 1).cast("long").alias("seq"),
+        "model", "version", F.col("since").alias("event_ts"), F.col("after").alias("seq"),
         F.lit(None).cast("string").alias("alias"), "tags", "metrics",
     )
     return log.select(*LOG_COLUMNS).unionByName(fresh).unionByName(ended)
@@ -96,12 +118,12 @@ def alias_holders(log: DataFrame) -> DataFrame:
 
     An alias whose last holder moved on has none; no earlier version takes its place.
     """
-    given = F.struct("event_ts", "seq", "version")
+    given = F.struct(*_ORDER, "version")
     last = log.where("alias is not null").groupBy("model", "alias").agg(F.max(given).alias("t")).select(
         "model", "alias", "t.version"
     )
     return last.join(current_versions(log), ["model", "version", "alias"]).select(
-        "model", "alias", "version", "event_ts", "metrics"
+        "model", "alias", "version", "event_ts", "seq", "metrics"
     )
 
 
@@ -147,13 +169,12 @@ def compare_versions(log: DataFrame, pairs: DataFrame, metric: str = PRIMARY_MET
     )
 
 
-def _finalists(log: DataFrame) -> DataFrame:
+def _finalists(holders: DataFrame) -> DataFrame:
     """Champion and challenger of each model side by side, from one aggregate."""
     def of(alias: str, what: str) -> Column:
-        return F.max_by(what, F.when(F.col("alias") == alias, F.col("event_ts")))
+        return F.max_by(what, F.when(F.col("alias") == alias, F.col("seq")))
 
-    holders = alias_holders(log).withColumn("v", F.struct("version", "metrics"))
-    return holders.groupBy("model").agg(
+    return holders.withColumn("v", F.struct("version", "metrics")).groupBy("model").agg(
         of(CHAMPION, "v").alias("champion"), of(CHALLENGER, "v").alias("challenger")
     )
 
@@ -166,13 +187,17 @@ def should_promote(
     Without a challenger no, without a champion yes, else if it improves the
     metric by more than ``threshold``.
     """
+    return _decisions(alias_holders(log), metric, threshold)
+
+
+def _decisions(holders: DataFrame, metric: str, threshold: float) -> DataFrame:
     def value(side: str) -> Column:
         return F.coalesce(F.try_element_at(F.col(f"{side}.metrics"), F.lit(metric)), F.lit(0.0))
 
     a, b = F.col("champion.version"), F.col("challenger.version")
     change = relative_change(value("champion"), value("challenger"), "ratio")
     improvement = F.when(a.isNotNull() & b.isNotNull(), change)
-    return _finalists(log).select(
+    return _finalists(holders).select(
         "model",
         a.alias("champion"),
         b.alias("challenger"),
@@ -183,13 +208,10 @@ def should_promote(
     )
 
 
-def _events(moves: DataFrame, log: DataFrame, at: datetime) -> DataFrame:
-    """Log rows for ``moves`` (model, version, alias, extra tags): state carried on.
-
-    They come after all events of the model, also after those of the same time.
-    """
-    last = log.groupBy("model").agg((F.max("seq") + 1).alias("seq"))
-    state = current_versions(log).select("model", "version", "tags", "metrics")
+def _events(moves: DataFrame, versions: DataFrame, at: datetime) -> DataFrame:
+    """Log rows for ``moves`` (model, version, alias, extra tags), behind all rows of the model: state carried on."""
+    last = versions.groupBy("model").agg((F.max("seq") + 1).alias("seq"))
+    state = versions.select("model", "version", "tags", "metrics")
     tags = F.coalesce("tags", F.create_map().cast("map<string,string>"))
     set_now = F.map_concat(F.create_map(F.lit("alias"), F.col("alias")), F.col("extra"))
     kept = F.map_filter(tags, lambda k, _: ~F.map_contains_key(set_now, k))
@@ -205,13 +227,19 @@ def _moves(*steps: list[Column]) -> Column:
     return F.inline(F.filter(rows, lambda s: s["version"].isNotNull()))
 
 
-def promote(log: DataFrame, decisions: DataFrame, at: datetime) -> DataFrame:
+def promote(
+    log: DataFrame, decisions: DataFrame | None, at: datetime, metric: str = PRIMARY_METRIC, threshold: float = PROMOTION_THRESHOLD,
+) -> DataFrame:
     """The log with promotions appended.
 
     For each model with ``promote`` true in ``decisions`` (see
-    :func:`should_promote`): the champion is archived, the challenger becomes
-    champion, and no challenger is left.
+    :func:`should_promote`; None decides by ``metric`` and ``threshold``): the champion is
+    archived, the challenger becomes champion, and no challenger is left. ``at`` may lie before other
+    events: it is the time that is shown.
     """
+    versions = snapshot(log)
+    if decisions is None:
+        decisions = _decisions(versions.where("holds"), metric, threshold)
     stamp = F.lit(at.isoformat())
     step = _moves(
         [F.col("champion"), F.lit(ARCHIVED), F.create_map(F.lit("archived_at"), stamp)],
@@ -219,12 +247,15 @@ def promote(log: DataFrame, decisions: DataFrame, at: datetime) -> DataFrame:
             F.lit("previous_alias"), F.lit(CHALLENGER), F.lit("promoted_at"), stamp)],
     )
     moves = decisions.where("promote").select("model", step)
-    return log.select(*LOG_COLUMNS).unionByName(_events(moves, log, at))
+    return log.select(*LOG_COLUMNS).unionByName(_events(moves, versions, at))
 
 
 def rollback_outcome(log: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """``(model, version, done)``: per model the version a rollback goes to, and whether it can."""
-    versions = current_versions(log)
+    return _targets(current_versions(log), targets)
+
+
+def _targets(versions: DataFrame, targets: DataFrame | None) -> DataFrame:
     if targets is None:
         return versions.where(F.col("alias") == ARCHIVED).groupBy("model").agg(
             F.max("version").alias("version"), F.lit(True).alias("done")
@@ -239,10 +270,11 @@ def rollback(log: DataFrame, at: datetime, targets: DataFrame | None = None) ->
     ``targets`` (model, version) names versions; without it each model goes back
     to its highest archived version, and models without one stay as they are.
     The present champion is archived first. A target that is no version of its
-    model changes nothing; :func:`rollback_outcome` tells which those are.
+    model changes nothing; :func:`rollback_outcome` tells which those are. ``at`` is as in :func:`promote`.
     """
-    targets = rollback_outcome(log, targets).where("done")
-    champion = alias_holders(log).where(F.col("alias") == CHAMPION).select(
+    versions = snapshot(log)
+    goals = _targets(versions, targets).where("done")
+    champion = versions.where(F.col("holds") & (F.col("alias") == CHAMPION)).select(
         "model", F.col("version").alias("champion")
     )
     stamp = F.lit(at.isoformat())
@@ -252,10 +284,10 @@ def rollback(log: DataFrame, at: datetime, targets: DataFrame | None = None) ->
         [F.col("target"), F.lit(CHAMPION), F.create_map(F.lit("rolled_back_at"), stamp)],
     )
     moves = (
-        targets.select("model", F.col("version").alias("target"))
+        goals.select("model", F.col("version").alias("target"))
         .join(champion, "model", "left").select("model", step)
     )
-    return log.select(*LOG_COLUMNS).unionByName(_events(moves, log, at))
+    return log.select(*LOG_COLUMNS).unionByName(_events(moves, versions, at))
 
 
 def retrain_decision(

@@ -14,13 +14,13 @@ from ridgeline.operators.scoring import Model, extract_embeddings, score_table
 from ridgeline.operators.stats import STATISTICS, pair_features
 from ridgeline.plans.monitoring import run_monitoring
 from ridgeline.runtime import materialize
-from ridgeline.sources.corpus import read_corpus, read_manifest, split_modalities, with_subject
+from ridgeline.sources.corpus import read_manifest, read_tree, split_modalities, with_subject
 from ridgeline.sources.tables import export_predictions
 
 
 def _images(spark: SparkSession, corpus: str | DataFrame) -> DataFrame:
     """Files with their bytes and subject: of a folder, or of a manifest table with a ``path``."""
-    return with_subject(read_corpus(spark, corpus) if isinstance(corpus, str) else read_manifest(corpus))
+    return with_subject(read_tree(spark, corpus) if isinstance(corpus, str) else read_manifest(corpus))
 
 
 def corpus_features(spark: SparkSession, corpus: str | DataFrame) -> DataFrame:

@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeline.functions.names import file_name, subject_id_strict
+from ridgeline.sources.planned import TARGET_BYTES, list_tree, read_planned, with_lengths
 
 # Modality folders and the extensions read from each.
 MODALITIES = ("iris", "fingerprint")
 EXTENSIONS = "*.{bmp,BMP}"
 
-# Files read into one Arrow batch.
-_FILES_OUT = 64
-
 _EMPTY = (
     "path string, modality string, name string, "
     "image struct<origin:string,height:int,width:int,nChannels:int,mode:int,data:binary>"
@@ -71,37 +65,37 @@ def read_corpus(spark: SparkSession, root: str) -> DataFrame:
     ).where(_wanted())
 
 
-def read_manifest(manifest: DataFrame, path_col: str = "path", modality: str | None = None) -> DataFrame:
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """:func:`list_corpus` with the folders listed in tasks: no file index on the driver, for trees of any size."""
+    return _named(list_tree(spark, root), "length").where(F.lower("name").endswith(".bmp") & _wanted())
+
+
+def read_manifest(
+    manifest: DataFrame, path_col: str = "path", modality: str | None = None, target_bytes: int = TARGET_BYTES,
+) -> DataFrame:
     """:func:`read_corpus` for a table of file URIs, however many: no listing, no index on the driver.
 
-    Paths are dealt evenly and each task reads its own files through the store they name.
-    A file that cannot be read has NULL ``content`` and counts as failed later.
-    ``modality`` leaves the other one unread.
+    Files are planned into tasks of some ``target_bytes`` (:func:`read_planned`); a manifest
+    with a ``length`` saves asking for sizes. A file that cannot be read has NULL ``content`` and counts
+    as failed later. ``modality`` leaves the other one unread.
     """
-    named = manifest.select(F.col(path_col).alias("path")).select(
-        "path", _modality(F.col("path")).alias("modality"), file_name("path").alias("name")
-    ).where(_wanted())
+    known = "length" in manifest.columns and path_col != "length"
+    given = manifest.select(F.col(path_col).alias("path"), *(["length"] if known else []))
+    named = _named(given, *(["length"] if known else [])).where(_wanted())
     if modality is not None:
         named = named.where(F.col("modality") == modality)
+    sized = named.select("path", "length") if known else with_lengths(named)
+    contents = read_planned(sized, target_bytes)
+    return _named(contents, "content").select("path", "modality", "name", "content")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, _FILES_OUT):
-                part = batch.slice(at, _FILES_OUT)
-                contents = pa.array([_file_bytes(p) for p in part.column(0).to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([*part.columns, contents], names=["path", "modality", "name", "content"])
 
-    dealt = named.repartition(F.xxhash64("path"))
-    return dealt.mapInArrow(run, "path string, modality string, name string, content binary")
+def read_tree(spark: SparkSession, root: str, modality: str | None = None) -> DataFrame:
+    """:func:`read_corpus` with listing and reading planned in tasks."""
+    return read_manifest(list_files(spark, root), modality=modality)
 
 
-def _file_bytes(uri: str) -> bytes | None:
-    try:
-        store, name = fs.FileSystem.from_uri(uri)
-        with store.open_input_file(name) as f:
-            return f.read()
-    except (OSError, pa.ArrowInvalid):
-        return None
+def _named(files: DataFrame, *keep: str) -> DataFrame:
+    return files.select("path", _modality(F.col("path")).alias("modality"), file_name("path").alias("name"), *keep)
 
 
 def scan_corpus(spark: SparkSession, root: str) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from ridgeline.functions.bitmaps import raw_pixels
 from ridgeline.functions.pixels import to_gray
 from ridgeline.operators import classifier as cl
 from ridgeline.operators import labels as lb
@@ -259,6 +260,21 @@ def corpus_scan(spark, sf):
     )
 
 
+@query(f"""{CORPUS_SQL} SELECT m.modality, lpad(CAST(vec_id AS VARCHAR), 12, '0') || '.bmp' AS name,
+  CAST(246 AS BIGINT) AS length, CAST(total AS BIGINT) AS total FROM sums,
+  (SELECT unnest(['iris', 'fingerprint']) AS modality) m""")
+def corpus_tree(spark, sf):
+    """Many folders, listed level by level in tasks; the files found are read by a plan of bytes."""
+    root = scratch_path(spark, "corpus-tree")
+    folder = F.format_string("%02d/%03d/", F.col("number") % 7, F.col("number") % 200)
+    images = decoded_images(spark, sf).withColumn("number", F.regexp_extract("path", r"(\d+)[.]bmp$", 1).cast("long"))
+    write_bitmaps(images.select(F.concat(folder, "path").alias("path"), "image"), root)
+    listed = cp.list_files(spark, root)
+    read = cp.read_manifest(listed, target_bytes=8 << 20).select("path", raw_pixels("content").alias("pixels"))
+    total = F.aggregate("pixels", F.lit(0).cast("long"), lambda s, v: s + v.cast("long")).alias("total")
+    return listed.join(read.select("path", total), "path").select("modality", "name", "length", "total")
+
+
 @query("SELECT count(*) AS iris, count(*) AS fingerprint, count(*) > 0 AS valid FROM embeddings")
 def corpus_scan_verify(spark, sf):
     return cp.verify_corpus(cp.list_corpus(spark, _bitmaps(spark, sf)))

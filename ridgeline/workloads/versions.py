@@ -93,8 +93,7 @@ SELECT model, version, CASE WHEN promote AND version = champion THEN 'archived'
   CASE WHEN promote AND version = challenger THEN 'challenger' END AS previous_alias
 FROM log LEFT JOIN decisions USING (model)""")
 def promote_state(spark, sf):
-    log = stored_log(spark, sf)
-    after = vs.promote(log, vs.should_promote(log), AT)
+    after = vs.promote(stored_log(spark, sf), None, AT)
     return vs.current_versions(after).select(
         "model", "version", "alias", F.col("tags")["previous_alias"].alias("previous_alias")
     )
@@ -120,6 +119,50 @@ def rollback_holders(spark, sf):
     return vs.alias_holders(after).where("alias <> 'archived'").select("model", "alias", "version")
 
 
+# Earlier than every order: such steps act like others, and only show another time.
+BACK = datetime(1980, 1, 1)
+
+
+@query(f"""WITH {DECISIONS_SQL}, moved AS (SELECT * FROM decisions WHERE promote)
+SELECT log.model, log.version, CASE WHEN log.version = m.champion THEN 'archived' WHEN log.version = m.challenger THEN 'champion'
+    ELSE alias END AS alias,
+  CASE WHEN log.version IN (m.champion, m.challenger) THEN '1980-01-01' ELSE strftime(event_ts, '%Y-%m-%d') END AS shown,
+  coalesce(log.version IN (m.champion, m.challenger), false) AS moved
+FROM log LEFT JOIN moved m ON m.model = log.model""")
+def promote_backdated(spark, sf):
+    """Promotion dated before all other events."""
+    after = vs.promote(stored_log(spark, sf), None, BACK)
+    return vs.current_versions(after).select(
+        "model", "version", "alias", F.date_format("event_ts", "yyyy-MM-dd").alias("shown"), (F.col("seq") > 0).alias("moved")
+    )
+
+
+@query(f"""WITH {LOG_SQL}, goals AS (SELECT model, max(version) AS target FROM log WHERE alias = 'archived' GROUP BY model),
+champions AS (SELECT model, version AS champion FROM holders WHERE alias = 'champion')
+SELECT model, log.version, CASE WHEN log.version = target THEN 'champion'
+  WHEN target IS NOT NULL AND log.version = champion THEN 'archived' ELSE log.alias END AS alias,
+  coalesce(log.version = target OR (target IS NOT NULL AND log.version = champion), false) AS moved
+FROM log LEFT JOIN goals USING (model) LEFT JOIN champions USING (model)""")
+def rollback_backdated(spark, sf):
+    """Going back, dated before all other events."""
+    after = vs.rollback(stored_log(spark, sf), BACK)
+    return vs.current_versions(after).select("model", "version", "alias", (F.col("event_ts") == F.lit(BACK)).alias("moved"))
+
+
+@query(f"""WITH {LOG_SQL}, highest AS (SELECT model, max(version) AS h FROM log GROUP BY model)
+SELECT model, 'challenger' AS alias, CAST(h + 1 AS INTEGER) AS version, '1980-01-01' AS shown FROM highest
+UNION ALL SELECT model, alias, version, strftime(event_ts, '%Y-%m-%d') FROM holders WHERE alias <> 'challenger'""")
+def register_late(spark, sf):
+    """A version registered for an earlier time takes the alias from its holder: the newest call counts."""
+    log = stored_log(spark, sf)
+    fresh = log.select("model").distinct().select(
+        "model", F.lit(BACK).cast("timestamp").alias("event_ts"), F.lit(0).alias("run"),
+        F.lit(None).cast("map<string,string>").alias("tags"), F.create_map(F.lit("f1_macro"), F.lit(0.5)).alias("metrics"),
+    )
+    holders = vs.alias_holders(vs.registered(log, fresh, "run"))
+    return holders.select("model", "alias", "version", F.date_format("event_ts", "yyyy-MM-dd").alias("shown"))
+
+
 # Every third order names its own version, the others one that does not exist.
 @query(f"""WITH {LOG_SQL}, goals AS (SELECT model, CASE WHEN model % 3 = 0 THEN 1 ELSE 1000000 END AS target FROM log GROUP BY model)
 SELECT model, 'champion' AS alias, CASE WHEN target = 1 THEN 1 ELSE champion END AS version, target = 1 AS done

@@ -67,6 +67,30 @@ def test_steps_at_one_time_follow_each_other(log):
     assert state(after) == {("m", 1): "archived", ("m", 2): "champion", ("m", 3): "archived"}
 
 
+def test_steps_dated_back_act_like_others(df, log):
+    early = START - timedelta(days=9)
+    events = log(("m", 1, "champion", 0.5), ("m", 2, "challenger", 0.7))
+    after = vs.promote(events, None, early)
+    holders = {r.alias: (r.version, r.event_ts) for r in vs.alias_holders(after).collect()}
+    assert holders == {"champion": (2, early), "archived": (1, early)}
+    back = vs.rollback(after, early)
+    assert {r.alias: r.version for r in vs.alias_holders(back).collect()} == {"champion": 1, "archived": 2}
+    assert [(r.version, r.done) for r in vs.rollback_outcome(after).collect()] == [(1, True)]
+    # Each step has its own number, so the log can be read as it stood.
+    assert state(vs.as_of(back, 0)) == state(events) and state(vs.as_of(back, 1)) == state(after)
+
+
+def test_late_registration_takes_the_alias(df, log):
+    events = log(("m", 1, "champion", 0.5), ("m", 2, "challenger", 0.7))
+    new = df([("m", START - timedelta(days=9), 1, None, {}), ("m", START - timedelta(days=99), 2, None, {})],
+             "model string, event_ts timestamp, run int, tags map<string,string>, metrics map<string,double>")
+    after = vs.registered(events, new, "run")
+    assert {r.alias: r.version for r in vs.alias_holders(after).collect()} == {"champion": 1, "challenger": 4}
+    assert state(after)["m", 2] is None and vs.pick_model(after, alias="challenger").first().version == 4
+    again = vs.registered(after, new.limit(1), "run")
+    assert {r.alias: r.version for r in vs.alias_holders(again).collect()} == {"champion": 1, "challenger": 5}
+
+
 def test_unknown_rollback_target_changes_nothing(df, log):
     events = log(("a", 1, "archived", 0.4), ("a", 2, "champion", 0.5), ("b", 1, "champion", 0.1))
     targets = df([("a", 9), ("b", 1), ("c", 1)], "model string, version int")
