@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridgeline.runtime import materialize
+from ridgeline.sources.planned import deal_by_bytes
 
 # A new file is begun beyond this many bytes, and a range to read is as long.
 FILE_BYTES = 256 << 20
@@ -249,8 +250,8 @@ def read_archives(spark: SparkSession, files: DataFrame, range_bytes: int = RANG
     for revisits, which carry none). Records without a numeric page id have null.
     """
     cut = ranges(spark, files, range_bytes)
-    # A task per range: the ranges, not the files, are what is dealt.
-    dealt = cut.repartition(F.col("path"), F.col("start"))
+    # Rows of a few bytes stand for ranges of many: they are dealt by the bytes to be read.
+    dealt = deal_by_bytes(cut.withColumn("bytes", F.col("end") - F.col("start")), "bytes", ["path", "start"], range_bytes).drop("bytes")
 
     def run(batches):
         def number(record_id: str | None) -> int | None:
