@@ -34,7 +34,8 @@ _SHARD_BITS = 20
 _FLUSH = 1 << 21
 _U = np.uint64
 _FIRST, _SECOND = 0xD1342543DE82EF95, 0xAF251AF3B0F025B5
-_NO_ID = (1 << 63) - 1
+# Numbers of rows without an id: the last ones there are, by a hash of the text.
+_NO_ID, _NO_ID_BITS = (1 << 63) - 1, 60
 
 
 def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
@@ -193,13 +194,15 @@ def repeated_words(
     A word goes if a window that covers it also starts earlier: in a smaller
     document, or before it in its own. Windows are judged on the input. A null text
     has no words. Rows that share an id do not come before each other, each is
-    judged by itself; null ids come last and share one place. An empty table
-    gives no rows.
+    judged by itself. Rows with a null id come last, in the order of a hash of their
+    texts; equal texts of such rows share a place. An empty table gives no rows.
     """
     carry = carry or [id_col]
+    # One number for all of them would give each the windows of all.
+    nameless = F.lit(_NO_ID) - F.shiftrightunsigned(F.xxhash64(F.col(f"`{text_col}`").cast("string")), 64 - _NO_ID_BITS)
     given = small_batches(df).select(
         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
-        F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID)).alias("id"),
+        F.coalesce(F.col(f"`{id_col}`").cast("long"), nameless).alias("id"),
         F.col(f"`{text_col}`").cast("string").alias("text"),
     )
     if bits is None:

@@ -139,6 +139,24 @@ def test_substrings_null_and_repeated_ids(df):
     assert sorted(((r.row.doc_id, r.n_removed) for r in made), key=str) == [(2, 0), (3, 0), (3, 0), (None, 20)]
 
 
+def test_rows_without_an_id_keep_their_own_windows(df, monkeypatch):
+    """Many rows without an id: each is handed the windows of its own text, not those of all."""
+    texts = [" ".join(f"w{(i * 7 + j * (i + 3)) % 997}" for j in range(40)) for i in range(300)]
+    handed = []
+    inner = substrings.map_texts
+
+    def spying(joined, *args, **more):
+        handed.append(joined)
+        return inner(joined, *args, **more)
+
+    monkeypatch.setattr(substrings, "map_texts", spying)
+    rows = [(None, t) for t in texts + texts[:5]]
+    made = substrings.repeated_words(df(rows, "doc_id long, text string"), bits=4).collect()
+    assert len(made) == 305
+    longest = handed[0].selectExpr("max(size(owned))").first()[0]
+    assert 0 < longest <= 21
+
+
 def test_decontaminate_odd(spark, odd, df):
     items = [(1, "Alpha, beta; GAMMA!"), (2, LINE + " and more"), (2, "x"), (3, None), (4, "..."), (5, "中文字"), (None, "alpha")]
     want = decontaminate(ODD, [i for i in items if i[0] is not None])
