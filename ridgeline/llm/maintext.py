@@ -55,8 +55,15 @@ _CLOSES = {
     "tbody": ({"tr", "td", "th", "tbody", "thead", "tfoot"}, {"table"}), "option": ({"option"}, {"select"}),
 }
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)", re.S)
+# Tags of the elements that are skipped as a whole, past comments and raw texts.
+_PAIRED = SKIPPED - _RAW - {"head"}
+_PAIRS = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<({'|'.join(sorted(_RAW))})\b.*?(?:</\1\b|\Z)|<(/?)({'|'.join(sorted(_PAIRED))})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)", re.S | re.I
+)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _TOKEN = re.compile(r"[A-Za-z][a-z]+|[A-Z]+")
+_UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_ASCII = re.compile("[\x00-\x7f]+")
 _SENTENCE = re.compile(r"[.!?…。](?:\s|$)")
 
 
@@ -74,6 +81,23 @@ class Node:
     role: int = -1
 
 
+def _ended(page: str) -> dict[int, int]:
+    """For each start tag of a skipped element that is ended: where it begins, and where its end tag does end."""
+    open_at: dict[str, list[int]] = {}
+    out: dict[int, int] = {}
+    for found in _PAIRS.finditer(page):
+        name = (found[3] or "").lower()
+        if not name:
+            continue
+        starts = open_at.setdefault(name, [])
+        if not found[2]:
+            if not found[4].rstrip().endswith("/"):
+                starts.append(found.start())
+        elif starts:
+            out[starts.pop()] = found.end()
+    return out
+
+
 def parse(page: str) -> list[Node]:
     """The nodes of a page in document order; a parent stands before its children."""
     nodes = [Node("html", -1, 0, [])]
@@ -109,7 +133,7 @@ def parse(page: str) -> list[Node]:
                 linked += len(text.strip())
 
     at, skipping, depth_skipped = 0, "", 0
-    size = len(page)
+    size, ended = len(page), _ended(page)
     while at < size:
         found = _MARKUP.search(page, at)
         if found is None:
@@ -144,8 +168,11 @@ def parse(page: str) -> list[Node]:
             if name in _RAW:
                 end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = end.end() if end else size
-            else:
+            elif name == "head":
                 skipping, depth_skipped = name, 1
+            else:
+                # One that is never ended hides nothing: what follows it is text like any other.
+                at = ended.get(found.start(), at)
             continue
         if name == "a":
             anchor = not ending
@@ -195,6 +222,13 @@ FIELDS = (
 ).split()
 
 
+def _capitals(text: str) -> int:
+    """Upper-case letters: a call per character is made only for those outside ASCII."""
+    raw = text.encode()
+    found = len(raw) - len(raw.translate(None, _UPPER))
+    return found if len(raw) == len(text) else found + sum(map(str.isupper, _ASCII.sub("", text)))
+
+
 def features(nodes: list[Node], odds: dict[str, float]) -> np.ndarray:
     """One row per node, columns as in ``FIELDS``."""
     n = len(nodes)
@@ -207,7 +241,7 @@ def features(nodes: list[Node], odds: dict[str, float]) -> np.ndarray:
             chars[i], links[i] = len(node.text), node.links
             words[i] = node.text.count(" ") + 1
             stops[i] = len(_SENTENCE.findall(node.text))
-            capitals[i] = sum(map(str.isupper, node.text))
+            capitals[i] = _capitals(node.text)
             leaves[i] = 1
             seen += chars[i]
     for i in range(n - 1, 0, -1):
