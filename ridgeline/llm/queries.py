@@ -193,15 +193,18 @@ WITH given AS (
   SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id
 ), outcomes AS (
   SELECT host, bad FROM given JOIN marks ON marks.doc_id = TRY_CAST(nullif(regexp_extract(path, '^/[^/]*/(\d{{1,18}})', 1), '') AS BIGINT)
+  WHERE host <> ''
 ), counts AS (
-  SELECT host, count(*) AS n, sum(bad) AS bad, {_NAMES} AS names FROM outcomes GROUP BY host
+  SELECT host, {_NAMES} AS names, CAST(count(bad) AS BIGINT) AS n, coalesce(sum(bad), 0) AS bad
+  FROM (SELECT host, bad FROM outcomes UNION ALL SELECT DISTINCT host, CAST(NULL AS INTEGER) FROM given WHERE host <> '') GROUP BY host
 ), two AS (
   SELECT *, array_to_string(names[-2:], '.') AS last_two FROM counts
-), hosts AS (
+), every AS (
   SELECT host, CAST(n AS DOUBLE) AS n, CAST(bad AS DOUBLE) AS bad,
     CASE WHEN last_two IN ({_TWO}) THEN array_to_string(names[-3:], '.') ELSE last_two END AS domain,
     CASE WHEN last_two IN ({_TWO}) THEN last_two ELSE names[-1] END AS suffix
   FROM two
+), hosts AS (SELECT * FROM every WHERE n > 0
 ), whole AS (
   SELECT coalesce(sum(n), 0) AS n, coalesce(sum(bad), 0) AS bad, coalesce(sum(n * n), 0) AS squares, CAST(count(*) AS DOUBLE) AS hosts,
     CAST(coalesce(sum(CAST(round(bad * bad / n, 9) AS DECIMAL(28, 9))), 0) AS DOUBLE) AS spread
@@ -209,11 +212,11 @@ WITH given AS (
 ), moments AS (
   SELECT *, (bad + 1) / (n + 2) AS mean FROM whole
 ), excess AS (
-  SELECT mean, spread - 2 * mean * bad + mean * mean * n - mean * (1 - mean) * (hosts - 1) AS excess,
+  SELECT n, mean, spread - 2 * mean * bad + mean * mean * n - mean * (1 - mean) * (hosts - 1) AS excess,
     mean * (1 - mean) * (n - squares / greatest(n, 1.0) - (hosts - 1)) AS room
   FROM moments
 ), prior AS (
-  SELECT mean, least(greatest(CASE WHEN excess > 0 AND room > 0 THEN room / excess - 1 ELSE {urls.MAX_STRENGTH} END, {urls.MIN_STRENGTH}), {urls.MAX_STRENGTH}) AS s
+  SELECT mean, least(greatest(CASE WHEN excess > 0 AND room > 0 THEN room / excess - 1 ELSE {urls.MAX_STRENGTH} END, {urls.MIN_STRENGTH}), {urls.MAX_STRENGTH}, n + 2) AS s
   FROM excess
 ), suffixes AS (
   SELECT suffix, (s * mean + sum(bad)) / (s + sum(n)) AS rate FROM hosts, prior GROUP BY suffix, s, mean
@@ -221,8 +224,8 @@ WITH given AS (
   SELECT h.domain, h.suffix, (s * x.rate + sum(h.bad)) / (s + sum(h.n)) AS rate
   FROM hosts h JOIN suffixes x ON x.suffix = h.suffix, prior GROUP BY h.domain, h.suffix, s, x.rate
 ), rates AS (
-  SELECT h.host, h.n, h.bad, s, (s * d.rate + h.bad) / (s + h.n) AS rate
-  FROM hosts h JOIN domains d ON d.domain = h.domain AND d.suffix = h.suffix, prior
+  SELECT h.host, h.n, h.bad, s, (s * coalesce(d.rate, x.rate, mean) + h.bad) / (s + h.n) AS rate
+  FROM prior, every h LEFT JOIN domains d ON d.domain = h.domain AND d.suffix = h.suffix LEFT JOIN suffixes x ON x.suffix = h.suffix
 ), known AS (
   SELECT host, n, bad, rate - {urls.BOUND_Z} * sqrt(rate * (1 - rate) / (s + n + 1)) AS low FROM rates
 )

@@ -5,7 +5,9 @@ towards that of its registered domain, the domain's towards its public suffix, t
 suffix's towards all pages: each level's posterior mean is the mean of the beta prior
 below it. How strong the priors are is estimated from the spread of the host
 rates (moments of the beta-binomial). A url is blocked when even the lower bound of its
-host's posterior lies above the accepted rate, so few labels block nothing.
+host's posterior lies above the accepted rate. A host without labels has the posterior of
+no outcomes: the rate of its domain, or of its suffix, or of all pages, whichever is the
+first that has labels; so a new subdomain of a bad domain is blocked.
 
 Everything is DataFrame functions. Counts are combined before the shuffle; the
 table of hosts is written, so that the join back reads both sides from a shuffle
@@ -19,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.operators.skew import lookup
 from ridgeline.runtime import materialize
 
 # Given rules as (host and path prefix, verdict).
@@ -78,17 +81,22 @@ def _posterior(mean: Column, strength: Column, bad: Column, n: Column) -> Column
     return (strength * mean + bad) / (strength + n)
 
 
-def reputations(outcomes: DataFrame) -> DataFrame:
-    """``(host, n, bad, rate, low)`` for labelled pages ``(host, bad 0/1)``.
+def _named(df: DataFrame) -> DataFrame:
+    return df.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))})
+
+
+def reputations(outcomes: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """``(host, n, bad, rate, low)`` for labelled pages ``(host, bad 0/1)``, and for the hosts of ``asked`` if given.
 
     ``rate`` is the posterior mean, ``low`` its lower bound. Without a spread between
-    hosts the prior is as strong as it may be; with one host or none likewise.
+    hosts the prior is as strong as it may be; with one host or none likewise. It is
+    never stronger than the labelled pages and the two of the uniform prior over them.
     """
     # One row per host from here on: combined before the shuffle, read again by each level.
     hosts = outcomes.where(F.col("bad").isNotNull()).groupBy("host").agg(
         F.count("*").alias("n"), F.sum(F.col("bad").cast("long")).alias("bad")
     )
-    hosts = materialize(hosts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}), "host-counts")
+    hosts = materialize(_named(hosts), "host-counts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("domain_n"), F.sum("bad").alias("domain_bad"))
     suffixes = hosts.groupBy("suffix").agg(F.sum("n").alias("suffix_n"), F.sum("bad").alias("suffix_bad"))
     # Sums of whole numbers only, so that the order of rows cannot change a digit but in the last sum.
@@ -103,18 +111,30 @@ def reputations(outcomes: DataFrame) -> DataFrame:
     room = within * (F.col("n") - F.col("squares") / F.greatest(F.col("n"), F.lit(1.0)) - (F.col("hosts") - 1))
     excess = around - within * (F.col("hosts") - 1)
     strength = F.when((excess > 0) & (room > 0), room / excess - 1).otherwise(F.lit(MAX_STRENGTH))
-    prior = whole.select(mean.alias("mean"), F.least(F.greatest(strength, F.lit(MIN_STRENGTH)), F.lit(MAX_STRENGTH)).alias("strength"))
+    prior = whole.select(mean.alias("mean"), F.least(F.greatest(strength, F.lit(MIN_STRENGTH)), F.lit(MAX_STRENGTH), F.col("n") + 2).alias("strength"))
     prior = prior.first()  # one row
     s, m = F.lit(prior.strength), F.lit(prior.mean)
-    by_suffix = suffixes.select(F.col("suffix").alias("of_suffix"), _posterior(m, s, F.col("suffix_bad"), F.col("suffix_n")).alias("suffix_rate"))
-    by_domain = domains.join(by_suffix, F.col("suffix") == F.col("of_suffix")).select(
-        F.col("domain").alias("of_domain"), F.col("suffix").alias("in_suffix"),
-        _posterior(F.col("suffix_rate"), s, F.col("domain_bad"), F.col("domain_n")).alias("domain_rate"),
+    by_suffix = materialize(
+        suffixes.select("suffix", _posterior(m, s, F.col("suffix_bad"), F.col("suffix_n")).alias("suffix_rate")), "suffix-rates"
+    )
+    by_domain = materialize(
+        lookup(domains, by_suffix, "suffix", ["domain"]).select(
+            "domain", "suffix", _posterior(F.col("suffix_rate"), s, F.col("domain_bad"), F.col("domain_n")).alias("domain_rate")
+        ), "domain-rates",
     )
-    levels = hosts.join(by_domain, (F.col("domain") == F.col("of_domain")) & (F.col("suffix") == F.col("in_suffix")))
-    rate = _posterior(F.col("domain_rate"), s, F.col("bad"), F.col("n"))
+    # Domain and suffix as one key: a domain that is itself a suffix elsewhere stays apart.
+    both = F.concat("domain", F.lit("/"), "suffix")
+    if asked is not None:
+        new = _named(asked.select("host").distinct().join(hosts.select("host"), "host", "left_anti"))
+        zero = F.lit(0).cast("long")
+        hosts = hosts.unionByName(new.select("host", zero.alias("n"), zero.alias("bad"), "domain", "suffix"))
+    placed = materialize(hosts.withColumn("both", both), "hosts")
+    placed = lookup(placed, by_suffix, "suffix", ["host"], "left")
+    placed = lookup(placed, by_domain.select(both.alias("both"), "domain_rate"), "both", ["host"], "left")
+    prior_rate = F.coalesce("domain_rate", "suffix_rate", m)
+    rate = _posterior(prior_rate, s, F.col("bad"), F.col("n"))
     low = F.col("rate") - BOUND_Z * F.sqrt(F.col("rate") * (1 - F.col("rate")) / (s + F.col("n") + 1))
-    return levels.select("host", "n", "bad", rate.alias("rate")).withColumn("low", F.greatest(low, F.lit(0.0)))
+    return placed.select("host", "n", "bad", rate.alias("rate")).withColumn("low", F.greatest(low, F.lit(0.0)))
 
 
 def judge(
@@ -122,17 +142,17 @@ def judge(
     rules: Sequence[tuple[str, str]] = RULES, max_bad: float = MAX_BAD,
 ) -> DataFrame:
     """Per row: carried columns in a struct ``row``, ``host``, ``path``, ``rule``, ``verdict``,
-    ``n_labelled`` and ``n_bad`` of the host, and ``rate`` and ``low`` (null for a host without labels).
+    ``n_labelled`` and ``n_bad`` of the host, and ``rate`` and ``low`` of its posterior.
 
     ``outcomes`` are labelled pages ``(host, bad)``. A null url, or one without ``://``, has an
-    empty host and path and is judged as such. A host without labels is allowed unless
-    a rule says otherwise. Repeated rows get equal verdicts; an empty table gives none.
+    empty host and path; an empty host has no reputation and is allowed. Repeated rows get equal verdicts; an empty table gives none.
     """
     url = F.col(f"`{url_col}`").cast("string")
     given = pages.select(
         F.struct(*[F.col(f"`{c}`") for c in carry or ["page_id"]]).alias("row"), host_of(url).alias("host"), path_of(url).alias("path")
     )
-    known = materialize(reputations(outcomes).withColumnRenamed("host", "known_host"), "host-reputation")
+    asked = given.where("host <> ''").select("host").distinct()
+    known = materialize(reputations(outcomes.where("host <> ''"), asked).withColumnRenamed("host", "known_host"), "host-reputation")
     rule, says = rule_for(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("low") > max_bad, F.lit("block")).otherwise(F.lit("allow"))
     return given.join(known, F.col("host") == F.col("known_host"), "left").select(

@@ -9,6 +9,7 @@ import zlib
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ridgeline.llm import licences, maintext, urls, warc
 from ridgeline.llm.queries import QUERIES, table
@@ -151,6 +152,27 @@ def test_reputation_shrinks_by_host_domain_and_suffix(df):
     assert made["bad.x.com"].low > urls.MAX_BAD > made["few.x.com"].low > made["good.x.com"].low >= 0
 
 
+def test_hosts_without_labels_are_judged_by_their_domain(df):
+    labels = df([(f"h{i}.bad.com", 1) for i in range(30) for _ in range(20)] + [(f"g{i}.org", 0) for i in range(40) for _ in range(20)], "host string, bad int")
+    urls_given = ["http://new.bad.com/x", "http://new.bad.com/x", "http://new.org/", "http://deep.g1.org", "nothing", None, "http://h1.bad.com/"]
+    given = df([(None if i < 2 else i, u) for i, u in enumerate(urls_given)], "page_id long, url string")
+    made = urls.judge(given, labels).collect()
+    assert sorted((str(r.row.page_id), r.host, r.verdict, r.n_labelled) for r in made) == sorted([
+        ("None", "new.bad.com", "block", 0), ("None", "new.bad.com", "block", 0), ("2", "new.org", "allow", 0), ("3", "deep.g1.org", "allow", 0),
+        ("4", "", "allow", 0), ("5", "", "allow", 0), ("6", "h1.bad.com", "block", 20),
+    ])
+    assert urls.judge(given.limit(0), labels).count() == 0 and urls.judge(given.limit(0), labels.limit(0)).count() == 0
+
+
+def test_ranges_are_dealt_by_their_bytes(spark, df):
+    """Rows of ranges are small: each range of the given bytes still has a task."""
+    pages = df([(i, f"http://x/{i}", hashlib.sha256(str(i).encode()).hexdigest() * 40) for i in range(400)], "page_id long, url string, html string")
+    files = warc.write_archives(warc.plan_records(pages), scratch_path(spark, "warc")).cache()
+    total = files.groupBy().sum("length").first()[0]
+    made = warc.read_archives(spark, files, total // 12)
+    assert made.count() == 400 and made.select(F.spark_partition_id()).distinct().count() >= 8
+
+
 @pytest.fixture(scope="module")
 def page_model(spark):
     return maintext.train(table(spark, SF, "pages"))
@@ -226,6 +248,18 @@ def test_decoding_never_contradicts_ancestors():
         assert maintext.decode(nodes, np.array(p)) == [i for i, n in enumerate(nodes) if n.text and best[i] == "c"]
 
 
+@pytest.mark.parametrize("name", ["noscript", "svg", "object", "template", "canvas", "video", "audio", "math"])
+def test_elements_that_are_never_ended_hide_nothing(name):
+    def texts(page):
+        return [n.text for n in maintext.parse(page) if n.text]
+
+    assert texts(f"<p>one</p><{name} x=1><p>two</p><p>three</p>") == ["one", "two", "three"]
+    assert texts(f"<p>one</p><{name} x=1><p>two</p></{name.upper()} ><p>three</p>") == ["one", "three"]
+    assert texts(f"<p>one</p><{name}><{name}>gone</{name}><p>two</p>") == ["one", "two"]
+    assert texts(f"<p>one</p><{name}><{name}>gone</{name}>too</{name}><p>two</p>") == ["one", "two"]
+    assert texts(f"<p>one</p><{name}/><p>two</p><!-- </{name}> --><script>'</{name}>'</script><p>three</p>") == ["one", "two", "three"]
+
+
 def test_capitals_are_counted_over_whole_texts():
     at = maintext.FIELDS.index("capitals")
     nodes = maintext.parse(f"<div><p>{'a' * 200}{'B' * 600}</p><p>{'c' * 200}</p></div>")
