@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -9,7 +11,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyarrow import dataset
-from pyarrow.fs import FileSystem
+from pyarrow.fs import FileSystem, FileType
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -26,13 +28,16 @@ from ridgeline.functions.vectors import (
     head_scores,
     matrix_rows,
 )
-from ridgeline.operators.classifier import model_scores
-from ridgeline.operators.running import numbered_by_range
-from ridgeline.runtime import scratch_path
+from ridgeline.operators.classifier import load_model, model_scores, save_model
+from ridgeline.runtime import materialize, scratch_path
 
 # Classes per block: with vectors of 1024 doubles a block is 32 MB, which is what
 # a task holds of a model.
 BLOCK_CLASSES = 4096
+# Bytes of vectors a task gathers before it goes through the blocks of a stored model, and
+# rows that meet a block in one product.
+ROW_BLOCK_BYTES = 64 << 20
+_PRODUCT_ROWS = 1024
 
 
 @dataclass(frozen=True)
@@ -49,6 +54,8 @@ class LinearScorer:
     """A linear head over any number of classes, as blocks of bounded size."""
 
     blocks: tuple[ScoreBlock, ...]
+    # Nothing is read for a batch, so none waits for another.
+    gather_bytes = 0
 
     def each(self) -> Iterator[ScoreBlock]:
         return iter(self.blocks)
@@ -58,22 +65,30 @@ class LinearScorer:
 class StoredScorer:
     """The same with its blocks in a folder that every task can read.
 
-    The driver holds no class. A task reads one block at a time, in label order;
-    a model of one block is read once per process.
+    The driver holds no class. A task gathers rows to a block of ``ROW_BLOCK_BYTES`` and reads
+    one block of classes at a time for all of them, in label order; a model of one block is
+    read once per process.
     """
 
     path: str
     blocks: int
 
+    @property
+    def gather_bytes(self) -> int:
+        return ROW_BLOCK_BYTES if self.blocks > 1 else 0
+
     def each(self) -> Iterator[ScoreBlock]:
         if self.blocks == 1:
             yield _only_block(self.path)
         else:
-            yield from (_read_block(self.path, i) for i in range(self.blocks))
+            # A range that no label fell into has no folder.
+            yield from filter(None, (_read_block(self.path, i) for i in range(self.blocks)))
 
 
-def _read_block(path: str, number: int) -> ScoreBlock:
+def _read_block(path: str, number: int) -> ScoreBlock | None:
     store, root = FileSystem.from_uri(path)
+    if store.get_file_info(f"{root}/block={number}").type == FileType.NotFound:
+        return None
     table = dataset.dataset(f"{root}/block={number}", filesystem=store, format="parquet").to_table(columns=["label", "centroid"])
     order = np.argsort(table["label"].to_numpy(), kind="stable")
     w = np.asarray(table["centroid"].combine_chunks().flatten(), np.float64).reshape(len(order), -1)[order]
@@ -103,20 +118,23 @@ def centroid_fit(df: DataFrame, vec: str, label: str = "label") -> DataFrame:
     ).select("label", vector_to_array("m").alias("centroid"), "n")
 
 
-def centroid_scorer(centroids: DataFrame, block_classes: int = BLOCK_CLASSES) -> StoredScorer:
+def centroid_scorer(centroids: DataFrame, block_classes: int = BLOCK_CLASSES, path: str | None = None) -> StoredScorer:
     """Nearest centroid as a linear head: ``x . c - |c|^2 / 2`` is greatest for the nearest.
 
-    Classes are numbered in label order and written in blocks of ``block_classes``, one
-    road for a model of any size and for labels however far apart.
+    Classes are written in blocks of some ``block_classes``, as ranges of their labels, one
+    road for a model of any size and for labels however far apart. Models are kept at
+    ``path`` (a new folder); without it they lie in the scratch folder and last as long.
     """
-    table = centroids.select(F.col("label").cast("long"), "centroid").where("label is not null")
-    placed = numbered_by_range(table.withColumn("_all", F.lit(0)), ["_all"], ["label"], "_nth")
-    blocked = placed.select("label", "centroid", F.floor((F.col("_nth") - 1) / block_classes).alias("block"))
-    path = scratch_path(centroids.sparkSession, "centroids")
-    blocked.repartition("block").write.partitionBy("block").parquet(path)
-    if blocked.isEmpty():
+    spark = centroids.sparkSession
+    table = materialize(centroids.select(F.col("label").cast("long"), "centroid").where("label is not null"), "classes")
+    classes = table.count()
+    if not classes:
         raise ValueError("no centroids to score with")
-    return load_scorer(centroids.sparkSession, path)
+    blocks = -(-classes // block_classes)
+    path = path or scratch_path(spark, "centroids")
+    dealt = table.repartitionByRange(blocks, "label") if blocks > 1 else table.coalesce(1)
+    dealt.withColumn("block", F.spark_partition_id()).write.partitionBy("block").parquet(path)
+    return load_scorer(spark, path) if blocks > 1 else StoredScorer(path, 1)
 
 
 def load_scorer(spark: SparkSession, path: str) -> StoredScorer:
@@ -127,31 +145,51 @@ def load_scorer(spark: SparkSession, path: str) -> StoredScorer:
     return StoredScorer(path, blocks + 1)
 
 
-def _best_of(scorer: LinearScorer | StoredScorer, vec: Column) -> Column:
-    """First label of the best score and its softmax share, block after block.
+def best_classes(batches: Iterator[pa.Array], scorer: LinearScorer | StoredScorer) -> Iterator[pa.Array]:
+    """First label of the best score and its softmax share for each vector: a blocked matrix product.
 
-    What a block leaves behind is merged exactly: the better of two bests (the earlier,
-    smaller label on ties) and the sum of both masses, relative to it.
+    Row blocks meet class blocks one after the other, so a class block is read once for
+    each row block. What a class block leaves behind is merged exactly: the better of two bests (the
+    earlier, smaller label on ties) and the sum of both masses, relative to it.
     """
 
-    @F.arrow_udf("struct<label:bigint,confidence:double>")
-    def op(vectors: pa.Array) -> pa.Array:
+    def scored(held: list[pa.Array]) -> pa.Array:
+        vectors = pa.concat_arrays(held) if len(held) > 1 else held[0]
         x, present = matrix_rows(vectors)
         label, share = np.zeros(len(vectors), np.int64), np.zeros(len(vectors))
         if len(x):
             top, at, mass = np.full(len(x), -np.inf), np.zeros(len(x), np.int64), np.zeros(len(x))
             for block in scorer.each():
-                z = x @ block.w.T + block.b
-                best = z.argmax(axis=1)
-                peak = np.maximum(top, z[np.arange(len(z)), best])
-                at = np.where(z[np.arange(len(z)), best] > top, block.labels[best], at)
-                mass = mass * np.exp(top - peak) + np.exp(z - peak[:, None]).sum(axis=1)
-                top = peak
+                for i in range(0, len(x), _PRODUCT_ROWS):
+                    rows = slice(i, i + _PRODUCT_ROWS)
+                    z = x[rows] @ block.w.T + block.b
+                    best = z.argmax(axis=1)
+                    high = z[np.arange(len(z)), best]
+                    peak = np.maximum(top[rows], high)
+                    at[rows] = np.where(high > top[rows], block.labels[best], at[rows])
+                    mass[rows] = mass[rows] * np.exp(top[rows] - peak) + np.exp(z - peak[:, None]).sum(axis=1)
+                    top[rows] = peak
             label[present], share[present] = at, 1.0 / mass
         return pa.StructArray.from_arrays(
             [pa.array(label), pa.array(share)], names=["label", "confidence"], mask=pa.array(~present),
         )
 
+    held, size = [], 0
+    for vectors in batches:
+        held.append(vectors)
+        size += vectors.nbytes
+        if size >= scorer.gather_bytes:
+            yield scored(held)
+            held, size = [], 0
+    if held:
+        yield scored(held)
+
+
+def _best_of(scorer: LinearScorer | StoredScorer, vec: Column) -> Column:
+    @F.arrow_udf("struct<label:bigint,confidence:double>")
+    def op(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return best_classes(batches, scorer)
+
     return op(vec)
 
 
@@ -175,6 +213,39 @@ def score_head(df: DataFrame, vec: str, params: dict) -> DataFrame:
 
 Model = LinearScorer | StoredScorer | PipelineModel | dict
 
+# How the folder of a stored model says what lies in it.
+_HEAD, _CLASSIFIER = "head", "classifier"
+
+
+def store_model(spark: SparkSession, model: Model, folder: str) -> str:
+    """Keeps a model in a new place under ``folder``, and tells where; :func:`load_stored` reads it there.
+
+    Centroids were written when they were fitted: they stay where they are. The
+    parameters of a head become one JSON row.
+    """
+    if isinstance(model, StoredScorer):
+        return model.path
+    kind = _HEAD if isinstance(model, dict) else _CLASSIFIER
+    path = f"{folder.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    if isinstance(model, PipelineModel):
+        save_model(model, path)
+    elif isinstance(model, dict):
+        plain = {k: np.asarray(v).tolist() for k, v in model.items()}
+        spark.createDataFrame([(json.dumps(plain),)], "value string").coalesce(1).write.text(path)
+    else:
+        raise ValueError("a linear scorer in memory is stored as its centroids")
+    return path
+
+
+def load_stored(spark: SparkSession, path: str) -> Model:
+    """The model that :func:`store_model` or :func:`centroid_scorer` left at ``path``."""
+    kind = path.rstrip("/").rsplit("/", 1)[-1].split("-")[0]
+    if kind == _CLASSIFIER:
+        return load_model(path)
+    if kind == _HEAD:
+        return {k: np.asarray(v) for k, v in json.loads(spark.read.text(path, wholetext=True).first().value).items()}
+    return load_scorer(spark, path)
+
 
 def scored_by(df: DataFrame, model: Model, vec: str) -> DataFrame:
     """``prediction`` and ``confidence`` of any model: centroids, a linear scorer, head parameters, or a fitted classifier."""

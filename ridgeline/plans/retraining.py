@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.operators.drift import PRIMARY_METRIC
 from ridgeline.operators.metrics import with_run
-from ridgeline.operators.scoring import centroid_fit, centroid_scorer, load_scorer, score
+from ridgeline.operators.scoring import Model, centroid_fit, centroid_scorer, load_stored, scored_by, store_model
 from ridgeline.operators.splits import RATIOS, exact_split
 from ridgeline.operators.versions import (
     CHALLENGER,
@@ -24,7 +25,7 @@ from ridgeline.operators.versions import (
     retrain_decision,
 )
 from ridgeline.plans.evaluation import evaluate_split
-from ridgeline.runtime import materialize
+from ridgeline.runtime import materialize, scratch_path
 
 # The tag of a version that names where its model is stored.
 MODEL_PATH = "model_path"
@@ -60,31 +61,40 @@ def comparison_record(decision: DataFrame, metric: str, threshold: float, at: da
 def retrain_pipeline(
     df: DataFrame, log: DataFrame, model: str, key: str, vec: str, at: datetime, label: str = "label",
     metric: str = PRIMARY_METRIC, threshold: float = PROMOTION_THRESHOLD, force: bool = False,
-    ratios: Sequence[float] = RATIOS, seed: int = 42,
+    ratios: Sequence[float] = RATIOS, seed: int = 42, fit: Callable[[DataFrame], Model] | None = None, store: str | None = None,
 ) -> Retraining:
     """Split, fit a challenger, score it and the stored champion on the same test split, decide, and log.
 
-    The challenger is registered with its metrics and place; if it wins it is promoted.
-    Without a champion, or one whose model is not stored, it wins.
+    ``fit`` makes a model of any kind from the training rows; without it class centroids are
+    fitted. Champion and challenger need not be of one kind. The challenger is registered with its metrics and
+    place; if it wins it is promoted. Without a champion, or one whose model is not stored, it wins.
+    Models are kept under ``store``, a folder of their own: a registered model must outlive the scratch
+    folder, which is used only where no store is named.
     """
     spark = df.sparkSession
     parted = exact_split(df, key, ratios, seed)
-    challenger = centroid_scorer(centroid_fit(parted.where("split = 'train'"), vec, label))
-
-    def measured(scorer) -> dict[str, float]:
-        record = evaluate_split(parted, lambda rows: score(rows, scorer, vec), "test", label).first()
+    train = parted.where("split = 'train'")
+    place = store or scratch_path(spark, "models")
+    if fit is None:
+        challenger = centroid_scorer(centroid_fit(train, vec, label), path=f"{place.rstrip('/')}/centroids-{uuid.uuid4().hex}")
+    else:
+        challenger = fit(train)
+    stored_at = store_model(spark, challenger, place)
+
+    def measured(scorer: Model) -> dict[str, float]:
+        record = evaluate_split(parted, lambda rows: scored_by(rows, scorer, vec), "test", label).first()
         return {k: float(v) for k, v in record.asDict().items() if v is not None}
 
     new = measured(challenger)
     held = _champion(log, model)
-    old = measured(load_scorer(spark, held[1])) if held else None
+    old = measured(load_stored(spark, held[1])) if held else None
     side = "model string, value double"
     decision = retrain_decision(
         spark.createDataFrame([(model, old[metric])] if old else [], side),
         spark.createDataFrame([(model, new[metric])], side), threshold, force,
     )
     fresh = spark.createDataFrame(
-        [(model, at, 1, {MODEL_PATH: challenger.path}, new)],
+        [(model, at, 1, {MODEL_PATH: stored_at}, new)],
         "model string, event_ts timestamp, run int, tags map<string,string>, metrics map<string,double>",
     )
     after = materialize(registered(log.select(*LOG_COLUMNS), fresh, "run", CHALLENGER), "version-log")
@@ -105,7 +115,7 @@ def evaluate_from_log(
     row = _with_path(picked, log).first()
     if row is None:
         raise ValueError(f"no stored model for {model}")
-    scorer = load_scorer(df.sparkSession, row.path)
+    scorer = load_stored(df.sparkSession, row.path)
     parted = exact_split(df, key, ratios, seed)
-    record = evaluate_split(parted, lambda rows: score(rows, scorer, vec), split, label)
+    record = evaluate_split(parted, lambda rows: scored_by(rows, scorer, vec), split, label)
     return with_run(record, at, model_path=row.path).withColumn("version", F.lit(row.version))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ridgeline.functions.bitmaps import raw_pixels
@@ -413,6 +414,29 @@ def retrain_pipeline(spark, sf):
     )
 
 
+@query(f"""SELECT *, CASE WHEN promoted THEN 3 ELSE 2 END AS holder FROM (
+  SELECT round(a, 6) AS champion_value, round(b, 6) AS challenger_value, round(b, 6) AS stored_value,
+    CASE WHEN a > 0 THEN (b - a) / a ELSE 'inf'::DOUBLE END > 0.01 AS promoted
+  FROM (SELECT ({_half_sql(_FEW)} SELECT f1_macro FROM record) AS a, ({_half_sql(_TRAIN)} SELECT f1_macro FROM record) AS b))""")
+def retrain_head(spark, sf):
+    """A challenger of another kind: head parameters, whose rows are the class means, against stored centroids."""
+    df, log = _logged_champion(spark, sf)
+
+    def fit(train):
+        # Ten classes by the table's definition.
+        means = np.array([r.centroid for r in sc.centroid_fit(train, "embedding").orderBy("label").collect()])
+        return {"w": means, "b": -(means**2).sum(axis=1) / 2}
+
+    done = rt.retrain_pipeline(df, log, "m", "vec_id", "embedding", AT, fit=fit, store=scratch_path(spark, "store"))
+    after = materialize(done.log, "version-log")
+    holder = vs.alias_holders(after).where("alias = 'champion'").select("version").scalar()
+    again = rt.evaluate_from_log(df, after, "m", "vec_id", "embedding", AT, version=3)
+    return done.comparison.select(
+        r6("champion_value").alias("champion_value"), r6("challenger_value").alias("challenger_value"),
+        again.select(r6("f1_macro")).scalar().alias("stored_value"), "promoted", holder.alias("holder"),
+    )
+
+
 @query(f"SELECT *, 2 AS version, true AS stored FROM ({_half_sql(_FEW)} SELECT {RECORD_SQL} FROM record)")
 def evaluate_from_log(spark, sf):
     df, log = _logged_champion(spark, sf)

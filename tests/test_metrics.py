@@ -9,6 +9,7 @@ from ridgeline.functions.change import relative_change, winner
 from ridgeline.functions.pixels import normalize_pixels, tensor_decode, tensor_encode
 from ridgeline.operators import metrics as mt
 from ridgeline.operators import scoring as sc
+from ridgeline.operators.classifier import train_classifier
 from ridgeline.operators.stats import STATISTICS, image_stats
 
 
@@ -230,6 +231,47 @@ def test_sparse_long_labels_and_hot_ties(df):
     assert sc.load_scorer(rows.sparkSession, scorer.path) == scorer
 
 
+def test_a_block_of_classes_is_read_once_for_a_block_of_rows(df, monkeypatch):
+    """Fifty blocks, eight batches: each block is read once, or once for each row block that fits the bound."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    centroids = df([(i, rng.normal(size=3).tolist(), 1) for i in range(100)], "label long, centroid array<double>, n long")
+    scorer = sc.centroid_scorer(centroids, block_classes=2)
+    assert scorer.blocks == 50
+    batches = [pa.array([v.tolist() for v in rng.normal(size=(700, 3))] + [None], pa.list_(pa.float64())) for _ in range(8)]
+    reads = []
+    read = sc._read_block
+    monkeypatch.setattr(sc, "_read_block", lambda path, i: reads.append(i) or read(path, i))
+    once = pa.concat_arrays(list(sc.best_classes(iter(batches), scorer)))
+    assert sorted(reads) == list(range(50)) and len(once) == 8 * 701
+    reads.clear()
+    monkeypatch.setattr(sc, "ROW_BLOCK_BYTES", 2 * batches[0].nbytes)
+    assert pa.concat_arrays(list(sc.best_classes(iter(batches), scorer))) == once and len(reads) == 4 * 50
+    table = {r.label: r.centroid for r in centroids.collect()}
+    names, c = list(table), np.array(list(table.values()))
+    for r, v in zip(once.to_pylist()[:700], batches[0].to_pylist()):
+        d = ((c - v) ** 2).sum(axis=1)
+        share = np.exp(-d / 2 + d.min() / 2)
+        assert r["label"] == names[d.argmin()] and r["confidence"] == pytest.approx(1 / share.sum())
+
+
+def test_any_model_is_stored_and_loaded(spark, df, tmp_path):
+    rng = np.random.default_rng(9)
+    rows = df([(str(i), (rng.normal(size=2) + 4 * (i % 3)).tolist(), i % 3) for i in range(60)], "subject_id string, v array<double>, label int").cache()
+    models = [
+        sc.centroid_scorer(sc.centroid_fit(rows, "v"), path=str(tmp_path / "centroids-1")),
+        {"w": [[0.5, -1.0], [1.0, 0.0], [0.0, 0.2]], "b": [0.0, 0.1, 0.0]}, train_classifier(rows, "v", max_iter=5),
+    ]
+    for model in models:
+        path = sc.store_model(spark, model, str(tmp_path / "store"))
+        loaded = sc.load_stored(spark, path)
+        assert path.startswith(str(tmp_path))
+        assert sc.scored_by(rows, loaded, "v").collect() == sc.scored_by(rows, model, "v").collect()
+    with pytest.raises(ValueError):
+        sc.store_model(spark, sc.linear_scorer([[0.0]], [0.0]), str(tmp_path))
+
+
 def test_head_parameters_score_like_the_head(df):
     rows = df([("a", [1.0, 2.0], 0), ("b", [3.0, 0.5], 1)], "subject_id string, v array<double>, label int")
     params = {"w": [[0.5, -1.0], [1.0, 0.0], [0.0, 0.2]], "b": [0.0, 0.1, 0.0]}
