@@ -13,6 +13,7 @@ from ridgeline.plans import monitoring as mon
 from ridgeline.runtime import scratch_path
 from ridgeline.sources.tables import read_report, write_report
 from ridgeline.streaming import drift as sd
+from ridgeline.streaming import sketches as sk
 from ridgeline.workloads.adapters import (
     CATEGORIES,
     DRIFT_SQL,
@@ -409,3 +410,26 @@ def stream_windowed_drift(spark, sf):
         ref, arriving.where(late), sink, checkpoint, "ts", "1 day", "1 hour", ["value"]
     ).awaitTermination()
     return _windows(spark.read.parquet(sink))
+
+
+# Finer than any of the given tables: as many points as reference values, more places than a day has values.
+_FINE = {"k": 16_384, "points": 200_000}
+
+
+@query(WINDOWS_SQL)
+def sketched_drift(spark, sf):
+    """Windows as sketches; at this fineness the statistic is exact."""
+    ref, late = _event_sides(spark, sf)
+    cur = table(spark, sf, "events").where(late)
+    return _windows(sk.sketched_drift(ref, cur, "ts", "1 day", ["value"], **_FINE))
+
+
+@query(f"{WINDOWS_SQL} WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)")
+def stream_sketched_drift(spark, sf):
+    """The stream keeps one sketch a window."""
+    ref, late = _event_sides(spark, sf)
+    schema = table(spark, sf, "events").schema
+    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    sink, checkpoint = scratch_path(spark, "stream-sketches"), scratch_path(spark, "stream-checkpoint")
+    sk.stream_sketched_drift(ref, arriving.where(late), sink, checkpoint, "ts", "1 day", "1 hour", ["value"], **_FINE).awaitTermination()
+    return _windows(spark.read.parquet(sink))
