@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -9,6 +13,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ridgeline.functions.vectors import matrix_rows
+
 _VECTOR = "_features"
 
 
@@ -68,29 +74,60 @@ def model_scores(df: DataFrame, model: PipelineModel, vec: str = "embedding") ->
     )
 
 
+def _gradient_parts(rows: DataFrame, w: np.ndarray, b: np.ndarray) -> DataFrame:
+    """One row for each partition of ``rows`` (y, x): ``[rows, rows per class.., gradient by class and place..]`` as one array."""
+    k, d = w.shape
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 + k + k * (d + 1))
+        for batch in batches:
+            x, present = matrix_rows(batch.column(1))
+            if not len(x):
+                continue
+            y = batch.column(0).to_numpy()[present]
+            z = x @ w.T + b
+            z = np.exp(z - z.max(axis=1, keepdims=True))
+            share = z / z.sum(axis=1, keepdims=True)
+            share[np.arange(len(y)), y] -= 1
+            total[0] += len(y)
+            total[1 : 1 + k] += np.bincount(y, minlength=k)
+            total[1 + k :] += np.concatenate((share.sum(axis=0)[:, None], share.T @ x), axis=1).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array([total])], names=["part"])
+
+    return rows.mapInArrow(run, "part array<double>")
+
+
+def _summed(parts: DataFrame) -> DataFrame:
+    """The sum of all parts, in two levels: no task adds up more than the square root of them."""
+    number = F.spark_partition_id()
+    vectors = parts.select(array_to_vector("part").alias("v"), number.alias("n"))
+    groups = F.floor(F.sqrt(F.col("n") + 1.0)).alias("g")
+    middle = vectors.groupBy(groups).agg(Summarizer.sum(F.col("v")).alias("v"))
+    return middle.agg(Summarizer.sum(F.col("v")).alias("v")).select(vector_to_array("v").alias("total"))
+
+
 def gradient_norm(
     df: DataFrame, model: PipelineModel, vec: str = "embedding", label: str = "label", reg: float = 1e-4
 ) -> DataFrame:
     """One row: ``rows``, ``classes`` and ``norm``, the largest part of the loss gradient of a logistic model.
 
     At the optimum the gradient is zero: with class shares p, the mean of
-    ``(p - y) x + reg w``, and of ``p - y`` for the intercepts. It is summed per class
-    and place over the cluster.
+    ``(p - y) x + reg w``, and of ``p - y`` for the intercepts. Each task sums its rows as one
+    matrix product and hands on one row; a vector is never copied per class.
     """
     fitted = model.stages[-1]
-    weights = fitted.coefficientMatrix.toArray()
-    scored = model.transform(_vectors(df.where(F.col(label).isNotNull()), vec)).select(
-        F.col(label).cast("int").alias("y"), vector_to_array("probability").alias("p"), F.col(vec).cast("array<double>").alias("x")
-    )
-    residual = scored.select("x", "y", F.posexplode("p").alias("class", "share")).select(
-        "class", (F.col("share") - (F.col("y") == F.col("class")).cast("double")).alias("r"), "x"
+    w, b = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
+    k, d = w.shape
+    rows = df.where(F.col(label).isNotNull()).select(F.col(label).cast("int").alias("y"), F.col(vec).cast("array<double>").alias("x"))
+    n = F.col("total")[0]
+    # The decay of each weight, none for an intercept; k * (d + 1) numbers, as many as the model has.
+    decay = F.split(F.lit(",".join(map(repr, np.concatenate((np.zeros((k, 1)), reg * w), axis=1).ravel().tolist()))), ",").cast("array<double>")
+    gradient = F.slice("total", 2 + k, k * (d + 1))
+    parts = F.zip_with(gradient, decay, lambda g, r: F.abs(g / n + r))
+    return _summed(_gradient_parts(rows, w, b)).select(
+        n.cast("long").alias("rows"), F.size(F.filter(F.slice("total", 2, k), lambda c: c > 0)).cast("long").alias("classes"),
+        F.array_max(parts).alias("norm"),
     )
-    parts = residual.select("class", array_to_vector(F.concat(F.array("r"), F.transform("x", lambda v: v * F.col("r")))).alias("g"))
-    sums = parts.groupBy("class").agg(Summarizer.mean(F.col("g")).alias("g")).select("class", F.posexplode(vector_to_array("g")).alias("place", "g"))
-    decay = F.array(*[F.array(F.lit(0.0), *[F.lit(float(reg * v)) for v in row]) for row in weights])
-    largest = F.max(F.abs(F.col("g") + decay[F.col("class")][F.col("place")]))
-    facts = df.where(F.col(label).isNotNull()).agg(F.count("*").alias("rows"), F.count_distinct(label).alias("classes"))
-    return facts.withColumn("norm", sums.agg(largest).scalar())
 
 
 def cross_entropy_of(df: DataFrame, model: PipelineModel, vec: str = "embedding", label: str = "label") -> DataFrame:

@@ -109,6 +109,11 @@ def value_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str] | None =
     counted = long_values(_sides(ref, cur, names), names, ["_ref"]).groupBy("feature_no", "value").agg(
         F.sum(F.col("_ref")).alias("n_ref"), F.sum(1 - F.col("_ref")).alias("n_cur")
     )
+    return _profiled(counted, names)
+
+
+def _profiled(counted: DataFrame, names: Sequence[str]) -> ValueCounts:
+    """Counts ``(feature_no, value, n_ref, n_cur)`` dealt by ranges and written, with the profile of each column."""
     dealt = counted.repartitionByRange("feature_no", "value").withColumn("segment", F.spark_partition_id())
     counts = materialize(dealt, "value-counts")
     mean = counts.groupBy("feature_no").agg(
@@ -129,6 +134,42 @@ def value_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str] | None =
     return ValueCounts(counts, tuple(profile(i, n) for i, n in enumerate(names)))
 
 
+def feature_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``(feature, value, n)``: the distinct values of numeric columns and how often each occurs.
+
+    All that the tests of this module need of a side. Profiles of parts add up
+    (:func:`merge_profiles`), so a day is counted once and folded in.
+    """
+    names = align_features(df, df, columns)
+    values = df.select(*[numeric_value(c).alias(c) for c in names])
+    name = per_feature(names, "string").alias("feature")
+    if not names:
+        return df.sparkSession.createDataFrame([], "feature string, value double, n long")
+    return long_values(values, names, []).groupBy("feature_no", "value").agg(F.count("*").alias("n")).select(name, "value", "n")
+
+
+def merge_profiles(*parts: DataFrame) -> DataFrame:
+    """The profile of all parts together."""
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole.groupBy("feature", "value").agg(F.sum("n").alias("n"))
+
+
+def profile_counts(ref: DataFrame, cur: DataFrame, columns: Sequence[str]) -> ValueCounts | None:
+    """:func:`value_counts` of two profiles. Columns without values on a side are not compared."""
+    if not columns:
+        return None
+    number = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("feature")).cast("int") - 1
+    zero = F.lit(0).cast("long")
+    both = ref.select("feature", "value", F.col("n").alias("n_ref"), zero.alias("n_cur")).unionByName(
+        cur.select("feature", "value", zero.alias("n_ref"), F.col("n").alias("n_cur"))
+    )
+    numbered = both.select(number.alias("feature_no"), "value", "n_ref", "n_cur").where("feature_no >= 0")
+    counted = numbered.groupBy("feature_no", "value").agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+    return _profiled(counted, columns)
+
+
 def reference_profiles(ref: DataFrame, columns: Sequence[str] | None = None) -> list[ColumnProfile]:
     """Sizes of the reference alone, for data still to come."""
     names = align_features(ref, ref, columns)

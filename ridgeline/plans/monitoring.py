@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 from ridgeline.operators.drift import (
     PRIMARY_METRIC,
     ShareParams,
+    align_features,
     column_share_drift,
     data_drift,
     data_drift_record,
+    feature_profile,
     health_status,
     ks_test,
     model_drift,
     model_drift_record,
+    profile_counts,
 )
 from ridgeline.operators.stats import pair_features
 from ridgeline.runtime import materialize
@@ -82,6 +85,37 @@ def run_monitoring(
     return health_status(data, model)
 
 
+def save_profile(profile: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Keeps a profile, sorted by feature and value, so that a read of one feature skips the others' row groups."""
+    profile.repartitionByRange("feature", "value").sortWithinPartitions("feature", "value").write.mode(mode).parquet(path)
+
+
+def load_profile(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("feature string, value double, n long").parquet(path)
+
+
+def monitor_against_profile(
+    profile: DataFrame, cur: DataFrame, baseline: DataFrame | None = None, current: DataFrame | None = None,
+    primary: str = PRIMARY_METRIC, columns: Sequence[str] | None = None, keep: str | None = None,
+) -> DataFrame:
+    """:func:`run_monitoring` with the reference as its stored profile: only the new rows are read.
+
+    The reference is touched as distinct values and their counts. ``keep`` names a folder where the
+    new rows' own profile is left, to be merged into a later reference.
+    """
+    spark = cur.sparkSession
+    new = feature_profile(cur, columns)
+    if keep is None:
+        new = materialize(new, "profile")
+    else:
+        save_profile(new, keep)
+        new = load_profile(spark, keep)
+    values = profile_counts(profile, new, align_features(cur, cur, columns))
+    data = data_drift(ks_test(cur, cur, values=values) if values else ks_test(cur.limit(0), cur, columns=[]))
+    model = model_drift(baseline, current, primary) if baseline is not None and current is not None else None
+    return health_status(data, model)
+
+
 def monitoring_record(
     at: datetime,
     ref: DataFrame | None = None,

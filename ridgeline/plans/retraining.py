@@ -39,9 +39,10 @@ class Retraining:
     comparison: DataFrame
 
 
-def _champion(log: DataFrame, model: str) -> tuple[int, str] | None:
-    picked = pick_model(log.where(F.col("model") == model), alias="champion")
-    row = _with_path(picked, log).first()
+def stored_version(log: DataFrame, model: str, alias: str | None = None, version: int | None = None) -> tuple[int, str] | None:
+    """Number and place of the named version, else of the champion, else of the latest; None where it is not stored."""
+    own = log.where(F.col("model") == model)
+    row = _with_path(pick_model(own, alias, version), own).first()
     return (row.version, row.path) if row else None
 
 
@@ -86,7 +87,7 @@ def retrain_pipeline(
         return {k: float(v) for k, v in record.asDict().items() if v is not None}
 
     new = measured(challenger)
-    held = _champion(log, model)
+    held = stored_version(log, model, alias="champion")
     old = measured(load_stored(spark, held[1])) if held else None
     side = "model string, value double"
     decision = retrain_decision(
@@ -111,11 +112,11 @@ def evaluate_from_log(
     ratios: Sequence[float] = RATIOS, seed: int = 42,
 ) -> DataFrame:
     """The evaluation record of a logged version (champion, else the latest), with its ``version`` and ``model_path``."""
-    picked = pick_model(log.where(F.col("model") == model), alias, version)
-    row = _with_path(picked, log).first()
-    if row is None:
+    found = stored_version(log, model, alias, version)
+    if found is None:
         raise ValueError(f"no stored model for {model}")
-    scorer = load_stored(df.sparkSession, row.path)
+    number, path = found
+    scorer = load_stored(df.sparkSession, path)
     parted = exact_split(df, key, ratios, seed)
     record = evaluate_split(parted, lambda rows: scored_by(rows, scorer, vec), split, label)
-    return with_run(record, at, model_path=row.path).withColumn("version", F.lit(row.version))
+    return with_run(record, at, model_path=path).withColumn("version", F.lit(number))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ridgeline.functions.names import (
     MAX_STRICT_SUBJECTS,
@@ -11,6 +14,8 @@ from ridgeline.functions.names import (
 )
 from ridgeline.operators import labels as lb
 from ridgeline.operators import pairing as pr
+from ridgeline.runtime import scratch_path
+from ridgeline.sources.bucketed import joined_in_place, write_bucketed
 from ridgeline.sources.corpus import split_modalities, verify_corpus, with_subject
 from ridgeline.workloads.adapters import FILES_SQL, SIDES_SQL, files
 from ridgeline.workloads.registry import query
@@ -80,6 +85,35 @@ def pair_samples_grid(spark, sf):
     return pr.pair_samples(*_sides(spark, sf), min_hot_rows=2)
 
 
+def _stored(spark, *tables):
+    """Each ``(rows, name)`` as a table of eight buckets by subject."""
+    return [
+        write_bucketed(rows, f"{name}_{uuid.uuid4().hex}", scratch_path(spark, name), "subject_id", 8) for rows, name in tables
+    ]
+
+
+@query(f"""WITH {SIDES_SQL} SELECT subject_id, iris.path AS iris_path, fingerprint.path AS fingerprint_path
+FROM iris JOIN fingerprint USING (subject_id)""")
+def pair_samples_bucketed(spark, sf):
+    """The same over tables that were stored by subject: the join has no exchange."""
+    iris, finger = _sides(spark, sf)
+    a, b = _stored(
+        spark, (iris.select("subject_id", F.col("path").alias("iris_path")), "iris"),
+        (finger.select("subject_id", F.col("path").alias("fingerprint_path")), "fingerprint"),
+    )
+    return joined_in_place(a, b, "subject_id").select("subject_id", "iris_path", "fingerprint_path")
+
+
+@query(f"""WITH {FILES_SQL}, ids AS (SELECT DISTINCT substr(name, 1, 3) AS subject_id FROM files),
+dict AS (SELECT subject_id, CAST(row_number() OVER (ORDER BY subject_id) - 1 AS INTEGER) AS label FROM ids)
+SELECT event_id, subject_id, label FROM files JOIN dict ON substr(name, 1, 3) = subject_id""")
+def label_index_bucketed(spark, sf):
+    """Labels joined to stored rows in place."""
+    named = with_subject(files(spark, sf)).select("event_id", "subject_id")
+    rows, labels = _stored(spark, (named, "rows"), (lb.build_label_index(named, "subject_id"), "labels"))
+    return joined_in_place(rows, labels, "subject_id").select("event_id", "subject_id", "label")
+
+
 @query(f"""WITH {SIDES_SQL} SELECT subject_id FROM iris INTERSECT SELECT subject_id FROM fingerprint""")
 def common_subjects(spark, sf):
     return pr.common_subjects(*_sides(spark, sf))

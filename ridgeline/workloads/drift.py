@@ -314,16 +314,17 @@ def baseline_create(spark, sf):
     ).select("part", "metric", (F.round("value", 4) + F.lit(0.0)).alias("value"))
 
 
-@query(f"""WITH {DATA_DRIFT_SQL}, {MODEL_SQL}, facts AS (SELECT k / n > 0.2 AS d, k / n AS ds,
+MONITORING_SQL = f"""WITH {DATA_DRIFT_SQL}, {MODEL_SQL}, facts AS (SELECT k / n > 0.2 AS d, k / n AS ds,
   score > 0.05 AS mdl, score AS ms FROM verdict CROSS JOIN lost)
 SELECT d AS data_drift, round(ds, 6) AS data_score, mdl AS model_drift, round(ms, 6) + 0.0::DOUBLE AS model_score,
   CASE WHEN (d OR mdl) AND ms > 0.1 THEN 'critical' WHEN d OR mdl THEN 'warning' ELSE 'healthy' END AS overall_status,
   concat_ws(' | ', CASE WHEN d THEN '{dr.ADVICE_DATA}' END,
     CASE WHEN mdl THEN printf('{dr.ADVICE_MODEL}', ms * 100) END,
     CASE WHEN NOT (d OR mdl) THEN '{dr.ADVICE_NONE}' END) AS recommendations
-FROM facts""")
-def monitoring_report(spark, sf):
-    report = mon.run_monitoring(*drift_sides(spark, sf), *metric_sides(spark, sf), primary=PRIMARY)
+FROM facts"""
+
+
+def _report(report):
     return report.select(
         "data_drift", r6("data_score").alias("data_score"), "model_drift",
         r6("model_score").alias("model_score"), "overall_status",
@@ -331,6 +332,35 @@ def monitoring_report(spark, sf):
     )
 
 
+@query(MONITORING_SQL)
+def monitoring_report(spark, sf):
+    return _report(mon.run_monitoring(*drift_sides(spark, sf), *metric_sides(spark, sf), primary=PRIMARY))
+
+
+@query(MONITORING_SQL)
+def monitoring_from_profile(spark, sf):
+    """The same from the reference's stored profile, made of two halves."""
+    ref, cur = drift_sides(spark, sf)
+    even = F.pmod(F.xxhash64("l_extendedprice"), F.lit(2)) == 0
+    path = scratch_path(spark, "profile")
+    mon.save_profile(dr.merge_profiles(*[dr.feature_profile(ref.where(part)) for part in (even, ~even)]), path)
+    return _report(mon.monitor_against_profile(mon.load_profile(spark, path), cur, *metric_sides(spark, sf), primary=PRIMARY))
+
+
+@query(f"""WITH {DRIFT_SQL} SELECT feature, count(*) AS distinct_values, CAST(sum(n) AS BIGINT) AS n, CAST(max(n) AS BIGINT) AS most,
+  round(sum(value * n), 4) AS total FROM (SELECT feature, value, count(*) AS n FROM long GROUP BY feature, value) GROUP BY feature""")
+def profile_merge(spark, sf):
+    """Profiles of both sides, kept and merged, are the profile of all rows."""
+    kept = []
+    for side in drift_sides(spark, sf):
+        kept.append(scratch_path(spark, "profile"))
+        mon.save_profile(dr.feature_profile(side), kept[-1])
+    whole = dr.merge_profiles(*[mon.load_profile(spark, k) for k in kept])
+    return whole.groupBy("feature").agg(
+        F.count("*").alias("distinct_values"), F.sum("n").alias("n"), F.max("n").alias("most"), F.round(F.sum(F.col("value") * F.col("n")), 4).alias("total")
+    )
+
+
 @query(f"""WITH {DATA_DRIFT_SQL}, {MODEL_SQL}
 SELECT 'data' AS part, feature AS name, round(d, 6) AS first, round(p, 6) AS second FROM tests
 UNION ALL SELECT 'model', metric, round(baseline, 6), round(current, 6) FROM changes

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from ridgeline.functions.bitmaps import raw_pixels
 from ridgeline.functions.pixels import to_gray
 from ridgeline.operators import classifier as cl
+from ridgeline.operators import drift as dr
 from ridgeline.operators import labels as lb
 from ridgeline.operators import metrics as mt
 from ridgeline.operators import scoring as sc
 from ridgeline.operators import versions as vs
 from ridgeline.operators.splits import exact_split
 from ridgeline.plans import corpus_jobs as jobs
+from ridgeline.plans import daily
+from ridgeline.plans import monitoring as mon
 from ridgeline.plans import retraining as rt
 from ridgeline.plans.evaluation import centroid_experiment
 from ridgeline.runtime import materialize, scratch_path
@@ -26,12 +29,13 @@ from ridgeline.workloads.adapters import (
     CENTROID_SQL,
     TRUE_PRED_SQL,
     decoded_images,
+    drift_sides,
     pixel_array,
     split_sql,
     true_pred,
 )
 from ridgeline.workloads.bitmaps import write_bitmaps
-from ridgeline.workloads.drift import PAIR_FEATURES_SQL, _NAMES, _pair_features
+from ridgeline.workloads.drift import DATA_DRIFT_SQL, PAIR_FEATURES_SQL, _NAMES, _pair_features
 from ridgeline.workloads.metrics import PER_CLASS_SQL, RECORD_SQL, rounded_record
 from ridgeline.workloads.registry import query, r6, table
 
@@ -445,6 +449,42 @@ def evaluate_from_log(spark, sf):
     return rounded_record(record).crossJoin(extra)
 
 
+# With one place for each of four groups, the best class shares are those of the group: the loss is their entropy.
+@query("""WITH cells AS (SELECT vec_id % 4 AS g, label, count(*) AS n FROM embeddings GROUP BY ALL),
+shares AS (SELECT n, n / sum(n) OVER (PARTITION BY g) AS p FROM cells)
+SELECT CAST(sum(n) AS BIGINT) AS rows, (SELECT count(DISTINCT label) FROM cells) AS classes, round(-sum(n * ln(p)) / sum(n), 3) AS loss FROM shares""")
+def train_closed_form(spark, sf):
+    """A case whose optimum is known: the fitted loss is a number SQL can tell."""
+    group = F.array(*[(F.col("vec_id") % 4 == g).cast("double") for g in range(4)])
+    rows = table(spark, sf, "embeddings").select(group.alias("x"), "label")
+    model = cl.train_classifier(rows, "x", reg=0.0, max_iter=200)
+    loss = cl.cross_entropy_of(rows, model, "x").select(F.round("loss", 3)).scalar()
+    return cl.gradient_norm(rows, model, "x", reg=0.0).select("rows", "classes", loss.alias("loss"))
+
+
+@query(f"""WITH {DATA_DRIFT_SQL}, facts AS (
+  SELECT (SELECT k / n FROM verdict) AS data_score, ({_half_sql(_FEW)} SELECT f1_macro FROM record) AS f1,
+    ({_half_sql(_FEW)} SELECT count(*) FROM predictions) AS scored, ({_half_sql(_FEW)} SELECT count(*) FROM predictions WHERE prediction = 3) AS unknown
+)
+SELECT 2 AS version, scored, unknown AS violations, data_score > 0.2 AS data_drift, round(data_score, 6) AS data_score,
+  1 - f1 > 0.05 AS model_drift, round(1 - f1, 6) + 0.0::DOUBLE AS model_score FROM facts""")
+def daily_run(spark, sf):
+    """The champion of the log scores the test split; a dictionary without one class; drift against a stored profile."""
+    df, log = _logged_champion(spark, sf)
+    log = log.withColumn("metrics", F.create_map(F.lit("f1_macro"), F.lit(1.0)))
+    ref, cur = drift_sides(spark, sf)
+    path = scratch_path(spark, "profile")
+    mon.save_profile(dr.feature_profile(ref), path)
+    rows = exact_split(df, "vec_id").where("split = 'test'")
+    known = df.select("label").distinct().where("label <> 3")
+    done = daily.daily_run(rows, log, "m", "embedding", scratch_path(spark, "predictions"), known, mon.load_profile(spark, path), cur)
+    scored, violations = done.predictions.agg(F.count("*")).scalar(), done.violations.agg(F.sum("violations").cast("long")).scalar()
+    return done.report.select(
+        F.lit(done.version).alias("version"), scored.alias("scored"), violations.alias("violations"), "data_drift",
+        r6("data_score").alias("data_score"), "model_drift", r6("model_score").alias("model_score"),
+    )
+
+
 # ---------------------------------------------------------------- streams
 
 @query(f"""WITH {ALL_SQL} SELECT CAST(vec_id AS VARCHAR) AS subject_id, prediction, label, {_ROWS} FROM predictions""")
