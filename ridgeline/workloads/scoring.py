@@ -328,6 +328,24 @@ def monitor_corpus(spark, sf):
     return report.select("data_drift", "data_score", "model_drift", "overall_status")
 
 
+_LIKE_DRIFT = DATA_DRIFT_SQL[DATA_DRIFT_SQL.index("sizes AS"):]
+
+
+@query(f"""WITH {PAIR_FEATURES_SQL}, rows AS (SELECT label, {', '.join(_NAMES)} FROM iris_stats JOIN finger_stats USING (label)),
+sides AS (SELECT 1 AS is_ref, * FROM rows WHERE label < 5 UNION ALL SELECT 0, * FROM rows),
+long AS (SELECT is_ref, unnest([{', '.join(repr(n) for n in _NAMES)}]) AS feature, unnest([{', '.join(_NAMES)}]) AS value FROM sides),
+{_LIKE_DRIFT}
+SELECT k / n > 0.2 AS data_drift, round(k / n, 6) AS data_score, false AS model_drift, 0.0::DOUBLE AS model_score FROM verdict""")
+def monitor_corpus_shifted(spark, sf):
+    """A reference of half of the classes: what a folder of all of them drifted by."""
+    root = _subject_bitmaps(spark, sf)
+    path = scratch_path(spark, "reference")
+    tb.write_reference(jobs.corpus_features(spark, root).where("subject_id < '005'"), path)
+    metrics = [spark.createDataFrame([("f1_macro", 0.8)], "metric string, value double") for _ in range(2)]
+    report = jobs.monitor_corpus(spark, root, tb.read_reference(spark, path), *metrics)
+    return report.select("data_drift", r6("data_score").alias("data_score"), "model_drift", r6("model_score").alias("model_score"))
+
+
 # The features of an image are its 64 pixels over 255; both images of a vector are fused by their mean, that is
 # (px + reversed px) / 510, and the nearest centroid of the first fingerprint's pairs is asked for.
 SCORE_CORPUS_SQL = f"""WITH px AS (

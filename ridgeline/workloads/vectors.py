@@ -74,8 +74,8 @@ def normalize_pixels(spark, sf):
 def _gray_levels(features):
     """Unit features back as the whole gray levels they stand for."""
     level = F.round(F.col("value") * 255).cast("int")
-    return features.select("vec_id", F.posexplode("features").alias("pos", "value")).select(
-        "vec_id", "pos", level.alias("gray")
+    return features.select("vec_id", "modality", F.posexplode("features").alias("pos", "value")).select(
+        "vec_id", "modality", "pos", level.alias("gray")
     )
 
 
@@ -95,15 +95,17 @@ down AS (SELECT vec_id, o AS y, x,
   FROM across JOIN weights ON i = y GROUP BY vec_id, o, x)"""
 
 
-@query(f"""WITH {resize_sql(4)} SELECT vec_id, CAST(y * 4 + x AS INTEGER) AS pos, CAST(v AS INTEGER) AS gray FROM down""")
+@query(f"""WITH {resize_sql(4)} SELECT vec_id, 'iris' AS modality, CAST(y * 4 + x AS INTEGER) AS pos, CAST(v AS INTEGER) AS gray FROM down
+UNION ALL SELECT vec_id, 'fingerprint', CAST(15 - (y * 4 + x) AS INTEGER), CAST(v AS INTEGER) FROM down""")
 def resize_down(spark, sf):
-    images = decoded_images(spark, sf).where("modality = 'iris'").select("vec_id", "image")
+    images = decoded_images(spark, sf).select("vec_id", "modality", "image")
     return _gray_levels(im.preprocess_images(images, (4, 4), normalize=False))
 
 
-@query(f"""WITH {resize_sql(12)} SELECT vec_id, CAST(y * 12 + x AS INTEGER) AS pos, CAST(v AS INTEGER) AS gray FROM down""")
+@query(f"""WITH {resize_sql(12)} SELECT vec_id, 'iris' AS modality, CAST(y * 12 + x AS INTEGER) AS pos, CAST(v AS INTEGER) AS gray FROM down
+UNION ALL SELECT vec_id, 'fingerprint', CAST(143 - (y * 12 + x) AS INTEGER), CAST(v AS INTEGER) FROM down""")
 def resize_up(spark, sf):
-    images = decoded_images(spark, sf).where("modality = 'iris'").select("vec_id", "image")
+    images = decoded_images(spark, sf).select("vec_id", "modality", "image")
     return _gray_levels(im.preprocess_images(images, (12, 12), normalize=False))
 
 
@@ -123,10 +125,13 @@ def preprocess_job(spark, sf):
     )
 
 
-@query(f"""WITH {PIXELS_SQL} SELECT vec_id, CAST(pos AS INTEGER) AS pos, CAST(255 - px AS DOUBLE) AS value FROM pixels""")
+@query(f"""WITH {PIXELS_SQL} SELECT vec_id, 'iris' AS modality, CAST(pos AS INTEGER) AS pos, CAST(255 - px AS DOUBLE) AS value FROM pixels
+UNION ALL SELECT vec_id, 'fingerprint', CAST(63 - pos AS INTEGER), CAST(255 - px AS DOUBLE) FROM pixels""")
 def custom_transform(spark, sf):
-    images = decoded_images(spark, sf).where("modality = 'iris'").select("vec_id", "image")
-    return _flat(im.preprocess_images(images, transform=lambda gray: 255 - gray), "features")
+    images = decoded_images(spark, sf).select("vec_id", "modality", "image")
+    made = im.preprocess_images(images, transform=lambda gray: 255 - gray)
+    values = made.select("vec_id", "modality", F.posexplode("features").alias("pos", "value"))
+    return values.withColumn("value", r6(F.col("value").cast("double")))
 
 
 @query("""SELECT CAST(count(*) AS BIGINT) AS total, n_per.pairs AS total_samples, n_per.pairs AS processed_samples,
