@@ -5,10 +5,12 @@ anchor when its smallest pair (by hash) stands first or last in it. That depends
 the six words only, not on what surrounds them: an edit changes the anchors
 it touches and no others, and equal passages have equal anchors at equal distances.
 
-All distinct anchors of a text are kept, each with the place of its first word. Texts
-compare by all of them: their likeness is the overlap, and the places of shared anchors
-tell how far one text is shifted against the other. The 64 anchors with the smallest
-hashes are the text's short fingerprint, which serves as a name and decides nothing.
+All distinct anchors of a text are kept, each with the place of its first word, and they
+are the fingerprint. Texts compare by all of them: their likeness is the overlap, and the
+places of shared anchors tell how far one text is shifted against the other.
+
+An anchor is one long, 39 bits of hash over 24 bits of place. So two texts with a million
+anchors each share about two by chance, and a place beyond word 16 777 215 counts as that one.
 """
 
 from __future__ import annotations
@@ -21,8 +23,7 @@ from ridgeline.runtime import materialize
 
 WORDS = 6
 PAIRS = WORDS - 1
-ANCHORS = 64
-# An anchor is one long: 40 bits of hash over 24 bits of place.
+# Bits of an anchor that hold the place.
 _PLACE_BITS = 24
 _PLACES = (1 << _PLACE_BITS) - 1
 _HEX = (64 - _PLACE_BITS) // 4
@@ -68,8 +69,8 @@ def with_anchors(df: DataFrame, text: Column, name: str) -> DataFrame:
 
 
 def written(anchors: Column) -> Column:
-    """The short fingerprint as text: 16 hex digits for each of the 64 smallest anchors."""
-    return F.lower(F.array_join(F.transform(F.slice(anchors, 1, ANCHORS), lambda x: F.lpad(F.hex(x), 16, "0")), ""))
+    """The fingerprint as text: 16 hex digits for each anchor, the smallest first."""
+    return F.lower(F.array_join(F.transform(anchors, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
 
 
 def read(fingerprint: Column) -> Column:
@@ -133,8 +134,8 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Edited: the last third (rounded down) of the code points is replaced by the first
     as many, or all, of the next document in descending order of ids; after the last comes
-    the first. Returns ``doc_id``, ``n_chars``, ``edited_sha256``, the short ``fingerprint`` and
-    ``edited_fingerprint``, all ``anchors`` and ``edited_anchors`` (hash over place), and from all of
+    the first. Returns ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint`` and
+    ``edited_fingerprint``, the same as arrays ``anchors`` and ``edited_anchors`` (hash over place), and from
     them ``near_edited``, ``near_next`` and ``edited_shift``.
 
     A null text is empty. Rows that share an id each get a row; they have one next

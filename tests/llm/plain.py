@@ -109,7 +109,7 @@ def _signed(h):
     return h - (1 << 64) if h >> 63 else h
 
 
-def syncmers(text, sample=64):
+def syncmers(text):
     """The fingerprint by the definition: closed syncmers of six words over word pairs."""
 
     def chained(values):
@@ -130,4 +130,4 @@ def syncmers(text, sample=64):
     first = {}
     for value, place in sorted((v >> 25, p) for v, p in found):
         first.setdefault(value, place)
-    return "".join(f"{v << 24 | p:016x}" for v, p in sorted(first.items())[:sample])
+    return "".join(f"{v << 24 | p:016x}" for v, p in sorted(first.items()))

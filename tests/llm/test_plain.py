@@ -5,6 +5,7 @@ import zlib
 import pytest
 from oracle import connect, differences
 from plain import components, cut_repeats, decontaminate, edited, fingerprint, pieces, sha, syncmers, words
+from pyspark.sql import functions as F
 
 from ridgeline.llm import decontaminate as clean
 from ridgeline.llm import language, simhash, substrings
@@ -231,6 +232,10 @@ def test_syncmers_query(spark, documents):
         assert made[d].edited_sha256 == sha(changed[d]) and made[d].fingerprint == syncmers(documents[d])
         if documents[d] == documents[after]:
             assert made[d].near_next == 1.0
+    # The likenesses are those of the fingerprints that are returned.
+    rows = QUERIES["op4_syncmers"](spark, SF).select("doc_id", anchors.read(F.col("fingerprint")).alias("a"), anchors.read(F.col("edited_fingerprint")).alias("b"))
+    again = anchors.with_overlap(rows, "a", "b", "near", "moved").collect()
+    assert all((r.near, r.moved) == (made[r.doc_id].near_edited, made[r.doc_id].edited_shift) for r in again) and len(again) == len(made)
     long = [made[d].near_edited for d in documents if len(documents[d]) > 300]
     assert 0.4 < sum(long) / len(long) < 0.7
 
@@ -250,7 +255,7 @@ def test_syncmers_of_long_texts(df):
     made = {r.doc_id: r for r in anchors.edited_fingerprints(df(list(texts.items()), "doc_id long, text string")).collect()}
 
     def all_of(text):
-        found = syncmers(text, sample=None)
+        found = syncmers(text)
         return [int(found[i : i + 16], 16) for i in range(0, len(found), 16)]
 
     def overlap(a, b):
