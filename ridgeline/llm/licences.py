@@ -30,8 +30,6 @@ UNKNOWN = "unknown"
 # Documents whose paragraphs may stand for the unknown class, and how many of those.
 SAMPLE_DOCUMENTS = 500
 SAMPLE_PARAGRAPHS = 4000
-# Of a sampled paragraph so many characters train; scans read all.
-SAMPLE_CHARS = 2000
 FEATURES = 1 << 13
 WINDOW, STRIDE = 32, 16
 # Calibrated probability of a licence, and the share of a template that confirms it.
@@ -381,7 +379,7 @@ def _training_rows(sample: list[str]) -> list[tuple[str, int]]:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> LicenceModel:
-    """Fits on the templates and at most ``SAMPLE_PARAGRAPHS`` paragraphs of the corpus, ``SAMPLE_CHARS`` of each.
+    """Fits on the templates and at most ``SAMPLE_PARAGRAPHS`` whole paragraphs of the corpus.
 
     The paragraphs come from the ``SAMPLE_DOCUMENTS`` rows with the smallest hashes of
     their ids. Without rows the unknown class knows shuffled templates alone.
@@ -391,7 +389,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Li
     ids = named.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCUMENTS).withColumnRenamed("id", "one")
     few = named.join(F.broadcast(ids), F.col("id").eqNullSafe(F.col("one"))).groupBy("id").agg(F.min("text").alias("text"))
     lines = few.select(F.explode(F.split("text", "\n")).alias("line")).where(F.length(F.trim("line")) > 0)
-    lines = lines.select(F.substring("line", 1, SAMPLE_CHARS).alias("line")).distinct().orderBy(F.xxhash64("line"), "line").limit(SAMPLE_PARAGRAPHS)
+    lines = lines.distinct().orderBy(F.xxhash64("line"), "line").limit(SAMPLE_PARAGRAPHS)
     rows, kept_out = [], []
     for n, (text, label) in enumerate(_training_rows([r.line for r in lines.collect()])):
         one = Paragraphs(Texts(pa.array([text])))
