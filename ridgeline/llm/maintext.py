@@ -35,8 +35,6 @@ from ridgeline.runtime import materialize
 # Pages whose texts fill the training pages, and how many of those there are.
 SAMPLE_PAGES = 200
 TRAINING_PAGES = 400
-# Of a sampled page so many characters of text fill training pages; extraction reads all.
-SAMPLE_CHARS = 20_000
 TREES, DEPTH = 24, 4
 
 BLOCKS = frozenset(
@@ -518,7 +516,7 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") ->
     def start():
         def work(texts: Texts, _rows):
             # Every text of a page, whatever its part: words to fill pages with.
-            return [pa.array([" ".join(n.text for n in parse(t.decode()) if n.text)[:SAMPLE_CHARS] for t in texts.rows()])]
+            return [pa.array([" ".join(n.text for n in parse(t.decode()) if n.text) for t in texts.rows()])]
 
         return work
 
