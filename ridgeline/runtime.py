@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -35,7 +37,29 @@ def build_session(app: str = "ridgeline", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the session's executors, once, where they do not have it installed.
+
+    Functions that run in tasks are pickled by reference, so the workers must be able to import them.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_ridgeline_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="ridgeline-package-"), "ridgeline-package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("ridgeline", os.path.relpath(path, root)))
+    context.addPyFile(archive)
+    context._ridgeline_shipped = True
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -81,3 +81,26 @@ def test_a_manifest_with_lengths_reads_files_as_they_are(spark, df, tmp_path):
     for lengths in ([("length", 1)], [("length", None)], []):
         frame = df([(f"{tmp_path}/iris/001.bmp", *[v for _, v in lengths])], ", ".join(["path string", *[f"{n} long" for n, _ in lengths]]))
         assert [bytes(r.content) for r in cp.read_manifest(frame).collect()] == [b"12345"]
+
+
+def test_the_package_reaches_the_workers(spark):
+    import zipfile
+
+    from ridgeline.runtime import ship_package
+
+    ship_package(spark)
+    sent = [f for f in spark.sparkContext.listFiles if f.endswith("ridgeline-package.zip")]
+    assert len(sent) == 1 and spark.sparkContext._ridgeline_shipped
+    where = spark.range(1).mapInPandas(lambda batches: _imported(batches), "path string").first().path
+    assert where.endswith("runtime.py")
+    names = zipfile.ZipFile([p for p in __import__("sys").path if p.endswith("ridgeline-package.zip")][0]).namelist()
+    assert {"ridgeline/runtime.py", "ridgeline/__init__.py", "ridgeline/operators/drift.py"} <= set(names)
+
+
+def _imported(batches):
+    import pandas as pd
+
+    for _ in batches:
+        from ridgeline import runtime
+
+        yield pd.DataFrame({"path": [runtime.__file__]})
