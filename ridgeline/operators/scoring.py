@@ -294,20 +294,25 @@ def extract_embeddings(
 
 
 def validate_predictions(df: DataFrame, labels: DataFrame, key: str = "subject_id") -> DataFrame:
-    """Violations per rule: nulls, confidence range, unknown label, repeated key."""
-    nulls = F.greatest(*[F.col(c).isNull().cast("int") for c in (key, "prediction", "confidence")])
-    flat = df.agg(
-        F.coalesce(F.sum(nulls), F.lit(0)).alias("null_value"),
-        F.count_if(~F.col("confidence").between(0.0, 1.0)).alias("confidence_range"),
-    ).select(inline_rows(["rule", "violations"], *[
-        [F.lit(rule), F.col(rule)] for rule in ("null_value", "confidence_range")
-    ]))
-    # Distinct predictions first: the join then sees classes, not rows.
-    predicted = df.where("prediction is not null").groupBy("prediction").agg(F.count("*").alias("n"))
-    unknown = predicted.join(labels, predicted["prediction"] == labels["label"], "left_anti").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("violations")
-    ).select(F.lit("unknown_label").alias("rule"), "violations")
-    repeated = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("violations")
-    ).select(F.lit("duplicate_key").alias("rule"), "violations")
-    return flat.unionByName(unknown).unionByName(repeated)
+    """Violations per rule: nulls, confidence range, unknown label, repeated key.
+
+    The predictions are read once: each row is counted under its key and under its prediction,
+    combined before the one shuffle; what is left is a row for each key and class.
+    """
+    nulls = F.greatest(*[F.col(c).isNull().cast("long") for c in (key, "prediction", "confidence")])
+    outside = F.coalesce((~F.col("confidence").between(0.0, 1.0)).cast("long"), F.lit(0))
+    zero = F.lit(0).cast("long")
+    counted = df.select(inline_rows(
+        ["kind", "value", "nulls", "outside"],
+        [F.lit("key"), F.col(key).cast("string"), nulls, outside], [F.lit("label"), F.col("prediction").cast("string"), zero, zero],
+    )).groupBy("kind", "value").agg(F.count("*").alias("n"), F.sum("nulls").alias("nulls"), F.sum("outside").alias("outside"))
+    known = labels.where("label is not null").select(F.lit("label").alias("kind"), F.col("label").cast("string").alias("value")).distinct()
+    met = counted.join(known.withColumn("known", F.lit(True)), ["kind", "value"], "left")
+    named = F.col("value").isNotNull()
+    totals = {
+        "null_value": F.col("nulls"), "confidence_range": F.col("outside"),
+        "unknown_label": F.when((F.col("kind") == "label") & named & F.col("known").isNull(), F.col("n")),
+        "duplicate_key": F.when((F.col("kind") == "key") & named, F.col("n") - 1),
+    }
+    flat = met.agg(*[F.coalesce(F.sum(v), F.lit(0)).alias(rule) for rule, v in totals.items()])
+    return flat.select(inline_rows(["rule", "violations"], *[[F.lit(rule), F.col(rule)] for rule in totals]))

@@ -287,6 +287,16 @@ def test_validation(df):
     labels = df([(0,), (1,)], "label int")
     got = {r.rule: r.violations for r in sc.validate_predictions(rows, labels).collect()}
     assert got == {"null_value": 3, "confidence_range": 2, "unknown_label": 1, "duplicate_key": 1}
+    assert {r.violations for r in sc.validate_predictions(rows.limit(0), labels).collect()} == {0}
+
+
+def test_validation_reads_the_predictions_once(spark, df, tmp_path):
+    rows = df([("a", 0, 0.5), ("a", 1, 1.5)], "subject_id string, prediction int, confidence double")
+    rows.write.parquet(str(tmp_path / "p"))
+    stored = spark.read.parquet(str(tmp_path / "p"))
+    checked = sc.validate_predictions(stored, df([(0,)], "label int"))
+    assert checked._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert {r.rule: r.violations for r in checked.collect()} == {"null_value": 0, "confidence_range": 1, "unknown_label": 1, "duplicate_key": 1}
 
 
 def test_tensor_bytes_keep_nulls_and_slices(df):
