@@ -84,6 +84,7 @@ def test_a_manifest_with_lengths_reads_files_as_they_are(spark, df, tmp_path):
 
 
 def test_the_package_reaches_the_workers(spark):
+    import sys
     import zipfile
 
     from ridgeline.runtime import ship_package
@@ -91,16 +92,15 @@ def test_the_package_reaches_the_workers(spark):
     ship_package(spark)
     sent = [f for f in spark.sparkContext.listFiles if f.endswith("ridgeline-package.zip")]
     assert len(sent) == 1 and spark.sparkContext._ridgeline_shipped
-    where = spark.range(1).mapInPandas(lambda batches: _imported(batches), "path string").first().path
-    assert where.endswith("runtime.py")
-    names = zipfile.ZipFile([p for p in __import__("sys").path if p.endswith("ridgeline-package.zip")][0]).namelist()
-    assert {"ridgeline/runtime.py", "ridgeline/__init__.py", "ridgeline/operators/drift.py"} <= set(names)
 
+    def imported(batches):
+        import pandas as pd
 
-def _imported(batches):
-    import pandas as pd
+        for _ in batches:
+            from ridgeline import runtime
 
-    for _ in batches:
-        from ridgeline import runtime
+            yield pd.DataFrame({"path": [runtime.__file__]})
 
-        yield pd.DataFrame({"path": [runtime.__file__]})
+    assert spark.range(1).mapInPandas(imported, "path string").first().path.endswith("runtime.py")
+    names = zipfile.ZipFile(next(p for p in sys.path if p.endswith("ridgeline-package.zip"))).namelist()
+    assert {"ridgeline/runtime.py", "ridgeline/__init__.py", "ridgeline/operators/drift.py"} <= set(names)
