@@ -82,7 +82,7 @@ def test_order_and_names():
     ]
     import __spark_entry__ as e
 
-    assert e.queries()["pipeline"] is corpus_pipeline.run
+    assert e.queries()["pipeline"].__wrapped__ is corpus_pipeline.run
 
 
 @pytest.mark.parametrize("n", range(1, 11))
