@@ -23,7 +23,7 @@ from ridgeline.functions.change import relative_change, winner
 from ridgeline.functions.rows import row_array
 from ridgeline.operators.drift import PRIMARY_METRIC
 from ridgeline.operators.running import numbered_by_range
-from ridgeline.operators.skew import lookup
+from ridgeline.operators.skew import lookup, merged
 from ridgeline.runtime import materialize
 
 # The aliases a version can hold.
@@ -56,7 +56,7 @@ def snapshot(log: DataFrame) -> DataFrame:
     last = log.where("alias is not null").groupBy("model", "alias").agg(F.max(given).alias("t")).select(
         "model", "alias", "t.version", F.lit(True).alias("holds")
     )
-    joined = current_versions(log).join(last, ["model", "version", "alias"], "left")
+    joined = merged(current_versions(log), last, ["model", "version", "alias"], "left")
     return materialize(joined.select(*LOG_COLUMNS, F.coalesce("holds", F.lit(False)).alias("holds")), "versions", log.sparkSession)
 
 
@@ -105,8 +105,8 @@ def registered(
     """The log with new versions appended; who held their alias before ends without one."""
     fresh = register(log, new_versions, tie_break, alias, framework)
     since = fresh.where(F.col("alias").isNotNull()).select("model", F.col("event_ts").alias("since"), F.col("seq").alias("after"))
-    held = alias_holders(log).where(F.col("alias") == alias).select("model", "version").join(since, "model")
-    ended = held.join(current_versions(log), ["model", "version"]).select(
+    held = merged(alias_holders(log).where(F.col("alias") == alias).select("model", "version"), since, "model")
+    ended = merged(held, current_versions(log), ["model", "version"]).select(
         "model", "version", F.col("since").alias("event_ts"), F.col("after").alias("seq"),
         F.lit(None).cast("string").alias("alias"), "tags", "metrics",
     )
@@ -122,7 +122,7 @@ def alias_holders(log: DataFrame) -> DataFrame:
     last = log.where("alias is not null").groupBy("model", "alias").agg(F.max(given).alias("t")).select(
         "model", "alias", "t.version"
     )
-    return last.join(current_versions(log), ["model", "version", "alias"]).select(
+    return merged(last, current_versions(log), ["model", "version", "alias"]).select(
         "model", "alias", "version", "event_ts", "seq", "metrics"
     )
 
@@ -161,7 +161,7 @@ def compare_versions(log: DataFrame, pairs: DataFrame, metric: str = PRIMARY_MET
     a = known.select("model", F.col("version").alias("version_a"), F.col("value").alias("value_a"))
     b = known.select("model", F.col("version").alias("version_b"), F.col("value").alias("value_b"))
     change = relative_change(F.col("value_a"), F.col("value_b"), "ratio")
-    return pairs.join(a, ["model", "version_a"]).join(b, ["model", "version_b"]).select(
+    return merged(merged(pairs, a, ["model", "version_a"]), b, ["model", "version_b"]).select(
         "model", "version_a", "version_b", F.lit(metric).alias("metric"), "value_a", "value_b",
         change.alias("improvement"),
         (change * 100).alias("improvement_pct"),
@@ -215,7 +215,7 @@ def _events(moves: DataFrame, versions: DataFrame, at: datetime) -> DataFrame:
     tags = F.coalesce("tags", F.create_map().cast("map<string,string>"))
     set_now = F.map_concat(F.create_map(F.lit("alias"), F.col("alias")), F.col("extra"))
     kept = F.map_filter(tags, lambda k, _: ~F.map_contains_key(set_now, k))
-    return moves.join(last, "model").join(state, ["model", "version"]).select(
+    return merged(merged(moves, last, "model"), state, ["model", "version"]).select(
         "model", "version", F.lit(at).cast("timestamp").alias("event_ts"), "seq", "alias",
         F.map_concat(kept, set_now).alias("tags"), "metrics",
     )
@@ -261,7 +261,7 @@ def _targets(versions: DataFrame, targets: DataFrame | None) -> DataFrame:
             F.max("version").alias("version"), F.lit(True).alias("done")
         )
     known = versions.select("model", "version", F.lit(True).alias("done"))
-    return targets.select("model", "version").distinct().join(known, ["model", "version"], "left").fillna(False, ["done"])
+    return merged(targets.select("model", "version").distinct(), known, ["model", "version"], "left").fillna(False, ["done"])
 
 
 def rollback(log: DataFrame, at: datetime, targets: DataFrame | None = None) -> DataFrame:
@@ -283,10 +283,7 @@ def rollback(log: DataFrame, at: datetime, targets: DataFrame | None = None) ->
         [F.when(replaced, F.col("champion")), F.lit(ARCHIVED), F.create_map(F.lit("archived_at"), stamp)],
         [F.col("target"), F.lit(CHAMPION), F.create_map(F.lit("rolled_back_at"), stamp)],
     )
-    moves = (
-        goals.select("model", F.col("version").alias("target"))
-        .join(champion, "model", "left").select("model", step)
-    )
+    moves = merged(goals.select("model", F.col("version").alias("target")), champion, "model", "left").select("model", step)
     return log.select(*LOG_COLUMNS).unionByName(_events(moves, versions, at))
 
 
@@ -306,15 +303,13 @@ def retrain_decision(
         F.lit(0.0) if force
         else F.when(a.isNull(), F.lit(float("inf"))).otherwise(change * 100)
     )
-    return (
-        challenger.select("model", F.col("value").alias("challenger_value"))
-        .join(champion.select("model", F.col("value").alias("champion_value")), "model", "left")
-        .select(
-            "model", "champion_value", "challenger_value",
-            F.when(wins, CHALLENGER).otherwise(CHAMPION).alias("winner"),
-            wins.alias("promoted"),
-            gain.alias("improvement"),
-        )
+    new = challenger.select("model", F.col("value").alias("challenger_value"))
+    held = champion.select("model", F.col("value").alias("champion_value"))
+    return merged(new, held, "model", "left").select(
+        "model", "champion_value", "challenger_value",
+        F.when(wins, CHALLENGER).otherwise(CHAMPION).alias("winner"),
+        wins.alias("promoted"),
+        gain.alias("improvement"),
     )
 
 
@@ -341,4 +336,4 @@ def pick_model(log: DataFrame, alias: str | None = None, version: int | None = N
         return current_versions(log).where(F.col("version") == version).select("model", "version")
     champions = alias_holders(log).where(F.col("alias") == CHAMPION).select("model", F.col("version").alias("champion"))
     latest = log.groupBy("model").agg(F.max("version").alias("version"))
-    return latest.join(champions, "model", "left").select("model", F.coalesce("champion", "version").alias("version"))
+    return merged(latest, champions, "model", "left").select("model", F.coalesce("champion", "version").alias("version"))

@@ -123,6 +123,20 @@ def test_compare(df, log):
     assert got == {(1, 2): ("B", pytest.approx(0.2)), (1, 1): ("A", 0.0), (3, 1): ("B", 0.0)}
 
 
+def test_no_join_of_versions_is_a_broadcast(df, log):
+    """Versions and models grow with the log, however small Spark thinks their files."""
+    events = log(("m", 1, "archived", 0.5), ("m", 2, "champion", 0.6), ("m", 3, "challenger", 0.7))
+    pairs = df([("m", 1, 2)], "model string, version_a int, version_b int")
+    targets = df([("m", 1)], "model string, version int")
+    holders = vs.alias_holders(events).withColumn("value", F.col("metrics.f1_macro"))
+    for made in (
+        vs.compare_versions(events, pairs), vs.rollback(events, AT, targets), vs.rollback_outcome(events, targets), vs.alias_holders(events),
+        vs.promote(events, None, AT), vs.pick_model(events), vs.retrain_decision(holders, holders),
+    ):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_promotion_rules(log):
     events = log(
         ("none", 1, "champion", 0.5), ("first", 1, "challenger", 0.1),
