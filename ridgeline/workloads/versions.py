@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ridgeline.operators import versions as vs
+from ridgeline.operators.skew import merged
 from ridgeline.workloads.adapters import LOG_SQL, stored_log, version_log
 from ridgeline.workloads.registry import query, table
 
@@ -173,7 +174,7 @@ def rollback_targets(spark, sf):
     targets = log.select("model").distinct().withColumn("version", F.when(F.col("model") % 3 == 0, 1).otherwise(1000000))
     holders = vs.alias_holders(vs.rollback(log, AT, targets)).where("alias = 'champion'")
     done = vs.rollback_outcome(log, targets).select("model", "done")
-    return holders.join(done, "model").select("model", "alias", "version", "done")
+    return merged(holders, done, "model").select("model", "alias", "version", "done")
 
 
 @query(f"""WITH {LOG_SQL}, highest AS (SELECT model, max(version) AS h FROM log GROUP BY model),
