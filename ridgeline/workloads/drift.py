@@ -26,7 +26,7 @@ from ridgeline.workloads.adapters import (
     metric_sides,
     pixel_array,
 )
-from ridgeline.workloads.registry import query, r6, table
+from ridgeline.workloads.registry import arriving, query, r6, table
 
 # Nine statistics of the pixels of one image, in SQL over (key, px) rows.
 
@@ -433,11 +433,9 @@ def windowed_drift(spark, sf):
 @query(f"{WINDOWS_SQL} WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)")
 def stream_windowed_drift(spark, sf):
     ref, late = _event_sides(spark, sf)
-    schema = table(spark, sf, "events").schema
-    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     sink, checkpoint = scratch_path(spark, "stream-drift"), scratch_path(spark, "stream-checkpoint")
     sd.stream_windowed_drift(
-        ref, arriving.where(late), sink, checkpoint, "ts", "1 day", "1 hour", ["value"]
+        ref, arriving(spark, sf, "events").where(late), sink, checkpoint, "ts", "1 day", "1 hour", ["value"]
     ).awaitTermination()
     return _windows(spark.read.parquet(sink))
 
@@ -458,8 +456,6 @@ def sketched_drift(spark, sf):
 def stream_sketched_drift(spark, sf):
     """The stream keeps one sketch a window."""
     ref, late = _event_sides(spark, sf)
-    schema = table(spark, sf, "events").schema
-    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     sink, checkpoint = scratch_path(spark, "stream-sketches"), scratch_path(spark, "stream-checkpoint")
-    sk.stream_sketched_drift(ref, arriving.where(late), sink, checkpoint, "ts", "1 day", "1 hour", ["value"], **_FINE).awaitTermination()
+    sk.stream_sketched_drift(ref, arriving(spark, sf, "events").where(late), sink, checkpoint, "ts", "1 day", "1 hour", ["value"], **_FINE).awaitTermination()
     return _windows(spark.read.parquet(sink))

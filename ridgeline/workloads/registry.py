@@ -30,6 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def arriving(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a stream, whether it is one file or a folder of files.
+
+    The braces make the path a pattern: under a plain one Spark's stream takes no single file.
+    """
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}.parquet}}")
+
+
 def r6(c: Column | str) -> Column:
     """Six digits, without a negative zero."""
     return F.round(c, 6) + F.lit(0.0)

@@ -37,7 +37,7 @@ from ridgeline.workloads.adapters import (
 from ridgeline.workloads.bitmaps import write_bitmaps
 from ridgeline.workloads.drift import DATA_DRIFT_SQL, PAIR_FEATURES_SQL, _NAMES, _pair_features
 from ridgeline.workloads.metrics import PER_CLASS_SQL, RECORD_SQL, rounded_record
-from ridgeline.workloads.registry import query, r6, table
+from ridgeline.workloads.registry import arriving, query, r6, table
 
 ALL_SQL = CENTROID_SQL.format(fit="true", use="true")
 
@@ -509,9 +509,7 @@ def daily_run(spark, sf):
 def stream_score(spark, sf):
     df = _vectors(spark, sf)
     model = _centroids(df)
-    raw = table(spark, sf, "embeddings")
-    arriving = spark.readStream.schema(raw.schema).option("pathGlobFilter", "embeddings.parquet").parquet(sf)
-    source = arriving.withColumn("subject_id", F.col("vec_id").cast("string"))
+    source = arriving(spark, sf, "embeddings").withColumn("subject_id", F.col("vec_id").cast("string"))
     sink, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-checkpoint")
     run_stream_score(source, lambda rows: sc.score_table(rows, model), sink, checkpoint).awaitTermination()
     return spark.read.parquet(sink).withColumn("confidence", r6("confidence"))
