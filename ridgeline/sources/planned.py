@@ -11,7 +11,9 @@ the rows of the next.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from itertools import islice
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -24,11 +26,16 @@ from pyspark.sql.types import StructType
 from ridgeline.operators.running import running_by_range
 from ridgeline.runtime import materialize, scratch_path
 
-# Bytes a task reads, and what opening a file costs in bytes.
+# Bytes a task reads, and what opening a file costs in bytes: a task takes longer to start than some
+# hundred small files take to read.
 TARGET_BYTES = 128 << 20
-OPEN_BYTES = 512 << 10
+OPEN_BYTES = 64 << 10
+# Bins, each a folder of the plan, that one task writes.
+_BINS_PER_TASK = 32
 # Files and bytes that are handed on together.
 _BATCH_FILES, _BATCH_BYTES = 64, 32 << 20
+# Entries of a folder that a listing holds at once.
+_BATCH_ENTRIES = 10_000
 # Folders a listing task is given.
 FOLDERS_PER_TASK = 32
 
@@ -172,12 +179,42 @@ def read_planned(files: DataFrame, target_bytes: int = TARGET_BYTES, open_bytes:
     if last is None:
         return spark.createDataFrame([], "path string, start long, length long, content binary")
     plan = scratch_path(spark, "plan")
-    # A bin belongs to one writing task, and a task may have many bins.
-    binned.drop("_cost").repartition("bin").write.partitionBy("bin").parquet(plan)
+    # A bin belongs to one writing task, and a task has some bins: stated, for the few bytes of a plan would all be merged into one task.
+    tasks = -(-(last + 1) // _BINS_PER_TASK)
+    binned.drop("_cost").repartitionById(tasks, F.col("bin") % tasks).write.partitionBy("bin").parquet(plan)
     spark.dataSource.register(PlannedFiles)
     return spark.read.format(FORMAT).option("plan", plan).option("bins", str(last + 1)).load()
 
 
+def _entries(store: fs.FileSystem, name: str) -> Iterator[tuple[str, int, bool]]:
+    """``(path, length, is a folder)`` of what lies in a folder; a missing folder has nothing.
+
+    A local folder is walked entry by entry; other stores hand over a folder whole.
+    """
+    if isinstance(store, fs.LocalFileSystem):
+        try:
+            found = os.scandir(name)
+        except FileNotFoundError:
+            return
+        with found:
+            for entry in found:
+                if not entry.name.startswith(("_", ".")):
+                    folder = entry.is_dir()
+                    yield entry.path, 0 if folder else _size(entry), folder
+    else:
+        for info in store.get_file_info(fs.FileSelector(name, allow_not_found=True)):
+            if not info.base_name.startswith(("_", ".")):
+                yield info.path, info.size or 0, info.type == fs.FileType.Directory
+
+
+def _size(entry: os.DirEntry) -> int:
+    """Bytes of a file; 0 for one that has gone or a link to nothing."""
+    try:
+        return entry.stat().st_size
+    except FileNotFoundError:
+        return 0
+
+
 def list_tree(spark: SparkSession, root: str, folders_per_task: int = FOLDERS_PER_TASK) -> DataFrame:
     """``(path, length)`` of all files below a folder, listed in tasks, level by level.
 
@@ -190,12 +227,11 @@ def list_tree(spark: SparkSession, root: str, folders_per_task: int = FOLDERS_PE
             for uri in batch.column(0).to_pylist():
                 store, name = open_store(uri)
                 prefix = _prefix(uri, name)
-                found = store.get_file_info(fs.FileSelector(name, allow_not_found=True))
-                for at in range(0, len(found), 10_000):
-                    some = [i for i in found[at : at + 10_000] if not i.base_name.startswith(("_", "."))]
+                entries = _entries(store, name)
+                while some := list(islice(entries, _BATCH_ENTRIES)):
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([prefix + i.path for i in some], pa.string()), pa.array([i.size or 0 for i in some], pa.int64()),
-                        pa.array([i.type == fs.FileType.Directory for i in some], pa.bool_()),
+                        pa.array([prefix + path for path, _, _ in some], pa.string()), pa.array([size for _, size, _ in some], pa.int64()),
+                        pa.array([folder for _, _, folder in some], pa.bool_()),
                     ], names=["path", "length", "folder"])
 
     folders, n = spark.createDataFrame([(root,)], "path string"), 1

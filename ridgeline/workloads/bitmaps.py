@@ -31,10 +31,11 @@ def write_bitmaps(images: DataFrame, root: str) -> int:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
+        system, base = fs.FileSystem.from_uri(root)
         for batch in batches:
             made: set[str] = set()
             for row in batch.to_pylist():
-                system, target = fs.FileSystem.from_uri(f"{root}/{row['path']}")
+                target = f"{base}/{row['path']}"
                 folder = target.rsplit("/", 1)[0]
                 if folder not in made:
                     system.create_dir(folder, recursive=True)

@@ -1,5 +1,7 @@
 """Files read by a stored plan, and folders listed in tasks."""
 
+import tracemalloc
+
 import pytest
 from images import flat, put
 from pyspark.sql import functions as F
@@ -32,6 +34,31 @@ def test_listing_equals_the_sources(spark, tree):
         assert [r.length for r in pl.list_tree(spark, root).collect()] == [len(flat(1))]
 
 
+def test_a_folder_is_listed_piece_by_piece(tmp_path):
+    """The entries of one folder are handed on as they are found, not gathered first."""
+    put(tmp_path, "iris/sub/x.bmp", b"12")
+    for i in range(2500):
+        put(tmp_path, f"iris/{i:04d}.bmp", b"z" * (i % 7))
+    (tmp_path / "iris" / "gone.bmp").symlink_to(tmp_path / "nowhere")
+    store, name = pl.open_store(f"{tmp_path}/iris")
+    tracemalloc.start()
+    found = pl._entries(store, name)
+    assert next(found)[0].startswith(f"{tmp_path}/iris/") and tracemalloc.get_traced_memory()[1] < 100_000
+    tracemalloc.stop()
+    rows = {path.rsplit("/", 1)[1]: (size, folder) for path, size, folder in pl._entries(store, name)}
+    assert len(rows) == 2502 and rows["sub"] == (0, True) and rows["gone.bmp"] == (0, False)
+    assert all(rows[f"{i:04d}.bmp"] == (i % 7, False) for i in range(2500))
+
+
+def test_small_files_are_many_to_a_task(spark, tree):
+    """Two thousand files below a kilobyte are no hundred tasks of 8 MB."""
+    files = cp.list_files(spark, str(tree)).where("length < 1000")
+    read = pl.read_planned(files, 8 << 20)
+    assert read.rdd.getNumPartitions() <= 20 and read.count() == 2000
+    many = pl.read_planned(files, 1 << 20)
+    assert many.rdd.getNumPartitions() > 100 and many.count() == 2000
+
+
 def test_missing_and_empty_folders(spark, tmp_path):
     assert pl.list_tree(spark, str(tmp_path)).count() == 0
     assert pl.list_tree(spark, str(tmp_path / "nowhere")).count() == 0
