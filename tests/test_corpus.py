@@ -37,6 +37,22 @@ def test_scan_counts_and_verifies(spark, tmp_path):
     assert cp.scan_corpus(spark, str(tmp_path)).count() == 7
 
 
+def test_many_small_files_are_few_tasks(spark, tmp_path, monkeypatch):
+    small_corpus(tmp_path, 30)
+    monkeypatch.setattr(cp, "TASKS_PER_CORE", 0)
+    confs = {"spark.sql.files.openCostInBytes": str(4 << 20), "spark.sql.files.maxPartitionBytes": str(4 << 20)}
+    before = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        for read in (cp.scan_corpus, cp.list_corpus, cp.read_corpus):
+            files = read(spark, str(tmp_path))
+            assert files.rdd.getNumPartitions() == -(-60 // cp.SHARES_PER_TASK) and files.select("path").distinct().count() == 60
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_nested_empty_and_missing_folders(spark, tmp_path):
     small_corpus(tmp_path / "nested" / "archive", 2)
     assert cp.verify_corpus(cp.list_corpus(spark, str(tmp_path / "nested"))).first().valid
