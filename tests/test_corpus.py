@@ -206,3 +206,16 @@ def test_failing_transform_is_counted(spark, tmp_path):
     out = im.preprocess_images(cp.read_corpus(spark, str(tmp_path)), transform=transform)
     assert out.where("ok").count() == 3
     assert out.where("ok").first().height is None
+
+
+def test_stored_pairs_have_buckets_by_their_number(spark, df, tmp_path, monkeypatch):
+    from ridgeline.workloads import QUERIES, corpus
+
+    assert [corpus.pair_buckets(n) for n in (0, 80_000_000, 80_000_001, 10**12)] == [8, 8, 9, 1000]
+    rows = [(i, i % 20, "view" if i % 3 else "click") for i in range(300)]
+    df(rows, "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(corpus, "PAIRS_PER_BUCKET", 60)
+    made = QUERIES["pair_samples_bucketed"](spark, str(tmp_path))
+    want = QUERIES["pair_samples"](spark, str(tmp_path))
+    assert made.rdd.getNumPartitions() == -(-want.count() // 60) > 8
+    assert made.exceptAll(want).count() == want.exceptAll(made).count() == 0
