@@ -92,6 +92,24 @@ def test_hot_subjects_get_a_grid(df):
     assert sorted(tuple(r) for r in pr._grid(iris, finger, 4).collect()) == [("a", 10, 3), ("c", 1, 2)]
 
 
+def test_cells_are_bounded_by_their_pairs(df, monkeypatch):
+    sizes = {"a": (40, 30), "b": (1, 25), "c": (5, 50), None: (30, 30)}
+    iris, finger = (
+        df([(s, f"{side}{s}{k}") for s, n in sizes.items() for k in range(n[at])], "subject_id string, path string")
+        for at, side in enumerate("if")
+    )
+    monkeypatch.setattr(pr, "CELL_PAIRS", 100)
+    grid = pr._grid(iris, finger, 1000).where("subject_id is not null")
+    assert sorted(tuple(r) for r in grid.collect()) == [("a", 4, 3), ("c", 1, 3)]
+    want = iris.withColumnRenamed("path", "iris_path").join(finger.withColumnRenamed("path", "fingerprint_path"), "subject_id")
+    # Tasks by the pairs, 1475 of them, not by the bytes of the rows.
+    for most, tasks in ((1475, None), (1474, 4), (60, 25)):
+        monkeypatch.setattr(pr, "PAIRS_PER_TASK", most)
+        made = pr.pair_samples(iris, finger)
+        assert tasks is None or made.rdd.getNumPartitions() == tasks
+        assert made.count() == 1475 and made.exceptAll(want).count() == 0
+
+
 def test_label_rank_is_global(spark):
     ids = spark.range(5000).select(F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("subject_id"))
     labels = lb.build_label_index(ids.union(ids), "subject_id")
