@@ -110,6 +110,19 @@ def test_cells_are_bounded_by_their_pairs(df, monkeypatch):
         assert made.count() == 1475 and made.exceptAll(want).count() == 0
 
 
+def test_many_pairs_are_not_made_by_a_broadcast(spark, df, tmp_path, monkeypatch, capsys):
+    for side in "if":
+        df([("a", f"{side}{k}") for k in range(9)], "subject_id string, path string").write.parquet(f"{tmp_path}/{side}")
+    iris, finger = (spark.read.parquet(f"{tmp_path}/{side}") for side in "if")
+    monkeypatch.setattr(pr, "PAIRS_PER_TASK", 80)
+    made = pr.pair_samples(iris, finger)
+    made.explain()
+    plan = capsys.readouterr().out
+    # Small tables, but only the grid of hot subjects is broadcast, once to each side.
+    assert (plan.count("SortMergeJoin"), plan.count("BroadcastHashJoin")) == (1, 2)
+    assert made.count() == 81
+
+
 def test_label_rank_is_global(spark):
     ids = spark.range(5000).select(F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("subject_id"))
     labels = lb.build_label_index(ids.union(ids), "subject_id")
