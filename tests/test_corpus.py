@@ -110,6 +110,12 @@ def test_cells_are_bounded_by_their_pairs(df, monkeypatch):
         assert made.count() == 1475 and made.exceptAll(want).count() == 0
 
 
+def test_tasks_for_pairs_do_not_grow_without_end(df):
+    counts = df([("a", 10**6, 10**6), ("b", 1, 1), (None, 10**9, 10**9)], "subject_id string, iris long, fingerprint long")
+    assert pr._tasks(counts) == pr.MAX_TASKS
+    assert pr._tasks(counts.where("subject_id = 'b'")) is None
+
+
 def test_many_pairs_are_not_made_by_a_broadcast(spark, df, tmp_path, monkeypatch, capsys):
     for side in "if":
         df([("a", f"{side}{k}") for k in range(9)], "subject_id string, path string").write.parquet(f"{tmp_path}/{side}")
