@@ -256,3 +256,20 @@ def test_stored_pairs_have_buckets_by_their_number(spark, df, tmp_path, monkeypa
     want = QUERIES["pair_samples"](spark, str(tmp_path))
     assert made.rdd.getNumPartitions() == -(-want.count() // 60) > 8
     assert made.exceptAll(want).count() == want.exceptAll(made).count() == 0
+
+
+def test_stored_pairs_of_a_hot_subject_are_in_many_buckets(spark, df, tmp_path, monkeypatch, capsys):
+    from ridgeline.workloads import QUERIES, corpus
+
+    # Subject 011 makes 2,500 of 2,600 pairs, subject 012 has no fingerprint.
+    rows = [(i, 11, "view" if i % 2 else "click") for i in range(100)] + [(i + 100, 12, "click") for i in range(30)]
+    rows += [(i + 200, 13, "view" if i % 2 else "click") for i in range(20)]
+    df(rows, "event_id long, user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(corpus, "PAIRS_PER_BUCKET", 100)
+    made = QUERIES["pair_samples_bucketed"](spark, str(tmp_path))
+    made.explain()
+    assert "Exchange" not in capsys.readouterr().out
+    parts = [r["n"] for r in made.where("subject_id = '011'").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(parts) == 2500 and len(parts) > 4 and max(parts) < 1000
+    want = QUERIES["pair_samples"](spark, str(tmp_path))
+    assert made.count() == 2600 and made.exceptAll(want).count() == want.exceptAll(made).count() == 0
